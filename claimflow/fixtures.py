@@ -6,7 +6,20 @@ customers by one SQL text that Spark and DuckDB both run unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Values the derived claims take.
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+PRICES = [
+    "less than 20000", "20000 to 29000", "30000 to 39000", "40000 to 59000", "60000 to 69000", "more than 69000",
+]
+DAY_RANGES = ["none", "1 to 7", "8 to 15", "15 to 30", "more than 30"]
+HOLDER_AGES = [
+    "16 to 17", "18 to 20", "21 to 25", "26 to 30", "31 to 35", "36 to 40", "41 to 50", "51 to 65", "over 65",
+]
+ADDRESS_CHANGES = ["no change", "4 to 8 years", "1 year", "2 to 3 years", "under 6 months"]
 
 CLAIMS_SQL = """
 WITH b AS (
@@ -105,11 +118,79 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _pick(index: Column, values: list[str]) -> Column:
+    """values[index]; a constant array keeps the generated code small."""
+    return F.get(F.lit(values), index.cast("int"))
+
+
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw claims: 33 text columns with planted dirty rows."""
-    return spark.sql(
-        CLAIMS_SQL, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer")
+    """Raw claims: 33 text columns with planted dirty rows.
+
+    The same rows as ``CLAIMS_SQL``.  Its long CASE chains compile to a method
+    the JVM will not optimise, so they are array lookups here.
+    """
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    date = F.col("o_orderdate")
+
+    def mixed(a: int, b: int, m: int) -> Column:
+        return (F.col("o_orderkey") * a + F.col("o_custkey") * b) % m
+
+    base = o.join(c.select(F.col("c_custkey").alias("o_custkey")), "o_custkey").select(
+        F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("tp"), F.year(date).alias("yy"),
+        (F.month(date) - 1).alias("m"), F.floor((F.day(date) - 1) / 7).cast("int").alias("w"),
+        mixed(7919, 31, 1009).alias("h1"), mixed(104729, 17, 1013).alias("h2"),
+        mixed(1299709, 7, 1019).alias("h3"), mixed(15485863, 3, 1021).alias("h4"),
     )
+    k, tp, yy, m, w, h1, h2, h3, h4 = (F.col(n) for n in ("k", "tp", "yy", "m", "w", "h1", "h2", "h3", "h4"))
+
+    def every(n: int, value: str | None, otherwise: Column) -> Column:
+        return F.when(k % n == 0, F.lit(value)).otherwise(otherwise)
+
+    def text(x: Column) -> Column:
+        return x.cast("string")
+
+    def either(condition: Column, yes: str, no: str) -> Column:
+        return F.when(condition, yes).otherwise(no)
+
+    category = _pick(h3 % 3, ["Sedan", "Sport", "Utility"])
+    coverage = _pick(h4 % 3, ["Liability", "Collision", "All Perils"])
+    fraud_bound = F.lit(4) + F.when(h2 % 9 >= 7, 30).otherwise(0) + F.when(h3 % 3 == 2, 8).otherwise(0)
+    values = {
+        "month": every(503, "0", _pick(m, MONTHS)),
+        "weekofmonth": text(w + 1),
+        "dayofweek": _pick(h1 % 7, DAYS),
+        "make": _pick(h2 % 5, ["Honda", "Toyota", "Ford", "Mazda", "Pontiac"]),
+        "accidentarea": every(97, "  Urban \r", either(h3 % 10 == 0, "Rural", "Urban")),
+        "dayofweekclaimed": _pick(h2 % 5, DAYS),
+        "monthclaimed": every(499, "0", every(617, None, _pick((m + h1 % 2) % 12, MONTHS))),
+        "weekofmonthclaimed": text(((w + h2 % 4) % 5 + 1)),
+        "sex": either(h3 % 6 == 0, "Female", "Male"),
+        "maritalstatus": _pick(h4 % 4, ["Single", "Married", "Widow", "Divorced"]),
+        "age": every(701, "-1", every(709, "NA", text(h1 % 60 + 16))),
+        "fault": either(h2 % 4 == 0, "Third Party", "Policy Holder"),
+        "policytype": every(211, "Sedan", F.concat(category, F.lit(" - "), coverage)),
+        "vehiclecategory": category,
+        "vehicleprice": every(311, None, _pick(F.least(F.floor(tp / 80000), F.lit(5)), PRICES)),
+        "fraudfound_p": either(h4 % 100 < fraud_bound, "1", "0"),
+        "policynumber": every(601, None, text(k + 1)),
+        "repnumber": text(h1 % 16 + 1),
+        "deductible": _pick(F.when(h2 % 4 < 2, h2 % 4).otherwise(h3 % 2 + 2), ["300", "500", "400", "700"]),
+        "driverrating": text(h4 % 4 + 1),
+        "days_policy_accident": every(401, "More than 30", _pick(F.least(h1 % 12, F.lit(4)), DAY_RANGES)),
+        "days_policy_claim": _pick(F.least(h2 % 8, F.lit(3)), ["none", "8 to 15", "15 to 30", "more than 30"]),
+        "pastnumberofclaims": _pick(h3 % 4, ["none", "1", "2 to 4", "more than 4"]),
+        "ageofvehicle": _pick(h4 % 8, ["new", *[f"{n} years" for n in range(2, 8)], "more than 7"]),
+        "ageofpolicyholder": _pick(h1 % 9, HOLDER_AGES),
+        "policereportfiled": either(h2 % 11 == 0, "Yes", "No"),
+        "witnesspresent": either(h3 % 13 == 0, "Yes", "No"),
+        "agenttype": either(h4 % 17 == 0, "Internal", "External"),
+        "numberofsuppliments": _pick(h1 % 4, ["none", "1 to 2", "3 to 5", "more than 5"]),
+        "addresschange_claim": _pick(F.greatest(h2 % 9 - 4, F.lit(0)), ADDRESS_CHANGES),
+        "numberofcars": either(h3 % 10 < 8, "1 vehicle", "2 vehicles"),
+        "year": every(607, "1800", every(613, "abc", text(yy))),
+        "basepolicy": coverage,
+    }
+    return base.select(*[value.alias(name) for name, value in values.items()])
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,14 @@ from ..fixed_values import PRICE_DEFAULT, PRICE_MIDPOINTS
 
 
 def strip_breaks(col: Column) -> Column:
-    """Delete line breaks anywhere, then trim spaces (tabs stay)."""
-    return F.trim(F.translate(col, "\r\n", ""))
+    """Delete line breaks anywhere, then trim spaces (tabs stay).
+
+    Plain replacements hand the value back untouched where there is nothing to
+    delete, which is nearly always.
+    """
+    for line_break in ("\r", "\n"):
+        col = F.replace(col, F.lit(line_break), F.lit(""))
+    return F.trim(col)
 
 
 def lenient_int(col: Column) -> Column:
@@ -28,27 +34,34 @@ def lenient_int(col: Column) -> Column:
 
 
 def split_part(col: Column, separator: str, index: int) -> Column:
-    """The index-th piece of a split, null past the end."""
-    literal = "".join("\\" + c if c in r"\.[]{}()*+-?^$|" else c for c in separator)
-    return F.get(F.split(col, literal), F.lit(index))
+    """The index-th piece of a split, null past the end.
+
+    Searched for as plain text: ``split`` would compile a pattern for each row.
+    """
+    for _ in range(index):
+        rest = F.substr(col, F.instr(col, separator) + len(separator))
+        col = F.when(F.contains(col, F.lit(separator)), rest)
+    return F.substring_index(col, separator, 1)
+
+
+def lookup(col: Column, values: dict[str, str] | dict[str, float]) -> Column:
+    """Value of a key in a constant map, null if absent.
+
+    A map literal keeps the generated code small however many keys it has; a
+    CASE branch per key would grow it beyond what the JVM compiles.
+    """
+    literals = [F.lit(x) for pair in values.items() for x in pair]
+    return F.try_element_at(F.create_map(*literals), col)
 
 
 def translate_value(col: Column, dictionary: dict[str, str]) -> Column:
     """Replace known values; anything else, null too, passes through."""
-    (first, mapped), *rest = dictionary.items()
-    out = F.when(col == first, mapped)
-    for key, value in rest:
-        out = out.when(col == key, value)
-    return out.otherwise(col)
+    return F.coalesce(lookup(col, dictionary), col)
 
 
 def ordinal(col: Column, values: dict[str, int], default: int) -> Column:
     """Rank of a known value, ``default`` for unknown or null (double)."""
-    (first, rank), *rest = values.items()
-    out = F.when(col == first, float(rank))
-    for key, value in rest:
-        out = out.when(col == key, float(value))
-    return out.otherwise(float(default))
+    return F.coalesce(lookup(col, {k: float(v) for k, v in values.items()}), F.lit(float(default)))
 
 
 def price_midpoint(col: Column) -> Column:

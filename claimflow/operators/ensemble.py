@@ -60,12 +60,12 @@ class Artifact:
 
 def train_boosted(params: Params = Params()) -> GBTClassifier:
     """The boosted member."""
-    return GBTClassifier(
-        featuresCol="_features", labelCol=LABEL, predictionCol="_pred_b", probabilityCol="_prob_b",
-        rawPredictionCol="_raw_b", maxIter=params.rounds, stepSize=params.rate, maxDepth=params.boosted_depth,
-        minInstancesPerNode=params.boosted_leaf, subsamplingRate=params.subsample, maxBins=params.bins,
-        seed=params.seed,
+    member = GBTClassifier(
+        featuresCol="_features", labelCol=LABEL, predictionCol="_pred_b", maxIter=params.rounds,
+        stepSize=params.rate, maxDepth=params.boosted_depth, minInstancesPerNode=params.boosted_leaf,
+        subsamplingRate=params.subsample, maxBins=params.bins, seed=params.seed,
     )
+    return member.setProbabilityCol("_prob_b").setRawPredictionCol("_raw_b")
 
 
 def train_forest(params: Params = Params()) -> RandomForestClassifier:

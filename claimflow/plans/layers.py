@@ -10,7 +10,7 @@ from ..operators.derive import enrich
 from ..operators.kpi import segment_kpis, top_segments
 from ..operators.localize import curate
 from ..sources.catalogue import ensure_layer_db, table_location
-from ..sources.readers import read_delimited, read_layer
+from ..sources.readers import RAW_OPTIONS, read_delimited, read_layer
 from ..sources.schemas import LANDING_SCHEMA, require_columns
 from ..sources.writers import overwrite_partitions, rebalanced, replace_table, write_text_layer
 
@@ -25,16 +25,11 @@ def run_workload(spark: SparkSession, env: str, base: str, source_path: str, dro
     path = table_location(base, db, TABLE)
     raw = read_delimited(spark, source_path)
     write_text_layer(raw, path)
-    _register(spark, f"{db}.{TABLE}", "csv", path, raw, {"sep": "|", "header": "true", "encoding": "ISO-8859-1",
-                                                         "nullValue": "\\\\N", "emptyValue": ""})
-    return f"{db}.{TABLE}"
-
-
-def _register(spark: SparkSession, name: str, fmt: str, path: str, df: DataFrame, options: dict[str, str]) -> None:
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    given = ", ".join(f"'{k}' '{v}'" for k, v in options.items())
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} OPTIONS ({given}) LOCATION '{path}'")
+    name = f"{db}.{TABLE}"
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="csv", schema=raw.schema, **RAW_OPTIONS)
     spark.catalog.refreshTable(name)
+    return name
 
 
 def run_landing(spark: SparkSession, env: str, base: str, source: str, fmt: str = "parquet") -> str:

@@ -288,7 +288,7 @@ def _(spark, sf):
     "SELECT CAST(CAST(printf('%.2f', auc * 100) AS DOUBLE) AS VARCHAR) || '%' AS auc_roc, "
     "CAST(CAST(printf('%.2f', CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) * 100) AS DOUBLE) AS VARCHAR) || '%' AS f1_score, "
     "CAST(printf('%.3f', umbral) AS DOUBLE) AS umbral, '2024-01-02' AS entrenado "
-    "FROM area, confusion, (SELECT umbral FROM curve_f1 ORDER BY f1 DESC, umbral LIMIT 1)",
+    "FROM area JOIN confusion ON true JOIN (SELECT umbral FROM curve_f1 ORDER BY f1 DESC, umbral LIMIT 1) ON true",
 )
 def _(spark, sf):
     rows = fixtures.scored(spark, sf)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..conf import tune
 from .oracles import with_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +20,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = run
+        QUERIES[name] = lambda spark, sf_dir: run(tune(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = with_tables(sql)
         return run

@@ -11,7 +11,10 @@ from pyspark.sql.types import StructType
 from .schemas import RAW_SCHEMA
 
 # How raw claim files are delimited and encoded.
-RAW_OPTIONS = {"sep": "|", "header": True, "encoding": "ISO-8859-1", "nullValue": "\\N", "emptyValue": ""}
+# Lines end in \n only, so a stray \r inside a field does not cut its row in two.
+RAW_OPTIONS = {
+    "sep": "|", "header": "true", "encoding": "ISO-8859-1", "nullValue": "\\N", "emptyValue": "", "lineSep": "\n",
+}
 
 
 def read_delimited(

@@ -10,6 +10,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .readers import RAW_OPTIONS, require_rows
 from .scratch import scratch_path
 
+# Written text keeps outer spaces; cleaning them is the curated layer's work.
+KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 # Largest export written as one file; beyond it, part files are written in parallel.
 SINGLE_FILE_ROWS = 1_000_000
 
@@ -28,7 +31,7 @@ def write_text_layer(df: DataFrame, path: str) -> None:
 
     Readers that skip a header and readers that do not then agree on the rows.
     """
-    df.write.mode("overwrite").options(**RAW_OPTIONS).csv(path)
+    df.write.mode("overwrite").options(**RAW_OPTIONS, **KEEP_SPACES).csv(path)
 
 
 def pick_format(spark: SparkSession, preferred: str = "avro", otherwise: str = "parquet") -> str:
