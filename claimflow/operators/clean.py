@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from ..functions.text import lenient_int, split_part, strip_breaks
 
@@ -76,5 +76,12 @@ def drop_if_present(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def complete_cases(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Drop rows with a null in any of the columns."""
-    return df.na.drop(subset=cols)
+    """Drop rows with a null, or a NaN, in any of the columns.
+
+    One plain condition per column, so each can reach the scan.
+    """
+    for c in cols:
+        df = df.filter(F.col(c).isNotNull())
+        if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+            df = df.filter(~F.isnan(c))
+    return df

@@ -24,7 +24,7 @@ from ..fixed_values import (
 )
 from ..functions.numbers import bucket_label, flag, weighted_score
 from ..functions.text import iso_week, ordinal
-from .clean import drop_if_present
+from .clean import complete_cases, drop_if_present
 
 
 def ordinal_encode(df: DataFrame, encodings: dict | None = None) -> DataFrame:
@@ -77,10 +77,8 @@ def feature_columns(df: DataFrame) -> DataFrame:
 def training_frame(enriched: DataFrame) -> DataFrame:
     """Complete rows of features plus an int label."""
     cols = assert_no_leakage(NUMERIC_FEATURES + CATEGORICAL_FEATURES)
-    rows = risk_features(enriched)
-    # One condition per column: Catalyst drops those on columns that are never null.
-    for c in [LABEL, *cols]:
-        rows = rows.filter(F.col(c).isNotNull())
+    # Catalyst drops the conditions on columns that are never null.
+    rows = complete_cases(risk_features(enriched), [LABEL, *cols])
     return rows.select(*cols, F.col(LABEL).cast("int").alias(LABEL))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import CURATED_COLUMNS, CURATED_NAMES, INTEGER_COLUMNS, POLICY_PAIR, TRANSLATIONS
 from ..functions.text import translate_value
-from .clean import cast_ints, clean_strings, project, quality_gate, split_pair
+from .clean import cast_ints, complete_cases, clean_strings, project, quality_gate, split_pair
 
 
 def translate_values(df: DataFrame, dictionaries: dict[str, dict[str, str]] | None = None) -> DataFrame:
@@ -23,6 +23,9 @@ def rename_columns(df: DataFrame, names: dict[str, str] | None = None) -> DataFr
 
 def curate(landing: DataFrame) -> DataFrame:
     """Landing claims -> cleaned, gated, typed and translated claims (34 columns)."""
-    kept = quality_gate(clean_strings(landing))
+    # Cleaning keeps nulls null, so rows that lack a checked column are left out
+    # by the scan already, and the partition without a claim month is not read.
+    present = complete_cases(landing, ["policynumber", "year", "month", "monthclaimed", "age"])
+    kept = quality_gate(clean_strings(present))
     typed = split_pair(cast_ints(kept, INTEGER_COLUMNS), "policytype", " - ", POLICY_PAIR)
     return project(rename_columns(translate_values(typed)), CURATED_COLUMNS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
 from .running import totals_above
 
 WIDE = "decimal(38,0)"
@@ -73,12 +74,13 @@ def _score_table(df: DataFrame, p: str, y: str) -> DataFrame:
     """Positives and negatives per distinct score and above it.
 
     The first aggregate combines equal scores map-side, so one score held by a
-    third of the rows costs no more than any other.
+    third of the rows costs no more than any other.  Its result is read three
+    times below, so it is written once to shared storage.
     """
     per_score = df.groupBy(F.col(p).alias("umbral")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
     )
-    return totals_above(per_score, "umbral", ["pos", "neg"])
+    return totals_above(materialize(per_score, "score-table"), "umbral", ["pos", "neg"])
 
 
 def roc_auc(df: DataFrame, p: str = "p", y: str = "y") -> DataFrame:

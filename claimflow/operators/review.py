@@ -90,9 +90,14 @@ def model_card(meta: DataFrame) -> DataFrame:
 
 
 def latest_feedback(feedback: DataFrame, order: str = "event_id", key: str = "case_id") -> DataFrame:
-    """Each case's last label; one hash aggregate, combined map-side."""
-    last = F.max_by(F.struct("label", "fecha_validacion"), order).alias("_last")
-    return feedback.groupBy(key).agg(last).select(key, "_last.label", "_last.fecha_validacion")
+    """Each case's last label; ``order`` has to be unique within a case.
+
+    One hash aggregate, combined map-side.  (One ``max_by`` over a struct would
+    need a sort-based aggregate: structs do not fit a hash buffer.)
+    """
+    return feedback.groupBy(key).agg(
+        F.max_by("label", order).alias("label"), F.max_by("fecha_validacion", order).alias("fecha_validacion")
+    )
 
 
 def resolve_feedback(

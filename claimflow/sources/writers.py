@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .readers import RAW_OPTIONS, require_rows
 from .scratch import scratch_path
 
-# Written text keeps outer spaces; cleaning them is the curated layer's work.
-KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# Written text keeps outer spaces (cleaning is the curated layer's work), and an
+# empty text is quoted, since a bare empty field would read back as null.
+TEXT_OPTIONS = {
+    **RAW_OPTIONS, "emptyValue": '""', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 # Largest export written as one file; beyond it, part files are written in parallel.
 SINGLE_FILE_ROWS = 1_000_000
@@ -31,7 +35,7 @@ def write_text_layer(df: DataFrame, path: str) -> None:
 
     Readers that skip a header and readers that do not then agree on the rows.
     """
-    df.write.mode("overwrite").options(**RAW_OPTIONS, **KEEP_SPACES).csv(path)
+    df.write.mode("overwrite").options(**TEXT_OPTIONS).csv(path)
 
 
 def pick_format(spark: SparkSession, preferred: str = "avro", otherwise: str = "parquet") -> str:
@@ -40,6 +44,8 @@ def pick_format(spark: SparkSession, preferred: str = "avro", otherwise: str = "
         spark.read.format(preferred).schema("a string").load(scratch_path(spark, "absent"))
     except AnalysisException as e:
         return preferred if e.getCondition() == "PATH_NOT_FOUND" else otherwise
+    except Py4JJavaError:  # the source's class is missing
+        return otherwise
     return preferred
 
 

@@ -1,0 +1,95 @@
+"""Training, scoring and saving; quality floors, never another library's digits."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimflow import fixtures
+from claimflow.fixed_values import CATEGORICAL_FEATURES, EVALUATION_INPUTS, LABEL, LEAKY_COLUMNS, NUMERIC_FEATURES
+from claimflow.operators import derive, ensemble, features, localize
+from claimflow.sources import scratch
+
+SMALL = ensemble.Params(rounds=6, trees=6, forest_depth=4, boosted_leaf=5, forest_leaf=5, folds=2, bins=32)
+
+
+@pytest.fixture(scope="module")
+def enriched(spark, sf):
+    return scratch.materialize(derive.enrich(localize.curate(fixtures.claims(spark, sf))), "enriched")
+
+
+@pytest.fixture(scope="module")
+def artifact(enriched):
+    return ensemble.train(enriched, SMALL)
+
+
+def test_defaults_are_full_size():
+    p = ensemble.Params()
+    assert (p.rounds, p.rate, p.boosted_depth, p.boosted_leaf, p.subsample) == (300, 0.05, 4, 20, 0.8)
+    assert (p.trees, p.forest_depth, p.forest_leaf, p.feature_subset, p.votes, p.seed) == (200, 10, 10, "sqrt", (2, 1), 42)
+    boosted, forest = ensemble.train_boosted(p), ensemble.train_forest(p)
+    assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getSubsamplingRate()) == (300, 0.05, 0.8)
+    assert (forest.getNumTrees(), forest.getMinInstancesPerNode(), forest.getWeightCol()) == (200, 10, ensemble.WEIGHT)
+
+
+def test_training_learns_something(artifact):
+    assert 0.6 < artifact.meta["auc_roc"] <= 1
+    assert 0 < artifact.meta["f1_score"] <= 1 and 0 < artifact.threshold < 1
+    assert 0.5 < artifact.meta["cv_media"] <= 1 and artifact.meta["cv_desviacion"] >= 0
+    assert not set(artifact.meta["vars_numericas"] + artifact.meta["vars_categoricas"]) & set(LEAKY_COLUMNS)
+
+
+def test_scoring_keeps_rows_and_columns(spark, enriched, artifact):
+    odd = enriched.limit(3).withColumns({"cobertura": F.lit("unheard of"), "numero_poliza": F.lit("odd")})
+    bare = enriched.limit(2).withColumns({"edad": F.lit(None).cast("int"), "numero_poliza": F.lit("bare")})
+    df = enriched.unionByName(odd).unionByName(bare)
+    out = ensemble.score(df, artifact).cache()
+    assert out.columns == [*df.columns, "probabilidad_fraude", "prediccion_fraude", "nivel_alerta"]
+    assert out.select(*df.columns).exceptAll(df).isEmpty() and out.count() == df.count()
+    assert out.filter("numero_poliza = 'odd' AND probabilidad_fraude BETWEEN 0 AND 1").count() == 3
+    assert out.filter("numero_poliza = 'bare' AND probabilidad_fraude IS NULL AND prediccion_fraude IS NULL").count() == 2
+
+
+def test_saved_model_scores_alike(spark, enriched, artifact, tmp_path):
+    ensemble.save_artifact(artifact, spark, str(tmp_path / "model"))
+    loaded = ensemble.load_artifact(spark, str(tmp_path / "model"))
+    assert loaded.meta == artifact.meta and loaded.votes == artifact.votes
+    assert ensemble.score(enriched, loaded).exceptAll(ensemble.score(enriched, artifact)).isEmpty()
+
+
+def test_category_codes_ascend_and_unseen_lies_below(spark, enriched, artifact):
+    frame = features.training_frame(enriched)
+    unseen = frame.limit(1).withColumn("cobertura", F.lit("unheard of"))
+    out = artifact.model.transform(frame.unionByName(unseen)).groupBy("cobertura").agg(F.max("_code_cobertura").alias("c"))
+    codes = sorted((r.c, r.cobertura) for r in out.collect())
+    assert codes[0][1] == "unheard of" and [v for _, v in codes[1:]] == sorted(v for _, v in codes[1:])
+
+
+def test_importances_add_up(spark, artifact):
+    every = ensemble.top_importances(artifact, spark, 100).collect()
+    assert {r.variable for r in every} == set(NUMERIC_FEATURES + CATEGORICAL_FEATURES)
+    assert sum(r.importancia for r in every) == pytest.approx(1)
+    top = ensemble.top_importances(artifact, spark).collect()
+    assert len(top) == 15 and [r.importancia for r in top] == sorted((r.importancia for r in top), reverse=True)
+
+
+def test_threshold_can_come_from_a_validation_part(enriched):
+    artifact = ensemble.train(enriched, SMALL, cross_validation=False, tune_on="validation")
+    assert artifact.meta["cv_media"] is None and 0 < artifact.threshold < 1
+    with pytest.raises(ValueError):
+        ensemble.train(enriched, SMALL, tune_on="nothing")
+
+
+def test_nothing_to_train_on(enriched):
+    with pytest.raises(ValueError):
+        ensemble.train(enriched.limit(0), SMALL)
+
+
+def test_retraining_uses_feedback(spark, sf, enriched):
+    forms = features.form_fields(fixtures.forms(spark, sf)).withColumn(LABEL, F.lit(None).cast("int"))
+    history = enriched.select("numero_poliza", *EVALUATION_INPUTS, LABEL)
+    artifact = ensemble.retrain(history, forms, fixtures.feedback(spark, sf), SMALL, cross_validation=False)
+    assert 0 < artifact.meta["auc_roc"] <= 1
+
+
+def test_soft_vote(spark):
+    df = spark.createDataFrame([(0.9, 0.3)], "p1 double, p2 double")
+    assert ensemble.soft_vote(df).first().p == (0.9 * 2 + 0.3) / 3
