@@ -77,8 +77,8 @@ def feature_columns(df: DataFrame) -> DataFrame:
 def training_frame(enriched: DataFrame) -> DataFrame:
     """Complete rows of features plus an int label."""
     cols = assert_no_leakage(NUMERIC_FEATURES + CATEGORICAL_FEATURES)
-    # Catalyst drops the conditions on columns that are never null.
-    rows = complete_cases(risk_features(enriched), [LABEL, *cols])
+    # Ranks have a default and are never missing.
+    rows = complete_cases(risk_features(enriched), [LABEL, *[c for c in cols if c not in ORDINALS]])
     return rows.select(*cols, F.col(LABEL).cast("int").alias(LABEL))
 
 

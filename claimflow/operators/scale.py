@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Beyond this many values in all, codes are joined by shuffle, not broadcast.
+from ..sources.scratch import materialize
+
+# Beyond this many values in all, codes are numbered and joined by shuffle.
 BROADCAST_VALUES = 100_000
 
 
@@ -27,22 +29,42 @@ def standardize(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None)
     return df.withColumns({c: scaled(c) for c in cols})
 
 
-def category_codes(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(columna, valor, codigo): values of each column numbered in sorted order."""
+def category_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(columna, valor): the distinct values of each column."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("columna"), F.col(c).alias("valor")) for c in cols]))
-    values = df.select(pairs.alias("v")).select("v.*").filter("valor IS NOT NULL").distinct()
-    by_value = Window.partitionBy("columna").orderBy("valor")
-    return values.withColumn("codigo", F.row_number().over(by_value) - 1)
+    return df.select(pairs.alias("v")).select("v.*").filter("valor IS NOT NULL").distinct()
+
+
+def number_in_order(values: DataFrame) -> DataFrame:
+    """Number each column's values in sorted order, however many there are.
+
+    Values are range-partitioned and stored with the range they fell in; a window
+    then ranges over one range, and over the few counts per range.
+    """
+    ranges = values.repartitionByRange("columna", "valor").withColumn("_range", F.spark_partition_id())
+    stored = materialize(ranges, "categories")
+    before = Window.partitionBy("columna").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy("columna", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = Window.partitionBy("columna", "_range").orderBy("valor")
+    numbered = stored.withColumn("_rank", F.row_number().over(within) - 1)
+    code = (F.col("_offset") + F.col("_rank")).cast("int").alias("codigo")
+    return numbered.join(offsets, ["columna", "_range"]).select("columna", "valor", code)
 
 
 def index_categories(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Replace categories by their code; unseen and null give -1."""
-    codes = category_codes(fit_on or df, cols)
+    """Replace categories by their code in sorted order; unseen and null give -1."""
+    values = category_values(fit_on or df, cols)
     # Fetch one more than the bound: the size is checked before broadcasting.
-    fetched = codes.limit(BROADCAST_VALUES + 1).collect()
+    fetched = values.limit(BROADCAST_VALUES + 1).collect()
     small = len(fetched) <= BROADCAST_VALUES
     if small:
-        codes = df.sparkSession.createDataFrame(fetched, codes.schema)
+        # UTF-8 order, as Spark sorts text.
+        by_column = {c: sorted((r.valor for r in fetched if r.columna == c), key=str.encode) for c in cols}
+        coded = [(c, v, i) for c, vs in by_column.items() for i, v in enumerate(vs)]
+        codes = df.sparkSession.createDataFrame(coded, "columna string, valor string, codigo int")
+    else:
+        codes = number_in_order(values)
     out = df
     for c in cols:
         own = codes.filter(F.col("columna") == c).select(F.col("valor").alias(c), F.col("codigo").alias(f"_{c}"))

@@ -79,19 +79,15 @@ def list_partitions(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).distinct().select(F.concat_ws("/", *parts).alias("partition"))
 
 
-def fits_one_file(df: DataFrame, rows: int = SINGLE_FILE_ROWS) -> bool:
-    """Whether a frame has at most ``rows`` rows; stops counting beyond."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
-
-
 def export_csv(df: DataFrame, path: str, single_file: bool = True, max_rows: int = SINGLE_FILE_ROWS) -> bool:
     """CSV export with header; returns whether one file was written.
 
     One file means one task, so it is written only up to ``max_rows``.  Larger
     exports become part files, each with the header, which read as one table.
-    ``repartition(1)`` keeps the work before the write parallel.
+    The count reads no columns of a stored table.  ``repartition(1)`` keeps the
+    work before the write parallel.
     """
-    one = single_file and fits_one_file(df, max_rows)
+    one = single_file and df.count() <= max_rows
     (df.repartition(1) if one else df).write.mode("overwrite").option("header", True).csv(path)
     return one
 
