@@ -191,6 +191,13 @@ def _(spark, sf):
     return kpi.segment_kpis(enriched(spark, sf))
 
 
+@query("segment_kpis_without_month", "SELECT * FROM kpis WHERE mes_reclamo <> 'Enero'")
+def _(spark, sf):
+    # Claims whose month is unknown form no segment.
+    unknown = enriched(spark, sf).withColumn("mes_reclamo", F.nullif("mes_reclamo", F.lit("Enero")))
+    return kpi.segment_kpis(unknown)
+
+
 @query(
     "top_segments",
     "SELECT mes_reclamo, zona_accidente, tipo_vehiculo_poliza, total_reclamos, total_fraudes, kpi_tasa_fraude_pct, "

@@ -360,7 +360,7 @@ def _(spark, sf):
     return model.transform(features.training_frame(enriched(spark, sf))).groupBy(LABEL, "_pred_f").count()
 
 
-@query("build_pipeline")
+@query("ensemble_probabilities")
 def _(spark, sf):
     frame = features.training_frame(enriched(spark, sf))
     artifact = _artifact(spark, sf)

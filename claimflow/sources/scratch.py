@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,11 +13,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     The cluster names that folder in ``spark.checkpoint.dir``; without one the
     checkpoint folder set on the context is used.  There is no local fallback.
+    What an application writes here is deleted when it ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{base.rstrip('/')}/claimflow/{name}-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/claimflow/{spark.sparkContext.applicationId}"
+    _delete_at_exit(spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -62,6 +62,16 @@ def test_curve_area_and_thresholds(spark, kind):
     assert metrics.best_threshold(df, "recall", 1.1).first().umbral == best.umbral
 
 
+def test_area_agrees_with_mllib(spark, sf):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    from claimflow import fixtures
+
+    df = fixtures.scored(spark, sf).withColumn("y", F.col("y").cast("double"))
+    other = BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="y", numBins=0)
+    assert metrics.roc_auc(df).first().auc == pytest.approx(other.evaluate(df), abs=1e-9)
+
+
 def test_scores_outside_the_unit_range(spark):
     rows = [(-5.0, 0), (-0.5, 1), (0.5, 0), (1.5, 1), (7.0, 1), (7.0, 0)]
     df = spark.createDataFrame(rows, "p double, y int")
