@@ -94,5 +94,5 @@ def range_lower_bound(col: Column, allow_scalar: bool = False) -> Column:
 
 
 def iso_week(col: Column) -> Column:
-    """ISO week (1-53) of ``YYYY-MM-DD`` text; null if it is no date."""
-    return F.weekofyear(F.try_to_date(col, "yyyy-MM-dd"))
+    """ISO week (1-53) of ``YYYY-MM-DD`` text, zeros optional; null if it is no date."""
+    return F.weekofyear(F.try_to_date(col, "yyyy-M-d"))

@@ -23,6 +23,7 @@ from .review import resolve_feedback, score_columns, validated_feedback
 from .split import balanced_weights, stratified_folds, stratified_split
 
 WEIGHT = "_peso"
+MOST_CATEGORIES = 100_000
 
 
 @dataclass(frozen=True)
@@ -123,6 +124,18 @@ def probabilities(features: DataFrame, model: PipelineModel, votes: tuple[int, i
     return voted.select(*features.columns, F.when(complete, F.col("_vote")).alias(out))
 
 
+def require_categories(frame: DataFrame, most: int = MOST_CATEGORIES) -> DataFrame:
+    """Refuse columns with too many values to be categories.
+
+    A fitted indexer holds every value on the driver and in each task.
+    """
+    sizes = frame.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]).first().asDict()
+    wide = [c for c, n in sizes.items() if n > most]
+    if wide:
+        raise ValueError(f"too many values for a category: {', '.join(wide)}")
+    return frame
+
+
 def fit(train_rows: DataFrame, params: Params) -> PipelineModel:
     """Fit the whole pipeline on rows of features and label."""
     return build_pipeline(params).fit(balanced_weights(train_rows, LABEL, WEIGHT))
@@ -167,6 +180,7 @@ def train(
     spark = enriched.sparkSession
     # Written once to shared storage: every later pass reads 29 columns.
     frame = require_rows(materialize(training_frame(enriched), "training"), "training data")
+    require_categories(frame)
     parts = materialize(stratified_split(frame, LABEL, params.test_fraction, params.seed, "_part"), "parts")
     train_rows = parts.filter("_part = 'train'").drop("_part")
     test_rows = parts.filter("_part = 'test'").drop("_part")

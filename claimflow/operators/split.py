@@ -20,7 +20,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_LENGTH = 4  # hex digits: 65,536 prefixes per class
+ROWS_PER_PREFIX = 1_000_000
+LONGEST_PREFIX = 4  # hex digits
 COPY_CHUNK = 100_000
 
 
@@ -49,7 +50,19 @@ def class_counts(df: DataFrame, label: str) -> dict[int, int]:
     return {0: row.n0, 1: row.n1}
 
 
-def find_borders(df: DataFrame, label: str, ranks: dict[int, list[int]], seed: int) -> list[Border]:
+def prefix_length(rows: int) -> int:
+    """Hex digits that leave about a million rows per hash prefix, at most four.
+
+    More digits mean a longer histogram for every task to shuffle, fewer mean
+    more rows in the one prefix that is ranked.
+    """
+    digits = 1
+    while digits < LONGEST_PREFIX and rows > ROWS_PER_PREFIX * 16**digits:
+        digits += 1
+    return digits
+
+
+def find_borders(df: DataFrame, label: str, ranks: dict[int, list[int]], seed: int, rows: int) -> list[Border]:
     """Look up the hash at each border; (classes x borders) rows come back."""
     wanted = [(c, r) for c, rs in ranks.items() for r in rs]
     if not wanted:
@@ -57,7 +70,7 @@ def find_borders(df: DataFrame, label: str, ranks: dict[int, list[int]], seed: i
     spark = df.sparkSession
     targets = F.broadcast(spark.createDataFrame(wanted, "_y int, _rank long"))
     keyed = df.select(F.col(label).cast("int").alias("_y"), row_hash(df, seed).alias("_h")).withColumn(
-        "_prefix", F.substring("_h", 1, PREFIX_LENGTH)
+        "_prefix", F.substring("_h", 1, prefix_length(rows))
     )
     # At most 65,536 rows per class, in one window per class.
     running = Window.partitionBy("_y").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,7 +78,7 @@ def find_borders(df: DataFrame, label: str, ranks: dict[int, list[int]], seed: i
     prefixes = prefixes.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
     inside = prefixes.join(targets, "_y").filter("_before <= _rank AND _rank < _before + _n").drop("_n")
 
-    # One prefix in 65,536 per border, copies already combined into counts.
+    # One prefix per border, copies already combined into counts.
     candidates = keyed.join(F.broadcast(inside.select("_y", "_prefix").distinct()), ["_y", "_prefix"], "left_semi")
     per_hash = candidates.groupBy("_y", "_prefix", "_h").agg(F.count(F.lit(1)).alias("_n"))
     within = Window.partitionBy("_y", "_prefix").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
@@ -80,13 +93,16 @@ def find_borders(df: DataFrame, label: str, ranks: dict[int, list[int]], seed: i
     return sorted(Border(r._y, r._rank, r._h, r._skip) for r in found)
 
 
-def assign_parts(df: DataFrame, label: str, ranks: dict[int, list[int]], seed: int, part: str) -> DataFrame:
+def assign_parts(
+    df: DataFrame, label: str, ranks: dict[int, list[int]], seed: int, part: str, rows: int
+) -> DataFrame:
     """Number each row by how many borders of its class lie at or before it.
 
     ``ranks`` gives, per class, the ascending row counts at which a new part
-    begins.
+    begins; ``rows`` is the size of ``df``, which has to give the same rows each
+    time it is computed.
     """
-    borders = find_borders(df, label, ranks, seed)
+    borders = find_borders(df, label, ranks, seed, rows)
     keyed = df.withColumn("_h", row_hash(df, seed))
     number, tied = F.lit(0), F.lit(False)
     for b in borders:
@@ -137,8 +153,9 @@ def stratified_split(
     df: DataFrame, label: str, fraction: float = 0.2, seed: int = 42, part: str = "parte"
 ) -> DataFrame:
     """Add ``part``: ``test`` for the fraction of each class first in hash order, else ``train``."""
-    sizes = part_sizes(class_counts(df, label), fraction)
-    numbered = assign_parts(df, label, {c: [size] for c, size in sizes.items()}, seed, part)
+    counts = class_counts(df, label)
+    ranks = {c: [size] for c, size in part_sizes(counts, fraction).items()}
+    numbered = assign_parts(df, label, ranks, seed, part, sum(counts.values()))
     return numbered.withColumn(part, F.when(F.col(part) == 0, "test").otherwise("train"))
 
 
@@ -146,7 +163,7 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42, fold
     """Add ``fold``: k parts of each class, equal within one row."""
     counts = class_counts(df, label)
     ranks = {c: [size * j // k for j in range(1, k)] for c, size in counts.items()}
-    return assign_parts(df, label, ranks, seed, fold)
+    return assign_parts(df, label, ranks, seed, fold, sum(counts.values()))
 
 
 def balanced_weights(df: DataFrame, label: str, weight: str = "peso") -> DataFrame:

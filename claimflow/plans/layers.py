@@ -12,7 +12,14 @@ from ..operators.localize import curate
 from ..sources.catalogue import ensure_layer_db, table_location
 from ..sources.readers import RAW_OPTIONS, read_delimited, read_layer
 from ..sources.schemas import LANDING_SCHEMA, require_columns
-from ..sources.writers import overwrite_partitions, rebalanced, replace_table, write_text_layer
+from ..sources.writers import (
+    export_csv,
+    export_documents,
+    overwrite_partitions,
+    rebalanced,
+    replace_table,
+    write_text_layer,
+)
 
 TABLE = "fraudes"
 ENRICHED_TABLE = "fraudes_enriquecido"
@@ -90,6 +97,17 @@ def run_all(spark: SparkSession, env: str, base: str, source_path: str, as_of: C
     return {"workload": workload, "landing": landing, "curated": curated, "enriched": enriched, "kpis": kpis}
 
 
+def run_exports(spark: SparkSession, enriched: str, kpis: str, out: str) -> None:
+    """Enriched and KPI tables as CSV and as documents.
+
+    The KPI table fits one CSV file; the enriched one is a file only if small.
+    """
+    for name, table, collection in ((ENRICHED_TABLE, enriched, "fraudes_detalle"), (KPI_TABLE, kpis, "metricas_kpi")):
+        rows = read_layer(spark, table)
+        export_csv(rows, f"{out}/csv/{name}")
+        export_documents(rows, f"{out}/documents/{collection}")
+
+
 def fraud_hotspots(raw: DataFrame, n: int = 10) -> DataFrame:
     """Raw claims -> the n segments with the highest fraud rate, as one plan."""
     return top_segments(segment_kpis(enrich(curate(lower_columns(raw)))), n)

@@ -9,7 +9,7 @@ from ..fixed_values import CURATED_PARTITION, LANDING_PARTITION, RAW_COLUMNS
 from ..operators import clean, kpi, review
 from ..sources import catalogue, readers, schemas, scratch, writers
 from .claim_queries import curated, enriched, fixed_time, raw
-from .layers import run_all, run_functional
+from .layers import run_all, run_exports, run_functional
 from .registry import query
 
 
@@ -108,6 +108,26 @@ def _(spark, sf):
     return kpi.layer_counts({layer: readers.read_layer(spark, name) for layer, name in tables.items()})
 
 
+@query(
+    "exports",
+    "SELECT 'csv' AS capa, count(*) AS registros FROM enriched UNION ALL SELECT 'csv_kpis', count(*) FROM kpis UNION ALL "
+    "SELECT 'documents', count(*) FROM enriched UNION ALL SELECT 'documents_kpis', count(*) FROM kpis",
+)
+def _(spark, sf):
+    base = scratch.scratch_path(spark, "gold")
+    tables = run_all(spark, _env(base), base, _raw_files(spark, sf, "source"), as_of=fixed_time())
+    run_exports(spark, tables["enriched"], tables["kpis"], base)
+    schemas_of = {name: readers.read_layer(spark, tables[name]).schema for name in ("enriched", "kpis")}
+    return kpi.layer_counts(
+        {
+            "csv": readers.read_csv_inferred(spark, f"{base}/csv/fraudes_enriquecido", schemas_of["enriched"]),
+            "csv_kpis": readers.read_csv_inferred(spark, f"{base}/csv/metricas_fraude", schemas_of["kpis"]),
+            "documents": spark.read.schema(schemas_of["enriched"]).json(f"{base}/documents/fraudes_detalle"),
+            "documents_kpis": spark.read.schema(schemas_of["kpis"]).json(f"{base}/documents/metricas_kpi"),
+        }
+    )
+
+
 @query("functional_layer", "SELECT * FROM kpis")
 def _(spark, sf):
     base = scratch.scratch_path(spark, "functional")

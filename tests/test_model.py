@@ -83,6 +83,13 @@ def test_nothing_to_train_on(enriched):
         ensemble.train(enriched.limit(0), SMALL)
 
 
+def test_categories_have_to_be_few(enriched):
+    frame = features.training_frame(enriched)
+    assert ensemble.require_categories(frame) is frame
+    with pytest.raises(ValueError, match="rango_precio_vehiculo"):
+        ensemble.require_categories(frame, most=4)
+
+
 def test_retraining_uses_feedback(spark, sf, enriched):
     forms = features.form_fields(fixtures.forms(spark, sf)).withColumn(LABEL, F.lit(None).cast("int"))
     history = enriched.select("numero_poliza", *EVALUATION_INPUTS, LABEL)

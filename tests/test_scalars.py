@@ -34,7 +34,7 @@ CASES = [
                                         "1": None, "x": None, None: None, "more than 2147483647": None}),
     ("string", lambda c: text.range_lower_bound(c, True), {"none": 0, "1": 1, "2 to 4": 2, "more than 4": 5, "x": None,
                                                            "99999999999": None}),
-    ("string", text.iso_week, {"2021-01-01": 53, "2020-12-31": 53, "2024-12-30": 1, "no date": None, None: None}),
+    ("string", text.iso_week, {"2021-01-01": 53, "2020-12-31": 53, "2024-12-30": 1, "2024-1-9": 2, "no date": None, "2024-02-30": None, None: None}),
     ("string", lambda c: text.ordinal(c, ORDINALS["cambio_direccion_ord"][1], 0), {"under 6 months": 4.0, "?": 0.0, None: 0.0}),
     ("string", lambda c: text.ordinal(c, ORDINALS["antiguedad_vehiculo_ord"][1], 4), {"new": 0.0, "?": 4.0, None: 4.0}),
     ("double", lambda c: numbers.bucket_label(c, PRICE_BANDS, closed=False),

@@ -29,6 +29,15 @@ def test_split_is_exact_and_whole(spark, fraction):
     assert out.select("id").distinct().count() == out.count() == 1003
 
 
+def test_prefixes_grow_with_the_data(spark, monkeypatch):
+    assert [split.prefix_length(n) for n in (0, 10**6, 10**8, 10**9, 10**11, 10**14)] == [1, 1, 2, 3, 4, 4]
+    want = split.stratified_split(unique(spark), "y", 0.2, 42)
+    monkeypatch.setattr(split, "ROWS_PER_PREFIX", 1)
+    assert split.prefix_length(1003) == 3
+    got = split.stratified_split(unique(spark), "y", 0.2, 42)
+    assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
+
+
 def test_split_follows_hash_order(spark):
     rows = split.stratified_split(unique(spark), "y", 0.2, 42).withColumn("h", split.row_hash(unique(spark), 42)).collect()
     for y in (0, 1):
