@@ -237,6 +237,8 @@ def save_artifact(artifact: Artifact, spark: SparkSession, path: str) -> None:
 def load_artifact(spark: SparkSession, path: str) -> Artifact:
     meta = spark.read.schema(META_SCHEMA).parquet(f"{path}/meta").first().asDict()
     votes = tuple(meta.pop("votos"))
+    if (meta["vars_numericas"], meta["vars_categoricas"]) != (NUMERIC_FEATURES, CATEGORICAL_FEATURES):
+        raise ValueError(f"the model at {path} was trained on other inputs")
     return Artifact(PipelineModel.load(f"{path}/model"), meta, votes)
 
 

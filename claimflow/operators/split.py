@@ -15,6 +15,7 @@ settled by their count.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,35 +63,47 @@ def prefix_length(rows: int) -> int:
     return digits
 
 
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
 def find_borders(df: DataFrame, label: str, ranks: dict[int, list[int]], seed: int, rows: int) -> list[Border]:
     """Look up the hash at each border; (classes x borders) rows come back."""
     wanted = [(c, r) for c, rs in ranks.items() for r in rs]
     if not wanted:
         return []
-    spark = df.sparkSession
-    targets = F.broadcast(spark.createDataFrame(wanted, "_y int, _rank long"))
+    y, prefix, first, n = F.col("_y"), F.col("_prefix"), F.col("_first"), F.count(F.lit(1)).alias("_n")
     keyed = df.select(F.col(label).cast("int").alias("_y"), row_hash(df, seed).alias("_h")).withColumn(
         "_prefix", F.substring("_h", 1, prefix_length(rows))
     )
-    # At most 65,536 rows per class, in one window per class.
-    running = Window.partitionBy("_y").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    prefixes = keyed.groupBy("_y", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    prefixes = prefixes.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
-    inside = prefixes.join(targets, "_y").filter("_before <= _rank AND _rank < _before + _n").drop("_n")
+
+    def numbered(counts: DataFrame, within: list[str], order: str) -> DataFrame:
+        """Add the number of rows that come earlier within a group."""
+        window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumn("_first", F.coalesce(F.sum("_n").over(window), F.lit(0)))
+
+    # At most 65,536 rows per class.
+    per_prefix = numbered(keyed.groupBy("_y", "_prefix").agg(n), ["_y"], "_prefix")
+    holds_border = _any([(y == c) & (first <= r) & (first + F.col("_n") > r) for c, r in wanted])
+    inside = per_prefix.filter(holds_border).collect()
 
     # One prefix per border, copies already combined into counts.
-    candidates = keyed.join(F.broadcast(inside.select("_y", "_prefix").distinct()), ["_y", "_prefix"], "left_semi")
-    per_hash = candidates.groupBy("_y", "_prefix", "_h").agg(F.count(F.lit(1)).alias("_n"))
-    within = Window.partitionBy("_y", "_prefix").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    per_hash = per_hash.withColumn("_within", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-    first = F.col("_before") + F.col("_within")
-    found = (
-        per_hash.join(F.broadcast(inside), ["_y", "_prefix"])
-        .filter((first <= F.col("_rank")) & (F.col("_rank") < first + F.col("_n")))
-        .select("_y", "_rank", "_h", (F.col("_rank") - first).alias("_skip"))
-        .collect()
+    candidates = keyed.filter(_any([(y == i._y) & (prefix == i._prefix) for i in inside]))
+    per_hash = numbered(candidates.groupBy("_y", "_prefix", "_h").agg(n), ["_y", "_prefix"], "_h")
+    located = [(i, r) for i in inside for c, r in wanted if c == i._y and i._first <= r < i._first + i._n]
+    at_border = _any(
+        [
+            (y == i._y) & (prefix == i._prefix) & (first <= r - i._first) & (first + F.col("_n") > r - i._first)
+            for i, r in located
+        ]
+    )
+    found = per_hash.filter(at_border).collect()
+    return sorted(
+        Border(i._y, r, f._h, r - i._first - f._first)
+        for i, r in located
+        for f in found
+        if (f._y, f._prefix) == (i._y, i._prefix) and f._first <= r - i._first < f._first + f._n
     )
-    return sorted(Border(r._y, r._rank, r._h, r._skip) for r in found)
 
 
 def assign_parts(

@@ -16,6 +16,7 @@ from ..sources.writers import (
     export_csv,
     export_documents,
     overwrite_partitions,
+    pick_format,
     rebalanced,
     replace_table,
     write_text_layer,
@@ -39,8 +40,12 @@ def run_workload(spark: SparkSession, env: str, base: str, source_path: str, dro
     return name
 
 
-def run_landing(spark: SparkSession, env: str, base: str, source: str, fmt: str = "parquet") -> str:
-    """Workload table -> landing table by claim month; only months in the input are replaced."""
+def run_landing(spark: SparkSession, env: str, base: str, source: str, fmt: str | None = None) -> str:
+    """Workload table -> landing table by claim month; only months in the input are replaced.
+
+    Row-oriented Avro where the session can load it, else Parquet.
+    """
+    fmt = fmt or pick_format(spark)
     db = ensure_layer_db(spark, env, "landing", base)
     path = table_location(base, db, TABLE)
     rows = partition_last(lower_columns(read_layer(spark, source)), LANDING_PARTITION)

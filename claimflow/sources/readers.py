@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from .schemas import RAW_SCHEMA
 
@@ -17,11 +18,24 @@ RAW_OPTIONS = {
 }
 
 
+def strip_line_end(df: DataFrame) -> DataFrame:
+    """Undo what a file with \\r\\n line ends leaves in the last column."""
+    field = df.schema.fields[-1]
+    if not isinstance(field.dataType, StringType):
+        return df
+    last = F.col(field.name)
+    bare = F.substring(last, F.lit(1), F.length(last) - 1)
+    missing = bare.isin("", RAW_OPTIONS["nullValue"])
+    return df.withColumn(
+        field.name, F.when(~F.endswith(last, F.lit("\r")), last).otherwise(F.when(~missing, bare))
+    )
+
+
 def read_delimited(
     spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA, options: dict | None = None
 ) -> DataFrame:
-    """Delimited text with a declared schema."""
-    return spark.read.schema(schema).options(**{**RAW_OPTIONS, **(options or {})}).csv(path)
+    """Delimited text with a declared schema, lines ending in either way."""
+    return strip_line_end(spark.read.schema(schema).options(**{**RAW_OPTIONS, **(options or {})}).csv(path))
 
 
 def read_layer(spark: SparkSession, name: str) -> DataFrame:

@@ -19,6 +19,7 @@ from ..operators.ensemble import Artifact, score
 from ..operators.features import form_fields
 from ..operators.localize import curate
 from ..operators.review import evaluation_columns
+from ..sources.readers import strip_line_end
 from ..sources.schemas import FORM_SCHEMA, RAW_SCHEMA
 
 FEEDBACK_SCHEMA = "case_id long, fecha_validacion timestamp_ntz, label int, event_id long"
@@ -43,6 +44,8 @@ def run_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .load(in_path)
     )
+    if fmt == "csv":
+        arriving = strip_line_end(arriving)
     query = (
         transform(arriving)
         .writeStream.format("parquet")

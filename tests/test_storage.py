@@ -43,6 +43,27 @@ def test_raw_text_file_reads_as_declared(spark, tmp_path):
     assert (r.Month, r.Age, r.Make, r.BasePolicy) == ("Jan", None, "Citroën", "x")
 
 
+def test_windows_line_ends(spark, tmp_path):
+    f = tmp_path / "claims.data"
+    lines = ["A|B", "1|x", "2|\\N", "3|", "4|a\rb", '5|"q"']
+    f.write_bytes("".join(line + "\r\n" for line in lines).encode())
+    schema = schemas.StructType.fromDDL("A string, B string")
+    assert as_set(readers.read_delimited(spark, str(f), schema)) == [
+        ("1", "x"), ("2", None), ("3", None), ("4", "a\rb"), ("5", "q")
+    ]
+
+
+def test_settings_leave_the_callers_alone(spark):
+    from claimflow.conf import SETTINGS, tune
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(key, "9000")
+    try:
+        assert tune(spark).conf.get(key) == "9000"
+    finally:
+        spark.conf.set(key, SETTINGS[key])
+
+
 def test_dynamic_overwrite_leaves_other_partitions(spark, path):
     writers.overwrite_partitions(rows(spark, [("a", 1), ("b", 2), (None, 3)]).select("v", "k"), path, ["k"])
     writers.overwrite_partitions(rows(spark, [("a", 9)]).select("v", "k"), path, ["k"])
