@@ -247,8 +247,8 @@ def score(claims: DataFrame, artifact: Artifact) -> DataFrame:
 
     A claim that lacks a model input stays in the result with nulls.
     """
-    scored = probabilities(risk_features(claims), artifact.model, artifact.votes, "_p")
-    return score_columns(scored, artifact.threshold, "_p").select(
+    scored = probabilities(risk_features(claims), artifact.model, artifact.votes, "_ensemble")
+    return score_columns(scored, artifact.threshold, "_ensemble").select(
         *claims.columns, "probabilidad_fraude", "prediccion_fraude", "nivel_alerta"
     )
 

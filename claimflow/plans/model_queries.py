@@ -203,6 +203,20 @@ def _(spark, sf):
     return split.stratified_split(fixtures.scored(spark, sf).select("case_id", "y"), "y", 0.2, 42)
 
 
+@query(
+    "training_parts",
+    "WITH sized AS (SELECT fraude_detectado AS y, count(*) OVER (PARTITION BY fraude_detectado) AS n_y, count(*) OVER () AS n FROM complete), "
+    f"drawn AS (SELECT DISTINCT y, n_y, {_TEST} AS tested FROM sized) "
+    "SELECT y AS fraude_detectado, 'test' AS parte, CAST(tested AS BIGINT) AS registros FROM drawn UNION ALL "
+    "SELECT y, 'train', CAST(n_y - tested AS BIGINT) FROM drawn",
+)
+def _(spark, sf):
+    # The frame holds no id, so exact copies may straddle the border between the parts.
+    frame = scratch.materialize(features.training_frame(enriched(spark, sf)), "training")
+    parts = split.stratified_split(frame, LABEL, 0.2, 42)
+    return parts.groupBy(LABEL, "parte").agg(F.count(F.lit(1)).alias("registros"))
+
+
 @query("stratified_folds", f"SELECT case_id, y, {_FOLD} AS fold FROM ranked")
 def _(spark, sf):
     return split.stratified_folds(fixtures.scored(spark, sf).select("case_id", "y"), "y", 5, 42)
@@ -393,6 +407,33 @@ def _(spark, sf):
     return ensemble.score(enriched(spark, sf), _artifact(spark, sf))
 
 
+@query(
+    "score_rows",
+    "SELECT e.* EXCLUDE (ml_prediccion, ml_probabilidad_fraude), c.numero_poliza IS NOT NULL AS puntuado "
+    "FROM enriched e LEFT JOIN complete c ON e.numero_poliza = c.numero_poliza",
+)
+def _(spark, sf):
+    # Every claim and column comes back; exactly the complete claims have a score.
+    scored = ensemble.score(enriched(spark, sf), _artifact(spark, sf))
+    has_score = F.col("probabilidad_fraude").between(0, 1) & F.col("prediccion_fraude").isin(0, 1) & F.col("nivel_alerta").isNotNull()
+    return scored.withColumn("puntuado", F.coalesce(has_score, F.lit(False))).drop(
+        "probabilidad_fraude", "prediccion_fraude", "nivel_alerta", "ml_prediccion", "ml_probabilidad_fraude"
+    )
+
+
+@query("saved_model_scores", "SELECT count(*) AS registros, CAST(0 AS BIGINT) AS distintos FROM enriched")
+def _(spark, sf):
+    # A saved and loaded model gives each claim the score of the original.
+    path = scratch.scratch_path(spark, "artifact")
+    original, claims = _artifact(spark, sf), enriched(spark, sf)
+    ensemble.save_artifact(original, spark, path)
+    again = ensemble.score(ensemble.score(claims, original).withColumnsRenamed(
+        {"probabilidad_fraude": "p0", "prediccion_fraude": "d0", "nivel_alerta": "a0"}
+    ), ensemble.load_artifact(spark, path))
+    same = F.struct("p0", "d0", "a0").eqNullSafe(F.struct("probabilidad_fraude", "prediccion_fraude", "nivel_alerta"))
+    return again.agg(F.count(F.lit(1)).alias("registros"), F.count_if(~same).alias("distintos"))
+
+
 @query("retrain")
 def _(spark, sf):
     forms = features.form_fields(fixtures.forms(spark, sf)).withColumn("fraude_detectado", F.lit(None).cast("int"))
@@ -421,6 +462,24 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
+@query(
+    "score_stream_rows",
+    f"SELECT CAST(case_id AS VARCHAR) AS case_id, {', '.join(EVALUATION_INPUTS)}, true AS puntuado, "
+    f"CAST(NULL AS INT) AS fraude_detectado, {AS_OF} AS fecha_evaluacion FROM derived_forms",
+)
+def _(spark, sf):
+    # The log holds each arriving form once, with its inputs and a score.
+    arriving, out, state = (scratch.scratch_path(spark, n) for n in ("forms", "scored", "state"))
+    fixtures.forms(spark, sf).withColumn("case_id", F.col("case_id").cast("string")).write.parquet(arriving)
+    arrivals.score_stream(spark, arriving, out, state, _artifact(spark, sf), as_of=fixed_time())
+    log = spark.read.parquet(out)
+    has_score = F.col("ml_probabilidad_fraude").between(0, 100) & F.col("nivel_alerta").isNotNull()
+    return log.select(
+        "case_id", *EVALUATION_INPUTS, F.coalesce(has_score, F.lit(False)).alias("puntuado"), "fraude_detectado",
+        "fecha_evaluacion",
+    )
+
+
 @query("feedback_stream", "SELECT case_id, label, fecha_validacion FROM latest")
 def _(spark, sf):
     arriving, out, state = (scratch.scratch_path(spark, n) for n in ("labels", "feedback", "state"))
