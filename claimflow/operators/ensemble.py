@@ -141,7 +141,7 @@ def fit(train_rows: DataFrame, params: Params) -> PipelineModel:
     return build_pipeline(params).fit(balanced_weights(train_rows, LABEL, WEIGHT))
 
 
-def cross_validate(frame: DataFrame, params: Params = Params(), parallelism: int = 2) -> DataFrame:
+def cross_validate(frame: DataFrame, params: Params = Params(), parallelism: int = 1) -> DataFrame:
     """(fold, auc): each fold scored by a model fitted on the others.
 
     The loop runs over the few folds; fitting and scoring are Spark jobs.

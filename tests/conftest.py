@@ -12,7 +12,7 @@ from session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return tune(local_session(memory="6g"))
+    return tune(local_session())
 
 
 @pytest.fixture(scope="session")

@@ -21,7 +21,7 @@ def artifact(enriched):
     return ensemble.train(enriched, SMALL)
 
 
-def test_defaults_are_full_size():
+def test_defaults_are_full_size(spark):
     p = ensemble.Params()
     assert (p.rounds, p.rate, p.boosted_depth, p.boosted_leaf, p.subsample) == (300, 0.05, 4, 20, 0.8)
     assert (p.trees, p.forest_depth, p.forest_leaf, p.feature_subset, p.votes, p.seed) == (200, 10, 10, "sqrt", (2, 1), 42)
