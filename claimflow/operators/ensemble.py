@@ -146,7 +146,10 @@ def cross_validate(frame: DataFrame, params: Params = Params(), parallelism: int
 
     The loop runs over the few folds; fitting and scoring are Spark jobs.
     """
-    folded = materialize(stratified_folds(frame, LABEL, params.folds, params.seed, "_fold"), "folds")
+    # Stored first: hashing rows would otherwise copy every feature's expression
+    # into each condition on the hash, and the plan would outgrow the driver.
+    stored = materialize(frame, "cv-frame")
+    folded = materialize(stratified_folds(stored, LABEL, params.folds, params.seed, "_fold"), "folds")
 
     def one(i: int) -> tuple[int, float | None]:
         model = fit(folded.filter(F.col("_fold") != i).drop("_fold"), params)

@@ -10,6 +10,9 @@ projection that shuffles nothing.
 The order depends on content only, so recomputed tasks assign alike.  Rows tied
 at a border are exact copies of each other; how many of them go to each side is
 settled by their count.
+
+The input is read several times and has to give the same rows each time: pass a
+stored table, not a long chain of derivations.
 """
 
 from __future__ import annotations
