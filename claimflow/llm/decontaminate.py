@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from ..sources.scratch import materialize
+from .common import words_of
 
 WINDOW = 10  # words; an item of fewer is one window
 # Words of test items in one automaton (about 400 bytes each on every executor).  More
@@ -21,19 +21,9 @@ WINDOW = 10  # words; an item of fewer is one window
 BLOCK_WORDS = 200_000
 MAX_COVERAGE = 0.5  # documents with a larger share of hit words are dropped
 
-# Bytes of a word: digits, letters in either case, all of a character beyond ASCII.
-_WORD = bytes(c if (chr(c) in "0123456789abcdefghijklmnopqrstuvwxyz" or c >= 0x80) else 32 for c in range(128))
-_MAP = bytes.maketrans(
-    bytes(range(128)), bytes(c + 32 if 65 <= c <= 90 else _WORD[c] for c in range(128))
-)
 _SPAN = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words (A-Z only) of a text, in UTF-8."""
-    return (text or "").encode().translate(_MAP).split()
-
-
 class Automaton:
     """Generalised suffix automaton over word numbers.
 
@@ -297,7 +287,3 @@ def decontaminate(
 
     done = inner.mapInArrow(cut, StructType([inner.schema["doc"]]).add("t", "string"))
     return done.select(*[F.col("t").alias(c) if c == text else F.col("doc")[c].alias(c) for c in docs.columns])
-
-
-def digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(names).encode()).hexdigest()

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, language, lines, packing, simhash
+from ..sources.scratch import scratch_path
+from . import chat, chunks, decontaminate, exact, language, licenses, lines, packing, shards, simhash
 from .common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,25 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+SHARD_KEY = 20240607
+
+
+@query("op1_token_shards")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "shards")
+    count = shards.write_shards(table(spark, sf_dir, "documents"), path, word_tokenizer(), SHARD_KEY)
+    return shards.read_shards(spark, path, count, SHARD_KEY)
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    ranked = F.transform("matches", lambda m: F.struct(m["score"], (-m["first_line"]).alias("up"), m["license"]))
+    return found.select("doc.doc_id", "matches", F.array_max(ranked).alias("best")).select(
+        "doc_id", F.size("matches").alias("n_matches"), F.col("best.license").alias("license"), F.col("best.score").alias("score"), "matches"
+    )
+
+
 @query("op3_language_id")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -96,6 +116,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = chunks.with_repeats(table(spark, sf_dir, "documents"))
+    cut = F.aggregate("spans", F.lit(0), lambda a, s: a + s["hi"] - s["lo"])
+    return done.select("doc.doc_id", F.col("rest").alias("text"), "spans", cut.alias("bytes_cut"), (cut > 0).alias("repeats"))
+
+
 @query("op8_pack")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
