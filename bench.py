@@ -49,7 +49,7 @@ def main() -> None:
 
     workload = timed("layer_workload", lambda: layers.run_workload(spark, "bench", base, raw_files))
     landing = timed("layer_landing", lambda: layers.run_landing(spark, "bench", base, workload))
-    curated = timed("layer_curated", lambda: layers.run_curated(spark, "bench", base, landing))
+    curated, _ = timed("layer_curated", lambda: layers.run_curated(spark, "bench", base, landing))
     enriched, kpis = timed("layer_functional", lambda: layers.run_functional(spark, "bench", base, curated))
 
     timed("quality_report", lambda: drain(kpi.quality_report(spark.table(landing))))
@@ -58,7 +58,7 @@ def main() -> None:
     timed("segment_kpis", lambda: drain(kpi.segment_kpis(spark.table(enriched))))
     timed("top_segments", lambda: drain(kpi.top_segments(spark.table(kpis))))
     timed("training_frame", lambda: drain(features.training_frame(spark.table(enriched))))
-    timed("export_csv", lambda: writers.export_csv(spark.table(enriched), f"{base}/csv", single_file=False))
+    timed("export_csv", lambda: writers.export_csv(spark.table(enriched), f"{base}/csv"))
     timed("export_documents", lambda: writers.export_documents(spark.table(kpis), f"{base}/documents"))
 
     scored, evaluations, labels = (f(spark, sf_dir) for f in (fixtures.scored, fixtures.evaluations, fixtures.feedback))
@@ -70,8 +70,8 @@ def main() -> None:
     timed("resolve_feedback", lambda: drain(review.resolve_feedback(evaluations, labels)))
     timed("review_queue", lambda: drain(review.review_queue(evaluations)))
 
-    small = ensemble.Params(rounds=10, trees=10, forest_depth=6, bins=32)
-    artifact = timed("train", lambda: ensemble.train(spark.table(enriched), small, cross_validation=False))
+    # The real model: 300 rounds, 200 trees, five folds.
+    artifact = timed("train", lambda: ensemble.train(spark.table(enriched)))
     timed("score", lambda: drain(ensemble.score(spark.table(enriched), artifact)))
     timed(
         "enrich_stream",

@@ -96,3 +96,8 @@ def range_lower_bound(col: Column, allow_scalar: bool = False) -> Column:
 def iso_week(col: Column) -> Column:
     """ISO week (1-53) of ``YYYY-MM-DD`` text, zeros optional; null if it is no date."""
     return F.weekofyear(F.try_to_date(col, "yyyy-M-d"))
+
+
+def week_of_month(col: Column) -> Column:
+    """Week within the month (1-5, days 1-7 are week 1) of ``YYYY-MM-DD`` text; null if it is no date."""
+    return (F.floor((F.dayofmonth(F.try_to_date(col, "yyyy-M-d")) - 1) / 7) + 1).cast("int")

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +18,24 @@ from ..fixed_values import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 from ..sources.readers import require_rows
 from ..sources.scratch import materialize
 from .features import risk_features, training_frame, with_feedback
-from .metrics import best_threshold, cv_summary, f1_at, roc_auc
+from .kpi import class_balance
+from .metrics import best_threshold, classification_report, confusion_matrix, cv_summary, f1_at, roc_auc, score_table, unscored
 from .review import resolve_feedback, score_columns, validated_feedback
-from .split import balanced_weights, stratified_folds, stratified_split
+from .scale import category_codes, with_codes
+from .split import balanced_weights, class_counts, split_with_folds, stratified_folds, stratified_split
 
 WEIGHT = "_peso"
-MOST_CATEGORIES = 100_000
+ROW_IDS = ("numero_poliza", "case_id")  # tell rows apart when they are split; never model inputs
 
 
 @dataclass(frozen=True)
 class Params:
-    """Model parameters; the defaults are fixed values of the full-size model."""
+    """Model parameters; the defaults are fixed values of the full-size model.
+
+    ``fit_rows`` bounds the labelled rows one fit reads, drawn by a hash of the row:
+    boosting passes over them once per level and round.  Splits, thresholds and all
+    metrics use every row.  None fits on all.
+    """
 
     rounds: int = 300
     rate: float = 0.05
@@ -44,15 +51,22 @@ class Params:
     folds: int = 5
     bins: int = 64
     seed: int = 42
+    fit_rows: int | None = 5_000_000
 
 
 @dataclass
 class Artifact:
-    """A fitted model with its threshold and metrics."""
+    """A fitted model with its category codes, threshold, metrics and test report.
+
+    ``report`` holds small tables of the test part: ``clases`` (precision, recall and
+    F1 per class), ``confusion``, ``balance``, ``sin_puntaje`` and ``importancias``.
+    """
 
     model: PipelineModel
+    codes: DataFrame
     meta: dict = field(default_factory=dict)
     votes: tuple[int, int] = (2, 1)
+    report: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
     def threshold(self) -> float:
@@ -82,17 +96,10 @@ def train_forest(params: Params = Params()) -> RandomForestClassifier:
 def preprocessing() -> list:
     """Stages from feature columns to one vector.
 
-    Categories are indexed in descending order and negated: codes then ascend
-    with the sorted values, and a value not seen in training, which the indexer
-    puts after all others, lies below every one of them.
+    Category codes ascend with the sorted values; a value not seen in training has
+    -1 and lies below every one of them.  ``coded`` adds them.
     """
-    indexed = [f"_ix_{c}" for c in CATEGORICAL_FEATURES]
-    negated = ", ".join(f"-`_ix_{c}` AS `_code_{c}`" for c in CATEGORICAL_FEATURES)
     return [
-        StringIndexer(
-            inputCols=CATEGORICAL_FEATURES, outputCols=indexed, stringOrderType="alphabetDesc", handleInvalid="keep"
-        ),
-        SQLTransformer(statement=f"SELECT *, {negated} FROM __THIS__"),
         VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="_numeric", handleInvalid="keep"),
         StandardScaler(inputCol="_numeric", outputCol="_scaled", withMean=True, withStd=True),
         VectorAssembler(
@@ -103,6 +110,11 @@ def preprocessing() -> list:
     ]
 
 
+def coded(features: DataFrame, codes: DataFrame) -> DataFrame:
+    """Features with the code of each category, as the model's stages read them."""
+    return with_codes(features, CATEGORICAL_FEATURES, codes)
+
+
 def build_pipeline(params: Params = Params()) -> Pipeline:
     """Preprocessing and both members as one object to fit."""
     return Pipeline(stages=[*preprocessing(), train_boosted(params), train_forest(params)])
@@ -114,9 +126,11 @@ def soft_vote(df: DataFrame, weights: tuple[int, int] = (2, 1), cols=("p1", "p2"
     return df.withColumn(out, (F.col(cols[0]) * float(a) + F.col(cols[1]) * float(b)) / float(a + b))
 
 
-def probabilities(features: DataFrame, model: PipelineModel, votes: tuple[int, int], out: str = "p") -> DataFrame:
+def probabilities(
+    features: DataFrame, model: PipelineModel, codes: DataFrame, votes: tuple[int, int], out: str = "p"
+) -> DataFrame:
     """Add the ensemble's probability of class 1; null where a feature is missing."""
-    scored = model.transform(features).withColumns(
+    scored = model.transform(coded(features, codes)).withColumns(
         {"_p_b": vector_to_array("_prob_b")[1], "_p_f": vector_to_array("_prob_f")[1]}
     )
     voted = soft_vote(scored, votes, ("_p_b", "_p_f"), "_vote")
@@ -124,41 +138,47 @@ def probabilities(features: DataFrame, model: PipelineModel, votes: tuple[int, i
     return voted.select(*features.columns, F.when(complete, F.col("_vote")).alias(out))
 
 
-def require_categories(frame: DataFrame, most: int = MOST_CATEGORIES) -> DataFrame:
-    """Refuse columns with too many values to be categories.
+def fit(train_rows: DataFrame, params: Params) -> tuple[PipelineModel, DataFrame]:
+    """Fit the whole pipeline on rows of features and label; the model and its category codes."""
+    counts = class_counts(train_rows, LABEL)
+    codes = category_codes(train_rows, CATEGORICAL_FEATURES)
+    rows, n = train_rows, sum(counts.values())
+    if params.fit_rows and n > params.fit_rows:
+        grain = 1 << 40
+        drawn = F.pmod(F.xxhash64(F.lit(params.seed), *train_rows.columns), F.lit(grain)) < params.fit_rows * grain // n
+        rows = rows.filter(drawn)
+    weighted = balanced_weights(rows, LABEL, WEIGHT, counts)
+    return build_pipeline(params).fit(coded(weighted, codes)), codes
 
-    A fitted indexer holds every value on the driver and in each task.
-    """
-    sizes = frame.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]).first().asDict()
-    wide = [c for c, n in sizes.items() if n > most]
-    if wide:
-        raise ValueError(f"too many values for a category: {', '.join(wide)}")
-    return frame
 
+def _folds_auc(folded: DataFrame, fold: str, numbers: list[int], params: Params, parallelism: int) -> DataFrame:
+    def one(i: int) -> tuple[int, float | None]:
+        model, codes = fit(folded.filter(F.col(fold) != i).drop(fold), params)
+        held_out = probabilities(folded.filter(F.col(fold) == i).drop(fold), model, codes, params.votes)
+        return i - numbers[0], roc_auc(held_out, "p", LABEL).first().auc
 
-def fit(train_rows: DataFrame, params: Params) -> PipelineModel:
-    """Fit the whole pipeline on rows of features and label."""
-    return build_pipeline(params).fit(balanced_weights(train_rows, LABEL, WEIGHT))
+    # The loop runs over the few folds; fitting and scoring are Spark jobs.
+    with ThreadPoolExecutor(parallelism) as pool:
+        results = list(pool.map(one, numbers))
+    return folded.sparkSession.createDataFrame(results, "fold int, auc double")
 
 
-def cross_validate(frame: DataFrame, params: Params = Params(), parallelism: int = 1) -> DataFrame:
+def cross_validate(frame: DataFrame, params: Params = Params(), parallelism: int = 5) -> DataFrame:
     """(fold, auc): each fold scored by a model fitted on the others.
 
-    The loop runs over the few folds; fitting and scoring are Spark jobs.
+    Folds are fitted side by side: a boosting round on a part of the rows leaves
+    executors idle between its many short jobs.
     """
     # Stored first: hashing rows would otherwise copy every feature's expression
     # into each condition on the hash, and the plan would outgrow the driver.
     stored = materialize(frame, "cv-frame")
     folded = materialize(stratified_folds(stored, LABEL, params.folds, params.seed, "_fold"), "folds")
+    return _folds_auc(without_ids(folded), "_fold", list(range(params.folds)), params, parallelism)
 
-    def one(i: int) -> tuple[int, float | None]:
-        model = fit(folded.filter(F.col("_fold") != i).drop("_fold"), params)
-        held_out = probabilities(folded.filter(F.col("_fold") == i).drop("_fold"), model, params.votes)
-        return i, roc_auc(held_out, "p", LABEL).first().auc
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        results = list(pool.map(one, range(params.folds)))
-    return frame.sparkSession.createDataFrame(results, "fold int, auc double")
+def without_ids(frame: DataFrame) -> DataFrame:
+    """Only what a model may see, and the columns that say where a row belongs."""
+    return frame.drop(*ROW_IDS)
 
 
 def top_importances(artifact: Artifact, spark: SparkSession, n: int = 15) -> DataFrame:
@@ -173,40 +193,44 @@ def top_importances(artifact: Artifact, spark: SparkSession, n: int = 15) -> Dat
 
 def train(
     enriched: DataFrame, params: Params = Params(), cross_validation: bool = True, tune_on: str = "test",
-    as_of: datetime | None = None,
+    as_of: datetime | None = None, parallelism: int = 5,
 ) -> Artifact:
-    """Features, split, fit, cross-validation, threshold and metrics.
+    """Features, split, fit, cross-validation, threshold, metrics and report.
 
-    ``tune_on="test"`` picks the threshold on the rows it is then measured on,
-    which flatters F1; ``"validation"`` sets part of the training rows aside.
+    Rows are told apart by their ids, so claims with equal features may go to
+    different parts.  ``tune_on="test"`` picks the threshold on the rows it is then
+    measured on, which flatters F1; ``"validation"`` sets part of the training rows
+    aside.
     """
+    if tune_on not in ("test", "validation"):
+        raise ValueError("tune_on must be 'test' or 'validation'")
     spark = enriched.sparkSession
-    # Written once to shared storage: every later pass reads 29 columns.
-    frame = require_rows(materialize(training_frame(enriched), "training"), "training data")
-    require_categories(frame)
-    parts = materialize(stratified_split(frame, LABEL, params.test_fraction, params.seed, "_part"), "parts")
-    train_rows = parts.filter("_part = 'train'").drop("_part")
-    test_rows = parts.filter("_part = 'test'").drop("_part")
-    tune_rows = test_rows
+    # Written once to shared storage: every later pass reads 29 columns and the ids.
+    ids = [c for c in ROW_IDS if c in enriched.columns]
+    frame = require_rows(materialize(training_frame(enriched, ids), "training"), "training data")
+    # Test part and folds are found together and written once.
+    parts = materialize(split_with_folds(frame, LABEL, params.test_fraction, params.folds, params.seed, "_part"), "parts")
+    folded, test_rows = parts.filter("_part > 0"), without_ids(parts.filter("_part = 0").drop("_part"))
+    train_rows, tune_rows = without_ids(folded.drop("_part")), test_rows
     if tune_on == "validation":
-        inner = stratified_split(train_rows, LABEL, params.test_fraction, params.seed + 1, "_part")
-        inner = materialize(inner, "validation")
+        inner = stratified_split(folded.drop("_part"), LABEL, params.test_fraction, params.seed + 1, "_part")
+        inner = materialize(without_ids(inner), "validation")
         train_rows = inner.filter("_part = 'train'").drop("_part")
         tune_rows = inner.filter("_part = 'test'").drop("_part")
-    elif tune_on != "test":
-        raise ValueError("tune_on must be 'test' or 'validation'")
 
-    model = fit(train_rows, params)
+    model, codes = fit(train_rows, params)
 
     def scores(rows: DataFrame) -> DataFrame:
-        return materialize(probabilities(rows, model, params.votes).select("p", F.col(LABEL).alias("y")), "scores")
+        scored = probabilities(rows, model, codes, params.votes).select("p", F.col(LABEL).alias("y"))
+        return materialize(scored, "scores")
 
     tested = scores(test_rows)
-    tuned = tested if tune_on == "test" else scores(tune_rows)
-    threshold = best_threshold(tuned).first().umbral
+    table = score_table(tested)
+    tuned = table if tune_on == "test" else score_table(scores(tune_rows))
+    threshold = best_threshold(tested, table=tuned).first().umbral
     meta = {
         "umbral_optimo": threshold,
-        "auc_roc": roc_auc(tested).first().auc,
+        "auc_roc": roc_auc(tested, table=table).first().auc,
         "f1_score": f1_at(tested, threshold).first().f1,
         "cv_media": None,
         "cv_desviacion": None,
@@ -215,11 +239,21 @@ def train(
         "fecha_entrenamiento": (as_of or datetime.now()).isoformat(),
     }
     if cross_validation:
-        summary = cv_summary(cross_validate(train_rows, params)).first()
+        numbers = list(range(1, params.folds + 1))
+        summary = cv_summary(_folds_auc(without_ids(folded), "_part", numbers, params, parallelism)).first()
         meta |= {"cv_media": summary.media, "cv_desviacion": summary.desviacion}
-    return Artifact(model, meta, params.votes)
+    artifact = Artifact(model, codes, meta, params.votes)
+    artifact.report = {
+        "clases": classification_report(tested, threshold),
+        "confusion": confusion_matrix(tested, threshold),
+        "balance": class_balance(frame),
+        "sin_puntaje": unscored(tested),
+        "importancias": top_importances(artifact, spark),
+    }
+    return artifact
 
 
+REPORT = ("clases", "confusion", "balance", "sin_puntaje", "importancias")
 META_SCHEMA = (
     "umbral_optimo double, auc_roc double, f1_score double, cv_media double, cv_desviacion double, "
     "vars_numericas array<string>, vars_categoricas array<string>, fecha_entrenamiento string, votos array<int>"
@@ -232,8 +266,11 @@ def artifact_meta(artifact: Artifact, spark: SparkSession) -> DataFrame:
 
 
 def save_artifact(artifact: Artifact, spark: SparkSession, path: str) -> None:
-    """Model folder plus a one-row metadata table."""
+    """Model folder, category codes, a one-row metadata table and the report's tables."""
     artifact.model.write().overwrite().save(f"{path}/model")
+    artifact.codes.write.mode("overwrite").parquet(f"{path}/codes")
+    for name, table in artifact.report.items():
+        table.write.mode("overwrite").parquet(f"{path}/report/{name}")
     artifact_meta(artifact, spark).write.mode("overwrite").parquet(f"{path}/meta")
 
 
@@ -242,7 +279,9 @@ def load_artifact(spark: SparkSession, path: str) -> Artifact:
     votes = tuple(meta.pop("votos"))
     if (meta["vars_numericas"], meta["vars_categoricas"]) != (NUMERIC_FEATURES, CATEGORICAL_FEATURES):
         raise ValueError(f"the model at {path} was trained on other inputs")
-    return Artifact(PipelineModel.load(f"{path}/model"), meta, votes)
+    codes = spark.read.schema("columna string, valor string, codigo int").parquet(f"{path}/codes")
+    report = {name: spark.read.parquet(f"{path}/report/{name}") for name in REPORT}
+    return Artifact(PipelineModel.load(f"{path}/model"), codes, meta, votes, report)
 
 
 def score(claims: DataFrame, artifact: Artifact) -> DataFrame:
@@ -250,7 +289,7 @@ def score(claims: DataFrame, artifact: Artifact) -> DataFrame:
 
     A claim that lacks a model input stays in the result with nulls.
     """
-    scored = probabilities(risk_features(claims), artifact.model, artifact.votes, "_ensemble")
+    scored = probabilities(risk_features(claims), artifact.model, artifact.codes, artifact.votes, "_ensemble")
     return score_columns(scored, artifact.threshold, "_ensemble").select(
         *claims.columns, "probabilidad_fraude", "prediccion_fraude", "nivel_alerta"
     )

@@ -23,7 +23,7 @@ from ..fixed_values import (
     SIGNAL_TEXTS,
 )
 from ..functions.numbers import bucket_label, flag, weighted_score
-from ..functions.text import iso_week, ordinal
+from ..functions.text import ordinal, week_of_month
 from .clean import complete_cases, drop_if_present
 
 
@@ -74,30 +74,31 @@ def feature_columns(df: DataFrame) -> DataFrame:
     return df.select(*assert_no_leakage(NUMERIC_FEATURES + CATEGORICAL_FEATURES))
 
 
-def training_frame(enriched: DataFrame) -> DataFrame:
-    """Complete rows of features plus an int label."""
+def training_frame(enriched: DataFrame, ids: Iterable[str] = ()) -> DataFrame:
+    """Complete rows of features plus an int label, and the ``ids`` that tell rows apart."""
     cols = assert_no_leakage(NUMERIC_FEATURES + CATEGORICAL_FEATURES)
     # Ranks have a default and are never missing.
     rows = complete_cases(risk_features(enriched), [LABEL, *[c for c in cols if c not in ORDINALS]])
-    return rows.select(*cols, F.col(LABEL).cast("int").alias(LABEL))
+    return rows.select(*ids, *cols, F.col(LABEL).cast("int").alias(LABEL))
 
 
 def with_feedback(history: DataFrame, feedback: DataFrame) -> DataFrame:
     """History plus validated feedback by column name, missing ones null."""
-    if feedback.isEmpty():
-        return history
     return history.unionByName(drop_if_present(feedback, FEEDBACK_ONLY_COLUMNS), allowMissingColumns=True)
 
 
 def form_fields(df: DataFrame) -> DataFrame:
-    """Bands and ISO weeks of a scoring form's plain numbers and dates."""
+    """Bands and weeks of a scoring form's plain numbers and dates.
+
+    Weeks count within the month, as in the claims a model is trained on.
+    """
     return df.withColumns(
         {
             "rango_precio_vehiculo": bucket_label(F.col("valor_estimado_vehiculo"), PRICE_BANDS, closed=False),
             "dias_poliza_accidente": bucket_label(F.col("dias_poliza_accidente_min"), DAY_BANDS, closed=True, exact=DAY_EXACT),
             "reclamos_pasados": bucket_label(F.col("reclamos_pasados_min"), CLAIM_BANDS, closed=True, exact=CLAIM_EXACT),
-            "semana_accidente": iso_week(F.col("fecha_accidente")),
-            "semana_reclamo": iso_week(F.col("fecha_reclamo")),
+            "semana_accidente": week_of_month(F.col("fecha_accidente")),
+            "semana_reclamo": week_of_month(F.col("fecha_reclamo")),
         }
     ).drop("fecha_accidente", "fecha_reclamo")
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
 from .running import totals_above
 
 WIDE = "decimal(38,0)"
@@ -16,10 +15,23 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole == 0, 0.0).otherwise(F.try_divide(part.cast("double"), whole.cast("double")))
 
 
+def usable(p: str, y: str) -> Column:
+    """Rows a metric can count: a score that is a number, and a label."""
+    return F.col(p).isNotNull() & ~F.isnan(F.col(p).cast("double")) & F.col(y).isNotNull()
+
+
+def unscored(df: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
+    """One row: how many rows the metrics leave out for want of a score or a label."""
+    return df.agg(F.count_if(~usable(p, y)).alias("sin_puntaje"), F.count(F.lit(1)).alias("registros"))
+
+
 def confusion_matrix(df: DataFrame, threshold: float, p: str = "p", y: str = "y") -> DataFrame:
-    """One row: tn, fp, fn, tp with p >= threshold counted as positive."""
+    """One row: tn, fp, fn, tp with p >= threshold counted as positive.
+
+    Rows without a usable score or label are in none of them; ``unscored`` counts those.
+    """
     hit, real = F.col(p) >= threshold, F.col(y) == 1
-    return df.agg(
+    return df.filter(usable(p, y)).agg(
         F.count_if(~hit & ~real).alias("tn"),
         F.count_if(hit & ~real).alias("fp"),
         F.count_if(~hit & real).alias("fn"),
@@ -70,27 +82,28 @@ def classification_report(df: DataFrame, threshold: float, p: str = "p", y: str
     return both.select(rows).select("r.*")
 
 
-def _score_table(df: DataFrame, p: str, y: str) -> DataFrame:
-    """Positives and negatives per distinct score and above it.
+def score_table(df: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
+    """Positives and negatives per distinct score and above it, stored.
 
     The first aggregate combines equal scores map-side, so one score held by a
-    third of the rows costs no more than any other.  Its result is read three
-    times below, so it is written once to shared storage.
+    third of the rows costs no more than any other.  Rows without a usable score or
+    label are left out.  The functions below take the table of one frame as
+    ``table``, to build it once.
     """
-    per_score = df.groupBy(F.col(p).alias("umbral")).agg(
+    per_score = df.filter(usable(p, y)).groupBy(F.col(p).alias("umbral")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
     )
-    return totals_above(materialize(per_score, "score-table"), "umbral", ["pos", "neg"])
+    return totals_above(per_score, "umbral", ["pos", "neg"])
 
 
-def roc_auc(df: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
+def roc_auc(df: DataFrame, p: str = "p", y: str = "y", table: DataFrame | None = None) -> DataFrame:
     """Area under the ROC curve: rank sum over distinct scores, ties half.
 
     The sums are exact integers; only the last division is floating.  Null if
     one class is missing.
     """
     pos, neg, above = (F.col(c).cast(WIDE) for c in ("pos", "neg", "pos_above"))
-    return _score_table(df, p, y).agg(
+    return (table or score_table(df, p, y)).agg(
         F.try_divide(
             F.sum((neg * (2 * above + pos)).cast(WIDE)).cast("double"),
             F.sum("pos").cast("double") * F.sum("neg").cast("double") * 2,
@@ -98,17 +111,17 @@ def roc_auc(df: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
     )
 
 
-def pr_curve(df: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
+def pr_curve(df: DataFrame, p: str = "p", y: str = "y", table: DataFrame | None = None) -> DataFrame:
     """Precision and recall with every distinct score as the threshold."""
     tp, fp = F.col("pos_above") + F.col("pos"), F.col("neg_above") + F.col("neg")
     recall = F.when(F.col("pos_total") == 0, 1.0).otherwise(
         F.try_divide(tp.cast("double"), F.col("pos_total").cast("double"))
     )
-    return _score_table(df, p, y).select("umbral", _ratio(tp, tp + fp).alias("precision"), recall.alias("recall"))
+    return (table or score_table(df, p, y)).select("umbral", _ratio(tp, tp + fp).alias("precision"), recall.alias("recall"))
 
 
 def best_threshold(
-    df: DataFrame, objective: str = "f1", min_precision: float = 0.30, p: str = "p", y: str = "y"
+    df: DataFrame, objective: str = "f1", min_precision: float = 0.30, p: str = "p", y: str = "y", table: DataFrame | None = None
 ) -> DataFrame:
     """The threshold with the best F1, or the best recall at enough precision.
 
@@ -124,7 +137,7 @@ def best_threshold(
     else:
         raise ValueError("objective must be 'f1' or 'recall'")
     return (
-        pr_curve(df, p, y)
+        pr_curve(df, p, y, table)
         .withColumns({"f1": f1, "_eligible": eligible})
         .orderBy(F.desc("_eligible"), F.desc(F.when(F.col("_eligible"), recall).otherwise(F.col("f1"))), "umbral")
         .limit(1)

@@ -90,13 +90,18 @@ def model_card(meta: DataFrame) -> DataFrame:
 
 
 def latest_feedback(feedback: DataFrame, order: str = "event_id", key: str = "case_id") -> DataFrame:
-    """Each case's last label; ``order`` has to be unique within a case.
+    """Each case's last label and its time, both of one event.
 
-    One hash aggregate, combined map-side.  (One ``max_by`` over a struct would
-    need a sort-based aggregate: structs do not fit a hash buffer.)
+    ``order`` is a whole number; of events with the same one the later wins, then the
+    higher label.  One hash aggregate, combined map-side: order, time and label are
+    ranked as one number, since a struct would not fit a hash buffer.
     """
-    return feedback.groupBy(key).agg(
-        F.max_by("label", order).alias("label"), F.max_by("fecha_validacion", order).alias("fecha_validacion")
+    micros = F.coalesce(F.unix_micros(F.col("fecha_validacion").cast("timestamp")), F.lit(0).cast("long"))
+    within = (micros * 10 + F.coalesce(F.col("label"), F.lit(-1)) + 1).cast("decimal(18,0)")
+    rank = F.col(order).cast("decimal(20,0)") * F.lit(10**17).cast("decimal(18,0)") + within
+    ranked = feedback.select(key, "label", "fecha_validacion", rank.alias("_rank"))
+    return ranked.groupBy(key).agg(
+        F.max_by("label", "_rank").alias("label"), F.max_by("fecha_validacion", "_rank").alias("fecha_validacion")
     )
 
 
@@ -106,9 +111,18 @@ def resolve_feedback(
     """Evaluations with the label and time of the last feedback on each case.
 
     Feedback is reduced to one row per case before the join, so a case with very
-    many labels weighs as much as any other.
+    many labels weighs as much as any other.  What a log has resolved already stays
+    where no newer feedback is given, so its own output can be resolved again.
     """
-    latest = latest_feedback(feedback, order, key)
-    label = F.coalesce("label", "fraude_detectado")
+    latest = latest_feedback(feedback, order, key).select(
+        key, F.col("label").alias("_label"), F.col("fecha_validacion").alias("_fecha")
+    )
     joined = evaluations.join(latest, key, "left")
-    return joined.withColumn("fraude_detectado", label).drop("label")
+    known = F.col("fecha_validacion") if "fecha_validacion" in evaluations.columns else F.lit(None).cast("timestamp_ntz")
+    return joined.withColumns(
+        {
+            "fraude_detectado": F.coalesce("_label", "fraude_detectado"),
+            # With its label comes its time, even where that is missing.
+            "fecha_validacion": F.when(F.col("_label").isNotNull(), F.col("_fecha")).otherwise(known),
+        }
+    ).drop("_label", "_fecha")

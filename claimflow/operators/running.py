@@ -5,49 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_BITS = 16  # 65,536 slices per level
+from ..sources.scratch import materialize
 
 
 def totals_above(df: DataFrame, score: str, sums: list[str]) -> DataFrame:
-    """Add ``<name>_above``: each sum over all rows with a higher score.
-
-    ``df`` has one row per distinct score, nominally in [0, 1].  An unpartitioned
-    window would put them all in one task.  Instead scores fall into slices of
-    two widths (2**-16 and 2**-32): a window only ever ranges over the scores of
-    one thin slice, the thin slices of one wide slice, or the at most 65,537 wide
-    slices, and the three offsets add up.  Slices come from the value alone, so a
-    recomputed task gives the same rows.
+    """Add ``<name>_above``: each sum over all rows with a higher score, and ``<name>_total``.
+
+    ``df`` has one row per distinct score.  An unpartitioned window would put them
+    all in one task.  Instead scores are range-partitioned and stored with the range
+    they fell in: a window ranges over the scores of one range, and one over the
+    ranges, of which there is one per task.  Ranges hold about equal numbers of
+    scores, however close or far apart those are.
     """
-    wide, thin = "_wide", "_thin"
-    bounded = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(score)))
-    sliced = df.withColumn(thin, F.floor(bounded * float(2 ** (2 * SLICE_BITS)))).withColumn(
-        wide, F.shiftright(F.col(thin), SLICE_BITS)
-    )
+    stored = materialize(df.repartitionByRange(F.desc(score)).withColumn("_range", F.spark_partition_id()), "score-ranges")
+    earlier = Window.unboundedPreceding, -1
 
     def above(name: str, window) -> F.Column:
         return F.coalesce(F.sum(name).over(window), F.lit(0))
 
-    earlier = Window.unboundedPreceding, -1
-    per_thin = sliced.groupBy(wide, thin).agg(*[F.sum(s).alias(s) for s in sums])
-    per_wide = per_thin.groupBy(wide).agg(*[F.sum(s).alias(s) for s in sums])
-
-    # At most 65,537 rows: a single task and a broadcast are bounded.
-    over_wide = Window.orderBy(F.desc(wide)).rowsBetween(*earlier)
-    everything = Window.partitionBy()
-    wide_offsets = per_wide.select(
-        wide,
-        *[above(s, over_wide).alias(f"_w_{s}") for s in sums],
-        *[F.sum(s).over(everything).alias(f"{s}_total") for s in sums],
-    )
-    over_thin = Window.partitionBy(wide).orderBy(F.desc(thin)).rowsBetween(*earlier)
-    thin_offsets = per_thin.select(wide, thin, *[above(s, over_thin).alias(f"_t_{s}") for s in sums]).join(
-        F.broadcast(wide_offsets), wide
+    per_range = stored.groupBy("_range").agg(*[F.sum(s).alias(s) for s in sums])
+    over_ranges = Window.orderBy("_range").rowsBetween(*earlier)  # as many rows as ranges
+    offsets = per_range.select(
+        "_range",
+        *[above(s, over_ranges).alias(f"_r_{s}") for s in sums],
+        *[F.sum(s).over(Window.partitionBy()).alias(f"{s}_total") for s in sums],
     )
-    over_scores = Window.partitionBy(thin).orderBy(F.desc(score)).rowsBetween(*earlier)
-    ranked = sliced.drop(wide).withColumns({f"_s_{s}": above(s, over_scores) for s in sums})
-    joined = ranked.join(thin_offsets, thin)
-    return joined.select(
+    over_scores = Window.partitionBy("_range").orderBy(F.desc(score)).rowsBetween(*earlier)
+    ranked = stored.withColumns({f"_s_{s}": above(s, over_scores) for s in sums})
+    return ranked.join(offsets, "_range").select(
         *df.columns,
-        *[(F.col(f"_w_{s}") + F.col(f"_t_{s}") + F.col(f"_s_{s}")).alias(f"{s}_above") for s in sums],
+        *[(F.col(f"_r_{s}") + F.col(f"_s_{s}")).alias(f"{s}_above") for s in sums],
         *[f"{s}_total" for s in sums],
     )

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
 
-# Beyond this many values in all, codes are numbered and joined by shuffle.
-BROADCAST_VALUES = 100_000
-
-
 def standardize(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
     """(x - mean) / population standard deviation; constant columns give 0.
 
@@ -52,23 +48,26 @@ def number_in_order(values: DataFrame) -> DataFrame:
     return numbered.join(offsets, ["columna", "_range"]).select("columna", "valor", code)
 
 
-def index_categories(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Replace categories by their code in sorted order; unseen and null give -1."""
-    values = category_values(fit_on or df, cols)
-    # Fetch one more than the bound: the size is checked before broadcasting.
-    fetched = values.limit(BROADCAST_VALUES + 1).collect()
-    small = len(fetched) <= BROADCAST_VALUES
-    if small:
-        # UTF-8 order, as Spark sorts text.
-        by_column = {c: sorted((r.valor for r in fetched if r.columna == c), key=str.encode) for c in cols}
-        coded = [(c, v, i) for c, vs in by_column.items() for i, v in enumerate(vs)]
-        codes = df.sparkSession.createDataFrame(coded, "columna string, valor string, codigo int")
-    else:
-        codes = number_in_order(values)
+def category_codes(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(columna, valor, codigo): each value's place in sorted order, from 0; stored."""
+    return materialize(number_in_order(category_values(df, cols)), "category-codes")
+
+
+def with_codes(df: DataFrame, cols: list[str], codes: DataFrame, prefix: str = "_code_") -> DataFrame:
+    """Add the code of each column's value; values without one, and null, give -1.
+
+    One left join per column; the codes are broadcast only if their measured size
+    is small, else both sides are shuffled.
+    """
     out = df
     for c in cols:
-        own = codes.filter(F.col("columna") == c).select(F.col("valor").alias(c), F.col("codigo").alias(f"_{c}"))
-        out = out.join(F.broadcast(own) if small else own, c, "left")
-    return out.select(
-        *[F.coalesce(F.col(f"_{c}"), F.lit(-1)).alias(c) if c in cols else F.col(c) for c in df.columns]
-    )
+        own = codes.filter(F.col("columna") == c).select(F.col("valor").alias("_value"), F.col("codigo").alias("_found"))
+        out = out.join(own, F.col(c) == F.col("_value"), "left").withColumn(f"{prefix}{c}", F.coalesce("_found", F.lit(-1)))
+        out = out.drop("_value", "_found")
+    return out
+
+
+def index_categories(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Replace categories by their code in sorted order; unseen and null give -1."""
+    coded = with_codes(df, cols, category_codes(fit_on or df, cols))
+    return coded.select(*[F.col(f"_code_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])

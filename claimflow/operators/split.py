@@ -3,13 +3,14 @@
 A ``row_number`` per class would sort a whole class in one task.  Rows are
 ordered by a hash of their whole content instead, and only the few hash values
 at which one part ends and the next begins are looked up: counts per (class,
-hash prefix), then counts per hash inside the one prefix each border falls in.
-Rows are then assigned by comparing their hash with these constants, a narrow
-projection that shuffles nothing.
+hash prefix), then again inside the one prefix each border falls in, with a
+longer prefix each time, until a single hash is left.  Rows are then assigned by
+comparing their hash with these constants, a narrow projection that shuffles
+nothing.
 
 The order depends on content only, so recomputed tasks assign alike.  Rows tied
 at a border are exact copies of each other; how many of them go to each side is
-settled by their count.
+settled by their count.  A frame that carries the id of its rows has no copies.
 
 The input is read several times and has to give the same rows each time: pass a
 stored table, not a long chain of derivations.
@@ -18,16 +19,20 @@ stored table, not a long chain of derivations.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_PREFIX = 1_000_000
-LONGEST_PREFIX = 4  # hex digits
+from ..sources.scratch import materialize
+
+DIGITS = 4  # hex digits a step looks further: 65,536 counts per class and border
 COPY_CHUNK = 100_000
 
+Ranks = Callable[[dict[int, int]], dict[int, list[int]]]
+
 
 class Border(NamedTuple):
     label: int
@@ -36,89 +41,101 @@ class Border(NamedTuple):
     copies_before: int  # copies of that row that still lie before it
 
 
+class Search(NamedTuple):
+    label: int
+    at_rank: int
+    prefix: str  # of the hash looked for
+    before: int  # rows of the class with a smaller prefix
+
+
 def row_hash(df: DataFrame, seed: int) -> Column:
-    """MD5 of the seed and all columns, nulls marked."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns]
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *cells))
+    """MD5 of the seed and all columns.
+
+    Each cell is preceded by its length, and nulls are a mark without one, so no
+    two rows give the same text.
+    """
+    cells = [F.col(c).cast("string") for c in df.columns]
+    sized = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("~")) for c in cells]
+    return F.md5(F.concat(F.lit(f"{seed};"), *sized))
 
 
 def class_counts(df: DataFrame, label: str) -> dict[int, int]:
     """Rows per class; the label has to be 0 or 1, so two numbers come back."""
-    row = df.agg(
-        F.count_if(F.col(label) == 0).alias("n0"),
-        F.count_if(F.col(label) == 1).alias("n1"),
-        F.count(F.lit(1)).alias("n"),
+    return _two_classes(df.select(F.col(label).alias("_y"), F.lit(1).alias("_n")), label)
+
+
+def _two_classes(counts: DataFrame, label: str) -> dict[int, int]:
+    n = F.col("_n")
+    row = counts.agg(
+        *[F.coalesce(F.sum(F.when(F.col("_y") == c, n)), F.lit(0)).alias(f"n{c}") for c in (0, 1)],
+        F.coalesce(F.sum(n), F.lit(0)).alias("n"),
     ).first()
     if row.n0 + row.n1 != row.n:
         raise ValueError(f"{label} has to be 0 or 1 in every row")
     return {0: row.n0, 1: row.n1}
 
 
-def prefix_length(rows: int) -> int:
-    """Hex digits that leave about a million rows per hash prefix, at most four.
-
-    More digits mean a longer histogram for every task to shuffle, fewer mean
-    more rows in the one prefix that is ranked.
-    """
-    digits = 1
-    while digits < LONGEST_PREFIX and rows > ROWS_PER_PREFIX * 16**digits:
-        digits += 1
-    return digits
-
-
 def _any(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
-def find_borders(df: DataFrame, label: str, ranks: dict[int, list[int]], seed: int, rows: int) -> list[Border]:
-    """Look up the hash at each border; (classes x borders) rows come back."""
-    wanted = [(c, r) for c, rs in ranks.items() for r in rs]
-    if not wanted:
-        return []
-    y, prefix, first, n = F.col("_y"), F.col("_prefix"), F.col("_first"), F.count(F.lit(1)).alias("_n")
-    keyed = df.select(F.col(label).cast("int").alias("_y"), row_hash(df, seed).alias("_h")).withColumn(
-        "_prefix", F.substring("_h", 1, prefix_length(rows))
+def _histogram(keyed: DataFrame, length: int) -> DataFrame:
+    """Rows per class and hash prefix, and whether one hash is all a prefix holds."""
+    return keyed.groupBy("_y", F.substring("_h", 1, length).alias("_prefix")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_h").alias("_low"), F.max("_h").alias("_high")
     )
 
-    def numbered(counts: DataFrame, within: list[str], order: str) -> DataFrame:
-        """Add the number of rows that come earlier within a group."""
-        window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.withColumn("_first", F.coalesce(F.sum("_n").over(window), F.lit(0)))
-
-    # At most 65,536 rows per class.
-    per_prefix = numbered(keyed.groupBy("_y", "_prefix").agg(n), ["_y"], "_prefix")
-    holds_border = _any([(y == c) & (first <= r) & (first + F.col("_n") > r) for c, r in wanted])
-    inside = per_prefix.filter(holds_border).collect()
-
-    # One prefix per border, copies already combined into counts.
-    candidates = keyed.filter(_any([(y == i._y) & (prefix == i._prefix) for i in inside]))
-    per_hash = numbered(candidates.groupBy("_y", "_prefix", "_h").agg(n), ["_y", "_prefix"], "_h")
-    located = [(i, r) for i in inside for c, r in wanted if c == i._y and i._first <= r < i._first + i._n]
-    at_border = _any(
-        [
-            (y == i._y) & (prefix == i._prefix) & (first <= r - i._first) & (first + F.col("_n") > r - i._first)
-            for i, r in located
-        ]
-    )
-    found = per_hash.filter(at_border).collect()
-    return sorted(
-        Border(i._y, r, f._h, r - i._first - f._first)
-        for i, r in located
-        for f in found
-        if (f._y, f._prefix) == (i._y, i._prefix) and f._first <= r - i._first < f._first + f._n
-    )
 
-
-def assign_parts(
-    df: DataFrame, label: str, ranks: dict[int, list[int]], seed: int, part: str, rows: int
-) -> DataFrame:
+def find_borders(df: DataFrame, label: str, ranks: Ranks, seed: int) -> tuple[list[Border], dict[int, int]]:
+    """The hash at each border, and the rows per class; (classes x borders) rows come back per step."""
+    y, n = F.col("_y"), F.col("_n")
+    keyed = df.select(F.col(label).cast("int").alias("_y"), row_hash(df, seed).alias("_h"))
+    first = materialize(_histogram(keyed, DIGITS), "hash-histogram")
+    counts = _two_classes(first, label)
+    found: list[Border] = []
+    open_ = [Search(c, r, "", 0) for c, rs in ranks(counts).items() for r in rs if r < counts[c]]
+    length = DIGITS
+    while open_:
+        parents = sorted({(s.label, s.prefix) for s in open_})
+        inside = _any([(y == c) & F.startswith("_prefix", F.lit(p)) for c, p in parents])
+        if length == DIGITS:
+            table = first
+        else:
+            table = _histogram(keyed.filter(_any([(y == c) & F.startswith("_h", F.lit(p)) for c, p in parents])), length)
+        # One window per class and parent prefix: 65,536 rows at most.
+        group = Window.partitionBy("_y", F.substring("_prefix", 1, length - DIGITS)).orderBy("_prefix")
+        earlier = F.coalesce(F.sum("_n").over(group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        numbered = table.filter(inside).withColumn("_first", earlier)
+        at = F.col("_first")
+        hit = _any(
+            [
+                (y == s.label) & F.startswith("_prefix", F.lit(s.prefix)) & (at <= s.at_rank - s.before) & (at + n > s.at_rank - s.before)
+                for s in open_
+            ]
+        )
+        buckets = numbered.filter(hit).collect()
+        deeper = []
+        for s in open_:
+            wanted = s.at_rank - s.before
+            [b] = [
+                b for b in buckets
+                if b._y == s.label and b._prefix.startswith(s.prefix) and b._first <= wanted < b._first + b._n
+            ]
+            if b._low == b._high:
+                found.append(Border(s.label, s.at_rank, b._low, wanted - b._first))
+            else:
+                deeper.append(Search(s.label, s.at_rank, b._prefix, s.before + b._first))
+        open_, length = deeper, length + DIGITS
+    return sorted(found), counts
+
+
+def assign_parts(df: DataFrame, label: str, ranks: Ranks, seed: int, part: str) -> DataFrame:
     """Number each row by how many borders of its class lie at or before it.
 
-    ``ranks`` gives, per class, the ascending row counts at which a new part
-    begins; ``rows`` is the size of ``df``, which has to give the same rows each
-    time it is computed.
+    ``ranks`` gives, from the rows per class, the ascending row counts at which a
+    new part of each class begins.
     """
-    borders = find_borders(df, label, ranks, seed, rows)
+    borders, _ = find_borders(df, label, ranks, seed)
     keyed = df.withColumn("_h", row_hash(df, seed))
     number, tied = F.lit(0), F.lit(False)
     for b in borders:
@@ -165,26 +182,42 @@ def part_sizes(counts: dict[int, int], fraction: float) -> dict[int, int]:
     return whole
 
 
+def _fold_starts(size: int, k: int) -> list[int]:
+    return [size * j // k for j in range(1, k)]
+
+
 def stratified_split(
     df: DataFrame, label: str, fraction: float = 0.2, seed: int = 42, part: str = "parte"
 ) -> DataFrame:
     """Add ``part``: ``test`` for the fraction of each class first in hash order, else ``train``."""
-    counts = class_counts(df, label)
-    ranks = {c: [size] for c, size in part_sizes(counts, fraction).items()}
-    numbered = assign_parts(df, label, ranks, seed, part, sum(counts.values()))
+    numbered = assign_parts(df, label, lambda counts: {c: [size] for c, size in part_sizes(counts, fraction).items()}, seed, part)
     return numbered.withColumn(part, F.when(F.col(part) == 0, "test").otherwise("train"))
 
 
 def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42, fold: str = "fold") -> DataFrame:
     """Add ``fold``: k parts of each class, equal within one row."""
-    counts = class_counts(df, label)
-    ranks = {c: [size * j // k for j in range(1, k)] for c, size in counts.items()}
-    return assign_parts(df, label, ranks, seed, fold, sum(counts.values()))
+    return assign_parts(df, label, lambda counts: {c: _fold_starts(size, k) for c, size in counts.items()}, seed, fold)
+
+
+def split_with_folds(
+    df: DataFrame, label: str, fraction: float = 0.2, k: int = 5, seed: int = 42, part: str = "parte"
+) -> DataFrame:
+    """Add ``part``: 0 for the test rows of ``stratified_split``, else 1 to k, the folds of the rest.
+
+    Test part and folds follow one another in hash order, so all borders are looked
+    up together and the rows are written once.
+    """
+
+    def ranks(counts: dict[int, int]) -> dict[int, list[int]]:
+        tested = part_sizes(counts, fraction)
+        return {c: [tested[c], *[tested[c] + at for at in _fold_starts(size - tested[c], k)]] for c, size in counts.items()}
+
+    return assign_parts(df, label, ranks, seed, part)
 
 
-def balanced_weights(df: DataFrame, label: str, weight: str = "peso") -> DataFrame:
+def balanced_weights(df: DataFrame, label: str, weight: str = "peso", counts: dict[int, int] | None = None) -> DataFrame:
     """Add a weight n / (classes * rows of the class)."""
-    counts = class_counts(df, label)
+    counts = counts or class_counts(df, label)
     n = sum(counts.values())
     classes = sum(size > 0 for size in counts.values())
     value = F.lit(None).cast("double")

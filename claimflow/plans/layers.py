@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from ..fixed_values import CURATED_PARTITION, LANDING_PARTITION
 from ..operators.clean import lower_columns, partition_last
 from ..operators.derive import enrich
-from ..operators.kpi import segment_kpis, top_segments
+from ..operators.kpi import quality_report, segment_kpis, top_segments
 from ..operators.localize import curate
 from ..sources.catalogue import ensure_layer_db, table_location
 from ..sources.readers import RAW_OPTIONS, read_delimited, read_layer
@@ -16,9 +16,10 @@ from ..sources.writers import (
     export_csv,
     export_documents,
     overwrite_partitions,
-    pick_format,
     rebalanced,
     replace_table,
+    require_format,
+    require_table_format,
     write_text_layer,
 )
 
@@ -40,14 +41,16 @@ def run_workload(spark: SparkSession, env: str, base: str, source_path: str, dro
     return name
 
 
-def run_landing(spark: SparkSession, env: str, base: str, source: str, fmt: str | None = None) -> str:
+def run_landing(spark: SparkSession, env: str, base: str, source: str, fmt: str = "parquet") -> str:
     """Workload table -> landing table by claim month; only months in the input are replaced.
 
-    Row-oriented Avro where the session can load it, else Parquet.
+    ``fmt="avro"`` writes row-oriented files where the session has that source; a
+    format that the session or the existing table does not have is an error.
     """
-    fmt = fmt or pick_format(spark)
+    require_format(spark, fmt)
     db = ensure_layer_db(spark, env, "landing", base)
     path = table_location(base, db, TABLE)
+    require_table_format(spark, f"{db}.{TABLE}", fmt)
     rows = partition_last(lower_columns(read_layer(spark, source)), LANDING_PARTITION)
     rows = require_columns(rows, LANDING_SCHEMA)
     # The one shuffle of a load: later layers keep the months files come in.
@@ -63,12 +66,17 @@ def run_landing(spark: SparkSession, env: str, base: str, source: str, fmt: str
     return name
 
 
-def run_curated(spark: SparkSession, env: str, base: str, source: str) -> str:
-    """Landing table -> curated table, whole table replaced, no shuffle."""
+def run_curated(spark: SparkSession, env: str, base: str, source: str) -> tuple[str, DataFrame]:
+    """Landing table -> curated table, whole table replaced, no shuffle; its name and the load's report.
+
+    The report (rows in, kept, discarded, and broken rules) is one aggregate over the
+    columns the rules read, run when it is asked for.
+    """
     db = ensure_layer_db(spark, env, "curated", base)
     name = f"{db}.{TABLE}"
-    replace_table(curate(read_layer(spark, source)), name, [CURATED_PARTITION], table_location(base, db, TABLE))
-    return name
+    landing = read_layer(spark, source)
+    replace_table(curate(landing), name, [CURATED_PARTITION], table_location(base, db, TABLE))
+    return name, quality_report(landing)
 
 
 def run_functional(
@@ -97,7 +105,7 @@ def run_all(spark: SparkSession, env: str, base: str, source_path: str, as_of: C
     """Raw files through all four layers; returns the table of each."""
     workload = run_workload(spark, env, base, source_path)
     landing = run_landing(spark, env, base, workload)
-    curated = run_curated(spark, env, base, landing)
+    curated, _ = run_curated(spark, env, base, landing)
     enriched, kpis = run_functional(spark, env, base, curated, as_of)
     return {"workload": workload, "landing": landing, "curated": curated, "enriched": enriched, "kpis": kpis}
 
@@ -105,11 +113,12 @@ def run_all(spark: SparkSession, env: str, base: str, source_path: str, as_of: C
 def run_exports(spark: SparkSession, enriched: str, kpis: str, out: str) -> None:
     """Enriched and KPI tables as CSV and as documents.
 
-    The KPI table fits one CSV file; the enriched one is a file only if small.
+    The KPI table, which segments bound, becomes one CSV file; the enriched one as
+    many as tasks write it.
     """
     for name, table, collection in ((ENRICHED_TABLE, enriched, "fraudes_detalle"), (KPI_TABLE, kpis, "metricas_kpi")):
         rows = read_layer(spark, table)
-        export_csv(rows, f"{out}/csv/{name}")
+        export_csv(rows, f"{out}/csv/{name}", single_file=name == KPI_TABLE)
         export_documents(rows, f"{out}/documents/{collection}")
 
 

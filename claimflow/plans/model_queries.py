@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import fixtures
-from ..fixed_values import CATEGORICAL_FEATURES, EVALUATION_INPUTS, LABEL
+from ..fixed_values import CATEGORICAL_FEATURES, EVALUATION_INPUTS, LABEL, NUMERIC_FEATURES
 from ..functions.numbers import alert_level
 from ..functions.text import iso_week
 from ..operators import ensemble, features, metrics, review, scale, split
-from ..sources import scratch
-from ..sources.writers import write_text_layer
+from ..sources import readers, scratch
 from ..streaming import arrivals
 from .claim_queries import curated, enriched, fixed_time, raw
-from .oracles import AS_OF, alert
+from .oracles import AS_OF, alert, content_hash
 from .registry import query
 
 T = 0.7
 
-# Small enough to check in a minute; the library's defaults are the full size.
-SMALL = ensemble.Params(rounds=8, trees=8, forest_depth=5, folds=3, bins=32)
-
 
 # --- bands, alerts and explanations -----------------------------------------
 
@@ -132,6 +129,43 @@ def _(spark, sf):
     return metrics.roc_auc(fixtures.scored(spark, sf))
 
 
+# A tenth of the rows has no score, another tenth one that is no number.
+_MISSING = "CASE WHEN case_id % 10 = 0 THEN NULL WHEN case_id % 10 = 1 THEN CAST('NaN' AS DOUBLE) ELSE p END AS p"
+
+
+def _area(source: str) -> str:
+    return (
+        f"WITH s AS (SELECT {source}, y FROM scored), g AS (SELECT p, CAST(sum(y) AS BIGINT) AS pos, CAST(count(*) - sum(y) AS BIGINT) AS neg "
+        "FROM s WHERE p IS NOT NULL AND NOT isnan(p) GROUP BY p), "
+        "t AS (SELECT pos, neg, sum(pos) OVER (ORDER BY p DESC) - pos AS above FROM g) "
+        "SELECT CAST(sum(neg * (2 * above + pos)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE) * 2) AS auc FROM t"
+    )
+
+
+@query("roc_auc_clustered", _area("p * CAST('1e-12' AS DOUBLE) AS p"))
+def _(spark, sf):
+    return metrics.roc_auc(fixtures.scored(spark, sf).withColumn("p", F.col("p") * 1e-12))
+
+
+def _with_gaps(spark, sf):
+    last = F.col("case_id") % 10
+    gap = F.when(last == 0, None).when(last == 1, F.lit(float("nan"))).otherwise(F.col("p"))
+    return fixtures.scored(spark, sf).withColumn("p", gap)
+
+
+@query("roc_auc_missing_scores", _area(_MISSING))
+def _(spark, sf):
+    return metrics.roc_auc(_with_gaps(spark, sf))
+
+
+@query(
+    "unscored",
+    "SELECT count(*) FILTER (case_id % 10 < 2) AS sin_puntaje, count(*) AS registros FROM scored",
+)
+def _(spark, sf):
+    return metrics.unscored(_with_gaps(spark, sf))
+
+
 @query("f1_at", "SELECT CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) AS f1 FROM confusion")
 def _(spark, sf):
     return metrics.f1_at(fixtures.scored(spark, sf), T)
@@ -194,6 +228,10 @@ _TEST = (
     f"(n_y * {_DRAWN} % n > {_OTHER} * {_DRAWN} % n OR (n_y * {_DRAWN} % n = {_OTHER} * {_DRAWN} % n AND y = 0)) THEN 1 ELSE 0 END"
 )
 
+# The folds share the rows of a class behind its test part.
+_REST, _PLACE = f"(n_y - ({_TEST}))", f"(rn - ({_TEST}))"
+_FOLD_REST = " + ".join(f"CASE WHEN {_PLACE} > {_REST} * {j} // 5 THEN 1 ELSE 0 END" for j in (1, 2, 3, 4))
+
 
 @query(
     "stratified_split",
@@ -211,12 +249,34 @@ def _(spark, sf):
     "SELECT y, 'train', CAST(n_y - tested AS BIGINT) FROM drawn",
 )
 def _(spark, sf):
-    # The frame holds no id, so exact copies may straddle the border between the parts.
-    frame = scratch.materialize(features.training_frame(enriched(spark, sf)), "training")
+    frame = scratch.materialize(features.training_frame(enriched(spark, sf), ["numero_poliza"]), "training")
     parts = split.stratified_split(frame, LABEL, 0.2, 42)
     return parts.groupBy(LABEL, "parte").agg(F.count(F.lit(1)).alias("registros"))
 
 
+@query(
+    "stratified_split_odd_texts",
+    "WITH o AS (SELECT case_id, y, CASE case_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '\\N' WHEN 2 THEN 'a|b' WHEN 3 THEN 'a' WHEN 4 THEN '' ELSE '~' END AS t1, "
+    "CASE case_id % 6 WHEN 2 THEN 'c' WHEN 3 THEN 'b|c' END AS t2 FROM scored), "
+    f"h AS (SELECT *, {content_hash(['case_id', 'y', 't1', 't2'], 42)} AS h, count(*) OVER (PARTITION BY y) AS n_y, count(*) OVER () AS n FROM o), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY h) AS rn FROM h) "
+    f"SELECT case_id, y, t1, t2, CASE WHEN rn <= {_TEST} THEN 'test' ELSE 'train' END AS parte FROM r",
+)
+def _(spark, sf):
+    k = F.col("case_id") % 6
+    odd = fixtures.scored(spark, sf).select(
+        "case_id", "y",
+        F.when(k == 0, None).when(k == 1, "\\N").when(k == 2, "a|b").when(k == 3, "a").when(k == 4, "").otherwise("~").alias("t1"),
+        F.when(k == 2, "c").when(k == 3, "b|c").alias("t2"),
+    )
+    return split.stratified_split(odd, "y", 0.2, 42)
+
+
+@query("split_with_folds", f"SELECT case_id, y, CASE WHEN rn <= {_TEST} THEN 0 ELSE 1 + {_FOLD_REST} END AS parte FROM ranked")
+def _(spark, sf):
+    return split.split_with_folds(fixtures.scored(spark, sf).select("case_id", "y"), "y", 0.2, 5, 42)
+
+
 @query("stratified_folds", f"SELECT case_id, y, {_FOLD} AS fold FROM ranked")
 def _(spark, sf):
     return split.stratified_folds(fixtures.scored(spark, sf).select("case_id", "y"), "y", 5, 42)
@@ -321,6 +381,13 @@ def _(spark, sf):
     return review.resolve_feedback(fixtures.evaluations(spark, sf), fixtures.feedback(spark, sf))
 
 
+@query("resolve_feedback_twice", "SELECT * FROM resolved")
+def _(spark, sf):
+    # A log that holds resolved labels is resolved again, to the same rows.
+    labels = fixtures.feedback(spark, sf)
+    return review.resolve_feedback(review.resolve_feedback(fixtures.evaluations(spark, sf), labels), labels)
+
+
 _HISTORY = ["numero_poliza", *EVALUATION_INPUTS, LABEL]
 
 
@@ -344,67 +411,146 @@ def _(spark, sf):
     return features.with_feedback(enriched(spark, sf).select(*_HISTORY), _labelled_forms(spark, sf))
 
 
-# --- models (no SQL equivalent) -----------------------------------------------
+@query(
+    "with_feedback_empty",
+    f"SELECT {', '.join(_HISTORY)}, CAST(NULL AS BIGINT) AS case_id, CAST(NULL AS TIMESTAMP) AS fecha_validacion "
+    "FROM (SELECT * REPLACE (CAST(valor_estimado_vehiculo AS DOUBLE) AS valor_estimado_vehiculo) FROM enriched)",
+)
+def _(spark, sf):
+    # Without a label yet, the result has the columns it has with one.
+    none = _labelled_forms(spark, sf).filter("case_id < 0")
+    return features.with_feedback(enriched(spark, sf).select(*_HISTORY), none)
+
+
+# --- models: trees have no SQL, so SQL says what holds for any of them ---------
 
 _ARTIFACTS: dict[tuple[str, str], ensemble.Artifact] = {}
 
 
 def _artifact(spark, sf) -> ensemble.Artifact:
-    """One trained model per session and data folder."""
+    """One model of full size per session and data folder, trained once for all its queries."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _ARTIFACTS:
-        _ARTIFACTS[key] = ensemble.train(enriched(spark, sf), SMALL, cross_validation=False)
+        _ARTIFACTS[key] = ensemble.train(enriched(spark, sf))
     return _ARTIFACTS[key]
 
 
-@query("train")
+_BY_CLASS = "SELECT fraude_detectado, count(*) AS registros FROM complete GROUP BY ALL"
+
+
+@query("train", "SELECT true AS auc_valida, true AS f1_valido, true AS umbral_valido, true AS cv_valida")
+def _(spark, sf):
+    meta = ensemble.artifact_meta(_artifact(spark, sf), spark)
+    return meta.select(
+        F.expr("auc_roc > 0.5 AND auc_roc <= 1").alias("auc_valida"),
+        F.expr("f1_score > 0 AND f1_score <= 1").alias("f1_valido"),
+        F.expr("umbral_optimo > 0 AND umbral_optimo < 1").alias("umbral_valido"),
+        F.expr("cv_media > 0.5 AND cv_media <= 1 AND cv_desviacion >= 0").alias("cv_valida"),
+    )
+
+
+@query("train_meta")
 def _(spark, sf):
     return ensemble.artifact_meta(_artifact(spark, sf), spark)
 
 
-@query("train_boosted")
+_TESTED = f"WITH sized AS (SELECT fraude_detectado AS y, count(*) OVER (PARTITION BY fraude_detectado) AS n_y, count(*) OVER () AS n FROM complete), tested AS (SELECT DISTINCT y, {_TEST} AS k FROM sized) "
+
+
+@query(
+    "training_report",
+    _TESTED + "SELECT (SELECT CAST(sum(k) AS BIGINT) FROM tested WHERE y = 0) AS soporte_0, (SELECT CAST(sum(k) AS BIGINT) FROM tested WHERE y = 1) AS soporte_1, "
+    "(SELECT CAST(sum(k) AS BIGINT) FROM tested) AS celdas, CAST(0 AS BIGINT) AS sin_puntaje, "
+    "(SELECT count(*) FROM complete) AS registros, (SELECT CAST(sum(fraude_detectado) AS BIGINT) FROM complete) AS positivos",
+)
 def _(spark, sf):
-    model = _artifact(spark, sf).model
-    return model.transform(features.training_frame(enriched(spark, sf))).groupBy(LABEL, "_pred_b").count()
+    report = _artifact(spark, sf).report
+    support = report["clases"].agg(
+        F.sum(F.when(F.col("clase") == "No Fraude", F.col("support"))).alias("soporte_0"),
+        F.sum(F.when(F.col("clase") == "Fraude", F.col("support"))).alias("soporte_1"),
+    )
+    cells = report["confusion"].select((F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("celdas"))
+    # One row each: joined on a constant key.
+    one = F.lit(1).alias("_k")
+    rows = [support, cells, report["sin_puntaje"].select("sin_puntaje"), report["balance"].select("registros", "positivos")]
+    out = rows[0].select("*", one)
+    for r in rows[1:]:
+        out = out.join(r.select("*", one), "_k")
+    return out.drop("_k")
 
 
-@query("train_forest")
+def _per_member(spark, sf, prediction: str, probability: str):
+    artifact = _artifact(spark, sf)
+    rows = artifact.model.transform(ensemble.coded(features.training_frame(enriched(spark, sf)), artifact.codes))
+    p = vector_to_array(probability)[1]
+    # Every complete row has a probability, and is decided by it.
+    good = p.between(0, 1) & ((p > 0.5) == (F.col(prediction) == 1))
+    return rows.groupBy(LABEL).agg(F.count_if(good).alias("registros"))
+
+
+@query("train_boosted", _BY_CLASS)
 def _(spark, sf):
-    model = _artifact(spark, sf).model
-    return model.transform(features.training_frame(enriched(spark, sf))).groupBy(LABEL, "_pred_f").count()
+    return _per_member(spark, sf, "_pred_b", "_prob_b")
 
 
-@query("ensemble_probabilities")
+@query("train_forest", _BY_CLASS)
+def _(spark, sf):
+    return _per_member(spark, sf, "_pred_f", "_prob_f")
+
+
+@query("ensemble_probabilities", _BY_CLASS)
 def _(spark, sf):
-    frame = features.training_frame(enriched(spark, sf))
     artifact = _artifact(spark, sf)
-    return ensemble.probabilities(frame, artifact.model, artifact.votes).groupBy(LABEL).agg(
-        F.count(F.lit(1)).alias("registros"), F.round(F.avg("p"), 6).alias("p_media")
-    )
+    frame = features.training_frame(enriched(spark, sf))
+    scored = ensemble.probabilities(frame, artifact.model, artifact.codes, artifact.votes)
+    return scored.groupBy(LABEL).agg(F.count_if(F.col("p").between(0, 1)).alias("registros"))
 
 
-@query("cross_validate")
+@query(
+    "cross_validate",
+    "SELECT fold, true AS auc_valida FROM (VALUES (0), (1), (2), (3), (4)) v(fold)",
+)
 def _(spark, sf):
-    return ensemble.cross_validate(features.training_frame(enriched(spark, sf)), SMALL)
+    folds = ensemble.cross_validate(features.training_frame(enriched(spark, sf), ["numero_poliza"]))
+    return folds.select("fold", F.expr("auc > 0.5 AND auc <= 1").alias("auc_valida"))
 
 
-@query("top_importances")
+@query("top_importances", "SELECT CAST(15 AS BIGINT) AS variables, CAST(15 AS BIGINT) AS conocidas, true AS suman_hasta_uno, true AS ordenadas")
 def _(spark, sf):
-    return ensemble.top_importances(_artifact(spark, sf), spark, 15)
+    top = ensemble.top_importances(_artifact(spark, sf), spark, 15)
+    known = F.col("variable").isin(NUMERIC_FEATURES + CATEGORICAL_FEATURES)
+    return top.agg(
+        F.count_distinct("variable").alias("variables"),
+        F.count_if(known).alias("conocidas"),
+        F.expr("sum(importancia) > 0 AND sum(importancia) <= 1 + 1e-9").alias("suman_hasta_uno"),
+        (F.sort_array(F.collect_list("importancia"), asc=False) == F.collect_list("importancia")).alias("ordenadas"),
+    )
 
 
-@query("artifact_round_trip")
+@query("artifact_round_trip", "SELECT count(*) AS registros FROM enriched")
 def _(spark, sf):
     path = scratch.scratch_path(spark, "artifact")
     ensemble.save_artifact(_artifact(spark, sf), spark, path)
-    return ensemble.score(enriched(spark, sf), ensemble.load_artifact(spark, path)).select(
-        "numero_poliza", "probabilidad_fraude", "prediccion_fraude", "nivel_alerta"
-    )
+    scored = ensemble.score(enriched(spark, sf), ensemble.load_artifact(spark, path))
+    return scored.agg(F.count(F.lit(1)).alias("registros"))
+
 
+_SCORED = "SELECT numero_poliza, true AS coherente FROM enriched"
 
-@query("score")
+
+@query("score", _SCORED)
 def _(spark, sf):
-    return ensemble.score(enriched(spark, sf), _artifact(spark, sf))
+    # Scores are null or in [0, 1]; decision and alert follow from them.
+    artifact = _artifact(spark, sf)
+    p = F.col("probabilidad_fraude")
+    near = F.abs(p - artifact.threshold) <= 5e-5  # the decision is taken before rounding
+    decided = near | ((p >= artifact.threshold) == (F.col("prediccion_fraude") == 1))
+    edge = F.least(*[F.abs(p - x) for x in (0.2, 0.4, 0.7)]) <= 5e-5
+    alerted = edge | (F.col("nivel_alerta") == alert_level(p))
+    whole = p.between(0, 1) & decided & alerted
+    empty = p.isNull() & F.col("prediccion_fraude").isNull() & F.col("nivel_alerta").isNull()
+    scored = ensemble.score(enriched(spark, sf), artifact)
+    return scored.select("numero_poliza", (F.coalesce(whole, F.lit(False)) | empty).alias("coherente"))
 
 
 @query(
@@ -434,13 +580,19 @@ def _(spark, sf):
     return again.agg(F.count(F.lit(1)).alias("registros"), F.count_if(~same).alias("distintos"))
 
 
-@query("retrain")
+# Forms have every input a model needs, so history and labelled forms are all trained on.
+@query(
+    "retrain",
+    "SELECT (SELECT count(*) FROM complete) + (SELECT count(*) FROM derived_forms f JOIN latest l ON f.case_id = l.case_id) AS registros, "
+    "true AS auc_valida",
+)
 def _(spark, sf):
     forms = features.form_fields(fixtures.forms(spark, sf)).withColumn("fraude_detectado", F.lit(None).cast("int"))
     artifact = ensemble.retrain(
-        enriched(spark, sf).select(*_HISTORY), forms, fixtures.feedback(spark, sf), SMALL, cross_validation=False
+        enriched(spark, sf).select(*_HISTORY), forms, fixtures.feedback(spark, sf), cross_validation=False
     )
-    return review.model_card(ensemble.artifact_meta(artifact, spark))
+    valid = F.lit(0.5 < artifact.meta["auc_roc"] <= 1)
+    return artifact.report["balance"].select("registros", valid.alias("auc_valida"))
 
 
 # --- arriving claims and feedback ---------------------------------------------
@@ -453,13 +605,24 @@ def _(spark, sf):
     return spark.read.schema(enriched(spark, sf).schema).parquet(out)
 
 
-@query("score_stream")
-def _(spark, sf):
+def _evaluation_log(spark, sf):
+    """The log after all forms have arrived."""
     arriving, out, state = (scratch.scratch_path(spark, n) for n in ("forms", "scored", "state"))
-    forms = fixtures.forms(spark, sf)
-    forms.withColumn("case_id", F.col("case_id").cast("string")).write.parquet(arriving)
-    arrivals.score_stream(spark, arriving, out, state, _artifact(spark, sf), as_of=fixed_time())
-    return spark.read.parquet(out)
+    forms, artifact = fixtures.forms(spark, sf).withColumn("case_id", F.col("case_id").cast("string")), _artifact(spark, sf)
+    forms.write.parquet(arriving)
+    arrivals.score_stream(spark, arriving, out, state, artifact, as_of=fixed_time())
+    return readers.read_log(spark, out, arrivals.evaluate_forms(forms, artifact, fixed_time()).schema)
+
+
+@query("score_stream", "SELECT count(*) AS registros, CAST(0 AS BIGINT) AS distintos FROM forms")
+def _(spark, sf):
+    # Each form has the score that a batch over the same forms gives it.
+    forms = fixtures.forms(spark, sf).withColumn("case_id", F.col("case_id").cast("string"))
+    batch = arrivals.evaluate_forms(forms, _artifact(spark, sf), fixed_time())
+    cols = ["ml_prediccion", "ml_probabilidad_fraude", "nivel_alerta"]
+    batch = batch.select("case_id", F.struct(*cols).alias("b"))
+    both = _evaluation_log(spark, sf).select("case_id", F.struct(*cols).alias("s")).join(batch, "case_id", "left")
+    return both.agg(F.count(F.lit(1)).alias("registros"), F.count_if(~F.col("s").eqNullSafe(F.col("b"))).alias("distintos"))
 
 
 @query(
@@ -469,10 +632,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     # The log holds each arriving form once, with its inputs and a score.
-    arriving, out, state = (scratch.scratch_path(spark, n) for n in ("forms", "scored", "state"))
-    fixtures.forms(spark, sf).withColumn("case_id", F.col("case_id").cast("string")).write.parquet(arriving)
-    arrivals.score_stream(spark, arriving, out, state, _artifact(spark, sf), as_of=fixed_time())
-    log = spark.read.parquet(out)
+    log = _evaluation_log(spark, sf)
     has_score = F.col("ml_probabilidad_fraude").between(0, 100) & F.col("nivel_alerta").isNotNull()
     return log.select(
         "case_id", *EVALUATION_INPUTS, F.coalesce(has_score, F.lit(False)).alias("puntuado"), "fraude_detectado",
@@ -485,4 +645,4 @@ def _(spark, sf):
     arriving, out, state = (scratch.scratch_path(spark, n) for n in ("labels", "feedback", "state"))
     fixtures.feedback(spark, sf).write.parquet(arriving)
     arrivals.feedback_stream(spark, arriving, out, state)
-    return review.latest_feedback(spark.read.schema(arrivals.FEEDBACK_SCHEMA).parquet(out))
+    return review.latest_feedback(readers.read_log(spark, out, arrivals.FEEDBACK_SCHEMA))

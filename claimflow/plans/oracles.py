@@ -96,12 +96,13 @@ def _encoded_columns() -> str:
     )
 
 
-def _scaled_text(c: str) -> str:
-    return f"coalesce(CAST({c} AS VARCHAR), '\\N')"
+def _sized_text(c: str) -> str:
+    text = f"CAST({c} AS VARCHAR)"
+    return f"coalesce(length({text}) || ':' || {text}, '~')"
 
 
 def content_hash(cols: list[str], seed: int) -> str:
-    return f"md5(concat_ws('|', '{seed}', {', '.join(_scaled_text(c) for c in cols)}))"
+    return f"md5('{seed};' || {' || '.join(_sized_text(c) for c in cols)})"
 
 
 TABLES = {
@@ -125,10 +126,10 @@ TABLES = {
         f"{lower_bound('reclamos_pasados', True)} AS reclamos_pasados_min FROM curated"
     ),
     "enriched": (
-        f"SELECT *, {flag(chr(39).join(['zona_accidente = ', 'Urbano', '']))} AS zona_accidente_ml, "
-        f"{flag(chr(39).join(['reporte_policial = ', 'Sí', '']))} AS reporte_policial_ml, "
-        f"{flag(chr(39).join(['testigo_presente = ', 'Sí', '']))} AS testigo_presente_ml, "
-        f"{flag(chr(39).join(['genero = ', 'Femenino', '']))} AS genero_ml, "
+        f"SELECT *, {flag("zona_accidente = 'Urbano'")} AS zona_accidente_ml, "
+        f"{flag("reporte_policial = 'Sí'")} AS reporte_policial_ml, "
+        f"{flag("testigo_presente = 'Sí'")} AS testigo_presente_ml, "
+        f"{flag("genero = 'Femenino'")} AS genero_ml, "
         "CASE WHEN testigo_presente = 'No' THEN 1 ELSE 0 END + CASE WHEN reporte_policial = 'No' THEN 1 ELSE 0 END + "
         "CASE WHEN reclamos_pasados_min > 0 THEN 1 ELSE 0 END + CASE WHEN semanas_retraso_reporte >= 2 THEN 1 ELSE 0 END + "
         "CASE WHEN dias_poliza_accidente_min <= 7 THEN 1 ELSE 0 END AS score_riesgo, "
@@ -176,12 +177,12 @@ TABLES = {
         "ELSE 'more than 30' END AS dias_poliza_accidente, "
         "CASE WHEN reclamos_pasados_min = 0 THEN 'none' WHEN reclamos_pasados_min = 1 THEN '1' "
         "WHEN reclamos_pasados_min <= 4 THEN '2 to 4' ELSE 'more than 4' END AS reclamos_pasados, "
-        "CAST(week(CAST(fecha_accidente AS DATE)) AS INT) AS semana_accidente, "
-        "CAST(week(CAST(fecha_reclamo AS DATE)) AS INT) AS semana_reclamo FROM forms"
+        "CAST((day(CAST(fecha_accidente AS DATE)) + 6) // 7 AS INT) AS semana_accidente, "
+        "CAST((day(CAST(fecha_reclamo AS DATE)) + 6) // 7 AS INT) AS semana_reclamo FROM forms"
     ),
     "latest": (
-        "SELECT case_id, arg_max(label, event_id) AS label, arg_max(fecha_validacion, event_id) AS fecha_validacion "
-        "FROM feedback GROUP BY case_id"
+        "SELECT case_id, label, fecha_validacion FROM feedback "
+        "QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY event_id DESC, fecha_validacion DESC, label DESC) = 1"
     ),
     "resolved": (
         "SELECT e.case_id, e.fecha_evaluacion, e.ml_probabilidad_fraude, e.ml_prediccion, "

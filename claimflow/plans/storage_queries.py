@@ -8,8 +8,9 @@ from .. import fixtures
 from ..fixed_values import CURATED_PARTITION, LANDING_PARTITION, RAW_COLUMNS
 from ..operators import clean, kpi, review
 from ..sources import catalogue, readers, schemas, scratch, writers
+from ..streaming import arrivals
 from .claim_queries import curated, enriched, fixed_time, raw
-from .layers import run_all, run_exports, run_functional
+from .layers import run_all, run_curated, run_exports, run_functional, run_landing, run_workload
 from .registry import query
 
 
@@ -65,9 +66,8 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch.scratch_path(spark, "landing")
     rows = clean.partition_last(raw(spark, sf), LANDING_PARTITION)
-    fmt = writers.pick_format(spark)
-    writers.write_layer(writers.rebalanced(rows, [LANDING_PARTITION]), path, [LANDING_PARTITION], fmt)
-    return spark.read.schema(schemas.LANDING_SCHEMA).format(fmt).load(path)
+    writers.write_layer(writers.rebalanced(rows, [LANDING_PARTITION]), path, [LANDING_PARTITION])
+    return spark.read.schema(schemas.LANDING_SCHEMA).parquet(path)
 
 
 @query(
@@ -89,10 +89,18 @@ def _(spark, sf):
     "SELECT DISTINCT 'monthclaimed=' || coalesce(monthclaimed, '__HIVE_DEFAULT_PARTITION__') AS partition FROM claims",
 )
 def _(spark, sf):
-    path = scratch.scratch_path(spark, "partitions")
+    base = scratch.scratch_path(spark, "partitions")
+    db = catalogue.ensure_layer_db(spark, _env(base), "landing", base)
+    name = f"{db}.fraudes"
     rows = clean.partition_last(raw(spark, sf), LANDING_PARTITION)
-    writers.overwrite_partitions(rows, path, [LANDING_PARTITION])
-    return writers.list_partitions(spark.read.schema(schemas.LANDING_SCHEMA).parquet(path), [LANDING_PARTITION])
+    writers.replace_table(rows, name, [LANDING_PARTITION], catalogue.table_location(base, db, "fraudes"))
+    return writers.table_partitions(spark, name)
+
+
+def _layers(spark, sf, name):
+    """All layers from raw files; their tables and the folder they lie in."""
+    base = scratch.scratch_path(spark, name)
+    return run_all(spark, _env(base), base, _raw_files(spark, sf, "source"), as_of=fixed_time()), base
 
 
 @query(
@@ -102,30 +110,71 @@ def _(spark, sf):
     "UNION ALL SELECT 'kpis', count(*) FROM kpis",
 )
 def _(spark, sf):
-    base = scratch.scratch_path(spark, "layers")
-    source = _raw_files(spark, sf, "source")
-    tables = run_all(spark, _env(base), base, source, as_of=fixed_time())
+    tables, _ = _layers(spark, sf, "layers")
     return kpi.layer_counts({layer: readers.read_layer(spark, name) for layer, name in tables.items()})
 
 
+@query("layer_landing", "SELECT * FROM claims")
+def _(spark, sf):
+    tables, _ = _layers(spark, sf, "layers")
+    return readers.read_layer(spark, tables["landing"])
+
+
+@query("layer_enriched", "SELECT * FROM enriched")
+def _(spark, sf):
+    tables, _ = _layers(spark, sf, "layers")
+    return readers.read_layer(spark, tables["enriched"])
+
+
+@query("layer_kpis", "SELECT * FROM kpis")
+def _(spark, sf):
+    tables, _ = _layers(spark, sf, "layers")
+    return readers.read_layer(spark, tables["kpis"])
+
+
+@query(
+    "curated_run_report",
+    "SELECT (SELECT count(*) FROM claims) AS total_origen, (SELECT count(*) FROM curated) AS total_curated, "
+    "(SELECT count(*) FROM claims) - (SELECT count(*) FROM curated) AS descartados",
+)
+def _(spark, sf):
+    base = scratch.scratch_path(spark, "curated-run")
+    env = _env(base)
+    landing = run_landing(spark, env, base, run_workload(spark, env, base, _raw_files(spark, sf, "source")))
+    _, report = run_curated(spark, env, base, landing)
+    return report.select("total_origen", "total_curated", "descartados")
+
+
 @query(
     "exports",
     "SELECT 'csv' AS capa, count(*) AS registros FROM enriched UNION ALL SELECT 'csv_kpis', count(*) FROM kpis UNION ALL "
     "SELECT 'documents', count(*) FROM enriched UNION ALL SELECT 'documents_kpis', count(*) FROM kpis",
 )
 def _(spark, sf):
-    base = scratch.scratch_path(spark, "gold")
-    tables = run_all(spark, _env(base), base, _raw_files(spark, sf, "source"), as_of=fixed_time())
+    return kpi.layer_counts(_exported(spark, sf))
+
+
+def _exported(spark, sf):
+    """What each export holds, read back."""
+    tables, base = _layers(spark, sf, "gold")
     run_exports(spark, tables["enriched"], tables["kpis"], base)
     schemas_of = {name: readers.read_layer(spark, tables[name]).schema for name in ("enriched", "kpis")}
-    return kpi.layer_counts(
-        {
-            "csv": readers.read_csv_inferred(spark, f"{base}/csv/fraudes_enriquecido", schemas_of["enriched"]),
-            "csv_kpis": readers.read_csv_inferred(spark, f"{base}/csv/metricas_fraude", schemas_of["kpis"]),
-            "documents": spark.read.schema(schemas_of["enriched"]).json(f"{base}/documents/fraudes_detalle"),
-            "documents_kpis": spark.read.schema(schemas_of["kpis"]).json(f"{base}/documents/metricas_kpi"),
-        }
-    )
+    return {
+        "csv": readers.read_csv_inferred(spark, f"{base}/csv/fraudes_enriquecido", schemas_of["enriched"]),
+        "csv_kpis": readers.read_csv_inferred(spark, f"{base}/csv/metricas_fraude", schemas_of["kpis"]),
+        "documents": spark.read.schema(schemas_of["enriched"]).json(f"{base}/documents/fraudes_detalle"),
+        "documents_kpis": spark.read.schema(schemas_of["kpis"]).json(f"{base}/documents/metricas_kpi"),
+    }
+
+
+@query("exports_csv_rows", "SELECT * FROM enriched")
+def _(spark, sf):
+    return _exported(spark, sf)["csv"]
+
+
+@query("exports_document_rows", "SELECT * FROM enriched")
+def _(spark, sf):
+    return _exported(spark, sf)["documents"]
 
 
 @query("functional_layer", "SELECT * FROM kpis")
@@ -163,6 +212,18 @@ def _(spark, sf):
     return counts.withColumnRenamed("capa", "tabla")
 
 
+@query("ensure_layer_db_rows", "SELECT * FROM kpis")
+def _(spark, sf):
+    # Dropping and making the database anew leaves only what is written afterwards.
+    base = scratch.scratch_path(spark, "databases")
+    env = _env(base)
+    kpis = kpi.segment_kpis(enriched(spark, sf))
+    for rows in (kpis.limit(1), kpis):
+        db = catalogue.ensure_layer_db(spark, env, "functional", base, drop_first=True)
+        writers.replace_table(rows, f"{db}.kpis", [CURATED_PARTITION], catalogue.table_location(base, db, "kpis"))
+    return readers.read_layer(spark, f"{db}.kpis")
+
+
 @query("export_csv", "SELECT * FROM kpis")
 def _(spark, sf):
     path = scratch.scratch_path(spark, "export")
@@ -180,18 +241,25 @@ def _(spark, sf):
     return readers.read_csv_inferred(spark, out, schema=rows.schema)
 
 
+# Inference sees counts as int, amounts without fraction as int, rates as double.
 @query(
     "read_csv_inferred",
-    "SELECT mes_reclamo, zona_accidente, tipo_vehiculo_poliza, CAST(total_reclamos AS INT) AS total_reclamos, "
-    "CAST(total_fraudes AS INT) AS total_fraudes, kpi_tasa_fraude_pct FROM kpis",
+    "SELECT * REPLACE (CAST(total_reclamos AS INT) AS total_reclamos, CAST(total_fraudes AS INT) AS total_fraudes, "
+    "CAST(kpi_perdidas_evitadas_usd AS INT) AS kpi_perdidas_evitadas_usd) FROM kpis",
 )
 def _(spark, sf):
     path = scratch.scratch_path(spark, "inferred")
     writers.export_csv(kpi.segment_kpis(enriched(spark, sf)), path)
-    return readers.read_csv_inferred(spark, path).select(
-        "mes_reclamo", "zona_accidente", "tipo_vehiculo_poliza", "total_reclamos", "total_fraudes",
-        "kpi_tasa_fraude_pct",
-    )
+    return readers.read_csv_inferred(spark, path)
+
+
+@query("first_available_table", "SELECT * FROM curated")
+def _(spark, sf):
+    base = scratch.scratch_path(spark, "first-table")
+    db = catalogue.ensure_layer_db(spark, _env(base), "curated", base)
+    name = f"{db}.fraudes"
+    writers.replace_table(curated(spark, sf), name, [CURATED_PARTITION], catalogue.table_location(base, db, "fraudes"))
+    return readers.first_available(spark, name, lambda s: curated(s, sf).limit(0))
 
 
 @query("first_available", "SELECT * FROM curated")
@@ -223,7 +291,18 @@ def _(spark, sf):
     rows = fixtures.evaluations(spark, sf)
     writers.append_evaluations(rows, path)
     writers.append_evaluations(rows.filter("ml_prediccion = 1"), path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return readers.read_log(spark, path, rows.schema)
+
+
+@query("log_batch_and_stream", "SELECT * FROM evals UNION ALL SELECT * FROM evals WHERE ml_prediccion = 1")
+def _(spark, sf):
+    # A stream and a batch append to one log; neither hides the other's rows.
+    arriving, log, state = (scratch.scratch_path(spark, n) for n in ("arriving", "log", "state"))
+    rows = fixtures.evaluations(spark, sf)
+    rows.write.parquet(arriving)
+    arrivals.run_stream(spark, arriving, f"{log}/{readers.LOG_STREAM}", state, rows.schema, lambda df: df)
+    writers.append_evaluations(rows.filter("ml_prediccion = 1"), log)
+    return readers.read_log(spark, log, rows.schema)
 
 
 @query("validated_feedback", "SELECT * FROM resolved WHERE fraude_detectado IS NOT NULL")

@@ -53,6 +53,23 @@ def read_csv_inferred(spark: SparkSession, path: str, schema: StructType | None
     return reader.csv(path)
 
 
+LOG_BATCH, LOG_STREAM = "batch", "stream"  # folders of a log
+
+
+def read_log(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """All rows of a log: those appended by batches and those that arrived by a stream."""
+    out = None
+    for part in (LOG_BATCH, LOG_STREAM):
+        try:
+            rows = spark.read.schema(schema).parquet(f"{path}/{part}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        out = rows if out is None else out.unionByName(rows)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
 def first_available(
     spark: SparkSession, *sources: str | Callable[[SparkSession], DataFrame] | None
 ) -> DataFrame | None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .readers import RAW_OPTIONS, require_rows
+from .readers import LOG_BATCH, RAW_OPTIONS, require_rows
 from .scratch import scratch_path
 
 # Written text keeps outer spaces (cleaning is the curated layer's work), and an
@@ -17,10 +17,6 @@ TEXT_OPTIONS = {
     **RAW_OPTIONS, "emptyValue": '""', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 
-# Largest export written as one file; beyond it, part files are written in parallel.
-SINGLE_FILE_ROWS = 1_000_000
-
-
 def rebalanced(df: DataFrame, keys: list[str]) -> DataFrame:
     """Gather rows by partition key before writing, without hot tasks.
 
@@ -38,15 +34,24 @@ def write_text_layer(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**TEXT_OPTIONS).csv(path)
 
 
-def pick_format(spark: SparkSession, preferred: str = "avro", otherwise: str = "parquet") -> str:
-    """``preferred`` if the session can load that source (Avro ships separately)."""
+def require_format(spark: SparkSession, fmt: str) -> str:
+    """``fmt`` if the session can load that source (Avro ships separately), else an error."""
     try:
-        spark.read.format(preferred).schema("a string").load(scratch_path(spark, "absent"))
+        spark.read.format(fmt).schema("a string").load(scratch_path(spark, "absent"))
     except AnalysisException as e:
-        return preferred if e.getCondition() == "PATH_NOT_FOUND" else otherwise
-    except Py4JJavaError:  # the source's class is missing
-        return otherwise
-    return preferred
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise ValueError(f"this session cannot write {fmt}") from e
+    except Py4JJavaError as e:  # the source's class is missing
+        raise ValueError(f"this session cannot write {fmt}") from e
+    return fmt
+
+
+def require_table_format(spark: SparkSession, name: str, fmt: str) -> None:
+    """Refuse to write files of another format below a table that exists."""
+    if spark.catalog.tableExists(name):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Provider'").collect()
+        if rows and rows[0].data_type.lower() != fmt.lower():
+            raise ValueError(f"{name} holds {rows[0].data_type}, not {fmt}")
 
 
 def write_layer(df: DataFrame, path: str, keys: list[str] | None = None, fmt: str = "parquet") -> None:
@@ -73,32 +78,33 @@ def replace_table(df: DataFrame, name: str, keys: list[str], path: str | None =
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
+def table_partitions(spark: SparkSession, name: str) -> DataFrame:
+    """``key=value`` texts of a table's partitions, from the catalogue: no file is opened."""
+    return spark.sql(f"SHOW PARTITIONS {name}")
+
+
 def list_partitions(df: DataFrame, keys: list[str]) -> DataFrame:
     """``key=value`` texts of the partitions present."""
     parts = [F.concat(F.lit(f"{k}="), F.coalesce(k, F.lit("__HIVE_DEFAULT_PARTITION__"))) for k in keys]
     return df.select(*keys).distinct().select(F.concat_ws("/", *parts).alias("partition"))
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = True, max_rows: int = SINGLE_FILE_ROWS) -> bool:
-    """CSV export with header; returns whether one file was written.
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV export with header, as part files that read as one table, or as one file.
 
-    One file means one task, so it is written only up to ``max_rows``.  Larger
-    exports become part files, each with the header, which read as one table.
-    The count reads no columns of a stored table.  ``repartition(1)`` keeps the
-    work before the write parallel.
+    One file means one task writes it: ask for it only where the rows are bounded, as
+    those of the KPI table are by its segments.  ``repartition(1)`` keeps the work
+    before the write parallel.
     """
-    one = single_file and df.count() <= max_rows
-    (df.repartition(1) if one else df).write.mode("overwrite").option("header", True).csv(path)
-    return one
+    (df.repartition(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def consolidate_csv(spark: SparkSession, directory: str, out: str, max_rows: int = SINGLE_FILE_ROWS) -> bool:
-    """Part files -> one file with one header, text kept as it is."""
+def consolidate_csv(spark: SparkSession, directory: str, out: str) -> None:
+    """Part files -> one file with one header, text kept as it is; one task writes it."""
     # Only the header line is looked at; an empty field is told from a null.
     names = spark.read.option("header", True).csv(directory).columns
     text = StructType([StructField(n, StringType(), True) for n in names])
-    parts = spark.read.option("header", True).schema(text).csv(directory)
-    return export_csv(parts, out, max_rows=max_rows)
+    export_csv(spark.read.option("header", True).schema(text).csv(directory), out, single_file=True)
 
 
 def export_documents(df: DataFrame, path: str) -> None:
@@ -107,5 +113,9 @@ def export_documents(df: DataFrame, path: str) -> None:
 
 
 def append_evaluations(df: DataFrame, path: str) -> None:
-    """Append scored claims to the evaluation log."""
-    df.write.mode("append").parquet(path)
+    """Append scored claims to the evaluation log, beside what streams write there.
+
+    A file sink keeps its own list of files and readers follow it alone, so batches
+    have a folder of their own; ``readers.read_log`` reads both.
+    """
+    df.write.mode("append").parquet(f"{path}/{LOG_BATCH}")

@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..fixed_values import EVALUATION_INPUTS
+from ..fixed_values import CURATED_PARTITION, EVALUATION_INPUTS
 from ..operators.clean import lower_columns
 from ..operators.derive import enrich
 from ..operators.ensemble import Artifact, score
 from ..operators.features import form_fields
 from ..operators.localize import curate
 from ..operators.review import evaluation_columns
-from ..sources.readers import strip_line_end
+from ..sources.readers import LOG_STREAM, strip_line_end
 from ..sources.schemas import FORM_SCHEMA, RAW_SCHEMA
 
 FEEDBACK_SCHEMA = "case_id long, fecha_validacion timestamp_ntz, label int, event_id long"
@@ -35,6 +35,7 @@ def run_stream(
     fmt: str = "parquet",
     options: dict | None = None,
     files_per_batch: int = 1000,
+    partition_by: str | None = None,
 ) -> None:
     """Take the files that have arrived through ``transform`` and append the result."""
     arriving = (
@@ -46,25 +47,24 @@ def run_stream(
     )
     if fmt == "csv":
         arriving = strip_line_end(arriving)
-    query = (
+    writer = (
         transform(arriving)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    (writer.partitionBy(partition_by) if partition_by else writer).start().awaitTermination()
 
 
 def enrich_stream(
     spark: SparkSession, in_path: str, out_path: str, checkpoint: str, as_of: Column | None = None, **source
 ) -> None:
-    """Arriving raw claims -> curated and enriched, with the rule score."""
+    """Arriving raw claims -> curated and enriched, with the rule score, by month like the table."""
     source.setdefault("schema", RAW_SCHEMA)
     run_stream(
-        spark, in_path, out_path, checkpoint,
+        spark, in_path, out_path, checkpoint, partition_by=CURATED_PARTITION,
         transform=lambda df: enrich(curate(lower_columns(df)), as_of=as_of), **source,
     )
 
@@ -85,11 +85,12 @@ def score_stream(
     """Arriving scoring forms -> scored and appended to the evaluation log."""
     source.setdefault("schema", FORM_SCHEMA)
     run_stream(
-        spark, in_path, out_path, checkpoint, transform=lambda df: evaluate_forms(df, artifact, as_of), **source
+        spark, in_path, f"{out_path}/{LOG_STREAM}", checkpoint,
+        transform=lambda df: evaluate_forms(df, artifact, as_of), **source,
     )
 
 
 def feedback_stream(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, **source) -> None:
     """Arriving reviewer labels -> append-only feedback log, resolved when read."""
     source.setdefault("schema", FEEDBACK_SCHEMA)
-    run_stream(spark, in_path, out_path, checkpoint, transform=lambda df: df, **source)
+    run_stream(spark, in_path, f"{out_path}/{LOG_STREAM}", checkpoint, transform=lambda df: df, **source)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from claimflow import fixtures
 from claimflow.operators import derive, localize, review
+from claimflow.sources import readers
 from claimflow.streaming import arrivals
 
 
@@ -43,6 +44,6 @@ def test_feedback_arrives_twice_for_a_case(spark, tmp_path):
             f"SELECT 7L AS case_id, timestamp_ntz'2024-01-0{event} 00:00:00' AS fecha_validacion, {label} AS label, {event}L AS event_id"
         ).write.mode("append").parquet(arriving)
         arrivals.feedback_stream(spark, arriving, out, state)
-    log = spark.read.schema(arrivals.FEEDBACK_SCHEMA).parquet(out)
+    log = readers.read_log(spark, out, arrivals.FEEDBACK_SCHEMA)
     assert log.count() == 2
     assert [r.label for r in review.latest_feedback(log).collect()] == [1]

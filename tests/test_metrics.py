@@ -78,6 +78,33 @@ def test_scores_outside_the_unit_range(spark):
     assert metrics.roc_auc(df).first().auc == pytest.approx(brute_auc(rows))
 
 
+def test_rows_without_a_score_are_left_out_and_counted(spark):
+    rows = [(0.9, 1), (0.8, 0), (0.7, 1), (0.1, 0)]
+    odd = [*rows, (None, 1), (None, 0), (float("nan"), 1), (0.5, None)]
+    a, b = (spark.createDataFrame(r, "p double, y int") for r in (rows, odd))
+    assert metrics.roc_auc(b).first().auc == metrics.roc_auc(a).first().auc == brute_auc(rows)
+    assert sorted(metrics.pr_curve(b).collect()) == sorted(metrics.pr_curve(a).collect())
+    assert metrics.confusion_matrix(b, 0.75).first() == metrics.confusion_matrix(a, 0.75).first()
+    assert tuple(metrics.unscored(b).first()) == (4, 8)
+    assert metrics.best_threshold(b).first() == metrics.best_threshold(a).first()
+
+
+def test_no_window_holds_all_scores(spark):
+    from claimflow.operators.running import totals_above
+
+    scores = spark.range(0, 200_000, 1, 8).selectExpr("id * 1e-15 AS s", "1L AS pos")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        out = totals_above(scores.withColumnRenamed("s", "umbral"), "umbral", ["pos"])
+        stored = spark.read.parquet(out.inputFiles()[0].rsplit("/", 1)[0])
+        sizes = [r["count"] for r in stored.groupBy("_range").count().collect()]
+    finally:
+        spark.conf.set(key, "true")
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 60_000
+    assert out.filter("pos_above <> 199999 - round(umbral * 1e15)").isEmpty()
+
+
 def test_confusion_counts_add_up(spark):
     rows = make(3, "wide")
     df = spark.createDataFrame(rows, "p double, y int")

@@ -1,11 +1,13 @@
 """Training, scoring and saving; quality floors, never another library's digits."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from claimflow import fixtures
 from claimflow.fixed_values import CATEGORICAL_FEATURES, EVALUATION_INPUTS, LABEL, LEAKY_COLUMNS, NUMERIC_FEATURES
-from claimflow.operators import derive, ensemble, features, localize
+from claimflow.operators import derive, ensemble, features, localize, split
 from claimflow.sources import scratch
 
 SMALL = ensemble.Params(rounds=6, trees=6, forest_depth=4, boosted_leaf=5, forest_leaf=5, folds=2, bins=32)
@@ -58,9 +60,37 @@ def test_saved_model_scores_alike(spark, enriched, artifact, tmp_path):
 def test_category_codes_ascend_and_unseen_lies_below(spark, enriched, artifact):
     frame = features.training_frame(enriched)
     unseen = frame.limit(1).withColumn("cobertura", F.lit("unheard of"))
-    out = artifact.model.transform(frame.unionByName(unseen)).groupBy("cobertura").agg(F.max("_code_cobertura").alias("c"))
+    out = ensemble.coded(frame.unionByName(unseen), artifact.codes).groupBy("cobertura").agg(F.max("_code_cobertura").alias("c"))
     codes = sorted((r.c, r.cobertura) for r in out.collect())
-    assert codes[0][1] == "unheard of" and [v for _, v in codes[1:]] == sorted(v for _, v in codes[1:])
+    assert codes[0] == (-1, "unheard of") and [v for _, v in codes[1:]] == sorted(v for _, v in codes[1:])
+
+
+def test_report_of_the_test_part(enriched, artifact, tmp_path, spark):
+    rows = features.training_frame(enriched).count()
+    cells = artifact.report["confusion"].first()
+    assert sum(cells) == -(-rows // 5)
+    classes = {r.clase: r for r in artifact.report["clases"].collect()}
+    assert classes["Fraude"].f1 == pytest.approx(artifact.meta["f1_score"])
+    assert artifact.report["balance"].first().registros == rows and artifact.report["sin_puntaje"].first().sin_puntaje == 0
+    ensemble.save_artifact(artifact, spark, str(tmp_path / "m"))
+    loaded = ensemble.load_artifact(spark, str(tmp_path / "m"))
+    assert all(sorted(map(tuple, loaded.report[k].collect())) == sorted(map(tuple, v.collect())) for k, v in artifact.report.items())
+
+
+def test_equal_claims_may_go_to_either_part(spark, enriched):
+    one = enriched.limit(1).crossJoin(spark.range(100)).withColumn("numero_poliza", F.col("id").cast("string"))
+    mixed = one.withColumn("fraude_detectado", (F.col("id") % 2).cast("int"))
+    frame = scratch.materialize(features.training_frame(mixed, ["numero_poliza"]), "copies")
+    parts = split.stratified_split(frame, LABEL, 0.2, 42, "part")
+    assert {(r.part, r[LABEL]): r["count"] for r in parts.groupBy("part", LABEL).count().collect()} == {
+        ("test", 0): 10, ("test", 1): 10, ("train", 0): 40, ("train", 1): 40
+    }
+
+
+def test_a_fit_reads_a_bounded_sample(enriched):
+    frame = scratch.materialize(features.training_frame(enriched), "frame")
+    model, _ = ensemble.fit(frame, replace(SMALL, rounds=1, trees=1, fit_rows=300))
+    assert model.stages[-1].trees  # fitted on some 300 of 1,450 rows
 
 
 def test_importances_add_up(spark, artifact):
@@ -83,13 +113,6 @@ def test_nothing_to_train_on(enriched):
         ensemble.train(enriched.limit(0), SMALL)
 
 
-def test_categories_have_to_be_few(enriched):
-    frame = features.training_frame(enriched)
-    assert ensemble.require_categories(frame) is frame
-    with pytest.raises(ValueError, match="rango_precio_vehiculo"):
-        ensemble.require_categories(frame, most=4)
-
-
 def test_retraining_uses_feedback(spark, sf, enriched):
     forms = features.form_fields(fixtures.forms(spark, sf)).withColumn(LABEL, F.lit(None).cast("int"))
     history = enriched.select("numero_poliza", *EVALUATION_INPUTS, LABEL)

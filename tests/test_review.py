@@ -26,6 +26,20 @@ def test_last_feedback_wins_and_no_case_is_lost(spark):
     assert sorted(r.case_id for r in validated.collect()) == [1, 2]
 
 
+def test_resolved_logs_can_be_resolved_again(spark):
+    once = review.resolve_feedback(evaluations(spark), labels(spark))
+    twice = review.resolve_feedback(once, labels(spark))
+    assert twice.columns == once.columns and twice.exceptAll(once).isEmpty() and once.exceptAll(twice).isEmpty()
+    kept = review.resolve_feedback(once, labels(spark).filter("case_id = 2"))
+    assert kept.filter("case_id = 1").first().fraude_detectado == 1
+
+
+def test_label_and_time_come_from_one_event(spark):
+    t1 = T0 + datetime.timedelta(days=1)
+    tied = spark.createDataFrame([(1, T0, 1, 5), (1, t1, 0, 5)], labels(spark).schema)
+    assert tuple(review.latest_feedback(tied).first()) == (1, 0, t1)
+
+
 def test_a_case_with_many_labels(spark):
     hot = spark.range(30_000).select(
         F.lit(3).cast("long").alias("case_id"), F.lit(T0).cast("timestamp_ntz").alias("fecha_validacion"),
@@ -77,4 +91,12 @@ def test_history_and_feedback(spark):
     more = spark.createDataFrame([(40, 1, 50.0, "x")], "edad int, fraude_detectado int, ml_probabilidad_fraude double, _id string")
     out = features.with_feedback(history, more)
     assert sorted(map(tuple, out.collect()), key=repr) == [("1", 30, 0), (None, 40, 1)]
-    assert features.with_feedback(history, more.limit(0)).columns == history.columns
+    wider = more.withColumn("extra", F.lit("x"))
+    assert features.with_feedback(history, wider.limit(0)).columns == features.with_feedback(history, wider).columns
+
+
+def test_weeks_of_forms_are_those_of_training(spark):
+    from claimflow.functions.text import week_of_month
+
+    df = spark.createDataFrame([("2023-12-30",), ("2024-1-3",), ("2024-02-07",), ("2024-02-08",), ("no date",), (None,)], "d string")
+    assert [r[0] for r in df.select(week_of_month(F.col("d"))).collect()] == [5, 1, 1, 2, None, None]

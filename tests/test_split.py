@@ -29,15 +29,23 @@ def test_split_is_exact_and_whole(spark, fraction):
     assert out.select("id").distinct().count() == out.count() == 1003
 
 
-def test_prefixes_grow_with_the_data(spark, monkeypatch):
-    assert [split.prefix_length(n) for n in (0, 10**6, 10**8, 10**9, 10**11, 10**14)] == [1, 1, 2, 3, 4, 4]
+def test_narrowing_step_by_step_finds_the_same_borders(spark, monkeypatch):
     want = split.stratified_split(unique(spark), "y", 0.2, 42)
-    monkeypatch.setattr(split, "ROWS_PER_PREFIX", 1)
-    assert split.prefix_length(1003) == 3
+    monkeypatch.setattr(split, "DIGITS", 1)  # several steps until one hash is left
     got = split.stratified_split(unique(spark), "y", 0.2, 42)
     assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
 
 
+def test_test_part_and_folds_in_one_go(spark):
+    df = unique(spark)
+    out = split.split_with_folds(df, "y", 0.2, 5, 42, "part")
+    tested = split.stratified_split(df, "y", 0.2, 42).filter("parte = 'test'").select("id")
+    same = out.filter("part = 0").select("id")
+    assert tested.exceptAll(same).isEmpty() and same.exceptAll(tested).isEmpty()
+    sizes = counts(out, "part")
+    assert all(max(sizes[y, f] for f in range(1, 6)) - min(sizes[y, f] for f in range(1, 6)) <= 1 for y in (0, 1))
+
+
 def test_split_follows_hash_order(spark):
     rows = split.stratified_split(unique(spark), "y", 0.2, 42).withColumn("h", split.row_hash(unique(spark), 42)).collect()
     for y in (0, 1):
@@ -76,9 +84,12 @@ def test_folds_are_even_per_class(spark, n, k):
     assert out.count() == n
 
 
-def test_nulls_and_empty_text_hash_apart(spark):
-    df = spark.createDataFrame([(None, 1), ("", 1), ("\\N", 0)], "k string, y int")
-    assert df.select(split.row_hash(df, 1).alias("h")).distinct().count() == 3
+def test_different_rows_hash_apart(spark):
+    rows = [("a|b", "c", 1), ("a", "b|c", 1), ("\\N", "", 1), (None, "", 1), ("", None, 1), ("~", None, 1), (None, "~", 1), ("1:a", "b", 1), ("", "1:a", 1)]
+    df = spark.createDataFrame(rows, "k string, l string, y int")
+    assert df.select(split.row_hash(df, 1).alias("h")).distinct().count() == len(rows)
+    many = df.crossJoin(spark.range(10)).drop("id")
+    assert sorted(counts(split.stratified_folds(many, "y", 5), "fold").values()) == [18] * 5
 
 
 def test_other_labels_are_refused(spark):
@@ -104,10 +115,14 @@ def test_standardize(spark):
     assert {r.b for r in out} == {0.0}
 
 
-@pytest.mark.parametrize("bound", [100_000, 2])
-def test_categories_are_sorted_and_unseen_is_minus_one(spark, monkeypatch, bound):
-    monkeypatch.setattr(scale, "BROADCAST_VALUES", bound)
+@pytest.mark.parametrize("bound", ["10m", "-1"])
+def test_categories_are_sorted_and_unseen_is_minus_one(spark, bound):
+    # With and without broadcasts: the engine chooses by size.
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, bound)
     fit = spark.createDataFrame([("b", "x"), ("a", None), ("c", "x")], "c string, d string")
     df = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", None), ("zz", "x"), (None, "x")], "c string, d string")
     out = [tuple(r) for r in scale.index_categories(df, ["c", "d"], fit).collect()]
     assert sorted(out) == sorted([(0, 0), (1, -1), (2, -1), (-1, 0), (-1, 0)])
+    spark.conf.set(key, before)

@@ -91,15 +91,15 @@ def test_dropping_a_database_is_explicit(spark, tmp_path):
     assert not spark.catalog.tableExists(f"{db}.t")
 
 
-def test_small_export_is_one_file_and_large_is_whole(spark, tmp_path):
+def test_exports_are_one_file_where_asked(spark, tmp_path):
     df = spark.range(100).repartition(4).selectExpr("id", "cast(id as string) AS s")
     one, many, joined = (str(tmp_path / n) for n in ("one", "many", "joined"))
-    assert writers.export_csv(df, one) is True
+    writers.export_csv(df, one, single_file=True)
     assert len(glob.glob(f"{one}/*.csv")) == 1
-    assert writers.export_csv(df, many, max_rows=99) is False
+    writers.export_csv(df, many)
     assert len(glob.glob(f"{many}/*.csv")) == 4
     assert readers.read_csv_inferred(spark, many, df.schema).exceptAll(df).isEmpty()
-    assert writers.consolidate_csv(spark, many, joined) is True
+    writers.consolidate_csv(spark, many, joined)
     [single] = glob.glob(f"{joined}/*.csv")
     lines = open(single).read().splitlines()
     assert len(lines) == 101 and lines.count("id,s") == 1
@@ -124,9 +124,30 @@ def test_first_available(spark, tmp_path):
     assert readers.first_available(spark, "no_db.t", missing, there).count() == 1
 
 
-def test_format_falls_back(spark):
-    assert writers.pick_format(spark, "orc") == "orc"
-    assert writers.pick_format(spark, "no_such_format") == "parquet"
+def test_formats_have_to_fit(spark, tmp_path):
+    assert writers.require_format(spark, "orc") == "orc"
+    with pytest.raises(ValueError):
+        writers.require_format(spark, "no_such_format")
+    db = catalogue.ensure_layer_db(spark, f"f{uuid.uuid4().hex[:8]}", "landing", str(tmp_path))
+    writers.require_table_format(spark, f"{db}.t", "avro")  # not there yet
+    rows(spark, [("a", 1)]).write.saveAsTable(f"{db}.t")
+    writers.require_table_format(spark, f"{db}.t", "parquet")
+    with pytest.raises(ValueError, match="parquet"):
+        writers.require_table_format(spark, f"{db}.t", "avro")
+
+
+def test_log_of_batches_and_streams(spark, path):
+    schema = "k string, v int"
+    assert readers.read_log(spark, path, schema).count() == 0
+    writers.append_evaluations(rows(spark, [("a", 1)]), path)
+    rows(spark, [("b", 2)]).write.parquet(f"{path}/{readers.LOG_STREAM}")
+    assert as_set(readers.read_log(spark, path, schema)) == [("a", 1), ("b", 2)]
+
+
+def test_partitions_of_a_table(spark, tmp_path):
+    db = catalogue.ensure_layer_db(spark, f"p{uuid.uuid4().hex[:8]}", "curated", str(tmp_path))
+    writers.replace_table(rows(spark, [("a", 1), (None, 2)]).select("v", "k"), f"{db}.t", ["k"], str(tmp_path / "t"))
+    assert as_set(writers.table_partitions(spark, f"{db}.t")) == [("k=__HIVE_DEFAULT_PARTITION__",), ("k=a",)]
 
 
 def test_schema_mismatch_is_an_error(spark):
@@ -155,11 +176,12 @@ def test_layers_end_to_end_and_again(spark, sf, tmp_path, reuse):
     assert landing.select(*claims.columns).exceptAll(claims).isEmpty() and landing.count() == 1500
     # A second load of the same files gives the same tables.
     workload = layers.run_workload(spark, env, base, source)
-    curated = layers.run_curated(spark, env, base, layers.run_landing(spark, env, base, workload))
+    curated, report = layers.run_curated(spark, env, base, layers.run_landing(spark, env, base, workload))
     enriched, kpis = layers.run_functional(spark, env, base, curated, reuse=reuse)
     counts = {r.capa: r.registros for r in kpi.layer_counts({n: spark.table(t) for n, t in names.items()}).collect()}
     assert counts["workload"] == counts["landing"] == 1500
     assert counts["curated"] == counts["enriched"] == spark.table(enriched).count()
+    assert tuple(report.first()[:3]) == (1500, counts["curated"], 1500 - counts["curated"])
     assert spark.table(kpis).agg(F.sum("total_reclamos")).first()[0] == counts["curated"]
 
 
