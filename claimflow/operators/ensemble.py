@@ -59,7 +59,8 @@ class Artifact:
     """A fitted model with its category codes, threshold, metrics and test report.
 
     ``report`` holds small tables of the test part: ``clases`` (precision, recall and
-    F1 per class), ``confusion``, ``balance``, ``sin_puntaje`` and ``importancias``.
+    F1 per class), ``confusion``, ``balance``, ``sin_puntaje`` and ``importancias``;
+    and ``validacion``, the area of each fold (no rows without cross-validation).
     """
 
     model: PipelineModel
@@ -238,9 +239,11 @@ def train(
         "vars_categoricas": list(CATEGORICAL_FEATURES),
         "fecha_entrenamiento": (as_of or datetime.now()).isoformat(),
     }
+    per_fold = spark.createDataFrame([], "fold int, auc double")
     if cross_validation:
         numbers = list(range(1, params.folds + 1))
-        summary = cv_summary(_folds_auc(without_ids(folded), "_part", numbers, params, parallelism)).first()
+        per_fold = _folds_auc(without_ids(folded), "_part", numbers, params, parallelism)
+        summary = cv_summary(per_fold).first()
         meta |= {"cv_media": summary.media, "cv_desviacion": summary.desviacion}
     artifact = Artifact(model, codes, meta, params.votes)
     artifact.report = {
@@ -249,11 +252,12 @@ def train(
         "balance": class_balance(frame),
         "sin_puntaje": unscored(tested),
         "importancias": top_importances(artifact, spark),
+        "validacion": per_fold,
     }
     return artifact
 
 
-REPORT = ("clases", "confusion", "balance", "sin_puntaje", "importancias")
+REPORT = ("clases", "confusion", "balance", "sin_puntaje", "importancias", "validacion")
 META_SCHEMA = (
     "umbral_optimo double, auc_roc double, f1_score double, cv_media double, cv_desviacion double, "
     "vars_numericas array<string>, vars_categoricas array<string>, fecha_entrenamiento string, votos array<int>"

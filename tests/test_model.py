@@ -77,6 +77,12 @@ def test_report_of_the_test_part(enriched, artifact, tmp_path, spark):
     assert all(sorted(map(tuple, loaded.report[k].collect())) == sorted(map(tuple, v.collect())) for k, v in artifact.report.items())
 
 
+def test_cross_validation_of_a_frame(enriched):
+    frame = features.training_frame(enriched, ["numero_poliza"])
+    folds = sorted(map(tuple, ensemble.cross_validate(frame, SMALL).collect()))
+    assert [f for f, _ in folds] == [0, 1] and all(0.5 < auc <= 1 for _, auc in folds)
+
+
 def test_equal_claims_may_go_to_either_part(spark, enriched):
     one = enriched.limit(1).crossJoin(spark.range(100)).withColumn("numero_poliza", F.col("id").cast("string"))
     mixed = one.withColumn("fraude_detectado", (F.col("id") % 2).cast("int"))
