@@ -9,25 +9,53 @@ line, kept or not, is that near.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
-from .common import WHITESPACE, bitmap_of, maybe_in
+from .common import bitmap_of, maybe_in
 
 MIN_WORDS = 8
 LINE = ["h", "h2", "nw"]  # what identifies a line: 96 bits of its words, and their number
 
 
+def _words(line: Column) -> Column:
+    """Words in lower case.  Few lines hold white space but spaces; only those are translated."""
+    other = "\t\x0b\x0c\r"
+    odd = reduce(lambda a, b: a | b, [F.contains(line, F.lit(c)) for c in other])
+    spaced = F.when(odd, F.translate(line, other, " " * len(other))).otherwise(line)
+    return F.array_remove(F.split(F.lower(spaced), " "), "")
+
+
 def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """One row per line that has words."""
+    """One row per line that has words: where it stands, and its content."""
     rows = docs.select(
         F.col(key).alias("id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(F.col(text), "\n")).alias("line", "content")
     )
-    words = F.filter(F.split(F.lower("content"), WHITESPACE), lambda w: w != "")
-    return rows.select("id", "th", "line", words.alias("words")).select(
+    # On the content, so that the filter needs no words; pushed down, they would be cut twice.
+    return rows.filter(F.col("content").rlike("[^\\x20\\x09-\\x0D]"))
+
+
+def _worded(lines: DataFrame) -> DataFrame:
+    """Lines with their words and what identifies them."""
+    return lines.select("id", "th", "line", _words(F.col("content")).alias("words")).select(
         "id", "th", "line", F.xxhash64("words").alias("h"), F.hash("words").alias("h2"), F.size("words").alias("nw"), "words"
-    ).filter("nw > 0")
+    )
+
+
+def _spots(docs: DataFrame, text: str, key: str, at: DataFrame) -> DataFrame:
+    """The lines at the places ``at`` (struct ``first``), and perhaps a few more, with their words.
+
+    Bitmaps over rows and places keep all other documents and lines from being cut
+    into words again.
+    """
+    row, place = F.xxhash64("first.id", "first.th"), F.xxhash64("first.id", "first.th", "first.line")
+    rows = docs.select(key, text, F.xxhash64(F.col(key), F.xxhash64(text)).alias("k"))
+    rows = maybe_in(rows, "k", bitmap_of(at.select(row.alias("k")), "k")).filter("bm_hit")
+    found = _lines(rows, text, key).withColumn("k", F.xxhash64("id", "th", "line"))
+    return _worded(maybe_in(found, "k", bitmap_of(at.select(place.alias("k")), "k")).filter("bm_hit"))
 
 
 def _half_keys(words: Column, size: Column, shorter: Column) -> list[Column]:
@@ -45,9 +73,11 @@ def _variants(words: Column, low: Column, high: Column, kind: str) -> Column:
     """Hashed keys of ``words`` with one of the places low..high-1 left out."""
 
     def one(i: Column) -> Column:
-        rest = F.concat(F.slice(words, F.lit(1), i), F.slice(words, i + 2, F.size(words)))
+        before, after = F.slice(words, F.lit(1), i), F.slice(words, i + 2, F.size(words))
         # Replacing a word leaves both lines equal without the same place.
-        return F.xxhash64(F.lit(kind), i, rest) if kind == "replace" else F.xxhash64(F.lit(kind), rest)
+        if kind == "replace":
+            return F.xxhash64(F.lit(kind), i, before, after)
+        return F.xxhash64(F.lit(kind), F.concat(before, after))
 
     none = F.array().cast("array<bigint>")
     return F.when(high > low, F.transform(F.sequence(low, high - 1), one)).otherwise(none)
@@ -83,7 +113,7 @@ def _near_lines(docs: DataFrame, text: str, key: str, unique: DataFrame) -> Data
         "line-active",
     )
     # 3: their words, read again at the place where each line stands first.
-    places = maybe_in(_lines(docs, text, key), "h", bitmap_of(active, "h")).filter("bm_hit").drop("bm_hit")
+    places = _spots(docs, text, key, active)
     at_first = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "line")
     worded = materialize(
         active.join(places.withColumn("at", at_first), LINE).filter(F.col("at") == F.col("first")).dropDuplicates(LINE).drop("id", "th", "line", "at"),
@@ -135,7 +165,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """(id, th, gone): per row key and text hash, the sorted numbers (from 0) of the lines to drop."""
     n = F.col("nw")
     lines = materialize(
-        _lines(docs, text, key).select(
+        _worded(_lines(docs, text, key)).select(
             "id", "th", "line", *LINE,
             F.when(n >= MIN_WORDS, F.array(*_half_keys(F.col("words"), n, n))).alias("own"),
             F.when(n > MIN_WORDS, F.array(*_half_keys(F.col("words"), n, n - 1))).alias("long"),
