@@ -8,12 +8,21 @@ bounded size that lives as long as the Python worker; only new ones are encoded.
 from __future__ import annotations
 
 import os
+import re
 from functools import cache
 
 import numpy as np
 
 WORDS_KEPT = 500_000  # entries of the table; later pieces are encoded, not kept
 CUT = 1 << 20  # bytes of text in hand at once
+# Pieces that the tokenizer's own steps leave as they are but for lower case: letters of
+# Latin-1, perhaps with a mark behind, which is a word of its own.  All others go
+# through those steps.
+_PLAIN = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# How byte-level vocabularies spell a byte: printable ones as themselves, the others in
+# order from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLING = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class WordTokenizer:
@@ -24,12 +33,31 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
+    def _word(self, word: str) -> bytes:
+        """The ids of one word in lower case, straight from the merges."""
+        key = word.encode()
+        ids = self.known.get(key)
+        if ids is None:
+            spelt = key.decode("latin-1").translate(_SPELLING)
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], "<u4").tobytes()
+            if len(self.known) < WORDS_KEPT:
+                self.known[key] = ids
+        return ids
+
     def _learn(self, pieces: set[bytes]) -> dict[bytes, bytes]:
-        new = list(pieces)
-        done = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-        ids = {p: np.asarray(e.ids, "<u4").tobytes() for p, e in zip(new, done)}
-        for piece in new[: max(0, WORDS_KEPT - len(self.known))]:
-            self.known[piece] = ids[piece]
+        ids, rest = {}, []
+        for piece in pieces:
+            plain = _PLAIN.fullmatch(piece.decode())
+            if plain:
+                ids[piece] = b"".join([self._word(part.lower()) for part in plain.groups() if part])
+            else:
+                rest.append(piece)
+        done = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
+        ids.update((p, np.asarray(e.ids, "<u4").tobytes()) for p, e in zip(rest, done))
+        for piece, found in ids.items():
+            if len(self.known) >= WORDS_KEPT:
+                break
+            self.known[piece] = found
         return ids
 
     def _join(self, words: list[bytes]) -> bytes:

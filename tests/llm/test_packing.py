@@ -21,6 +21,8 @@ def plain():
 def test_words_give_the_ids_of_whole_texts(spark, sf, plain, monkeypatch):
     texts = [r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
     texts += [r[1] for r in ROWS] + ["a b c ́x", "don't 12a3 _x_ ﬁ Å Å İ ΑΣ", "<|startoftext|>x<|endoftext|>", "\x1c\x1d\x85 y"]
+    texts += ["Éré, Ça. ÀÖØ öøÿ ß. naïve, à ï. x.. ,. a, Ÿ ƒ ½ ª º µ × ÷ e\u0301 don't. l'été, 's It's"]
+    texts += [" ".join(f"{chr(c)} a{chr(c)} {chr(c)}b, {chr(c)}." for c in range(1, 0x180))]
     for kept, cut in ((500_000, 1 << 20), (3, 100)):  # also with a full table and texts in slices
         monkeypatch.setattr(tokens, "WORDS_KEPT", kept)
         monkeypatch.setattr(tokens, "CUT", cut)
