@@ -29,7 +29,11 @@ PAD = 0  # fills the last sequence
 _HEAD = "<8sIIQQ"  # magic, ids of a record, bytes of an id, first slot, records
 _HEAD_SIZE = struct.calcsize(_HEAD)
 _MAGIC = b"TOKSHRD1"
-_ID = np.dtype("<u4")
+
+
+def id_type(tokenizer_path: str) -> np.dtype:
+    """Two bytes an id where the vocabulary fits, else four; little-endian."""
+    return np.dtype("<u2" if tokenizer(tokenizer_path).tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
 
 class Permutation:
@@ -73,9 +77,9 @@ class Permutation:
         return self._walk(slot, self._back)
 
 
-def _streams(docs: DataFrame, tokenizer_path: str, text: str) -> DataFrame:
+def _streams(docs: DataFrame, tokenizer_path: str, text: str, kind: np.dtype) -> DataFrame:
     """(part, start, n, ids) per document: its place in the stream of its task."""
-    end = np.array([END], _ID).tobytes()
+    end = np.array([END], kind).tobytes()
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(tokenizer_path).encode
@@ -83,8 +87,8 @@ def _streams(docs: DataFrame, tokenizer_path: str, text: str) -> DataFrame:
         for batch in source:
             texts = batch.column("t").to_pylist()
             for lo, hi in groups_of(texts):
-                codes = [code + end for code in encode(texts[lo:hi])]
-                n = np.array([len(c) // _ID.itemsize for c in codes])
+                codes = [np.frombuffer(code, "<u4").astype(kind).tobytes() + end for code in encode(texts[lo:hi])]
+                n = np.array([len(c) // kind.itemsize for c in codes])
                 start = at + np.cumsum(n) - n
                 at += int(n.sum())
                 yield pa.RecordBatch.from_arrays(
@@ -115,7 +119,9 @@ def write_shards(
     written as often as they come.  An empty table writes nothing.
     """
     spark = docs.sparkSession
-    streams = materialize(_streams(docs, tokenizer_path, text), "token-streams")
+    kind = id_type(tokenizer_path)
+    width = kind.itemsize
+    streams = materialize(_streams(docs, tokenizer_path, text, kind), "token-streams")
     sums = streams.groupBy("part").agg(F.max(F.col("start") + F.col("n")).alias("n")).orderBy("part").collect()  # one per task
     base, total = {}, 0
     for row in sums:
@@ -136,8 +142,8 @@ def write_shards(
                 at, data = base[part] + start, memoryview(ids.as_py())
                 done = 0
                 while done < len(data):
-                    seq, place = divmod(at + done // _ID.itemsize, length)
-                    more = min(len(data) - done, (length - place) * _ID.itemsize)
+                    seq, place = divmod(at + done // width, length)
+                    more = min(len(data) - done, (length - place) * width)
                     seqs.append(seq)
                     places.append(place)
                     parts.append(bytes(data[done : done + more]))
@@ -160,7 +166,7 @@ def write_shards(
 
         def close_record():
             if slot_now is not None:
-                out.write(bytes(record).ljust(length * _ID.itemsize, PAD_BYTES))
+                out.write(bytes(record).ljust(length * width, PAD_BYTES))
 
         def close_shard():
             if out is not None:
@@ -176,7 +182,7 @@ def write_shards(
                     now, slot_now = shard, None
                     out = files.open_output_stream(f"{folder}/shard-{now:08d}.bin.{attempt}")
                     first = now * per_shard
-                    out.write(struct.pack(_HEAD, _MAGIC, length, _ID.itemsize, first, min(per_shard, count - first)))
+                    out.write(struct.pack(_HEAD, _MAGIC, length, width, first, min(per_shard, count - first)))
                 if slot != slot_now:
                     close_record()
                     record, slot_now = bytearray(), slot
@@ -232,4 +238,4 @@ def read_slot(path: str, slot: int, per_shard: int = PER_SHARD) -> np.ndarray:
     with files.open_input_file(f"{folder}/shard-{slot // per_shard:08d}.bin") as f:
         _, length, size, first, _ = struct.unpack(_HEAD, f.read(_HEAD_SIZE))
         f.seek(_HEAD_SIZE + (slot - first) * length * size)
-        return np.frombuffer(f.read(length * size), _ID)
+        return np.frombuffer(f.read(length * size), f"<u{size}")

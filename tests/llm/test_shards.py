@@ -33,8 +33,8 @@ def test_shards_hold_the_stream_in_the_order_of_the_key(spark, tmp_path):
     tokenizer = Tokenizer.from_file(PATH)
     texts = [r["text"] for r in docs.collect()]  # the order of the rows
     stream = [i for t in texts for i in [*tokenizer.encode(t or "", add_special_tokens=False).ids, S.END]]
-    assert count == -(-len(stream) // length)
-    stream = np.array(stream + [S.PAD] * (count * length - len(stream)), "<u4").reshape(count, length)
+    assert count == -(-len(stream) // length) and S.id_type(PATH) == np.dtype("<u2")
+    stream = np.array(stream + [S.PAD] * (count * length - len(stream)), S.id_type(PATH)).reshape(count, length)
     slots = S.Permutation(count, 9).slot(np.arange(count))
     rows = S.read_shards(spark, path, count, 9, per_shard).collect()
     assert sorted(r["slot"] for r in rows) == list(range(count))
