@@ -592,7 +592,7 @@ def _(spark, sf):
     artifact = ensemble.retrain(
         enriched(spark, sf).select(*_HISTORY), forms, fixtures.feedback(spark, sf), cross_validation=False
     )
-    valid = F.lit(0.5 < artifact.meta["auc_roc"] <= 1)
+    valid = F.lit(0 < artifact.meta["auc_roc"] <= 1)  # forms are labelled at random
     return artifact.report["balance"].select("registros", valid.alias("auc_valida"))
 
 
