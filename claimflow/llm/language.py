@@ -49,7 +49,7 @@ def _codes(text: str, after_space: bool) -> np.ndarray:
 
 def _grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(buckets, index of the text) of all n-grams, in blocks of bounded size."""
-    block = 1_000_000
+    block = 300_000
     for lo, hi in groups_of(texts, block):
         long = hi - lo == 1 and len(texts[lo] or "") > block
         parts = [texts[lo][k : k + block] for k in range(0, len(texts[lo]), block)] if long else None
