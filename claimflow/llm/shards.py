@@ -14,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, scratch_path
 from .common import groups_of
 from .tokens import tokenizer
 
@@ -29,6 +30,7 @@ PAD = 0  # fills the last sequence
 _HEAD = "<8sIIQQ"  # magic, ids of a record, bytes of an id, first slot, records
 _HEAD_SIZE = struct.calcsize(_HEAD)
 _MAGIC = b"TOKSHRD1"
+_STREAM = "part int, start long, n long, ids binary"
 
 
 def id_type(tokenizer_path: str) -> np.dtype:
@@ -96,7 +98,7 @@ def _streams(docs: DataFrame, tokenizer_path: str, text: str, kind: np.dtype) ->
                     names=["part", "start", "n", "ids"],
                 )
 
-    return docs.select(F.col(text).alias("t")).mapInArrow(run, "part int, start long, n long, ids binary")
+    return docs.select(F.col(text).alias("t")).mapInArrow(run, _STREAM)
 
 
 def write_shards(
@@ -121,7 +123,10 @@ def write_shards(
     spark = docs.sparkSession
     kind = id_type(tokenizer_path)
     width = kind.itemsize
-    streams = materialize(_streams(docs, tokenizer_path, text, kind), "token-streams")
+    # The ids are stored once and moved once, both times compressed: less disk than the shards.
+    held = scratch_path(spark, "token-streams")
+    _streams(docs, tokenizer_path, text, kind).write.option("compression", "zstd").parquet(held)
+    streams = spark.read.schema(_STREAM).parquet(held)
     sums = streams.groupBy("part").agg(F.max(F.col("start") + F.col("n")).alias("n")).orderBy("part").collect()  # one per task
     base, total = {}, 0
     for row in sums:
@@ -134,8 +139,8 @@ def write_shards(
     shared = spark.sparkContext.broadcast(base)
 
     def cut(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents as the parts of sequences that they fill."""
-        base = shared.value
+        """Documents as the parts of sequences that they fill, compressed."""
+        base, compress = shared.value, zstandard.ZstdCompressor(3).compress
         for batch in source:
             seqs, places, parts = [], [], []
             for part, start, ids in zip(batch.column("part").to_pylist(), batch.column("start").to_pylist(), batch.column("ids")):
@@ -146,7 +151,7 @@ def write_shards(
                     more = min(len(data) - done, (length - place) * width)
                     seqs.append(seq)
                     places.append(place)
-                    parts.append(bytes(data[done : done + more]))
+                    parts.append(compress(data[done : done + more]))
                     done += more
             if seqs:
                 slot = permutation.slot(np.array(seqs))
@@ -160,7 +165,7 @@ def write_shards(
 
         files, folder = fs.FileSystem.from_uri(path)
         files.create_dir(folder, recursive=True)
-        attempt = TaskContext.get().taskAttemptId()
+        attempt, expand = TaskContext.get().taskAttemptId(), zstandard.ZstdDecompressor().decompress
         out, now, record, slot_now = None, None, bytearray(), None
         done: list[tuple[int, int]] = []
 
@@ -186,7 +191,7 @@ def write_shards(
                 if slot != slot_now:
                     close_record()
                     record, slot_now = bytearray(), slot
-                record += ids.as_py()
+                record += expand(ids.as_py())
         close_shard()
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*done)], names=["shard", "records"])
