@@ -13,7 +13,7 @@ from functools import cache
 
 import numpy as np
 
-WORDS_KEPT = 150_000  # entries of the table, some 60 MB; later pieces are encoded, not kept
+WORDS_KEPT = 250_000  # entries of the table, some 100 MB; later pieces are encoded, not kept
 CUT = 1 << 20  # bytes of text in hand at once
 # Pieces that the tokenizer's own steps leave as they are but for lower case: letters of
 # Latin-1, perhaps with a mark behind, which is a word of its own.  All others go
