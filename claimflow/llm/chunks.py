@@ -2,8 +2,9 @@
 
 A gear hash rolls over the UTF-8 bytes of a text: each byte shifts it by one and adds
 its number from a table, so it knows the last 32 bytes.  A chunk ends before a word
-where the top bits are zero.  Borders so depend on nearby bytes only, and text
-inserted before a passage does not move those inside it.
+where the top bits are zero, or, where the last 64 bytes hold no ASCII white space,
+before any character where more of them are.  Borders so depend on nearby bytes only, and
+text inserted before a passage does not move those inside it, in unspaced scripts either.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from ..sources.scratch import materialize
 from .common import bitmap_of, maybe_in
 
 MASK_BITS = 2  # one word start in four ends a chunk
+UNSPACED_BITS = 4  # one character in sixteen, where no white space is near
+NEAR = 64  # bytes without white space that make text unspaced; single long words, such as keys, stay whole
 LEAST, MOST = 24, 1024  # bytes of a chunk; the last of a text may be shorter
 LEAST_RUN = 120  # bytes: shorter repeats, such as common phrases, stay
 _GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), 7) for b in range(256)], np.uint32)
@@ -32,7 +35,7 @@ def borders(data: bytes) -> list[int]:
     """Ends of the chunks of a text; the last is its length."""
     out, last, n = [], 0, len(data)
     for at in range(0, n, _BLOCK):
-        lo = max(0, at - 31)  # the hash of a byte needs the 31 before it
+        lo = max(0, at - NEAR + 1)  # the hash of a byte needs the 31 before it, unspaced text more
         a = np.frombuffer(data, np.uint8, min(n, at + _BLOCK) - lo, lo)
         h = _GEAR[a]
         for k in (1, 2, 4, 8, 16):
@@ -41,8 +44,16 @@ def borders(data: bytes) -> list[int]:
         word[:-1] = _SPACE[a[:-1]] & ~_SPACE[a[1:]]
         if lo + len(a) < n:
             word[-1] = _SPACE[a[-1]] and not _SPACE[data[lo + len(a)]]
-        word[: at - lo] = False
-        for end in (np.flatnonzero(word & (h >> np.uint32(32 - MASK_BITS) == 0)) + lo + 1).tolist():
+        ends = word & (h >> np.uint32(32 - MASK_BITS) == 0)
+        bare = np.zeros(len(a), bool)  # the last NEAR bytes are no white space and a character begins behind them
+        if len(a) >= NEAR:
+            spaces = np.cumsum(np.r_[False, _SPACE[a]])
+            bare[NEAR - 1 :] = spaces[NEAR:] == spaces[:-NEAR]
+        bare[:-1] &= a[1:] & 0xC0 != 0x80
+        bare[-1] &= lo + len(a) < n and data[lo + len(a)] & 0xC0 != 0x80
+        ends |= bare & (h >> np.uint32(32 - UNSPACED_BITS) == 0)
+        ends[: at - lo] = False
+        for end in (np.flatnonzero(ends) + lo + 1).tolist():
             while end - last > MOST:
                 last = _whole(data, last + MOST)
                 out.append(last)

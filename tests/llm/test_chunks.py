@@ -56,6 +56,33 @@ def test_borders_resist_insertions():
     assert len(ends[0] & ends[1] & ends[2]) > 0.85 * len(ends[0])
 
 
+def unspaced(rng, n):
+    return "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(n))
+
+
+def test_unspaced_borders_resist_insertions(monkeypatch):
+    rng = random.Random(9)
+    for passage in (unspaced(rng, 2000), "".join(rng.choice("abcdefgh(){};=") for _ in range(4000))):
+        data = passage.encode()
+        ends = [{e - len(p) for e in C.borders(p + data) if e > len(p)} for p in (b"", "字".encode(), unspaced(rng, 333).encode())]
+        assert len(ends[0]) > 40 and len(ends[0] & ends[1] & ends[2]) > 0.85 * len(ends[0])
+        assert all(data[e : e + 1].decode("latin-1") < "\x80" or data[e] & 0xC0 != 0x80 for e in ends[0])
+        whole = C.borders(data)
+        with monkeypatch.context() as m:
+            m.setattr(C, "_BLOCK", 97)
+            assert C.borders(data) == whole
+
+
+def test_unspaced_passages_go(spark):
+    rng = random.Random(10)
+    passage = unspaced(rng, 300)  # 900 bytes: less than the largest chunk
+    rows = [(0, unspaced(rng, 100) + passage + unspaced(rng, 90)), (1, unspaced(rng, 457) + passage + unspaced(rng, 20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in C.substring_dedup(docs).collect()}
+    assert got[0] == rows[0][1] and len(got[1]) < len(rows[1][1]) - 200
+    assert got[1].startswith(rows[1][1][:457]) and got[1].endswith(rows[1][1][-20:])
+
+
 def test_passages_across_documents(spark):
     rng = random.Random(6)
     rows, passage = [], {}
