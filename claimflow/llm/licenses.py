@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +33,7 @@ class Templates:
         rows = sorted((sum(b.values()), name, b) for name, b in ((name, bigrams(words_of(t))) for name, t in texts) if b)
         self.sizes = [n for n, _, _ in rows]
         self.names = [name for _, name, _ in rows]
+        self.counts = [b for _, _, b in rows]
         self.index: dict[tuple[bytes, bytes], list[tuple[int, int]]] = {}
         for k, (_, _, b) in enumerate(rows):
             for pair, n in b.items():
@@ -56,7 +58,10 @@ class Templates:
         return (self.names[-top[1]], top[0]) if top[0] >= self.least else None
 
     def scan(self, text: str | None) -> list[tuple[str, float, str, int, int]]:
-        """Matches of lines, of blocks of lines between empty ones, and of the whole text."""
+        """Matches of lines, of blocks of lines between empty ones, of the whole text, and of windows of words.
+
+        A window that lies in a better or equal match of another unit is left out.
+        """
         lines = [words_of(line) for line in (text or "").split("\n")]
         units: list[tuple[str, int, int]] = [("line", i, i) for i, w in enumerate(lines) if w]
         start = None
@@ -77,8 +82,52 @@ class Templates:
                 found = self.best([w for line in lines[a : b + 1] for w in line])
                 if found:
                     out.append((*found, unit, a, b))
+        words = [w for line in lines for w in line]
+        of_line = [i for i, line in enumerate(lines) for _ in line]
+        for name, score, lo, hi in self.windows(words):
+            a, b = of_line[lo], of_line[hi]
+            if not any(x <= a and b <= y and held >= score for _, held, _, x, y in out):
+                out.append((name, score, "window", a, b))
         return out
 
+    def windows(self, words: list[bytes]) -> list[tuple[str, float, int, int]]:
+        """(name, score, first word, last word) of runs of words like a template, none overlapping.
+
+        The best run starts and ends at a bigram of its template, or cutting the end
+        would raise its score.  Its size is within the bounds, and ``ratio`` of the
+        template's bigrams are in it, so few starts are followed.
+        """
+        hits: dict[int, list[int]] = {}
+        pairs = list(zip(words, words[1:]))
+        for at, pair in enumerate(pairs):
+            for k, _ in self.index.get(pair, ()):
+                hits.setdefault(k, []).append(at)
+        found = []
+        for k, places in hits.items():
+            size, (least, most) = self.sizes[k], self.allowed[k]
+            need = math.ceil(least - 1e-9)
+            for i, start in enumerate(places[: max(0, len(places) - need + 1)]):
+                if places[i + need - 1] - start + 1 > most:
+                    continue
+                common, seen, best = 0, {}, None
+                for end in places[i : bisect_right(places, start + most - 1)]:
+                    pair = pairs[end]
+                    seen[pair] = seen.get(pair, 0) + 1
+                    common += seen[pair] <= self.counts[k][pair]
+                    score = 2 * common / (end - start + 1 + size)
+                    if score >= self.least and (best is None or score > best[0]):
+                        best = score, end, common
+                if best:
+                    score, end, common = best
+                    # Of overlapping runs the one that explains most words goes first.
+                    found.append((common - (end - start + 1 + size) / 4, score, -start, self.names[k], end))
+        out, taken = [], bytearray(len(words))
+        for _, score, start, name, end in sorted(found, reverse=True):
+            if not any(taken[-start : end + 2]):
+                taken[-start : end + 2] = b"\1" * (end + 2 + start)
+                out.append((name, score, -start, end + 1))
+        return sorted(out, key=lambda m: m[2])
+
 
 def scan_licenses(
     docs: DataFrame, templates: list[tuple[str, str]] | None = None, text: str = "text", least: float = LEAST
@@ -86,7 +135,8 @@ def scan_licenses(
     """(doc, matches) per row of ``docs``: the row as a struct and its licence notices.
 
     A match is (license, score, unit, first_line, last_line), lines from 0: the best
-    template of a line, of a block of lines between empty ones, or of the whole text.
+    template of a line, of a block of lines between empty ones, of the whole text, or of
+    a window of words anywhere (a notice of several paragraphs, or inside a line).
     Texts are compared as lower-cased words, so punctuation and white space do not
     matter.  Size bounds leave few templates to compare, and an index from bigrams to
     templates counts what is shared.  One narrow pass.

@@ -37,6 +37,19 @@ def test_units():
     assert [m[:1] + m[2:] for m in known.scan("x y z\nLICENSED under CC BY-NC 4.0!")] == [("CC-BY-NC-4.0", "line", 1, 1)]
 
 
+def test_notices_inside_long_documents():
+    known = L.Templates(TEMPLATES, L.LEAST)
+    prose = " ".join(f"word{i}" for i in range(400))
+    mit = MIT.replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    header = "\n".join(f" * {line}" for line in APACHE_HEADER.replace("License. You", "License.\n\nYou").split("\n"))
+    for notice, name in ((mit, "MIT"), (header, "Apache-2.0")):
+        for text in (f"Copyright me\n\n{notice}\n\n{prose}", f"{prose}\n{notice}\n{prose}\n\n{prose}", f"{prose} {notice.replace(chr(10), ' ')} {prose}"):
+            found = [m for m in known.scan(text) if m[2] == "window"]
+            assert [m[0] for m in found] == [name] and found[0][1] > 0.95
+    assert [m[::2][:2] for m in known.scan(f"{prose} Licensed under CC BY-NC 4.0, {prose}")] == [("CC-BY-NC-4.0", "window")]
+    assert known.scan(f"{prose}\n\n{prose}") == []
+
+
 def test_every_statement_in_documents_is_found(spark, sf):
     docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
     for r in L.scan_licenses(docs).collect():
