@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from . import chat, chunks, decontaminate, exact, language, licenses, lines, packing, shards, simhash
-from .common import prepare, table
+from . import align, chat, chunks, decontaminate, exact, language, licenses, lines, packing, runs, shards, simhash, topk
+from .common import WHITESPACE, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,10 +26,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def word_tokenizer() -> str:
+def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_tokenizer() -> str:
+    return tokenizer_file("word_bpe_49k.json")
 
 
 SHARD_KEY = 20240607
@@ -170,3 +174,74 @@ FROM documents d LEFT JOIN rest r ON r.doc_id = d.doc_id
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.with_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc.doc_id", F.col("rest").alias("text"), "n_lines", "n_dropped")
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    done = align.align(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    return done.select(
+        "doc.doc_id",
+        "n_a",
+        "n_b",
+        F.col("n_links").alias("n_groups"),  # a group ends with its one link
+        "n_links",
+        "n_best",
+        "count_sum",
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+    )
+
+
+def with_planted_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``; a text whose key's CRC-32 is a multiple of ten repeats a stretch of its words to its end."""
+    words = F.filter(F.split(text, WHITESPACE), lambda w: w != "")
+    h = F.crc32(F.col(key).cast("string"))
+    g = F.floor(h / 10)
+    planted = docs.select("*", F.when((h % 10 == 0), words).alias("plant_words"), g.alias("plant_g"))
+    n = F.size("plant_words").cast("long")
+    a = F.when(n > 0, F.col("plant_g") % n)
+    p = 1 + F.floor((n - a) / (3 + F.col("plant_g") % 8))
+    changed = F.transform(
+        "plant_words",
+        lambda w, i: F.when(i < F.col("plant_a"), w).otherwise(
+            F.get("plant_words", (F.col("plant_a") + F.pmod(i - F.col("plant_a"), F.col("plant_p"))).cast("int"))
+        ),
+    )
+    done = planted.select("*", a.alias("plant_a"), p.alias("plant_p"))
+    new = F.when(F.col("plant_a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col(text))
+    return done.withColumn(text, new).select(*docs.columns)
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = runs.periodic_runs(docs)
+    # Runs come by start, then period, so a later one has to be greater.
+    better = lambda a, r: a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"])
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), lambda a, r: F.when(better(a, r), r).otherwise(a))
+    lines_of = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return done.select("doc.doc_id", "runs", "collapsed", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines_of, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+OP13_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+
+@query("op13_top_k", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

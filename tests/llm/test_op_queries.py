@@ -3,12 +3,15 @@
 import hashlib
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
+import test_align
 import test_chunks
 import test_licenses
 import test_packing
+import test_runs
 import test_simhash
 from tokenizers import Tokenizer
 
@@ -106,3 +109,49 @@ def test_op8(spark, sf, docs, ids_of):
             want.append((str(key), k, s, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
     sequences = test_packing.check(run(spark, sf, "op8_pack"), want, 4096)
     assert sequences <= 1.02 * sum(w[3] for w in want) / 4096 + 1
+
+
+def test_op11(spark, sf, docs):
+    want, _ = test_align.brute([t for _, t, _ in docs])
+    got = {r["doc_id"]: r for r in run(spark, sf, "op11_token_alignment")}
+    assert len(got) == len(docs)
+    for (key, _, _), (n_a, n_b, n_links, n_best, total, groups) in zip(docs, want):
+        digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+        assert tuple(got[key]) == (key, n_a, n_b, n_links, n_links, n_best, total, digest)
+
+
+def test_op12(spark, sf, docs):
+    got = {r["doc_id"]: tuple(r) for r in run(spark, sf, "op12_periodic_runs")}
+    assert len(got) == len(docs)
+    some = 0
+    for key, text, _ in docs:
+        w = test_runs.words(text)
+        n, h = len(w), zlib.crc32(str(key).encode())
+        if h % 10 == 0 and n:
+            a, g = h // 10 % n, h // 10
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+        if len(w) < 400:
+            found = test_runs.brute(w)
+        else:  # brute force is the cube of the words: periods from the places of each word's next copies
+            number = {x: i for i, x in enumerate(dict.fromkeys(w))}
+            x = np.array([number[v] for v in w])
+            found = [r for q in range(1, n // 4 + 1) if (x[q:] == x[:-q]).any() for r in stretches(x, q)]
+            found = sorted(r for r in found if not any(r[2] % o[2] == 0 and o[2] < r[2] and o[:2] == r[:2] for o in found))
+        some += bool(found)
+        best = (None,) * 4
+        if found:
+            s, length, q = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]))
+            best = (s, length, q, 1000 * length // q)
+        digest = hashlib.sha256("".join(f"{s},{m},{q}\n" for s, m, q in found).encode()).hexdigest()
+        rest = hashlib.sha256(test_runs.left(w, found).encode()).hexdigest()
+        assert got[key] == (key, len(found), *best, digest, rest)
+    assert some > 5
+
+
+def stretches(x, q):
+    """Stretches of period q, by comparison at that distance."""
+    edge = np.diff(np.r_[False, x[q:] == x[:-q], False].astype(int))
+    for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+        if b + q - a >= max(6, 4 * q):
+            yield a, b + q - a, q
