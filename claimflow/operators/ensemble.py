@@ -18,11 +18,12 @@ from ..fixed_values import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 from ..sources.readers import require_rows
 from ..sources.scratch import materialize
 from .features import risk_features, training_frame, with_feedback
+from .journal import Journal
 from .kpi import class_balance
 from .metrics import best_threshold, classification_report, confusion_matrix, cv_summary, f1_at, roc_auc, score_table, unscored
 from .review import resolve_feedback, score_columns, validated_feedback
 from .scale import category_codes, with_codes
-from .split import balanced_weights, class_counts, split_with_folds, stratified_folds, stratified_split
+from .split import balanced_weights, class_counts, draw, split_with_folds, stratified_folds, stratified_split
 
 WEIGHT = "_peso"
 ROW_IDS = ("numero_poliza", "case_id")  # tell rows apart when they are split; never model inputs
@@ -32,9 +33,10 @@ ROW_IDS = ("numero_poliza", "case_id")  # tell rows apart when they are split; n
 class Params:
     """Model parameters; the defaults are fixed values of the full-size model.
 
-    ``fit_rows`` bounds the labelled rows one fit reads, drawn by a hash of the row:
-    boosting passes over them once per level and round.  Splits, thresholds and all
-    metrics use every row.  None fits on all.
+    ``fit_rows`` bounds the labelled rows one fit reads: so many are drawn exactly, each
+    class by its share, by a hash of the row and its ids.  Boosting passes over them
+    once per level and round.  Splits, thresholds and all metrics use every row.  None
+    fits on all.
     """
 
     rounds: int = 300
@@ -140,23 +142,33 @@ def probabilities(
 
 
 def fit(train_rows: DataFrame, params: Params) -> tuple[PipelineModel, DataFrame]:
-    """Fit the whole pipeline on rows of features and label; the model and its category codes."""
+    """Fit the whole pipeline on rows of features and label; the model and its category codes.
+
+    Ids of the rows tell them apart when some are drawn, and then go.
+    """
     counts = class_counts(train_rows, LABEL)
     codes = category_codes(train_rows, CATEGORICAL_FEATURES)
-    rows, n = train_rows, sum(counts.values())
-    if params.fit_rows and n > params.fit_rows:
-        grain = 1 << 40
-        drawn = F.pmod(F.xxhash64(F.lit(params.seed), *train_rows.columns), F.lit(grain)) < params.fit_rows * grain // n
-        rows = rows.filter(drawn)
-    weighted = balanced_weights(rows, LABEL, WEIGHT, counts)
+    rows = train_rows
+    if params.fit_rows and sum(counts.values()) > params.fit_rows:
+        rows, counts = draw(train_rows, LABEL, params.fit_rows, params.seed + 2)
+        rows = materialize(rows, "fit-rows")
+    weighted = balanced_weights(without_ids(rows), LABEL, WEIGHT, counts)
     return build_pipeline(params).fit(coded(weighted, codes)), codes
 
 
-def _folds_auc(folded: DataFrame, fold: str, numbers: list[int], params: Params, parallelism: int) -> DataFrame:
+def _folds_auc(
+    folded: DataFrame, fold: str, numbers: list[int], params: Params, parallelism: int, journal: Journal | None = None
+) -> DataFrame:
     def one(i: int) -> tuple[int, float | None]:
-        model, codes = fit(folded.filter(F.col(fold) != i).drop(fold), params)
-        held_out = probabilities(folded.filter(F.col(fold) == i).drop(fold), model, codes, params.votes)
-        return i - numbers[0], roc_auc(held_out, "p", LABEL).first().auc
+        name = f"fold-{i}"
+        known = journal.number(name) if journal else None
+        if known is None:
+            model, codes = fit(folded.filter(F.col(fold) != i).drop(fold), params)
+            held_out = probabilities(without_ids(folded.filter(F.col(fold) == i).drop(fold)), model, codes, params.votes)
+            known = (roc_auc(held_out, "p", LABEL).first().auc,)
+            if journal:
+                journal.keep_number(name, known[0])
+        return i - numbers[0], known[0]
 
     # The loop runs over the few folds; fitting and scoring are Spark jobs.
     with ThreadPoolExecutor(parallelism) as pool:
@@ -174,7 +186,7 @@ def cross_validate(frame: DataFrame, params: Params = Params(), parallelism: int
     # into each condition on the hash, and the plan would outgrow the driver.
     stored = materialize(frame, "cv-frame")
     folded = materialize(stratified_folds(stored, LABEL, params.folds, params.seed, "_fold"), "folds")
-    return _folds_auc(without_ids(folded), "_fold", list(range(params.folds)), params, parallelism)
+    return _folds_auc(folded, "_fold", list(range(params.folds)), params, parallelism)
 
 
 def without_ids(frame: DataFrame) -> DataFrame:
@@ -194,7 +206,7 @@ def top_importances(artifact: Artifact, spark: SparkSession, n: int = 15) -> Dat
 
 def train(
     enriched: DataFrame, params: Params = Params(), cross_validation: bool = True, tune_on: str = "test",
-    as_of: datetime | None = None, parallelism: int = 5,
+    as_of: datetime | None = None, parallelism: int = 5, journal: str | None = None,
 ) -> Artifact:
     """Features, split, fit, cross-validation, threshold, metrics and report.
 
@@ -202,6 +214,10 @@ def train(
     different parts.  ``tune_on="test"`` picks the threshold on the rows it is then
     measured on, which flatters F1; ``"validation"`` sets part of the training rows
     aside.
+
+    ``journal`` names a folder on shared storage that keeps the model and the area of
+    each fold once fitted.  A run on the same rows and parameters, such as one that
+    starts again after its driver was lost, takes what it finds there.
     """
     if tune_on not in ("test", "validation"):
         raise ValueError("tune_on must be 'test' or 'validation'")
@@ -212,14 +228,20 @@ def train(
     # Test part and folds are found together and written once.
     parts = materialize(split_with_folds(frame, LABEL, params.test_fraction, params.folds, params.seed, "_part"), "parts")
     folded, test_rows = parts.filter("_part > 0"), without_ids(parts.filter("_part = 0").drop("_part"))
-    train_rows, tune_rows = without_ids(folded.drop("_part")), test_rows
+    train_rows, tune_rows = folded.drop("_part"), test_rows
     if tune_on == "validation":
         inner = stratified_split(folded.drop("_part"), LABEL, params.test_fraction, params.seed + 1, "_part")
-        inner = materialize(without_ids(inner), "validation")
+        inner = materialize(inner, "validation")
         train_rows = inner.filter("_part = 'train'").drop("_part")
-        tune_rows = inner.filter("_part = 'test'").drop("_part")
+        tune_rows = without_ids(inner.filter("_part = 'test'").drop("_part"))
 
-    model, codes = fit(train_rows, params)
+    log = Journal(spark, journal, frame, f"{params}, {tune_on}") if journal else None
+    fitted = log.model() if log else None
+    if fitted is None:
+        fitted = fit(train_rows, params)
+        if log:
+            log.keep_model(*fitted)
+    model, codes = fitted
 
     def scores(rows: DataFrame) -> DataFrame:
         scored = probabilities(rows, model, codes, params.votes).select("p", F.col(LABEL).alias("y"))
@@ -242,7 +264,7 @@ def train(
     per_fold = spark.createDataFrame([], "fold int, auc double")
     if cross_validation:
         numbers = list(range(1, params.folds + 1))
-        per_fold = _folds_auc(without_ids(folded), "_part", numbers, params, parallelism)
+        per_fold = _folds_auc(folded, "_part", numbers, params, parallelism, log)
         summary = cv_summary(per_fold).first()
         meta |= {"cv_media": summary.media, "cv_desviacion": summary.desviacion}
     artifact = Artifact(model, codes, meta, params.votes)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +23,16 @@ def rename_columns(df: DataFrame, names: dict[str, str] | None = None) -> DataFr
     return df.withColumnsRenamed(names or CURATED_NAMES)
 
 
-def curate(landing: DataFrame) -> DataFrame:
-    """Landing claims -> cleaned, gated, typed and translated claims (34 columns)."""
-    # Cleaning keeps nulls null, so rows that lack a checked column are left out
-    # by the scan already, and the partition without a claim month is not read.
-    present = complete_cases(landing, ["policynumber", "year", "month", "monthclaimed", "age"])
-    kept = quality_gate(clean_strings(present))
+def curate(landing: DataFrame, check: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Landing claims -> cleaned, gated, typed and translated claims (34 columns).
+
+    ``check`` sees the cleaned rows before any is left out, to count them as they pass.
+    """
+    if check is None:
+        # Cleaning keeps nulls null, so rows that lack a checked column are left out
+        # by the scan already, and the partition without a claim month is not read.
+        landing = complete_cases(landing, ["policynumber", "year", "month", "monthclaimed", "age"])
+    cleaned = clean_strings(landing)
+    kept = quality_gate(check(cleaned) if check else cleaned)
     typed = split_pair(cast_ints(kept, INTEGER_COLUMNS), "policytype", " - ", POLICY_PAIR)
     return project(rename_columns(translate_values(typed)), CURATED_COLUMNS)

@@ -89,8 +89,10 @@ def model_card(meta: DataFrame) -> DataFrame:
     )
 
 
-def latest_feedback(feedback: DataFrame, order: str = "event_id", key: str = "case_id") -> DataFrame:
-    """Each case's last label and its time, both of one event.
+def latest_feedback(
+    feedback: DataFrame, order: str = "event_id", key: str = "case_id", keep_order: bool = False
+) -> DataFrame:
+    """Each case's last label and its time, both of one event; its order too where asked for.
 
     ``order`` is a whole number; of events with the same one the later wins, then the
     higher label.  One hash aggregate, combined map-side: order, time and label are
@@ -99,10 +101,9 @@ def latest_feedback(feedback: DataFrame, order: str = "event_id", key: str = "ca
     micros = F.coalesce(F.unix_micros(F.col("fecha_validacion").cast("timestamp")), F.lit(0).cast("long"))
     within = (micros * 10 + F.coalesce(F.col("label"), F.lit(-1)) + 1).cast("decimal(18,0)")
     rank = F.col(order).cast("decimal(20,0)") * F.lit(10**17).cast("decimal(18,0)") + within
-    ranked = feedback.select(key, "label", "fecha_validacion", rank.alias("_rank"))
-    return ranked.groupBy(key).agg(
-        F.max_by("label", "_rank").alias("label"), F.max_by("fecha_validacion", "_rank").alias("fecha_validacion")
-    )
+    kept = ["label", "fecha_validacion", *([order] if keep_order else [])]
+    ranked = feedback.select(key, *kept, rank.alias("_rank"))
+    return ranked.groupBy(key).agg(*[F.max_by(c, "_rank").alias(c) for c in kept])
 
 
 def resolve_feedback(
@@ -114,9 +115,16 @@ def resolve_feedback(
     many labels weighs as much as any other.  What a log has resolved already stays
     where no newer feedback is given, so its own output can be resolved again.
     """
-    latest = latest_feedback(feedback, order, key).select(
-        key, F.col("label").alias("_label"), F.col("fecha_validacion").alias("_fecha")
-    )
+    return with_latest(evaluations, latest_feedback(feedback, order, key), key)
+
+
+def with_latest(evaluations: DataFrame, latest: DataFrame, key: str = "case_id") -> DataFrame:
+    """Evaluations with a table of one label and time per case, such as a feedback state.
+
+    Evaluations in buckets of the key (``writers.write_bucketed``) stay where they are:
+    only the labels move, or nothing if they lie in as many buckets.
+    """
+    latest = latest.select(key, F.col("label").alias("_label"), F.col("fecha_validacion").alias("_fecha"))
     joined = evaluations.join(latest, key, "left")
     known = F.col("fecha_validacion") if "fecha_validacion" in evaluations.columns else F.lit(None).cast("timestamp_ntz")
     return joined.withColumns(

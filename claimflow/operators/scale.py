@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
 
+CONSTANT_CODES = 256  # as constants; a lookup passes over those of its column
+
+
 def standardize(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
     """(x - mean) / population standard deviation; constant columns give 0.
 
@@ -53,12 +56,41 @@ def category_codes(df: DataFrame, cols: list[str]) -> DataFrame:
     return materialize(number_in_order(category_values(df, cols)), "category-codes")
 
 
-def with_codes(df: DataFrame, cols: list[str], codes: DataFrame, prefix: str = "_code_") -> DataFrame:
+def with_codes(
+    df: DataFrame, cols: list[str], codes: DataFrame, prefix: str = "_code_", most: int = CONSTANT_CODES
+) -> DataFrame:
     """Add the code of each column's value; values without one, and null, give -1.
 
-    One left join per column; the codes are broadcast only if their measured size
-    is small, else both sides are shuffled.
+    Up to ``most`` codes become constants of the plan, looked up without a join.  More
+    are met by one join: values of all columns stand below one another, are joined with
+    the codes as narrow rows, and their codes come back side by side.  A stream, whose
+    rows cannot be numbered, is joined column by column.
     """
+    few = codes.limit(most + 1).collect()
+    if len(few) <= most:
+        return _codes_as_constants(df, cols, few, prefix)
+    return _codes_by_column(df, cols, codes, prefix) if df.isStreaming else _codes_by_one_join(df, cols, codes, prefix)
+
+
+def _codes_as_constants(df: DataFrame, cols: list[str], codes: list[Row], prefix: str) -> DataFrame:
+    def code(c: str) -> Column:
+        pairs = [F.lit(x) for r in codes if r.columna == c for x in (r.valor, r.codigo)]
+        return F.coalesce(F.create_map(*pairs)[F.col(c)], F.lit(-1)) if pairs else F.lit(-1)
+
+    return df.withColumns({f"{prefix}{c}": code(c) for c in cols})
+
+
+def _codes_by_one_join(df: DataFrame, cols: list[str], codes: DataFrame, prefix: str) -> DataFrame:
+    # Numbers are stored with their rows, so a recomputed task cannot give others.
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows-to-code")
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("columna"), F.col(c).alias("valor")) for c in cols]))
+    found = rows.select("_row", values.alias("v")).select("_row", "v.*").join(codes, ["columna", "valor"])
+    beside = found.groupBy("_row").agg(*[F.max(F.when(F.col("columna") == c, F.col("codigo"))).alias(f"{prefix}{c}") for c in cols])
+    whole = rows.join(beside, "_row", "left").withColumns({f"{prefix}{c}": F.coalesce(f"{prefix}{c}", F.lit(-1)) for c in cols})
+    return whole.select(*df.columns, *[f"{prefix}{c}" for c in cols])
+
+
+def _codes_by_column(df: DataFrame, cols: list[str], codes: DataFrame, prefix: str) -> DataFrame:
     out = df
     for c in cols:
         own = codes.filter(F.col("columna") == c).select(F.col("valor").alias("_value"), F.col("codigo").alias("_found"))

@@ -171,10 +171,14 @@ def _repeat(df: DataFrame, times: str, index: str) -> DataFrame:
 
 def part_sizes(counts: dict[int, int], fraction: float) -> dict[int, int]:
     """Test rows per class: ceil(fraction * n) shared out by largest remainder."""
+    return shares(counts, math.ceil(fraction * sum(counts.values())))
+
+
+def shares(counts: dict[int, int], drawn: int) -> dict[int, int]:
+    """``drawn`` rows shared out over the classes by largest remainder."""
     n = sum(counts.values())
     if n == 0:
         return dict.fromkeys(counts, 0)
-    drawn = math.ceil(fraction * n)
     whole = {c: size * drawn // n for c, size in counts.items()}
     by_remainder = sorted(counts, key=lambda c: (-(counts[c] * drawn % n), c))
     for c in by_remainder[: drawn - sum(whole.values())]:
@@ -182,6 +186,27 @@ def part_sizes(counts: dict[int, int], fraction: float) -> dict[int, int]:
     return whole
 
 
+def draw(df: DataFrame, label: str, n: int, seed: int = 42) -> tuple[DataFrame, dict[int, int]]:
+    """Exactly n rows (all, if fewer), each class by its share and at least one of it; the rows per class.
+
+    The first of each class in hash order, ids included: rows with equal features are
+    drawn one by one.
+    """
+    sizes: dict[int, int] = {}
+
+    def ranks(counts: dict[int, int]) -> dict[int, list[int]]:
+        drawn = shares(counts, min(n, sum(counts.values())))
+        for c in counts:  # a rare class is not lost
+            if not drawn[c] and counts[c] and max(drawn.values()) > 1:
+                drawn[max(drawn, key=drawn.get)] -= 1
+                drawn[c] = 1
+        sizes.update(drawn)
+        return {c: [size] for c, size in drawn.items()}
+
+    numbered = assign_parts(df, label, ranks, seed, "_drawn")
+    return numbered.filter("_drawn = 0").drop("_drawn"), sizes
+
+
 def _fold_starts(size: int, k: int) -> list[int]:
     return [size * j // k for j in range(1, k)]
 

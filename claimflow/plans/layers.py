@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..fixed_values import CURATED_PARTITION, LANDING_PARTITION
 from ..operators.clean import lower_columns, partition_last
 from ..operators.derive import enrich
-from ..operators.kpi import quality_report, segment_kpis, top_segments
+from ..operators.kpi import observe_quality, quality_row, segment_kpis, top_segments
 from ..operators.localize import curate
 from ..sources.catalogue import ensure_layer_db, table_location
 from ..sources.readers import RAW_OPTIONS, read_delimited, read_layer
+from ..sources.records import read_record, render_record, require_record, resolve_record
 from ..sources.schemas import LANDING_SCHEMA, require_columns
 from ..sources.writers import (
     export_csv,
@@ -28,12 +30,32 @@ ENRICHED_TABLE = "fraudes_enriquecido"
 KPI_TABLE = "metricas_fraude"
 
 
-def run_workload(spark: SparkSession, env: str, base: str, source_path: str, drop_first: bool = False) -> str:
+# What a load's writes count as they go: an observation per layer.
+Counts = dict[str, Observation]
+
+
+def _counted(df: DataFrame, layer: str, counts: Counts | None) -> DataFrame:
+    """``df``, whose rows the write that takes them counts for ``layer``."""
+    if counts is None:
+        return df
+    counts[layer] = Observation()
+    return df.observe(counts[layer], F.count(F.lit(1)).alias("registros"))
+
+
+def load_counts(spark: SparkSession, counts: Counts) -> DataFrame:
+    """(capa, registros): rows per layer as counted by the writes of a load; nothing is read again."""
+    rows = [(layer, seen.get["registros"]) for layer, seen in counts.items()]
+    return spark.createDataFrame(rows, "capa string, registros long")
+
+
+def run_workload(
+    spark: SparkSession, env: str, base: str, source_path: str, drop_first: bool = False, counts: Counts | None = None
+) -> str:
     """Raw files -> all-text table with real headers.  Returns the table name."""
     db = ensure_layer_db(spark, env, "workload", base, drop_first)
     path = table_location(base, db, TABLE)
     raw = read_delimited(spark, source_path)
-    write_text_layer(raw, path)
+    write_text_layer(_counted(raw, "workload", counts), path)
     name = f"{db}.{TABLE}"
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source="csv", schema=raw.schema, **RAW_OPTIONS)
@@ -41,9 +63,17 @@ def run_workload(spark: SparkSession, env: str, base: str, source_path: str, dro
     return name
 
 
-def run_landing(spark: SparkSession, env: str, base: str, source: str, fmt: str = "parquet") -> str:
+def run_landing(
+    spark: SparkSession, env: str, base: str, source: str, fmt: str = "parquet", schema_file: str | None = None,
+    counts: Counts | None = None,
+) -> str:
     """Workload table -> landing table by claim month; only months in the input are replaced.
 
+    ``schema_file`` names an Avro record on shared storage that declares the table, all
+    but its partition column.  Rows are matched to it by name: a missing field takes
+    its default, one without a default is an error, and so is an existing table whose
+    fields or their order differ.  Without a file the declared claim columns hold.
+
     ``fmt="avro"`` writes row-oriented files where the session has that source; a
     format that the session or the existing table does not have is an error.
     """
@@ -51,12 +81,22 @@ def run_landing(spark: SparkSession, env: str, base: str, source: str, fmt: str
     db = ensure_layer_db(spark, env, "landing", base)
     path = table_location(base, db, TABLE)
     require_table_format(spark, f"{db}.{TABLE}", fmt)
-    rows = partition_last(lower_columns(read_layer(spark, source)), LANDING_PARTITION)
-    rows = require_columns(rows, LANDING_SCHEMA)
-    # The one shuffle of a load: later layers keep the months files come in.
-    overwrite_partitions(rebalanced(rows, [LANDING_PARTITION]), path, [LANDING_PARTITION], fmt)
     name = f"{db}.{TABLE}"
-    columns = ", ".join(f"`{f.name}` STRING" for f in LANDING_SCHEMA.fields)
+    rows = lower_columns(read_layer(spark, source))
+    options = {}
+    if schema_file is None:
+        rows = require_columns(partition_last(rows, LANDING_PARTITION), LANDING_SCHEMA)
+    else:
+        record = read_record(spark, schema_file)
+        if spark.catalog.tableExists(name):
+            require_record(spark.table(name).schema, record, [LANDING_PARTITION], name)
+        rows = resolve_record(rows, record, [LANDING_PARTITION])
+        if fmt == "avro":
+            options["avroSchema"] = render_record(record, TABLE)
+    # The one shuffle of a load: later layers keep the months files come in.
+    counted = _counted(rebalanced(rows, [LANDING_PARTITION]), "landing", counts)
+    overwrite_partitions(counted, path, [LANDING_PARTITION], fmt, options)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} "
         f"PARTITIONED BY ({LANDING_PARTITION}) LOCATION '{path}'"
@@ -66,22 +106,26 @@ def run_landing(spark: SparkSession, env: str, base: str, source: str, fmt: str
     return name
 
 
-def run_curated(spark: SparkSession, env: str, base: str, source: str) -> tuple[str, DataFrame]:
+def run_curated(
+    spark: SparkSession, env: str, base: str, source: str, counts: Counts | None = None
+) -> tuple[str, DataFrame]:
     """Landing table -> curated table, whole table replaced, no shuffle; its name and the load's report.
 
-    The report (rows in, kept, discarded, and broken rules) is one aggregate over the
-    columns the rules read, run when it is asked for.
+    The report (rows in, kept, discarded, and broken rules) is counted by the write
+    itself, between cleaning and the rules: landing is read once.
     """
     db = ensure_layer_db(spark, env, "curated", base)
     name = f"{db}.{TABLE}"
-    landing = read_layer(spark, source)
-    replace_table(curate(landing), name, [CURATED_PARTITION], table_location(base, db, TABLE))
-    return name, quality_report(landing)
+    seen = Observation()
+    curated = curate(read_layer(spark, source), check=lambda cleaned: observe_quality(cleaned, seen))
+    replace_table(_counted(curated, "curated", counts), name, [CURATED_PARTITION], table_location(base, db, TABLE))
+    return name, quality_row(spark, seen)
 
 
 def run_functional(
-    spark: SparkSession, env: str, base: str, source: str, as_of: Column | None = None, reuse: str = "table"
-) -> tuple[str, str]:
+    spark: SparkSession, env: str, base: str, source: str, as_of: Column | None = None, reuse: str = "table",
+    counts: Counts | None = None,
+) -> tuple[str, str]:
     """Curated table -> enriched table and KPI table.
 
     The KPIs use 10 of the 48 enriched columns.  ``reuse="table"`` reads just
@@ -93,20 +137,27 @@ def run_functional(
     enriched = enrich(read_layer(spark, source), as_of=as_of)
     if reuse == "cache":
         enriched = enriched.cache()
-    replace_table(enriched, enriched_name, [CURATED_PARTITION], table_location(base, db, ENRICHED_TABLE))
+    counted = _counted(enriched, "enriched", counts)
+    replace_table(counted, enriched_name, [CURATED_PARTITION], table_location(base, db, ENRICHED_TABLE))
     kpis = segment_kpis(enriched if reuse == "cache" else spark.table(enriched_name))
-    replace_table(kpis, kpi_name, [CURATED_PARTITION], table_location(base, db, KPI_TABLE))
+    replace_table(_counted(kpis, "kpis", counts), kpi_name, [CURATED_PARTITION], table_location(base, db, KPI_TABLE))
     if reuse == "cache":
         enriched.unpersist()
     return enriched_name, kpi_name
 
 
-def run_all(spark: SparkSession, env: str, base: str, source_path: str, as_of: Column | None = None) -> dict[str, str]:
-    """Raw files through all four layers; returns the table of each."""
-    workload = run_workload(spark, env, base, source_path)
-    landing = run_landing(spark, env, base, workload)
-    curated, _ = run_curated(spark, env, base, landing)
-    enriched, kpis = run_functional(spark, env, base, curated, as_of)
+def run_all(
+    spark: SparkSession, env: str, base: str, source_path: str, as_of: Column | None = None,
+    schema_file: str | None = None, counts: Counts | None = None,
+) -> dict[str, str]:
+    """Raw files through all four layers; returns the table of each.
+
+    ``counts`` is filled with an observation per layer, which ``load_counts`` reads.
+    """
+    workload = run_workload(spark, env, base, source_path, counts=counts)
+    landing = run_landing(spark, env, base, workload, schema_file=schema_file, counts=counts)
+    curated, _ = run_curated(spark, env, base, landing, counts)
+    enriched, kpis = run_functional(spark, env, base, curated, as_of, counts=counts)
     return {"workload": workload, "landing": landing, "curated": curated, "enriched": enriched, "kpis": kpis}
 
 

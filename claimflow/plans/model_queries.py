@@ -10,8 +10,9 @@ from ..fixed_values import CATEGORICAL_FEATURES, EVALUATION_INPUTS, LABEL, NUMER
 from ..functions.numbers import alert_level
 from ..functions.text import iso_week
 from ..operators import ensemble, features, metrics, review, scale, split
-from ..sources import readers, scratch
+from ..sources import readers, scratch, writers
 from ..streaming import arrivals
+from . import training
 from .claim_queries import curated, enriched, fixed_time, raw
 from .oracles import AS_OF, alert, content_hash
 from .registry import query
@@ -528,21 +529,8 @@ def _(spark, sf):
     )
 
 
-@query("artifact_round_trip", "SELECT count(*) AS registros FROM enriched")
-def _(spark, sf):
-    path = scratch.scratch_path(spark, "artifact")
-    ensemble.save_artifact(_artifact(spark, sf), spark, path)
-    scored = ensemble.score(enriched(spark, sf), ensemble.load_artifact(spark, path))
-    return scored.agg(F.count(F.lit(1)).alias("registros"))
-
-
-_SCORED = "SELECT numero_poliza, true AS coherente FROM enriched"
-
-
-@query("score", _SCORED)
-def _(spark, sf):
-    # Scores are null or in [0, 1]; decision and alert follow from them.
-    artifact = _artifact(spark, sf)
+def _coherent(claims, artifact):
+    """Per claim, whether its score is null or in [0, 1], and decision and alert follow from it."""
     p = F.col("probabilidad_fraude")
     near = F.abs(p - artifact.threshold) <= 5e-5  # the decision is taken before rounding
     decided = near | ((p >= artifact.threshold) == (F.col("prediccion_fraude") == 1))
@@ -550,10 +538,26 @@ def _(spark, sf):
     alerted = edge | (F.col("nivel_alerta") == alert_level(p))
     whole = p.between(0, 1) & decided & alerted
     empty = p.isNull() & F.col("prediccion_fraude").isNull() & F.col("nivel_alerta").isNull()
-    scored = ensemble.score(enriched(spark, sf), artifact)
+    scored = ensemble.score(claims, artifact)
     return scored.select("numero_poliza", (F.coalesce(whole, F.lit(False)) | empty).alias("coherente"))
 
 
+_SCORED = "SELECT numero_poliza, true AS coherente FROM enriched"
+
+
+@query("score", _SCORED)
+def _(spark, sf):
+    return _coherent(enriched(spark, sf), _artifact(spark, sf))
+
+
+@query("artifact_round_trip", _SCORED)
+def _(spark, sf):
+    # Every claim scored by the model that was saved and loaded.
+    path = scratch.scratch_path(spark, "artifact")
+    ensemble.save_artifact(_artifact(spark, sf), spark, path)
+    return _coherent(enriched(spark, sf), ensemble.load_artifact(spark, path))
+
+
 @query(
     "score_rows",
     "SELECT e.* EXCLUDE (ml_prediccion, ml_probabilidad_fraude), c.numero_poliza IS NOT NULL AS puntuado "
@@ -585,15 +589,35 @@ def _(spark, sf):
 @query(
     "retrain",
     "SELECT (SELECT count(*) FROM complete) + (SELECT count(*) FROM derived_forms f JOIN latest l ON f.case_id = l.case_id) AS registros, "
-    "true AS auc_valida",
+    "true AS auc_valida, CAST(5 AS BIGINT) AS pliegues, true AS media_valida",
 )
 def _(spark, sf):
     forms = features.form_fields(fixtures.forms(spark, sf)).withColumn("fraude_detectado", F.lit(None).cast("int"))
-    artifact = ensemble.retrain(
-        enriched(spark, sf).select(*_HISTORY), forms, fixtures.feedback(spark, sf), cross_validation=False
+    artifact = ensemble.retrain(enriched(spark, sf).select(*_HISTORY), forms, fixtures.feedback(spark, sf))
+    # Forms are labelled at random, so any area will do, but each fold has one and the summary is theirs.
+    valid = F.lit(0 < artifact.meta["auc_roc"] <= 1)
+    folds = artifact.report["validacion"].agg(
+        F.count_if("auc > 0 AND auc <= 1").alias("pliegues"),
+        (F.abs(F.avg("auc") - F.lit(artifact.meta["cv_media"])) < 1e-9).alias("media_valida"),
     )
-    valid = F.lit(0 < artifact.meta["auc_roc"] <= 1)  # forms are labelled at random
-    return artifact.report["balance"].select("registros", valid.alias("auc_valida"))
+    one = F.lit(1).alias("_k")
+    return artifact.report["balance"].select("registros", valid.alias("auc_valida"), one).join(folds.select("*", one), "_k").drop("_k")
+
+
+@query(
+    "training_source",
+    f"SELECT {', '.join(_HISTORY)}, CAST(NULL AS BIGINT) AS case_id, CAST(NULL AS TIMESTAMP) AS fecha_validacion "
+    "FROM (SELECT * REPLACE (CAST(valor_estimado_vehiculo AS DOUBLE) AS valor_estimado_vehiculo) FROM enriched) UNION ALL "
+    f"SELECT NULL, {', '.join('f.' + c for c in EVALUATION_INPUTS)}, l.label, f.case_id, l.fecha_validacion "
+    "FROM derived_forms f JOIN latest l ON f.case_id = l.case_id",
+)
+def _(spark, sf):
+    # No such table: the CSV export, whose header says table.column, and the labelled forms.
+    path = scratch.scratch_path(spark, "history")
+    rows = enriched(spark, sf).select(*_HISTORY)
+    writers.export_csv(rows.toDF(*[f"fraudes_enriquecido.{c}" for c in rows.columns]), path)
+    forms = features.form_fields(fixtures.forms(spark, sf)).withColumn("fraude_detectado", F.lit(None).cast("int"))
+    return training.training_source(spark, rows.schema, "no_such_db.fraudes_enriquecido", path, forms, fixtures.feedback(spark, sf))
 
 
 # --- arriving claims and feedback ---------------------------------------------

@@ -180,10 +180,11 @@ TABLES = {
         "CAST((day(CAST(fecha_accidente AS DATE)) + 6) // 7 AS INT) AS semana_accidente, "
         "CAST((day(CAST(fecha_reclamo AS DATE)) + 6) // 7 AS INT) AS semana_reclamo FROM forms"
     ),
-    "latest": (
-        "SELECT case_id, label, fecha_validacion FROM feedback "
+    "latest_events": (
+        "SELECT case_id, label, fecha_validacion, event_id FROM feedback "
         "QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY event_id DESC, fecha_validacion DESC, label DESC) = 1"
     ),
+    "latest": "SELECT case_id, label, fecha_validacion FROM latest_events",
     "resolved": (
         "SELECT e.case_id, e.fecha_evaluacion, e.ml_probabilidad_fraude, e.ml_prediccion, "
         "coalesce(l.label, e.fraude_detectado) AS fraude_detectado, l.fecha_validacion "

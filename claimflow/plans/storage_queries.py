@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..fixed_values import CURATED_PARTITION, LANDING_PARTITION, RAW_COLUMNS
 from ..operators import clean, kpi, review
-from ..sources import catalogue, readers, schemas, scratch, writers
-from ..streaming import arrivals
+from ..sources import catalogue, readers, records, schemas, scratch, writers
+from ..streaming import arrivals, state
 from .claim_queries import curated, enriched, fixed_time, raw
-from .layers import run_all, run_curated, run_exports, run_functional, run_landing, run_workload
+from .layers import load_counts, run_all, run_curated, run_exports, run_functional, run_landing, run_workload
 from .registry import query
 
 
@@ -62,6 +63,22 @@ def _(spark, sf):
     return readers.read_layer(spark, name)
 
 
+@query("replace_table_after_failure", "SELECT * FROM curated")
+def _(spark, sf):
+    # A write that fails half way leaves the rows there were.
+    base = scratch.scratch_path(spark, "replaced")
+    db = catalogue.ensure_layer_db(spark, _env(base), "curated", base)
+    name, path = f"{db}.fraudes", catalogue.table_location(base, db, "fraudes")
+    rows = curated(spark, sf)
+    writers.replace_table(rows, name, [CURATED_PARTITION], path)
+    bad = F.when(F.col("anio") >= 1995, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("anio"))
+    try:
+        writers.replace_table(rows.withColumn("anio", bad), name, [CURATED_PARTITION], path)
+    except SparkRuntimeException:
+        return readers.read_layer(spark, name)
+    raise AssertionError("the write was to fail")
+
+
 @query("write_layer", f"SELECT * FROM claims")
 def _(spark, sf):
     path = scratch.scratch_path(spark, "landing")
@@ -114,6 +131,49 @@ def _(spark, sf):
     return kpi.layer_counts({layer: readers.read_layer(spark, name) for layer, name in tables.items()})
 
 
+@query(
+    "load_counts",
+    "SELECT 'workload' AS capa, count(*) AS registros FROM claims UNION ALL SELECT 'landing', count(*) FROM claims "
+    "UNION ALL SELECT 'curated', count(*) FROM curated UNION ALL SELECT 'enriched', count(*) FROM enriched "
+    "UNION ALL SELECT 'kpis', count(*) FROM kpis",
+)
+def _(spark, sf):
+    # Counted by the writes of the load; no layer is read again.
+    base, counts = scratch.scratch_path(spark, "counted"), {}
+    run_all(spark, _env(base), base, _raw_files(spark, sf, "source"), as_of=fixed_time(), counts=counts)
+    return load_counts(spark, counts)
+
+
+def _landing_record(spark):
+    """The landing table's record as a file on shared storage."""
+    path = scratch.scratch_path(spark, "record")
+    fields = schemas.StructType([f for f in schemas.LANDING_SCHEMA.fields if f.name != LANDING_PARTITION])
+    records.write_record(spark, records.render_record(fields, "Claim"), path)
+    return path
+
+
+@query("landing_schema_file", "SELECT * FROM claims")
+def _(spark, sf):
+    # The record declares the table; a second load finds it fitting.
+    base = scratch.scratch_path(spark, "landing-record")
+    env, record = _env(base), _landing_record(spark)
+    workload = run_workload(spark, env, base, _raw_files(spark, sf, "source"))
+    for _ in range(2):
+        landing = run_landing(spark, env, base, workload, schema_file=record)
+    return readers.read_layer(spark, landing)
+
+
+@query("landing_schema_resolved", "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS basepolicy) FROM claims")
+def _(spark, sf):
+    # Columns in another order, one too many and one that takes its default.
+    base = scratch.scratch_path(spark, "landing-resolved")
+    env, record = _env(base), _landing_record(spark)
+    db = catalogue.ensure_layer_db(spark, env, "workload", base)
+    rows = raw(spark, sf).drop("basepolicy").withColumn("extra", F.lit("x"))
+    rows.select(*reversed(rows.columns)).write.saveAsTable(f"{db}.fraudes")
+    return readers.read_layer(spark, run_landing(spark, env, base, f"{db}.fraudes", schema_file=record))
+
+
 @query("layer_landing", "SELECT * FROM claims")
 def _(spark, sf):
     tables, _ = _layers(spark, sf, "layers")
@@ -232,11 +292,21 @@ def _(spark, sf):
     return readers.read_csv_inferred(spark, path, schema=kpis.schema)
 
 
-@query("consolidate_csv", "SELECT * FROM curated")
+@query("export_csv_parts", "SELECT * FROM curated")
 def _(spark, sf):
-    parts, out = scratch.scratch_path(spark, "parts"), scratch.scratch_path(spark, "consolidated")
+    # A table that grows with the claims stays in as many files as tasks write it.
+    path = scratch.scratch_path(spark, "parts")
     rows = curated(spark, sf)
-    writers.export_csv(rows, parts, single_file=False)
+    writers.export_csv(rows, path)
+    return readers.read_csv_inferred(spark, path, schema=rows.schema)
+
+
+@query("consolidate_csv", "SELECT * FROM kpis")
+def _(spark, sf):
+    # One file for the KPI table, which segments bound.
+    parts, out = scratch.scratch_path(spark, "parts"), scratch.scratch_path(spark, "consolidated")
+    rows = kpi.segment_kpis(enriched(spark, sf))
+    writers.export_csv(rows.repartition(4), parts)
     writers.consolidate_csv(spark, parts, out)
     return readers.read_csv_inferred(spark, out, schema=rows.schema)
 
@@ -309,3 +379,58 @@ def _(spark, sf):
 def _(spark, sf):
     resolved = review.resolve_feedback(fixtures.evaluations(spark, sf), fixtures.feedback(spark, sf))
     return review.validated_feedback(scratch.materialize(resolved, "resolved"))
+
+
+@query("resolve_feedback_bucketed", "SELECT * FROM resolved")
+def _(spark, sf):
+    # Evaluations lie in buckets of their case: only labels are shuffled.
+    base = scratch.scratch_path(spark, "bucketed")
+    db = catalogue.ensure_layer_db(spark, _env(base), "evaluations", base)
+    name, buckets = f"{db}.evaluaciones", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writers.write_bucketed(fixtures.evaluations(spark, sf), name, "case_id", buckets, catalogue.table_location(base, db, "evaluaciones"))
+    return review.resolve_feedback(readers.read_layer(spark, name), fixtures.feedback(spark, sf))
+
+
+@query("feedback_state", "SELECT case_id, label, fecha_validacion, event_id FROM latest_events")
+def _(spark, sf):
+    # Two arrivals and a batch given once more leave the last label of each case.
+    arriving, kept, checkpoint = (scratch.scratch_path(spark, n) for n in ("labels", "state", "state-checkpoint"))
+    rows = fixtures.feedback(spark, sf)
+    late = F.pmod(F.col("event_id"), F.lit(3)) == 0
+    for part in (rows.filter(late), rows.filter(~late)):  # older and newer labels in either
+        part.write.mode("append").parquet(arriving)
+        arrivals.feedback_state_stream(spark, arriving, kept, checkpoint)
+    state.merge_feedback(rows.filter(~late), 1, kept)
+    state.vacuum_feedback(spark, kept)
+    return state.feedback_state(spark, kept)
+
+
+@query("resolve_feedback_state", "SELECT * FROM resolved")
+def _(spark, sf):
+    # The state is one row per case already: evaluations meet it without an aggregate.
+    kept = scratch.scratch_path(spark, "state")
+    state.merge_feedback(fixtures.feedback(spark, sf), 0, kept)
+    return review.with_latest(fixtures.evaluations(spark, sf), state.feedback_state(spark, kept))
+
+
+def _arrived_claims(spark, sf):
+    """Folders of enriched claims and of KPI partials after two arrivals."""
+    arriving, out, partials, checkpoint = (scratch.scratch_path(spark, n) for n in ("claims", "enriched", "partials", "claims-checkpoint"))
+    rows = raw(spark, sf)
+    early = F.col("sex") == "Female"  # segments get claims from both arrivals
+    for part in (rows.filter(early), rows.filter(~early)):
+        part.write.mode("append").parquet(arriving)
+        arrivals.claims_stream(spark, arriving, out, partials, checkpoint, as_of=fixed_time())
+    return out, partials
+
+
+@query("segment_kpis_arriving", "SELECT * FROM kpis")
+def _(spark, sf):
+    _, partials = _arrived_claims(spark, sf)
+    return arrivals.arrived_kpis(spark, partials)
+
+
+@query("claims_stream", "SELECT * FROM enriched")
+def _(spark, sf):
+    out, _ = _arrived_claims(spark, sf)
+    return spark.read.schema(enriched(spark, sf).schema.add(arrivals.BATCH, "long")).parquet(out).drop(arrivals.BATCH)

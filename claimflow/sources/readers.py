@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from .catalogue import recover_table
 from .schemas import RAW_SCHEMA
 
 # How raw claim files are delimited and encoded.
@@ -39,7 +40,9 @@ def read_delimited(
 
 
 def read_layer(spark: SparkSession, name: str) -> DataFrame:
-    """A catalogue table."""
+    """A catalogue table; one whose replacement ended half way is put right first."""
+    if not spark.catalog.tableExists(name):
+        recover_table(spark, name)
     return spark.table(name)
 
 

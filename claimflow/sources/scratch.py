@@ -31,6 +31,12 @@ def _delete_at_exit(spark: SparkSession, folder: str) -> None:
     files.deleteOnExit(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, on whatever storage; one that is not there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write to shared storage and read back: a cut lineage that survives lost executors."""
     path = scratch_path(df.sparkSession, name)

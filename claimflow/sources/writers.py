@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .catalogue import drop_table, location_of, recover_table, rename_table
 from .readers import LOG_BATCH, RAW_OPTIONS, require_rows
 from .scratch import scratch_path
 
@@ -60,12 +63,14 @@ def write_layer(df: DataFrame, path: str, keys: list[str] | None = None, fmt: st
     (writer.partitionBy(*keys) if keys else writer).save(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, keys: list[str], fmt: str = "parquet") -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, keys: list[str], fmt: str = "parquet", options: dict[str, str] | None = None
+) -> None:
     """Replace only the partitions present in ``df``."""
     (
         df.write.mode("overwrite")
         .format(fmt)
-        .option("compression", "snappy")
+        .options(**{"compression": "snappy", **(options or {})})
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .save(path)
@@ -73,9 +78,40 @@ def overwrite_partitions(df: DataFrame, path: str, keys: list[str], fmt: str = "
 
 
 def replace_table(df: DataFrame, name: str, keys: list[str], path: str | None = None) -> None:
-    """Replace a whole partitioned catalogue table."""
-    writer = df.write.mode("overwrite").format("parquet").option("compression", "snappy").partitionBy(*keys)
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    """Replace a whole partitioned catalogue table, which stays as it is until the new rows are written.
+
+    The rows go to a folder of their own beside ``path``, as a table of another name.
+    Only then do two renames in the catalogue put it in the place of the former one,
+    whose files are deleted last.  A write that fails leaves the former rows; what a
+    driver lost between the renames leaves behind is put right by ``recover_table``,
+    which readers and the next replacement call.
+    """
+    spark = df.sparkSession
+    recover_table(spark, name)
+    base = path or location_of(spark, name)
+    held = f"{name}__writing"
+    (
+        df.write.mode("overwrite").format("parquet").option("compression", "snappy").partitionBy(*keys)
+        .option("path", f"{base}.versions/{uuid.uuid4().hex}").saveAsTable(held)
+    )
+    rename_table(spark, held, f"{name}__new")  # from here on its rows are whole
+    if spark.catalog.tableExists(name):
+        rename_table(spark, name, f"{name}__old")
+    rename_table(spark, f"{name}__new", name)
+    drop_table(spark, f"{name}__old")
+    spark.catalog.refreshTable(name)
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str, mode: str = "overwrite") -> None:
+    """A catalogue table in buckets of ``key``, sorted by it: joins on the key need no exchange of it.
+
+    Rows are gathered by key first, so a task writes few buckets; a key with very many
+    rows is split over several files of its bucket.  Take as many buckets as a shuffle
+    has partitions: with fewer a join deals the rows anew, with more it moves the other
+    side, aggregated before, a second time.
+    """
+    writer = rebalanced(df, [key]).write.mode(mode).format("parquet").option("compression", "snappy")
+    writer.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
 
 
 def table_partitions(spark: SparkSession, name: str) -> DataFrame:

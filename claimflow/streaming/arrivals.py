@@ -17,12 +17,23 @@ from ..operators.clean import lower_columns
 from ..operators.derive import enrich
 from ..operators.ensemble import Artifact, score
 from ..operators.features import form_fields
+from ..operators.kpi import kpis_of_partials, merge_partials, segment_partials
 from ..operators.localize import curate
 from ..operators.review import evaluation_columns
 from ..sources.readers import LOG_STREAM, strip_line_end
-from ..sources.schemas import FORM_SCHEMA, RAW_SCHEMA
+from ..sources.schemas import FEEDBACK_SCHEMA, FORM_SCHEMA, RAW_SCHEMA
+from .state import BUCKETS, merge_feedback
 
-FEEDBACK_SCHEMA = "case_id long, fecha_validacion timestamp_ntz, label int, event_id long"
+BATCH = "lote"  # folders of a batch
+
+
+def _arriving(
+    spark: SparkSession, in_path: str, schema: StructType | str, fmt: str = "parquet", options: dict | None = None,
+    files_per_batch: int = 1000,
+) -> DataFrame:
+    files = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
+    arriving = files.option("maxFilesPerTrigger", files_per_batch).load(in_path)
+    return strip_line_end(arriving) if fmt == "csv" else arriving
 
 
 def run_stream(
@@ -38,17 +49,8 @@ def run_stream(
     partition_by: str | None = None,
 ) -> None:
     """Take the files that have arrived through ``transform`` and append the result."""
-    arriving = (
-        spark.readStream.format(fmt)
-        .schema(schema)
-        .options(**(options or {}))
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(in_path)
-    )
-    if fmt == "csv":
-        arriving = strip_line_end(arriving)
     writer = (
-        transform(arriving)
+        transform(_arriving(spark, in_path, schema, fmt, options, files_per_batch))
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out_path)
@@ -58,6 +60,24 @@ def run_stream(
     (writer.partitionBy(partition_by) if partition_by else writer).start().awaitTermination()
 
 
+def run_batches(
+    spark: SparkSession, in_path: str, checkpoint: str, handle: Callable[[DataFrame, int], None], **source
+) -> None:
+    """Give the files that have arrived to ``handle(rows, batch id)``, batch by batch.
+
+    A batch that failed is given again under its id, so ``handle`` has to leave the
+    same state however often it sees one.
+    """
+    query = (
+        _arriving(spark, in_path, **source)
+        .writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def enrich_stream(
     spark: SparkSession, in_path: str, out_path: str, checkpoint: str, as_of: Column | None = None, **source
 ) -> None:
@@ -94,3 +114,40 @@ def feedback_stream(spark: SparkSession, in_path: str, out_path: str, checkpoint
     """Arriving reviewer labels -> append-only feedback log, resolved when read."""
     source.setdefault("schema", FEEDBACK_SCHEMA)
     run_stream(spark, in_path, f"{out_path}/{LOG_STREAM}", checkpoint, transform=lambda df: df, **source)
+
+
+def claims_stream(
+    spark: SparkSession, in_path: str, out_path: str, partials: str, checkpoint: str, as_of: Column | None = None, **source
+) -> None:
+    """Arriving raw claims -> enriched rows and, per batch, what they add to the segment KPIs.
+
+    The rows of a batch have a folder of their own, its counts and sums too; a repeated
+    batch replaces both.  The counts are taken from the rows just written, of which
+    they read a few columns, so claims are derived once.
+    """
+    source.setdefault("schema", RAW_SCHEMA)
+
+    def handle(rows: DataFrame, batch: int) -> None:
+        enriched = enrich(curate(lower_columns(rows)), as_of=as_of)
+        folder = f"{out_path}/{BATCH}={batch}"
+        enriched.write.mode("overwrite").partitionBy(CURATED_PARTITION).parquet(folder)
+        written = rows.sparkSession.read.schema(enriched.schema).parquet(folder)
+        segment_partials(written).coalesce(1).write.mode("overwrite").parquet(f"{partials}/{BATCH}={batch}")
+
+    run_batches(spark, in_path, checkpoint, handle, **source)
+
+
+def arrived_kpis(spark: SparkSession, partials: str) -> DataFrame:
+    """KPIs of all claims that have arrived: the batches' counts and sums added up, claims not read.
+
+    Segments times batches bound what is read.
+    """
+    return kpis_of_partials(merge_partials(spark.read.parquet(partials).drop(BATCH)))
+
+
+def feedback_state_stream(
+    spark: SparkSession, in_path: str, state: str, checkpoint: str, buckets: int = BUCKETS, **source
+) -> None:
+    """Arriving reviewer labels -> the last label of each case, kept up to date batch by batch."""
+    source.setdefault("schema", FEEDBACK_SCHEMA)
+    run_batches(spark, in_path, checkpoint, lambda rows, batch: merge_feedback(rows, batch, state, buckets), **source)

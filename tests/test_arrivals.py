@@ -1,11 +1,16 @@
 """Arriving files: each row once, equal to the batch result."""
 
+import datetime
+import glob
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from claimflow import fixtures
-from claimflow.operators import derive, localize, review
+from claimflow.operators import derive, kpi, localize, review
 from claimflow.sources import readers
-from claimflow.streaming import arrivals
+from claimflow.streaming import arrivals, state
 
 
 def same(a, b):
@@ -47,3 +52,72 @@ def test_feedback_arrives_twice_for_a_case(spark, tmp_path):
     log = readers.read_log(spark, out, arrivals.FEEDBACK_SCHEMA)
     assert log.count() == 2
     assert [r.label for r in review.latest_feedback(log).collect()] == [1]
+
+
+FEEDBACK = "case_id long, fecha_validacion timestamp_ntz, label int, event_id long"
+
+
+def labels(spark, *events):
+    rows = [(case, datetime.datetime(2024, 1, 1), label, event) for case, label, event in events]
+    return spark.createDataFrame(rows, FEEDBACK)
+
+
+def held(spark, path):
+    return {r.case_id: (r.label, r.event_id) for r in state.feedback_state(spark, path).collect()}
+
+
+def test_feedback_state(spark, tmp_path):
+    path = str(tmp_path)
+    assert held(spark, path) == {}
+    first = labels(spark, (1, 0, 10), (1, 1, 11), (2, 0, 5), (3, 1, 1), (None, 1, 99))
+    state.merge_feedback(first, 0, path, 4)
+    assert held(spark, path) == {1: (1, 11), 2: (0, 5), 3: (1, 1)}
+    late = labels(spark, (1, 0, 9), (2, 1, 6))  # one older than what is known
+    state.merge_feedback(late, 1, path, 4)
+    want = {1: (1, 11), 2: (1, 6), 3: (1, 1)}
+    assert held(spark, path) == want
+    for batch, again in ((1, late), (0, first), (1, late)):  # given once more
+        state.merge_feedback(again, batch, path, 4)
+        assert held(spark, path) == want
+    state.merge_feedback(labels(spark), 2, path, 4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        state.merge_feedback(late, 3, path, 8)
+    touched = len({r[0] for r in late.select(state.bucket_of("case_id", 4)).collect()})
+    assert state.vacuum_feedback(spark, path) == touched and held(spark, path) == want
+
+
+def test_batch_rewrites_only_its_buckets(spark, tmp_path):
+    path = str(tmp_path)
+    state.merge_feedback(labels(spark, *[(i, 0, i) for i in range(400)]), 0, path, 16)
+    state.merge_feedback(labels(spark, (7, 1, 1000)), 1, path, 16)
+    assert len(glob.glob(f"{path}/data/version=0/bucket=*")) == 16
+    assert len(glob.glob(f"{path}/data/version=1/bucket=*")) == 1
+    assert held(spark, path) == {i: (0, i) for i in range(400)} | {7: (1, 1000)}
+
+
+def test_half_a_batch_is_not_read(spark, tmp_path):
+    path = str(tmp_path)
+    state.merge_feedback(labels(spark, (1, 0, 1)), 0, path, 2)
+    state.merge_feedback(labels(spark, (1, 1, 2)), 1, path, 2)
+    for f in glob.glob(f"{path}/commits/version=1/*"):
+        os.remove(f)  # the driver was lost before the commit
+    assert held(spark, path) == {1: (0, 1)}
+    state.merge_feedback(labels(spark, (1, 1, 2)), 1, path, 2)
+    assert held(spark, path) == {1: (1, 2)}
+
+
+def test_kpis_of_parts_equal_kpis_of_all(spark, sf):
+    enriched = derive.enrich(localize.curate(fixtures.claims(spark, sf)))
+    parts = [kpi.segment_partials(enriched.filter(F.pmod("numero_poliza", F.lit(3)) == i)) for i in range(3)]
+    merged = kpi.kpis_of_partials(kpi.merge_partials(parts[0].union(parts[1]).union(parts[2])))
+    whole = kpi.segment_kpis(enriched)
+    assert merged.dtypes == whole.dtypes and merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+
+
+def test_repeated_batch_of_claims_counts_once(spark, sf, tmp_path):
+    arriving, out, partials, state_of = (str(tmp_path / n) for n in ("in", "out", "partials", "state"))
+    fixtures.claims(spark, sf).write.parquet(arriving)
+    for checkpoint in (state_of, f"{state_of}-lost"):  # a lost checkpoint gives the batch again under its number
+        arrivals.claims_stream(spark, arriving, out, partials, checkpoint)
+    whole = kpi.segment_kpis(derive.enrich(localize.curate(fixtures.claims(spark, sf))))
+    assert arrivals.arrived_kpis(spark, partials).exceptAll(whole).isEmpty()

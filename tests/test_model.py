@@ -1,5 +1,7 @@
 """Training, scoring and saving; quality floors, never another library's digits."""
 
+import glob
+import shutil
 from dataclasses import replace
 
 import pytest
@@ -7,8 +9,10 @@ from pyspark.sql import functions as F
 
 from claimflow import fixtures
 from claimflow.fixed_values import CATEGORICAL_FEATURES, EVALUATION_INPUTS, LABEL, LEAKY_COLUMNS, NUMERIC_FEATURES
-from claimflow.operators import derive, ensemble, features, localize, split
-from claimflow.sources import scratch
+from claimflow.operators import derive, ensemble, features, localize, scale, split
+from claimflow.plans import training
+from claimflow.sources import scratch, writers
+from claimflow.sources.readers import EmptyInput
 
 SMALL = ensemble.Params(rounds=6, trees=6, forest_depth=4, boosted_leaf=5, forest_leaf=5, folds=2, bins=32)
 
@@ -129,3 +133,89 @@ def test_retraining_uses_feedback(spark, sf, enriched):
 def test_soft_vote(spark):
     df = spark.createDataFrame([(0.9, 0.3)], "p1 double, p2 double")
     assert ensemble.soft_vote(df).first().p == (0.9 * 2 + 0.3) / 3
+
+
+def test_codes_are_the_same_by_every_way(spark):
+    data = [(i % 7, f"v{i % 40}" if i % 11 else None, "ab"[i % 2]) for i in range(300)] + [(1, "unseen", "c")]
+    df = spark.createDataFrame(data, "k int, a string, b string")
+    codes = scale.category_codes(df.filter("a IS DISTINCT FROM 'unseen'"), ["a", "b"])
+    ways = [scale.with_codes(df, ["a", "b"], codes, most=n) for n in (1000, 3)]
+    ways.append(scale._codes_by_column(df, ["a", "b"], codes, "_code_"))
+    rows = [sorted(map(str, w.select("k", "a", "b", "_code_a", "_code_b").collect())) for w in ways]
+    assert rows[0] == rows[1] == rows[2]
+    assert scale.with_codes(df, ["a"], codes.limit(0)).filter("_code_a <> -1").isEmpty()
+    assert [w.columns for w in ways] == [["k", "a", "b", "_code_a", "_code_b"]] * 3
+
+
+def test_few_codes_need_no_join(enriched, artifact):
+    scored = ensemble.score(enriched, artifact)
+    assert "Join" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [1, 2, 10, 57, 400, 5000])
+def test_draw_is_exact(spark, n):
+    # 10 distinct vectors, each 40 times; ids tell the rows apart.
+    rows = [(i, i % 10, int(i % 10 == 3 and i % 3 == 0)) for i in range(400)]
+    df = scratch.materialize(spark.createDataFrame(rows, "numero_poliza int, x int, y int"), "to-draw")
+    for frame in (df, df.drop("numero_poliza")):  # without ids: copies are divided by their count
+        drawn, sizes = split.draw(frame, "y", n)
+        assert drawn.count() == min(n, 400) == sum(sizes.values()) and drawn.columns == frame.columns
+        assert {c: drawn.filter(F.col("y") == c).count() for c in sizes} == sizes
+        assert drawn.exceptAll(frame).isEmpty()
+        if n > 1:
+            assert all(sizes.values())
+
+
+def test_fit_takes_so_many_rows(spark, enriched, monkeypatch):
+    frame = scratch.materialize(features.training_frame(enriched, ["numero_poliza"]), "frame")
+    seen = []
+    monkeypatch.setattr(ensemble, "balanced_weights", lambda rows, label, weight, counts: seen.append((rows.columns, rows.count(), counts)) or split.balanced_weights(rows, label, weight, counts))
+    ensemble.fit(frame, replace(SMALL, fit_rows=100, rounds=1, trees=1))
+    columns, n, counts = seen[0]
+    assert n == 100 == sum(counts.values()) and "numero_poliza" not in columns
+
+
+def test_restart_fits_only_what_is_missing(spark, enriched, tmp_path, monkeypatch):
+    params, path, fitted = replace(SMALL, rounds=2, trees=2, folds=3), str(tmp_path / "journal"), []
+    fit = ensemble.fit
+    monkeypatch.setattr(ensemble, "fit", lambda rows, p: fitted.append(rows.count()) or fit(rows, p))
+    first = ensemble.train(enriched, params, journal=path)
+    assert len(fitted) == 4
+    [folder] = glob.glob(f"{path}/*")
+    shutil.rmtree(f"{folder}/fold-2")
+    fitted.clear()
+    again = ensemble.train(enriched.repartition(5), params, journal=path)  # the same rows in other files
+    assert len(fitted) == 1 and glob.glob(f"{path}/*") == [folder]
+    assert again.meta["auc_roc"] == first.meta["auc_roc"]
+    assert [r.fold for r in again.report["validacion"].collect()] == [0, 1, 2]
+    shutil.rmtree(f"{folder}/model-done")
+    fitted.clear()
+    ensemble.train(enriched, params, journal=path)
+    assert len(fitted) == 1
+    ensemble.train(enriched, replace(params, rounds=1), cross_validation=False, journal=path)
+    assert len(fitted) == 2 and len(glob.glob(f"{path}/*")) == 2
+
+
+def test_training_source(spark, enriched, tmp_path):
+    schema = enriched.select("numero_poliza", "edad").schema
+    with pytest.raises(EmptyInput):
+        training.history(spark, schema, "no_db.t", str(tmp_path / "none"))
+    path = str(tmp_path / "csv")
+    part = enriched.select("numero_poliza", "edad", "deducible")
+    writers.export_csv(part.toDF("f.numero_poliza", "f.edad", "f.deducible"), path)
+    rows = training.history(spark, schema, "no_db.t", path)
+    assert rows.dtypes == part.drop("deducible").dtypes and rows.exceptAll(part.drop("deducible")).isEmpty()
+    with pytest.raises(ValueError, match="missing: otra"):
+        training.history(spark, schema.add("otra", "integer"), None, path)
+
+
+def test_training_run_saves_and_goes_on(spark, enriched, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS training_run")
+    try:
+        enriched.write.mode("overwrite").saveAsTable("training_run.claims")
+        out, small = str(tmp_path / "model"), replace(SMALL, rounds=1, trees=1)
+        made = training.run_training(spark, out, enriched.schema, "training_run.claims", params=small)
+        assert ensemble.load_artifact(spark, out).meta == made.meta
+        assert len(glob.glob(f"{out}.journal/*/fold-*")) == small.folds
+    finally:
+        spark.sql("DROP DATABASE training_run CASCADE")

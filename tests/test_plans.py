@@ -98,3 +98,23 @@ def test_month_less_partition_is_not_read(spark, sf, tmp_path):
     writers.overwrite_partitions(rows, path, ["monthclaimed"])
     text = plan(localize.curate(spark.read.schema(schemas.LANDING_SCHEMA).parquet(path)))
     assert "isnotnull(monthclaimed" in re.search(r"PartitionFilters: (.*)", text).group(1)
+
+
+def test_bucketed_evaluations_are_not_shuffled(spark, sf, tmp_path):
+    evaluations, labels = fixtures.evaluations(spark, sf), fixtures.feedback(spark, sf)
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, rows in (("bucketed.evals", evaluations), ("bucketed.latest", review.latest_feedback(labels))):
+            writers.write_bucketed(rows, name, "case_id", 8, str(tmp_path / name))
+        evals = spark.table("bucketed.evals")
+        resolved = review.resolve_feedback(evals, labels)
+        assert nodes(plan(resolved), "Exchange") == 1  # the labels, combined before they move
+        assert nodes(plan(review.resolve_feedback(evaluations, labels)), "Exchange") == 2
+        assert nodes(plan(review.with_latest(evals, spark.table("bucketed.latest"))), "Exchange") == 0
+        want = review.resolve_feedback(evaluations, labels)
+        assert resolved.exceptAll(want).isEmpty() and want.exceptAll(resolved).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+        spark.sql("DROP DATABASE bucketed CASCADE")

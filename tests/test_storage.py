@@ -196,3 +196,55 @@ def test_landing_replaces_only_months_it_is_given(spark, sf, tmp_path):
     assert landing.filter("monthclaimed = 'Apr'").count() == 3
     assert landing.filter("monthclaimed IS DISTINCT FROM 'Apr'").count() == claims.filter("monthclaimed IS DISTINCT FROM 'Apr'").count()
     assert clean.lower_columns(landing).columns == landing.columns
+
+
+def failing(spark):
+    df = rows(spark, [("c", 3), ("d", 4)]).select(F.when(F.col("v") > 3, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")).alias("v"), "k")
+    return df.repartition(2, "k")
+
+
+def test_failed_replacement_leaves_the_table(spark, tmp_path):
+    db = catalogue.ensure_layer_db(spark, f"q{uuid.uuid4().hex[:8]}", "curated", str(tmp_path))
+    name, path = f"{db}.t", str(tmp_path / "t")
+    first = rows(spark, [("a", 1), (None, 2)]).select("v", "k")
+    writers.replace_table(first, name, ["k"], path)
+    with pytest.raises(Exception, match="lost"):
+        writers.replace_table(failing(spark), name, ["k"], path)
+    assert as_set(readers.read_layer(spark, name)) == [(1, "a"), (2, None)]
+    writers.replace_table(rows(spark, [("z", 9)]).select("v", "k"), name, ["k"], path)
+    assert as_set(readers.read_layer(spark, name)) == [(9, "z")]
+    assert as_set(writers.table_partitions(spark, name)) == [("k=z",)]
+    assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
+    assert len(glob.glob(f"{path}.versions/*")) <= 2  # the former rows are gone; a failed write may leave its folder
+
+
+@pytest.mark.parametrize("left, want", [(["new", "old"], [(2, "new")]), (["old"], [(1, "old")]), (["t", "new"], [(3, "t")]), (["t", "old"], [(3, "t")]), (["writing", "old"], [(1, "old")])])
+def test_replacement_that_ended_half_way(spark, tmp_path, left, want):
+    db = catalogue.ensure_layer_db(spark, f"h{uuid.uuid4().hex[:8]}", "curated", str(tmp_path))
+    for kind, v in (("old", 1), ("new", 2), ("t", 3), ("writing", 4)):
+        if kind in left:
+            name = f"{db}.t" if kind == "t" else f"{db}.t__{kind}"
+            rows(spark, [(kind, v)]).select("v", "k").write.option("path", str(tmp_path / kind)).partitionBy("k").saveAsTable(name)
+    catalogue.recover_table(spark, f"{db}.t")
+    assert as_set(readers.read_layer(spark, f"{db}.t")) == want
+    assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
+
+
+def test_reader_puts_a_lost_table_right(spark, tmp_path):
+    db = catalogue.ensure_layer_db(spark, f"l{uuid.uuid4().hex[:8]}", "curated", str(tmp_path))
+    rows(spark, [("a", 1)]).write.saveAsTable(f"{db}.t__new")
+    assert as_set(readers.read_layer(spark, f"{db}.t")) == [("a", 1)]
+
+
+def test_load_counts_read_nothing_again(spark, sf, tmp_path):
+    source, base = str(tmp_path / "source"), str(tmp_path)
+    writers.write_text_layer(fixtures.claims(spark, sf).toDF(*RAW_COLUMNS), source)
+    env, counts = f"c{uuid.uuid4().hex[:8]}", {}
+    landing = layers.run_landing(spark, env, base, layers.run_workload(spark, env, base, source, counts=counts), counts=counts)
+    _, report = layers.run_curated(spark, env, base, landing, counts)
+    plans = report._jdf.queryExecution().toString() + layers.load_counts(spark, counts)._jdf.queryExecution().toString()
+    assert "Scan parquet" not in plans and "Scan csv" not in plans
+    want = kpi.quality_report(spark.table(landing))
+    assert report.columns == want.columns and as_set(report) == as_set(want)
+    n = fixtures.claims(spark, sf).count()
+    assert as_set(layers.load_counts(spark, counts)) == sorted([("workload", n), ("landing", n), ("curated", want.first().total_curated)])
