@@ -28,7 +28,8 @@ from .common import groups_of
 
 CHUNK = 1 << 14  # counts of a row of a dense vector
 FAN = 16  # vectors summed at once
-KEPT = 300_000  # segments a worker remembers
+SLICE = 1 << 15  # characters encoded at once
+KEPT = 500_000  # stretches a worker remembers
 KEPT_CHARS = 16 << 20  # and their characters
 CUT = 1 << 20  # characters of a long text in hand at once
 # One space between other characters starts a token in both vocabularies: text is
@@ -121,7 +122,8 @@ class Aligner:
         self.size_a = np.array([len(x) for x in self.bytes_a])
         self.size_b = np.array([len(x) for x in self.bytes_b])
         # A piece with a space behind another character could span a border.
-        self.split = _BORDER.split if not any(re.search("[^▁]▁", p) for p in pieces) else lambda t: [t]
+        self.joins = not any(re.search("[^▁]▁", p) for p in pieces)
+        self.split = _BORDER.split if self.joins else lambda t: [t]
         self.counts: tuple | None = None
         self.forget()
 
@@ -129,9 +131,9 @@ class Aligner:
         self.known: dict[str, int] = {}
         self.chars = 0
         self.groups: list[str] = []
-        self.spelt = np.zeros(0, bool)  # whether the bytes of the tokens are those of the text
-        self.sizes = np.zeros((0, 6), np.int64)  # tokens of a, of b, links, best links, sum of counts, links not met before
-        self.pairs, self.ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.spelt = np.zeros(1024, bool)  # whether the bytes of the tokens are those of the text
+        self.sizes = np.zeros((1024, 6), np.int64)  # tokens of a, of b, links, best links, sum of counts, links not met before
+        self.pairs: list[np.ndarray] = []  # of all stretches, in their order; kept in the first pass only
 
     def full(self) -> bool:
         return len(self.known) > KEPT or self.chars > KEPT_CHARS
@@ -145,37 +147,53 @@ class Aligner:
     def rows(self, stretches: list[str]) -> np.ndarray:
         """The row of each stretch; new ones are aligned."""
         known = self.known
-        new = [s for s in set(stretches) if s not in known]
-        if new:
-            self._learn(new)
+        new = list(set(stretches).difference(known))
+        while len(self.spelt) < len(known) + len(new):
+            self.spelt = np.concatenate([self.spelt, np.zeros_like(self.spelt)])
+            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+        # Stretches that begin and end with other characters are encoded joined by
+        # spaces, at each of which a token starts.
+        plain, odd = [], []
+        for s in new:
+            (plain if s.strip() == s and s and self.joins else odd).append(s)
+        open_ = [*([s] for s in odd), *_slices(plain)]
+        while open_:  # those that are not spelt are found by halves
+            part = open_.pop()
+            if not self._learn(part):
+                open_ += [part[: len(part) // 2], part[len(part) // 2 :]]
         return np.fromiter(map(known.__getitem__, stretches), np.int64, len(stretches))
 
-    def _learn(self, new: list[str]) -> None:
-        found_a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in new], add_special_tokens=False)]
-        found_b = self.b.encode(new, num_threads=1)
-        whole = []
-        for s, x, y in zip(new, found_a, found_b):
-            data = (" " + s).encode()
-            whole.append(b"".join([self.bytes_a[i] for i in x]) == data == b"".join([self.bytes_b[i] for i in y]))
-            if not whole[-1]:
-                x.clear()
-                y.clear()
-        n_a, n_b = (np.array([len(x) for x in f]) for f in (found_a, found_b))
-        a, b = (np.fromiter((i for x in f for i in x), np.int64, int(n.sum())) for f, n in ((found_a, n_a), (found_b, n_b)))
-        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])  # stretches with tokens end together
+    def _learn(self, new: list[str]) -> bool:
+        """Align stretches as one text; False, and nothing learnt, where the tokens of several do not spell it."""
+        text = " ".join(new)
+        data = (" " + text).encode()
+        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        b = self.b.encode(text)
+        whole = b"".join([self.bytes_a[i] for i in a]) == data == b"".join([self.bytes_b[i] for i in b])
+        if not whole:
+            if len(new) > 1:
+                return False
+            a, b = [], []
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         _, at_a, at_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
+        cuts = np.cumsum([len(s.encode()) + 1 for s in new])
+        ends = np.searchsorted(end_a[at_a], cuts, side="right") if whole else np.zeros(1, np.int64)
         pairs = a[at_a] * len(self.bytes_b) + b[at_b]
-        links = np.diff(np.searchsorted(at_a, np.r_[0, np.cumsum(n_a)]))
-        ends = np.cumsum(links)
-        sizes = np.zeros((len(new), 6), np.int64)
-        sizes[:, 0], sizes[:, 1], sizes[:, 2] = n_a, n_b, links
+        first = len(self.known)
+        rows = slice(first, first + len(new))
+        sizes = self.sizes[rows]
+        for k, end in ((0, end_a), (1, end_b)):
+            sizes[:, k] = np.diff(np.searchsorted(end, cuts, side="right"), prepend=0)
+        sizes[:, 2] = np.diff(ends, prepend=0)
+        self.spelt[rows] = whole
         if self.counts:
             hashed, counts, best = self.counts
             at = hashed.number(pairs)
             missing = at < 0  # stretches of texts without tokens may have pairs that no other text has
             of_best, of_counts = (np.where(missing, 0, v[at]) if len(v) else at * 0 for v in (best, counts))
             sums = np.c_[of_best, of_counts, missing].cumsum(axis=0, dtype=np.int64)
-            sizes[:, 3:] = np.diff(np.r_[np.zeros((1, 3), np.int64), sums][np.r_[0, ends]], axis=0)
+            sizes[:, 3:] = np.diff(np.r_[np.zeros((1, 3), np.int64), sums][ends], axis=0, prepend=0)
             text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
             cut_a, cut_b = [0, *(at_a + 1).tolist()], [0, *(at_b + 1).tolist()]
             each = [
@@ -183,16 +201,16 @@ class Aligner:
             ]
             self.groups += [";".join(each[lo:hi]) for lo, hi in zip([0, *ends.tolist()], ends.tolist())]
         else:
-            self.pairs, self.ends = np.r_[self.pairs, pairs], np.r_[self.ends, self.ends[-1] + ends]
-        self.sizes, self.spelt = np.r_[self.sizes, sizes], np.r_[self.spelt, whole].astype(bool)
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.chars += sum(map(len, new))
+            self.pairs.append(pairs)
+        self.known.update(zip(new, range(first, first + len(new))))
+        self.chars += len(text)
+        return True
 
     def parts(self, text: str) -> Iterator[list[str]]:
         """Stretches of a text, about CUT characters at once; joined by spaces they are the text."""
         start = 0
         while len(text) - start > 2 * CUT:
-            border = _BORDER.search(text, start + CUT) if self.split == _BORDER.split else None
+            border = _BORDER.search(text, start + CUT) if self.joins else None
             if not border:
                 break
             yield self.split(text[start : border.start()])
@@ -200,6 +218,18 @@ class Aligner:
         yield self.split(text[start:] if start else text)
 
 
+def _slices(stretches: list[str]) -> Iterator[list[str]]:
+    """Runs of stretches of together about SLICE characters."""
+    start, held = 0, 0
+    for i, s in enumerate(stretches):
+        held += len(s) + 1
+        if held >= SLICE:
+            yield stretches[start : i + 1]
+            start, held = i + 1, 0
+    if start < len(stretches):
+        yield stretches[start:]
+
+
 @cache
 def aligner(a_path: str, b_path: str) -> Aligner:
     """One per worker process."""
@@ -224,8 +254,8 @@ def _task_counts(source: Iterator[pa.RecordBatch], both: Aligner) -> Iterator[pa
     def gather() -> None:
         """Links of the stretches hit so far."""
         nonlocal pairs, counts, hits
-        weight = np.repeat(hits, np.diff(both.ends))
-        pairs, at = np.unique(np.r_[pairs, both.pairs], return_inverse=True)
+        weight = np.repeat(hits, both.sizes[: len(hits), 2])
+        pairs, at = np.unique(np.concatenate([pairs, *both.pairs]), return_inverse=True)
         summed = np.zeros(len(pairs), np.int64)
         np.add.at(summed, at, np.r_[counts, weight])
         pairs, counts = pairs[summed > 0], summed[summed > 0]
@@ -351,23 +381,33 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Data
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(a_path, b_path)
         both.look(shared.value)
+
+        def take(at: np.ndarray, i: int, sums: np.ndarray, groups: list[str]) -> None:
+            """Add stretches to text i; one that is not spelt leaves the text without tokens."""
+            sums[i, :6] += both.sizes[at].sum(axis=0)
+            sums[i, 6] += np.count_nonzero(~both.spelt[at])
+            more = ";".join([both.groups[k] for k in at.tolist()])
+            groups[i] = "" if sums[i, 6] else f"{groups[i]};{more}" if groups[i] else more
+
         for batch in source:
             for lo, hi, texts in _texts(batch):
-                sums, groups = np.zeros((len(texts), 6), np.int64), []
-                for i, t in enumerate(texts):
-                    found, whole = [], True
-                    for part in both.parts(t) if t else ():
-                        at = both.rows(part)
-                        sums[i] += both.sizes[at].sum(axis=0)
-                        whole = bool(both.spelt[at].all()) and whole
-                        found += [both.groups[k] for k in at.tolist()]
+                sums, groups = np.zeros((len(texts), 7), np.int64), [""] * len(texts)  # at last: stretches not spelt
+                short = [i for i, t in enumerate(texts) if 0 < len(t) <= 2 * CUT]
+                split = [both.split(texts[i]) for i in short]
+                at = both.rows([s for words in split for s in words])
+                ends = np.cumsum([0, *map(len, split)])
+                for k, i in enumerate(short):
+                    take(at[ends[k] : ends[k + 1]], i, sums, groups)
+                if both.full():
+                    both.forget()
+                for i in (i for i, t in enumerate(texts) if len(t) > 2 * CUT):
+                    for part in both.parts(texts[i]):
+                        take(both.rows(part), i, sums, groups)
                         if both.full():
                             both.forget()
-                    if not whole:
-                        found, sums[i] = [], 0
-                    elif sums[i, 5]:
-                        raise RuntimeError("a pair of the second pass was not met in the first")
-                    groups.append(";".join(found))
+                if sums[sums[:, 6] == 0, 5].any():
+                    raise RuntimeError("a pair of the second pass was not met in the first")
+                sums[sums[:, 6] > 0] = 0
                 columns = [batch.column("doc").slice(lo, hi - lo), *(pa.array(c) for c in sums[:, :5].T.copy()), pa.array(groups, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", *names, "groups"])
 

@@ -92,6 +92,7 @@ def test_documents_equal_brute_force(spark, sf, monkeypatch, small):
     if small:  # workers start anew with other settings; here the driver's own process takes the batches
         monkeypatch.setattr(L, "KEPT", 50)
         monkeypatch.setattr(L, "CUT", 700)
+        monkeypatch.setattr(L, "SLICE", 90)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = [r[0] for r in docs.select("text").collect()]
     texts += [None, "", "▁", "bad ▁ one", "x " * 800 + "▁", LONG]
