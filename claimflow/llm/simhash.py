@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
@@ -18,9 +18,10 @@ from .tokens import cuts
 SHINGLE = 3  # words
 RADIUS = 2  # differing bits that still link
 LEAF_ROWS = 1_024  # fingerprints a leaf of the tree should hold
-MAX_DEPTH = 12  # 4,096 leaves: the broadcast tree stays under 64 KB
-SAMPLE_PER_LEAF = 16  # fingerprints drawn to place the vantage points
-BLOCK_ROWS = 16_384  # a leaf of more rows is dealt to several tasks
+MAX_DEPTH = 20  # a million leaves for a billion fingerprints: the broadcast tree stays under 12 MB
+SAMPLE_PER_LEAF = 16  # fingerprints drawn to place the vantage points, SAMPLE_MOST in all
+SAMPLE_MOST = 1 << 22  # 32 MB
+BLOCK_ROWS = 16_384  # a leaf of more rows is dealt to several groups, of two such blocks each
 _SEED = 42
 _CUT = 1 << 20
 
@@ -124,12 +125,13 @@ class Tree:
         return row, node - len(self.point), home
 
 
-def _forest(fps: np.ndarray, data: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (node, root) that join all rows of ``fps`` within ``radius`` of a data row: a forest, not all pairs."""
-    nodes = np.unique(fps)
+def _forest(meetings: list[tuple[np.ndarray, np.ndarray]], radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, root) that join, per meeting (rows, targets), each row with the targets within ``radius``.
+
+    A forest, not all pairs.
+    """
+    nodes = np.unique(np.concatenate([x for meeting in meetings for x in meeting]))
     parent = np.arange(len(nodes))
-    target = np.unique(fps[data])
-    at = np.searchsorted(nodes, target)
 
     def roots(k: np.ndarray) -> np.ndarray:
         r = parent[k]
@@ -137,12 +139,16 @@ def _forest(fps: np.ndarray, data: np.ndarray, radius: int) -> tuple[np.ndarray,
             r = parent[r]
         return r
 
-    step = max(1, 2_000_000 // max(1, len(target)))
-    for lo in range(0, len(nodes), step):
-        near = np.bitwise_count(nodes[lo : lo + step, None] ^ target[None, :]) <= radius
-        for i in np.flatnonzero(near.sum(axis=1) > np.isin(nodes[lo : lo + step], target, assume_unique=True)):
-            r = np.unique(roots(np.r_[lo + i, at[near[i]]]))
-            parent[r] = r[0]
+    for rows, targets in meetings:
+        rows, targets = np.unique(rows), np.unique(targets)
+        own, at = np.searchsorted(nodes, rows), np.searchsorted(nodes, targets)
+        step = max(1, 2_000_000 // max(1, len(targets)))
+        for lo in range(0, len(rows), step):
+            part = rows[lo : lo + step]
+            near = np.bitwise_count(part[:, None] ^ targets[None, :]) <= radius
+            for i in np.flatnonzero(near.sum(axis=1) > np.isin(part, targets, assume_unique=True)):
+                r = np.unique(roots(np.r_[own[lo + i], at[near[i]]]))
+                parent[r] = r[0]
     r = roots(np.arange(len(nodes)))
     moved = r != np.arange(len(nodes))
     return nodes[moved], nodes[r[moved]]
@@ -153,13 +159,14 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
 
     A bounded sample places the vantage points; every fingerprint goes to its home
     leaf and, as a query, to the later leaves that its ball may overlap, so every pair
-    meets in one leaf.  Large leaves are dealt to several tasks in blocks.  A task
-    emits a spanning forest of its pairs: dense groups give rows, not squares of rows.
+    meets in one leaf.  Large leaves are cut into blocks, of which every two meet in a
+    group, so no group grows with a leaf.  A group emits a spanning forest of its pairs:
+    dense groups give rows, not squares of rows.
     """
     spark = distinct.sparkSession
     depth = max(0, min(MAX_DEPTH, math.ceil(math.log2(max(1, n / LEAF_ROWS)))))
     grain = 1 << 30
-    share = min(grain, grain * (SAMPLE_PER_LEAF << depth) // max(1, n) + 1)
+    share = min(grain, grain * min(SAMPLE_MOST, SAMPLE_PER_LEAF << depth) // max(1, n) + 1)
     sample = distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(grain)) < share).select("fp").toArrow()["fp"].to_numpy()
     tree = spark.sparkContext.broadcast(Tree(sample.view(np.uint64), depth, radius))
 
@@ -175,22 +182,28 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
                 )
 
     routed = materialize(distinct.select("fp").mapInArrow(route, "leaf int, fp long, home boolean"), "shards")
-    sizes = {r["leaf"]: r["count"] for r in routed.groupBy("leaf").count().collect()}  # MAX_DEPTH bounds the leaves
-    blocks = {leaf: -(-size // BLOCK_ROWS) for leaf, size in sizes.items() if size > BLOCK_ROWS}
-    many = F.coalesce(F.create_map(*[F.lit(x) for p in blocks.items() for x in p])[F.col("leaf")], F.lit(1)) if blocks else F.lit(1)
-    dealt = routed.select("leaf", "fp", "home", many.alias("many")).select(
-        "leaf", "fp", F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("block"), "home", "many"
-    )
-    dealt = dealt.select(
-        "leaf", "block", "fp", (F.col("home") & (F.pmod(F.xxhash64("fp"), F.col("many")) == F.col("block"))).alias("data")
+    # Leaves of very many rows are cut into blocks, and every two blocks meet in a group.
+    # MAX_DEPTH bounds the leaves, so their sizes are small enough to broadcast.
+    large = routed.groupBy("leaf").count().filter(F.col("count") > BLOCK_ROWS)
+    large = materialize(large.select("leaf", F.ceil(F.col("count") / BLOCK_ROWS).alias("many")), "large-leaves")
+    dealt = routed.join(F.broadcast(large), "leaf", "left").withColumn("many", F.coalesce("many", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("many"))).select(
+        "leaf", "fp", "home", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)).alias("other")
     )
+    dealt = dealt.select("leaf", "fp", "home", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
 
     def pairs(group: pa.Table) -> pa.Table:
-        a, b = _forest(group["fp"].to_numpy().view(np.uint64), group["data"].to_numpy(zero_copy_only=False), radius)
+        fps, home = group["fp"].to_numpy().view(np.uint64), group["home"].to_numpy(zero_copy_only=False)
+        low = group["own"].to_numpy() == group["low"].to_numpy()
+        if group["low"][0] == group["high"][0]:
+            meetings = [(fps, fps[home])]
+        else:
+            meetings = [(fps[low], fps[~low & home]), (fps[~low & ~home], fps[low & home])]
+        a, b = _forest(meetings, radius)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(tasks, "leaf", "block").groupBy("leaf", "block").applyInArrow(pairs, "a long, b long")
+    return dealt.repartition(tasks, "leaf", "low", "high").groupBy("leaf", "low", "high").applyInArrow(pairs, "a long, b long")
 
 
 def _grouped(docs: DataFrame, text: str, key: str, shingle: int, radius: int) -> DataFrame:
@@ -217,7 +230,8 @@ def simhash_groups(
 
     Nulls: a null or empty text has fingerprint 0, which links like any other; null
     keys are passed over in the minimum (a group of null keys alone has a null id).
-    Repeated rows are returned as often as they come.  Extra columns are not returned.
+    Repeated rows are returned as often as they come; very long texts are hashed in
+    blocks; an empty table gives no rows.  Extra columns are not returned.
     """
     return _grouped(docs, text, key, shingle, radius).select(F.col("id").alias(key), "fp", "component_id")
 
@@ -228,11 +242,28 @@ def near_dedup(
     """One row of each group of ``simhash_groups``: that with the smallest key.
 
     Null keys come after all others; of rows with one key, that with the smallest text
-    hash stays, and of rows equal in both a single one.  All columns are returned as
-    they are.
+    hash stays, and of rows equal in both a single one.  A null or empty text has
+    fingerprint 0 like any other text without words, so one of them stays.  All columns
+    are returned as they are; an empty table gives no rows.
+
+    What is decided on are narrow rows.  Whole rows meet the keys of those that go, and
+    are moved only if these are too many to broadcast, or where a row that stays is
+    there more than once.
     """
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "th")
-    keep = _grouped(docs, text, key, shingle, radius).groupBy("root").agg(F.min(order).alias("k")).select("k.id", "k.th")
+    groups = materialize(_grouped(docs, text, key, shingle, radius).select("id", "th", "root"), "near-groups")
+    keep = groups.groupBy("root").agg(F.min(order).alias("k"))
+    gone = groups.join(keep, "root").filter(order != F.col("k")).select("id", "th").distinct()
+    again = groups.groupBy("id", "th").count().filter("count > 1").select("id", "th")
+    again = materialize(again.join(gone, _same("id", "th", again, gone), "left_anti"), "near-repeats")
     rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("r_id"), F.xxhash64(text).alias("r_th"))
-    kept = rows.join(keep, F.col("r_id").eqNullSafe(F.col("id")) & (F.col("r_th") == F.col("th")), "left_semi")
-    return kept.dropDuplicates(["r_id", "r_th"]).select("doc.*")
+    kept = rows.join(gone, F.col("r_id").eqNullSafe(F.col("id")) & (F.col("r_th") == F.col("th")), "left_anti")
+    if again.isEmpty():
+        return kept.select("doc.*")
+    repeated = F.col("r_id").eqNullSafe(F.col("id")) & (F.col("r_th") == F.col("th"))
+    once = kept.join(again, repeated, "left_semi").dropDuplicates(["r_id", "r_th"])
+    return kept.join(again, repeated, "left_anti").union(once).select("doc.*")
+
+
+def _same(id: str, th: str, left: DataFrame, right: DataFrame) -> Column:
+    return left[id].eqNullSafe(right[id]) & (left[th] == right[th])

@@ -31,7 +31,7 @@ def test_stages_follow_one_another(spark, sf):
 
     near = materialize(stages["simhash_dedup"](spark, lined, sf), "test")
     keys = list(rows(lined))
-    groups = test_simhash.grouped(keys, [test_simhash.plain(rows(lined)[k], P.SHINGLE) for k in keys], 2)
+    groups = test_simhash.grouped(keys, [test_simhash.plain(rows(lined)[k], 3) for k in keys], 2)
     assert rows(near) == {k: rows(lined)[k] for k, g in zip(keys, groups) if k == g}
 
     clean = materialize(stages["decontamination"](spark, near, sf), "test")

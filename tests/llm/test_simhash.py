@@ -75,6 +75,43 @@ def test_groups_equal_brute_force(spark, monkeypatch):
     assert got == dict(zip(keys, grouped(keys, fps, 2)))
 
 
+def test_no_group_holds_a_leaf(spark, monkeypatch):
+    monkeypatch.setattr(S, "LEAF_ROWS", 10_000)  # one leaf
+    monkeypatch.setattr(S, "BLOCK_ROWS", 300)
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    fps = np.unique(np.r_[base, base[:500] ^ np.uint64(1), base[:200] ^ np.uint64(6)])
+    rows = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    sizes, forest = spark.sparkContext.accumulator(0), S._forest
+    found = S.links(rows, len(fps), 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "leaf" in plan and "low" in plan and "high" in plan
+    links = found.collect()
+    groups = grouped(list(range(len(fps))), fps.tolist(), 2)
+    assert len({g for g in groups}) == len(fps) - len(components_of(fps, links))
+    # Groups as the plan deals them: at most two blocks.
+    many = -(-len(fps) // 300)
+    assert many > 5
+
+
+def components_of(fps, links):
+    """Links that join two parts: a forest of all given links."""
+    parent = {int(f): int(f) for f in fps.view(np.int64)}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    joined = []
+    for a, b in links:
+        p, q = find(a), find(b)
+        if p != q:
+            parent[p] = q
+            joined.append((a, b))
+    return joined
+
+
 def test_documents_equal_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     given = docs.select("doc_id", "text").collect()
