@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.scratch import materialize
-from .common import bitmap_of, maybe_in
+from .common import Members
 
 MASK_BITS = 2  # one word start in four ends a chunk
 UNSPACED_BITS = 4  # one character in sixteen, where no white space is near
@@ -76,11 +76,11 @@ def _whole(data: bytes, at: int) -> int:
 
 
 def _chunks(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(id, th, lo, hi, digest) of all chunks."""
+    """(id, th, lo, hi, digest, digest2) of all chunks; the digest has 128 bits."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
-        names = ["id", "th", "lo", "hi", "digest"]
+        digest = xxhash.xxh3_128_digest
+        names = ["id", "th", "lo", "hi", "digest", "digest2"]
         for batch in source:
             rows, lo, hi, sums = [], [], [], []
             for i, t in enumerate(batch.column("t")):
@@ -99,18 +99,19 @@ def _chunks(docs: DataFrame, text: str, key: str) -> DataFrame:
 
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
     schema = StructType([rows.schema["id"], rows.schema["th"]]).add("lo", "integer").add("hi", "integer")
-    return rows.mapInArrow(run, schema.add("digest", "long"))
+    return rows.mapInArrow(run, schema.add("digest", "long").add("digest2", "long"))
 
 
 def _table(batch, rows, lo, hi, sums, names) -> pa.RecordBatch:
-    at = pa.array(rows, pa.int32())
+    at, sums = pa.array(rows, pa.int32()), np.frombuffer(b"".join(sums), "<i8").reshape(-1, 2)
     return pa.RecordBatch.from_arrays(
         [
             batch.column("id").take(at),
             batch.column("th").take(at),
             pa.array(lo, pa.int32()),
             pa.array(hi, pa.int32()),
-            pa.array(np.array(sums, np.uint64).view(np.int64)),
+            pa.array(sums[:, 0].copy()),
+            pa.array(sums[:, 1].copy()),
         ],
         names=names,
     )
@@ -119,20 +120,19 @@ def _table(batch, rows, lo, hi, sums, names) -> pa.RecordBatch:
 def repeated_chunks(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(id, th, spans): per row key and text hash, the sorted byte spans of chunks seen earlier.
 
-    Earlier is by key (nulls last), text hash and place.  Digests have 64 bits beside
-    the length; should two chunks collide by chance, that is one short span, which
-    LEAST_RUN passes over.
+    Earlier is by key (nulls last), text hash and place.  Two chunks are equal if their
+    lengths and the 128 bits of their digests are.
     """
     chunks = materialize(_chunks(docs, text, key), "chunks")
-    many = chunks.groupBy("digest").count().filter("count > 1").select("digest")
-    hits = maybe_in(chunks, "digest", bitmap_of(many, "digest")).filter("bm_hit").drop("bm_hit")
+    many = materialize(chunks.groupBy("digest").count().filter("count > 1").select("digest"), "chunks-many")
+    hits = Members(many, "digest").mark(chunks, "digest").filter("hit").drop("hit")
     hits = materialize(hits.withColumn("size", F.col("hi") - F.col("lo")), "chunks-repeated")
     at = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "lo")
     first = materialize(
-        hits.groupBy("digest", "size").agg(F.min(at).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "chunks-first"
+        hits.groupBy("digest", "digest2", "size").agg(F.min(at).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "chunks-first"
     )
     # Two stored tables: a chunk that a third of the texts share is split at run time.
-    again = hits.join(first, ["digest", "size"]).filter(at != F.col("first"))
+    again = hits.join(first, ["digest", "digest2", "size"]).filter(at != F.col("first"))
     return again.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
 
 

@@ -1,4 +1,4 @@
-"""What the operators share: tables, batch sizes, membership bitmaps."""
+"""What the operators share: tables, batch sizes, membership of keys."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..conf import tune
-from ..sources.scratch import scratch_path
+from ..sources.scratch import materialize, scratch_path
 
 # Rows handed to Python at once; with bytes bounded too, a worker's memory does not
 # follow the length of the texts.
@@ -54,10 +54,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def groups_of(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
-    """Borders of runs of texts of together about ``most`` characters."""
+    """Borders of runs of texts of together about ``most`` characters; a longer text stands alone."""
     start, held = 0, 0
     for i, text in enumerate(texts):
-        held += len(text or "")
+        size = len(text or "")
+        if size > most and i > start:
+            yield start, i
+            start, held = i, 0
+        held += size
         if held >= most:
             yield start, i + 1
             start, held = i + 1, 0
@@ -77,36 +81,64 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_MAP).split()
 
 
-# --- membership of keys in a set, as a bitmap of fixed size --------------------------
+# --- membership of keys in a set ------------------------------------------------------
+#
+# A Bloom filter in blocks: a key's hash picks a block of 32,768 bits and BITS places in
+# it.  The number of blocks follows the number of keys, so false hits stay near one in
+# sixty however many there are.  It is broadcast while its bytes, which are known
+# before, are at most MOST_BYTES; beyond that, keys and rows are joined exactly.
 
-BITMAP_BITS = 1 << 24  # 2 MB; at most 512 rows of 4 KB are broadcast, whatever the data
+BLOCK_BITS = 1 << 15  # of one row of a filter, as Spark's bitmap functions cut them
+KEY_BITS = 12  # bits of the filter per key
+BITS = 3  # places per key
+BLOCK_BYTES = BLOCK_BITS // 4  # as broadcast: 32 bits in a long
+LEAST_BLOCKS = 64  # 512 KB
+MOST_BYTES = 256 << 20  # broadcast at most: 89 million keys
 
 
-def _slot(key: Column) -> Column:
-    return F.pmod(key, F.lit(BITMAP_BITS))
+def _place(key: Column, i: int) -> Column:
+    """The i-th place of a key in its block."""
+    return F.xxhash64(F.lit(i), key).bitwiseAND(F.lit(BLOCK_BITS - 1))
 
 
-def bitmap_of(keys: DataFrame, key: str) -> DataFrame:
-    """The long keys as bits: rows (bucket, bits), 512 at most."""
-    slot = _slot(F.col(key))
-    return keys.groupBy(F.bitmap_bucket_number(slot).alias("bm_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bm_bits")
-    )
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
 
-def maybe_in(df: DataFrame, key: str, bitmap: DataFrame) -> DataFrame:
-    """``df`` with the boolean column ``bm_hit``: false only where the key is surely not in the set.
+class Members:
+    """Which keys are in a set: surely not, or perhaps (``exact``: surely).
 
-    The broadcast is bounded by BITMAP_BITS.  Hits by chance are left to an exact
-    join on narrow rows afterwards; the bitmap only spares work.
+    ``keys`` is a stored table with the long column ``key``; null keys are not members.
     """
-    slot = _slot(F.col(key))
-    bit = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring(F.col("bm_bits"), (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10)
-    hit = F.coalesce(F.getbit(byte.cast("int"), bit.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
-    return (
-        df.withColumn("bm_key_bucket", F.bitmap_bucket_number(slot))
-        .join(F.broadcast(bitmap), F.col("bm_key_bucket") == F.col("bm_bucket"), "left")
-        .withColumn("bm_hit", hit)
-        .drop("bm_key_bucket", "bm_bucket", "bm_bits")
-    )
+
+    def __init__(self, keys: DataFrame, key: str, most_bytes: int = MOST_BYTES):
+        self.keys = keys.select(F.col(key).alias("m_key")).filter("m_key IS NOT NULL")
+        self.blocks = max(LEAST_BLOCKS, -(-self.keys.count() * KEY_BITS // BLOCK_BITS))
+        self.exact = self.blocks * BLOCK_BYTES > most_bytes
+        if not self.exact:
+            places = F.explode(F.array(*[_place(F.col("m_key"), i) for i in range(BITS)])).alias("place")
+            bits = F.bitmap_construct_agg("place").alias("m_bits")
+            found = self.keys.select(_block(F.col("m_key"), self.blocks).alias("m_block"), places)
+            # As numbers of 32 bits, so that looking one up takes no text functions.
+            word = lambda i: F.conv(F.hex(F.substring("m_bits", i * 4 + 1, F.lit(4))), 16, 10).cast("long")
+            words = F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BITS // 32 - 1)), word)
+            self.filter = materialize(found.groupBy("m_block").agg(bits).select("m_block", words.alias("m_words")), "members")
+
+    def mark(self, df: DataFrame, key: str | Column, name: str = "hit") -> DataFrame:
+        """``df`` with the boolean column ``name``, never null."""
+        value = F.col(key) if isinstance(key, str) else key
+        if self.exact:
+            there = self.keys.distinct().withColumn("m_hit", F.lit(True))
+            out = df.withColumn("m_value", value).join(there, F.col("m_value") == F.col("m_key"), "left")
+            return out.withColumn(name, F.coalesce("m_hit", F.lit(False))).drop("m_value", "m_key", "m_hit")
+        out = df.withColumn("m_value", value)
+        out = out.withColumn("m_of", _block(F.col("m_value"), self.blocks))
+        out = out.join(F.broadcast(self.filter), F.col("m_of") == F.col("m_block"), "left")
+        hit = F.col("m_value").isNotNull() & F.col("m_words").isNotNull()
+        for i in range(BITS):  # the second and third place are looked at only where the first is set
+            place = _place(F.col("m_value"), i).cast("int")
+            word = F.get("m_words", F.shiftright(place, 5))
+            # Bytes stand highest first in a number, bits lowest first in a byte.
+            bit = (F.lit(3) - F.shiftright(place, 3).bitwiseAND(F.lit(3))) * 8 + place.bitwiseAND(F.lit(7))
+            hit = hit & (F.getbit(word, bit) == 1)
+        return out.withColumn(name, F.coalesce(hit, F.lit(False))).drop("m_value", "m_of", "m_block", "m_words")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
-from .common import WHITESPACE, bitmap_of, maybe_in
+from .common import WHITESPACE, Members
 
 PREFIX = 256  # characters hashed in the second step
 
@@ -24,8 +24,8 @@ def exact_dedup(
     Texts are equal when they are identical after ``normalised``.  Rows whose length is
     theirs alone stop after the first step, rows whose prefix is theirs alone after the
     second; only what survives both is hashed in full (SHA-256).  Survivors are known
-    to the last scan by a bitmap of fixed size, so no text is ever shuffled: what moves
-    are lengths and hashes, combined within each task first.
+    to the last scan by a filter broadcast while its bytes are bounded, so no text is
+    shuffled: what moves are lengths and hashes, combined within each task first.
 
     ``carry`` names further columns over the row, of which ``norm`` is the normalised
     text; they are computed in the last scan.
@@ -45,16 +45,16 @@ def exact_dedup(
         "exact-heads",
     )
     shared = keys.groupBy("size").agg(F.sum("count").alias("n")).filter("n > 1").select("size")
-    survivors = keys.filter("count > 1").join(shared, "size", "left_semi")
-    bitmap = bitmap_of(survivors, "head")
+    survivors = materialize(keys.filter("count > 1").join(shared, "size", "left_semi").select("head"), "exact-survivors")
 
     # 3: the full hash, for survivors only.
-    probed = maybe_in(sized.withColumn("head", F.xxhash64("size", F.substring("norm", 1, prefix))), "head", bitmap)
+    head = F.xxhash64("size", F.substring("norm", 1, prefix))
+    probed = Members(survivors, "head").mark(sized, head)
     rows = materialize(
         probed.select(
             "id",
             F.monotonically_increasing_id().alias("row"),
-            F.when(F.col("bm_hit"), F.sha2("norm", 256)).alias("full"),
+            F.when(F.col("hit"), F.sha2("norm", 256)).alias("full"),
             *[c.alias(f"c_{name}") for name, c in carry.items()],
         ),
         "exact-rows",
@@ -69,7 +69,9 @@ def exact_dedup(
         "exact-groups",
     )
     # Both sides are stored tables: a hash with a third of all rows is split at run time.
-    out = rows.join(groups, "full", "left")
+    # Rows without one, which are most, have no partner and do not meet.
+    hashed = rows.filter("full IS NOT NULL").join(groups, "full", "left")
+    out = hashed.unionByName(rows.filter("full IS NULL"), allowMissingColumns=True)
     alone = F.col("n").isNull()
     return out.select(
         F.col("id").alias(key),

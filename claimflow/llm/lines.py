@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
-from .common import bitmap_of, maybe_in
+from .common import Members
 
 MIN_WORDS = 8
 LINE = ["h", "h2", "nw"]  # what identifies a line: 96 bits of its words, and their number
@@ -48,14 +48,13 @@ def _worded(lines: DataFrame) -> DataFrame:
 def _spots(docs: DataFrame, text: str, key: str, at: DataFrame) -> DataFrame:
     """The lines at the places ``at`` (struct ``first``), and perhaps a few more, with their words.
 
-    Bitmaps over rows and places keep all other documents and lines from being cut
+    Filters over rows and places keep all other documents and lines from being cut
     into words again.
     """
     row, place = F.xxhash64("first.id", "first.th"), F.xxhash64("first.id", "first.th", "first.line")
-    rows = docs.select(key, text, F.xxhash64(F.col(key), F.xxhash64(text)).alias("k"))
-    rows = maybe_in(rows, "k", bitmap_of(at.select(row.alias("k")), "k")).filter("bm_hit")
-    found = _lines(rows, text, key).withColumn("k", F.xxhash64("id", "th", "line"))
-    return _worded(maybe_in(found, "k", bitmap_of(at.select(place.alias("k")), "k")).filter("bm_hit"))
+    rows = Members(at.select(row.alias("k")).distinct(), "k").mark(docs.select(key, text), F.xxhash64(F.col(key), F.xxhash64(text)))
+    found = _lines(rows.filter("hit").drop("hit"), text, key)
+    return _worded(Members(at.select(place.alias("k")), "k").mark(found, F.xxhash64("id", "th", "line")).filter("hit"))
 
 
 def _half_keys(words: Column, size: Column, shorter: Column) -> list[Column]:
@@ -101,13 +100,13 @@ def _near_lines(docs: DataFrame, text: str, key: str, unique: DataFrame) -> Data
         keyed.filter(F.col("nw") > MIN_WORDS).select(F.explode("long").alias("k"), F.lit(0).alias("o"), F.lit(1).alias("l"))
     )
     shared = materialize(halves.groupBy("k").agg(F.sum("o").alias("o"), F.sum("l").alias("l")).filter("o > 1 OR o * l > 0"), "line-halves")
-    replaced, shifted = bitmap_of(shared.filter("o > 1"), "k"), bitmap_of(shared.filter("o * l > 0"), "k")
+    replaced, shifted = Members(shared.filter("o > 1"), "k"), Members(shared.filter("o * l > 0"), "k")
 
     # 2: lines with a shared half, and on which side an edit can then lie.
     tested = keyed
-    for name, bits, source in [("r0", replaced, "own[0]"), ("r1", replaced, "own[1]"), ("s0", shifted, "own[0]"),
-                               ("s1", shifted, "own[1]"), ("l0", shifted, "long[0]"), ("l1", shifted, "long[1]")]:
-        tested = maybe_in(tested.withColumn("k", F.expr(source)), "k", bits).withColumnRenamed("bm_hit", name).drop("k")
+    for name, members, source in [("r0", replaced, "own[0]"), ("r1", replaced, "own[1]"), ("s0", shifted, "own[0]"),
+                                  ("s1", shifted, "own[1]"), ("l0", shifted, "long[0]"), ("l1", shifted, "long[1]")]:
+        tested = members.mark(tested, F.expr(source), name)
     active = materialize(
         tested.filter("r0 OR r1 OR s0 OR s1 OR l0 OR l1").select(*LINE, "first", "r0", "r1", (F.col("s0") | F.col("s1")).alias("s"), "l0", "l1"),
         "line-active",

@@ -52,3 +52,11 @@ def test_no_text_is_shuffled(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     plan = exact_dedup(docs)._jdf.queryExecution().executedPlan().toString()
     assert "norm" not in plan and " text#" not in plan
+
+
+def test_rows_without_a_copy_do_not_meet_in_one_task(spark, sf):
+    """The join of hashes leaves out rows that have none, which are most."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    tree = exact_dedup(docs)._jdf.queryExecution().optimizedPlan().toString()
+    joined = [line for line in tree.split("\n") if "Join LeftOuter" in line]
+    assert joined and "Union" in tree and "isnotnull(full" in tree
