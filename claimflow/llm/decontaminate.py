@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
@@ -177,39 +177,65 @@ def _blocks(items: DataFrame, text: str, key: str) -> Iterator[list[tuple[object
     yield block
 
 
-def _scan(docs: DataFrame, text: str, shared: Broadcast, first: bool) -> DataFrame:
-    """``docs`` as (doc struct, spans, item keys), joined with those of earlier automata."""
-    rows = docs.select(F.struct("*").alias("doc")) if first else docs
-    rows = rows.withColumn("t", F.col("doc")[text])
+_SPANS = ArrayType(StructType().add("lo", "long").add("hi", "long"))
+_TEXT = ["th", "th2"]  # what identifies a text between automata: 128 bits
+
+
+def _found(automaton: Automaton, words: list[bytes], spans: list, items: list) -> tuple[list[dict], list[str]]:
+    """Spans and item keys of a text, with those found by earlier automata."""
+    s, found = automaton.scan(words)
+    names = {str(automaton.names[k]) for k in found if automaton.names[k] is not None}
+    if spans:
+        s = _joined([*s, *((x["lo"], x["hi"]) for x in spans)])
+    return [{"lo": a, "hi": b} for a, b in s], sorted(names.union(items))
+
+
+def _arrays(spans: list, items: list) -> list[pa.Array]:
+    return [pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))), pa.array(items, pa.list_(pa.string()))]
+
+
+def _hits(docs: DataFrame, text: str, shared: Broadcast) -> DataFrame:
+    """(th, th2, spans, items) of the distinct texts that one automaton finds something in."""
+    rows = docs.select(*_text_keys(text), F.col(text).alias("t"))
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            found = [_found(shared.value, words_of(t.as_py()), [], []) for t in batch.column("t")]
+            at = [i for i, (spans, _) in enumerate(found) if spans]
+            if at:
+                keys = [batch.column(c).take(pa.array(at)) for c in _TEXT]
+                yield pa.RecordBatch.from_arrays([*keys, *_arrays(*zip(*[found[i] for i in at]))], names=[*_TEXT, "spans", "items"])
+
+    schema = StructType().add("th", "long").add("th2", "long").add("spans", _SPANS).add("items", ArrayType(StringType()))
+    return rows.mapInArrow(run, schema).dropDuplicates(_TEXT)
+
+
+def _text_keys(text: str) -> list[Column]:
+    return [F.xxhash64(text).alias("th"), F.xxhash64(F.lit("second"), text).alias("th2")]
+
+
+def _scan(docs: DataFrame, text: str, shared: Broadcast, earlier: DataFrame | None) -> DataFrame:
+    """(doc struct, n_words, spans, items) per row of ``docs``, with what earlier automata have found."""
+    rows = docs.select(F.struct("*").alias("doc"), F.col(text).alias("t"))
+    joined = earlier is not None
+    if joined:
+        rows = docs.select(F.struct("*").alias("doc"), F.col(text).alias("t"), *_text_keys(text)).join(earlier, _TEXT, "left").drop(*_TEXT)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
         for batch in source:
             n_words, spans, items = [], [], []
-            old = None if first else (batch.column("spans").to_pylist(), batch.column("items").to_pylist())
+            old = [batch.column(c).to_pylist() for c in ("spans", "items")] if joined else None
             for i, text in enumerate(batch.column("t")):
                 words = words_of(text.as_py())
-                s, found = automaton.scan(words)
-                names = {str(automaton.names[k]) for k in found if automaton.names[k] is not None}
-                if old:
-                    s = _joined([*s, *((x["lo"], x["hi"]) for x in old[0][i])])
-                    names |= set(old[1][i])
+                s, names = _found(shared.value, words, *((old[0][i] or [], old[1][i] or []) if old else ([], [])))
                 n_words.append(len(words))
-                spans.append([{"lo": a, "hi": b} for a, b in s])
-                items.append(sorted(names))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc"),
-                    pa.array(n_words, pa.int64()),
-                    pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))),
-                    pa.array(items, pa.list_(pa.string())),
-                ],
-                names=["doc", "n_words", "spans", "items"],
-            )
+                spans.append(s)
+                items.append(names)
+            columns = [batch.column("doc"), pa.array(n_words, pa.int64()), *_arrays(spans, items)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "n_words", "spans", "items"])
 
     schema = StructType([rows.schema["doc"]]).add("n_words", "long")
-    spans = ArrayType(StructType().add("lo", "long").add("hi", "long"))
-    return rows.mapInArrow(run, schema.add("spans", spans).add("items", ArrayType(StringType())))
+    return rows.mapInArrow(run, schema.add("spans", _SPANS).add("items", ArrayType(StringType())))
 
 
 def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -230,20 +256,30 @@ def matches(
     Training words are streamed through the automaton; where the longest match reaches
     ``window`` words (or the whole of a shorter item) the words under it are hit.
     ``spans`` are disjoint word ranges [lo, hi), ``items`` the sorted keys (as text)
-    of the items that occur.  One narrow pass, no shuffle.
+    of the items that occur.  One narrow pass, no shuffle, for items of up to
+    BLOCK_WORDS words.  More items take one more pass over the text column for each
+    further automaton, which keeps only the spans of texts it finds something in; the
+    last pass joins them.
 
     Nulls: null texts have no words; items with a null key hit words but are not named.
-    Repeated rows and items count as they stand.  Without items nothing is hit.  Extra
-    columns travel inside ``doc``, so no name can clash.
+    Empty texts have no words either; very long ones are streamed.  Repeated rows and
+    items count as they stand.  Without items nothing is hit; an empty table gives no
+    rows.  Extra columns travel inside ``doc``, so no name can clash.
     """
-    spark = docs.sparkSession
-    out, first = docs, True
+    share = docs.sparkSession.sparkContext.broadcast
+    automaton, earlier = None, None
     for block in _blocks(items, item_text, item_key):
-        if not first:
-            out = materialize(out, "decontaminate")  # one automaton in memory at a time
-        out = _scan(out, text, spark.sparkContext.broadcast(Automaton(block, window)), first)
-        first = False
-    return out
+        if automaton is not None:  # there is a further one: what this one finds is kept by text
+            shared = share(automaton)
+            found = materialize(_hits(docs, text, shared), "decontaminate-hits")
+            shared.unpersist()
+            earlier = found if earlier is None else earlier.union(found)
+        automaton = Automaton(block, window)
+    if earlier is not None:
+        spans = F.flatten(F.collect_list("spans")).alias("spans")
+        items_of = F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
+        earlier = materialize(earlier.groupBy(*_TEXT).agg(spans, items_of), "decontaminate-earlier")
+    return _scan(docs, text, share(automaton), earlier)
 
 
 def without_spans(text: str | None, spans: list) -> str | None:
@@ -273,7 +309,9 @@ def decontaminate(
     """``docs`` with the columns it has, without benchmark passages.
 
     Hit spans are cut out of the text; a row whose hit words are more than
-    ``max_coverage`` of all is dropped.  Everything else stays as it is.
+    ``max_coverage`` of all is dropped.  Everything else stays as it is: null, empty and
+    clean texts, repeated rows, extra columns.  Very long texts are cut as others; an
+    empty table gives no rows.
     """
     found = matches(docs, items, text, item_text, item_key, window)
     hits = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["hi"] - s["lo"])

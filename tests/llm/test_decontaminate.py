@@ -68,6 +68,18 @@ def test_blocks_of_items_add_up(spark, monkeypatch):
         assert (n, {p for a, b in spans for p in range(a, b)}, set(names)) == (want[0], want[1], {str(x) for x in want[2]})
 
 
+def test_no_text_is_stored_between_automata(spark, monkeypatch):
+    stored = []
+    keep = D.materialize
+    monkeypatch.setattr(D, "materialize", lambda df, name: stored.append(df.columns) or keep(df, name))
+    monkeypatch.setattr(D, "BLOCK_WORDS", 5)
+    docs = spark.createDataFrame([(1, "a b c d e f", "x")] * 3, "doc_id long, text string, spans string")
+    bench = spark.createDataFrame([(i, f"{x} {y} q{i} r{i}") for i, (x, y) in enumerate(["ab", "bc", "cd"])] + [(9, "c d")], "item_id long, text string")
+    rows = D.matches(docs, bench).collect()
+    assert [r["items"] for r in rows] == [["9"]] * 3 and [tuple(map(tuple, r["spans"])) for r in rows] == [((2, 4),)] * 3
+    assert stored and all(columns == ["th", "th2", "spans", "items"] for columns in stored)
+
+
 def test_passages_are_cut_and_clean_rows_stay(spark):
     item = " ".join(f"item{i}" for i in range(15))
     rows = [(1, "Before that, " + item.upper() + ", and after it came " + "more words " * 20), (2, "clean text"), (3, item + " tail"), (4, None)]
