@@ -208,17 +208,15 @@ def _(spark, sf):
     return fraud_hotspots(raw(spark, sf))
 
 
-@query(
-    "sample_rows",
-    "SELECT numero_poliza, mes_accidente, dia_accidente, mes_reclamo, dia_reclamo, estado_civil, zona_accidente, "
-    "fraude_detectado FROM curated ORDER BY numero_poliza LIMIT 5",
-)
+_SHOWN = [
+    "numero_poliza", "mes_accidente", "dia_accidente", "mes_reclamo", "dia_reclamo", "estado_civil", "zona_accidente",
+    "fraude_detectado",
+]
+
+
+@query("sample_rows", f"SELECT {', '.join(_SHOWN)} FROM curated ORDER BY numero_poliza LIMIT 5")
 def _(spark, sf):
-    shown = curated(spark, sf).select(
-        "numero_poliza", "mes_accidente", "dia_accidente", "mes_reclamo", "dia_reclamo", "estado_civil",
-        "zona_accidente", "fraude_detectado",
-    )
-    return kpi.sample_rows(shown, 5, ["numero_poliza"])
+    return kpi.sample_rows(curated(spark, sf).select(*_SHOWN), 5, ["numero_poliza"])
 
 
 @query(

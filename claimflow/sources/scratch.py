@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +40,37 @@ def delete_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file or folder another name on the same storage; the name must be free."""
+    place, goal = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(to)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).rename(place, goal):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def temporaries(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialize`` writes inside are deleted when the block is left.
+
+    What is read from later on has to be stored with ``keep=True``; it then belongs to
+    the block around this one, if there is one, and else to the application.
+    """
+    stack: list[list[str]] = _scopes.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            delete_path(spark, path)
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write to shared storage and read back: a cut lineage that survives lost executors."""
     path = scratch_path(df.sparkSession, name)
+    stack = _scopes.__dict__.get("stack", [])
+    if len(stack) > keep:
+        stack[-1 - keep].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

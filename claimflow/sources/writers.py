@@ -6,13 +6,13 @@ import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .catalogue import drop_table, location_of, recover_table, rename_table
-from .readers import LOG_BATCH, RAW_OPTIONS, require_rows
-from .scratch import scratch_path
+from .readers import LOG_BATCH, RAW_OPTIONS, EmptyInput
+from .scratch import delete_path, move_path, scratch_path
 
 # Written text keeps outer spaces (cleaning is the curated layer's work), and an
 # empty text is quoted, since a bare empty field would read back as null.
@@ -144,8 +144,20 @@ def consolidate_csv(spark: SparkSession, directory: str, out: str) -> None:
 
 
 def export_documents(df: DataFrame, path: str) -> None:
-    """One JSON document per line, replacing the collection; null fields are kept."""
-    require_rows(df, "document export").write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """One JSON document per line, replacing the collection; null fields are kept.
+
+    The rows are counted as they are written, to a folder beside the collection, which
+    takes its place only then: nothing is computed twice, and without a row the
+    collection stays and an error says so.
+    """
+    spark, held, seen = df.sparkSession, f"{path.rstrip('/')}.writing-{uuid.uuid4().hex}", Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.option("ignoreNullFields", False).json(held)
+    if not seen.get["rows"]:
+        delete_path(spark, held)
+        raise EmptyInput("document export has no rows")
+    delete_path(spark, path)
+    move_path(spark, held, path)
 
 
 def append_evaluations(df: DataFrame, path: str) -> None:

@@ -1,6 +1,7 @@
 """Sources, sinks and layers."""
 
 import glob
+import os
 import uuid
 
 import pytest
@@ -115,6 +116,10 @@ def test_documents_keep_null_fields(spark, path):
     assert "".join(open(f).read() for f in glob.glob(f"{path}/*.json")) == '{"k":"a","v":null}\n'
     with pytest.raises(readers.EmptyInput):
         writers.export_documents(rows(spark, []), path)
+    assert spark.read.json(path).count() == 1  # the collection stays
+    writers.export_documents(rows(spark, [("b", 2)]), path)
+    assert "".join(open(f).read() for f in glob.glob(f"{path}/*.json")) == '{"k":"b","v":2}\n'
+    assert glob.glob(f"{path}.writing*") == []
 
 
 def test_first_available(spark, tmp_path):
@@ -248,3 +253,25 @@ def test_load_counts_read_nothing_again(spark, sf, tmp_path):
     assert report.columns == want.columns and as_set(report) == as_set(want)
     n = fixtures.claims(spark, sf).count()
     assert as_set(layers.load_counts(spark, counts)) == sorted([("workload", n), ("landing", n), ("curated", want.first().total_curated)])
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    one = rows(spark, [("a", 1)])
+
+    with scratch.temporaries(spark):
+        outer = scratch.materialize(one, "outer")
+        with scratch.temporaries(spark):
+            inner, kept = scratch.materialize(one, "inner"), scratch.materialize(one, "kept", keep=True)
+            files = {n: df.inputFiles()[0] for n, df in (("outer", outer), ("inner", inner), ("kept", kept))}
+        assert not there_file(files["inner"]) and there_file(files["kept"]) and kept.count() == 1
+        last = scratch.materialize(one, "last", keep=True)
+    assert not there_file(files["outer"]) and not there_file(files["kept"]) and last.count() == 1
+    with pytest.raises(ValueError), scratch.temporaries(spark):
+        lost = scratch.materialize(one, "lost").inputFiles()[0]
+        raise ValueError
+    assert not there_file(lost)
+    assert scratch.materialize(one, "free").count() == 1
+
+
+def there_file(name):
+    return os.path.exists(name.removeprefix("file://"))
