@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporaries
 from .common import Members
 
 MASK_BITS = 2  # one word start in four ends a chunk
@@ -149,7 +149,8 @@ def runs_of(spans: list, least: int) -> list[tuple[int, int]]:
 
 def with_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", least_run: int = LEAST_RUN) -> DataFrame:
     """(doc, spans, rest) per row of ``docs``: byte spans of repeated text and the text without them."""
-    gone = materialize(repeated_chunks(docs, text, key), "chunks-gone")
+    with temporaries(docs.sparkSession):
+        gone = materialize(repeated_chunks(docs, text, key), "chunks-gone", keep=True)
     rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("r_id"), F.xxhash64(text).alias("r_th"))
     rows = rows.join(gone, F.col("r_id").eqNullSafe(F.col("id")) & (F.col("r_th") == F.col("th")), "left")
     rows = rows.select("doc", F.col("doc")[text].alias("rest"), "spans")

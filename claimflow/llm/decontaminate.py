@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporaries
 from .common import words_of
 
 WINDOW = 10  # words; an item of fewer is one window
@@ -267,18 +267,19 @@ def matches(
     rows.  Extra columns travel inside ``doc``, so no name can clash.
     """
     share = docs.sparkSession.sparkContext.broadcast
-    automaton, earlier = None, None
-    for block in _blocks(items, item_text, item_key):
-        if automaton is not None:  # there is a further one: what this one finds is kept by text
-            shared = share(automaton)
-            found = materialize(_hits(docs, text, shared), "decontaminate-hits")
-            shared.unpersist()
-            earlier = found if earlier is None else earlier.union(found)
-        automaton = Automaton(block, window)
-    if earlier is not None:
-        spans = F.flatten(F.collect_list("spans")).alias("spans")
-        items_of = F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
-        earlier = materialize(earlier.groupBy(*_TEXT).agg(spans, items_of), "decontaminate-earlier")
+    with temporaries(docs.sparkSession):
+        automaton, earlier = None, None
+        for block in _blocks(items, item_text, item_key):
+            if automaton is not None:  # there is a further one: what this one finds is kept by text
+                shared = share(automaton)
+                found = materialize(_hits(docs, text, shared), "decontaminate-hits")
+                shared.unpersist()
+                earlier = found if earlier is None else earlier.union(found)
+            automaton = Automaton(block, window)
+        if earlier is not None:
+            spans = F.flatten(F.collect_list("spans")).alias("spans")
+            items_of = F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
+            earlier = materialize(earlier.groupBy(*_TEXT).agg(spans, items_of), "decontaminate-earlier", keep=True)
     return _scan(docs, text, share(automaton), earlier)
 
 

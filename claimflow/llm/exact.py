@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporaries
 from .common import WHITESPACE, Members
 
 PREFIX = 256  # characters hashed in the second step
@@ -39,26 +39,28 @@ def exact_dedup(
     base = docs.select(F.col(key).alias("id"), normalised(F.col(text)).alias("norm"))
     sized = base.withColumn("size", F.length("norm"))
 
-    # 1: lengths; 2: prefixes of rows whose length is shared.
-    keys = materialize(
-        sized.select("size", F.xxhash64("size", F.substring("norm", 1, prefix)).alias("head")).groupBy("size", "head").count(),
-        "exact-heads",
-    )
-    shared = keys.groupBy("size").agg(F.sum("count").alias("n")).filter("n > 1").select("size")
-    survivors = materialize(keys.filter("count > 1").join(shared, "size", "left_semi").select("head"), "exact-survivors")
+    with temporaries(spark):
+        # 1: lengths; 2: prefixes of rows whose length is shared.
+        keys = materialize(
+            sized.select("size", F.xxhash64("size", F.substring("norm", 1, prefix)).alias("head")).groupBy("size", "head").count(),
+            "exact-heads",
+        )
+        shared = keys.groupBy("size").agg(F.sum("count").alias("n")).filter("n > 1").select("size")
+        survivors = materialize(keys.filter("count > 1").join(shared, "size", "left_semi").select("head"), "exact-survivors")
 
-    # 3: the full hash, for survivors only.
-    head = F.xxhash64("size", F.substring("norm", 1, prefix))
-    probed = Members(survivors, "head").mark(sized, head)
-    rows = materialize(
-        probed.select(
-            "id",
-            F.monotonically_increasing_id().alias("row"),
-            F.when(F.col("hit"), F.sha2("norm", 256)).alias("full"),
-            *[c.alias(f"c_{name}") for name, c in carry.items()],
-        ),
-        "exact-rows",
-    )
+        # 3: the full hash, for survivors only.
+        head = F.xxhash64("size", F.substring("norm", 1, prefix))
+        probed = Members(survivors, "head").mark(sized, head)
+        rows = materialize(
+            probed.select(
+                "id",
+                F.monotonically_increasing_id().alias("row"),
+                F.when(F.col("hit"), F.sha2("norm", 256)).alias("full"),
+                *[c.alias(f"c_{name}") for name, c in carry.items()],
+            ),
+            "exact-rows",
+            keep=True,
+        )
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
     groups = materialize(
         rows.filter("full IS NOT NULL")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporaries
 from .components import components
 from .tokens import cuts
 
@@ -208,13 +208,14 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
 
 def _grouped(docs: DataFrame, text: str, key: str, shingle: int, radius: int) -> DataFrame:
     """(id, th, fp, root, component_id) per row of ``docs``."""
-    prints = materialize(fingerprints(docs, text, key, shingle), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("rep")), "fingerprints-distinct")
-    found = components(links(distinct, distinct.count(), radius), "a", "b")
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = materialize(rooted, "fingerprints-rooted")
-    heads = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = materialize(rooted.join(heads, "root").select("fp", "root", "component_id"), "fingerprints-named")
+    with temporaries(docs.sparkSession):
+        prints = materialize(fingerprints(docs, text, key, shingle), "fingerprints", keep=True)
+        distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("rep")), "fingerprints-distinct")
+        found = components(links(distinct, distinct.count(), radius), "a", "b")
+        rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        rooted = materialize(rooted, "fingerprints-rooted")
+        heads = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+        named = materialize(rooted.join(heads, "root").select("fp", "root", "component_id"), "fingerprints-named", keep=True)
     # Two stored tables: a fingerprint that a third of all rows share is split at run time.
     return prints.join(named, "fp")
 
@@ -251,11 +252,13 @@ def near_dedup(
     there more than once.
     """
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "th")
-    groups = materialize(_grouped(docs, text, key, shingle, radius).select("id", "th", "root"), "near-groups")
-    keep = groups.groupBy("root").agg(F.min(order).alias("k"))
-    gone = groups.join(keep, "root").filter(order != F.col("k")).select("id", "th").distinct()
-    again = groups.groupBy("id", "th").count().filter("count > 1").select("id", "th")
-    again = materialize(again.join(gone, _same("id", "th", again, gone), "left_anti"), "near-repeats")
+    with temporaries(docs.sparkSession):
+        groups = materialize(_grouped(docs, text, key, shingle, radius).select("id", "th", "root"), "near-groups")
+        keep = groups.groupBy("root").agg(F.min(order).alias("k"))
+        gone = groups.join(keep, "root").filter(order != F.col("k")).select("id", "th").distinct()
+        gone = materialize(gone, "near-gone", keep=True)
+        again = groups.groupBy("id", "th").count().filter("count > 1").select("id", "th")
+        again = materialize(again.join(gone, _same("id", "th", again, gone), "left_anti"), "near-repeats", keep=True)
     rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("r_id"), F.xxhash64(text).alias("r_th"))
     kept = rows.join(gone, F.col("r_id").eqNullSafe(F.col("id")) & (F.col("r_th") == F.col("th")), "left_anti")
     if again.isEmpty():

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporaries
 
 SCALE = 1024  # a component x counts as floor(SCALE * x)
 SHARD_ROWS = 16_384  # candidates of a packed shard, fewer where vectors are wide
@@ -233,28 +233,29 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id: str = "vec_id", ve
     with their lists and one packed shard, however many vectors there are.
     """
     spark = rows.sparkSession
-    shards = materialize(_pack(rows, id, vector, scale, SHARD_ROWS), "shards")
-    queries = materialize(_pack(rows.filter(is_query), id, vector, scale, BLOCK_ROWS), "query-blocks")
-    size = F.col("n").cast("long") * (F.col("dim") * F.lit(8) + F.lit(26 * (k + 2)))
-    bytes_of_queries = queries.agg(F.sum(size)).first()[0] or 0
-    n_shards = shards.count()
-    if not bytes_of_queries or not n_shards:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    waves = -(-bytes_of_queries // WAVE_BYTES)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(n_shards, max(-(-tasks // waves), -(-n_shards // GROUP_SHARDS))))
-    wave_of, part_of = F.pmod(F.xxhash64("pack"), F.lit(waves)), F.pmod(F.xxhash64("pack"), F.lit(parts))
-    meet = queries.select(
-        wave_of.alias("wave"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), F.lit(True).alias("query"), "*"
-    ).union(
-        shards.select(
-            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(waves - 1).cast("long"))).alias("wave"), part_of.alias("part"), F.lit(False).alias("query"), "*"
+    with temporaries(spark):
+        shards = materialize(_pack(rows, id, vector, scale, SHARD_ROWS), "shards")
+        queries = materialize(_pack(rows.filter(is_query), id, vector, scale, BLOCK_ROWS), "query-blocks")
+        size = F.col("n").cast("long") * (F.col("dim") * F.lit(8) + F.lit(26 * (k + 2)))
+        bytes_of_queries = queries.agg(F.sum(size)).first()[0] or 0
+        n_shards = shards.count()
+        if not bytes_of_queries or not n_shards:
+            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        waves = -(-bytes_of_queries // WAVE_BYTES)
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(1, min(n_shards, max(-(-tasks // waves), -(-n_shards // GROUP_SHARDS))))
+        wave_of, part_of = F.pmod(F.xxhash64("pack"), F.lit(waves)), F.pmod(F.xxhash64("pack"), F.lit(parts))
+        meet = queries.select(
+            wave_of.alias("wave"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), F.lit(True).alias("query"), "*"
+        ).union(
+            shards.select(
+                F.explode(F.sequence(F.lit(0).cast("long"), F.lit(waves - 1).cast("long"))).alias("wave"), part_of.alias("part"), F.lit(False).alias("query"), "*"
+            )
         )
-    )
-    task = (F.col("wave") * parts + F.col("part")).cast("int")
-    dealt = meet.repartitionById(waves * parts, task).sortWithinPartitions("wave", "part", F.desc("query"), "pack")
-    # k + 1, since the query's own row is a candidate until the end.
-    lists = materialize(dealt.mapInArrow(lambda source: _tile(source, k + 1), _LISTS), "top-lists")
+        task = (F.col("wave") * parts + F.col("part")).cast("int")
+        dealt = meet.repartitionById(waves * parts, task).sortWithinPartitions("wave", "part", F.desc("query"), "pack")
+        # k + 1, since the query's own row is a candidate until the end.
+        lists = materialize(dealt.mapInArrow(lambda source: _tile(source, k + 1), _LISTS), "top-lists", keep=True)
     while parts > 1:
         parts = -(-parts // FAN)
         grouped = lists.withColumn("part", F.floor(F.col("part") / FAN)).groupBy("block", "part")
