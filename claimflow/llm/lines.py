@@ -1,26 +1,58 @@
 """Line dedup (native): exact and near repeats of lines, by a deletion-neighbourhood join.
 
-Lines are compared as words in lower case, split at ASCII white space.  A line of at
-least MIN_WORDS words repeats an earlier one if one word inserted, deleted or replaced
-makes them equal; shorter lines only if they are equal.  The earliest line of the
-corpus, by document key, text hash and place, stays; a line is dropped if any earlier
-line, kept or not, is that near.
+Lines are compared as words in lower case, split at ASCII white space.  Two lines, the
+longer of at least MIN_WORDS words, repeat one another if one word inserted, deleted or
+replaced makes them equal; two shorter ones, both of at least MIN_CHARS characters, if
+one character does.  The earliest line of the corpus, by document key, text hash and
+place, stays; a line is dropped if any earlier line, kept or not, is that near.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporaries
 from .common import Members
 
-MIN_WORDS = 8
+MIN_WORDS = 8  # of the longer of two lines that are compared by words
+MIN_CHARS = 16  # of the shorter of two lines that are compared by characters
 LINE = ["h", "h2", "nw"]  # what identifies a line: 96 bits of its words, and their number
 
 
+@dataclass(frozen=True)
+class Form:
+    """What a line is a sequence of where it is compared: words of an array, or characters of a text."""
+
+    name: str
+    column: str
+    shorter: int  # least size of the shorter line of a pair
+    equal: int  # least size of two lines that differ by a replacement
+
+    def cut(self, line: Column, start: Column, n: Column) -> Column:
+        return F.slice(line, start, n) if self.name == "words" else F.substring(line, start, n)
+
+    def size(self, line: Column) -> Column:
+        return F.size(line) if self.name == "words" else F.length(line)
+
+    def near(self, a: Column, b: Column) -> Column:
+        """One unit inserted, deleted or replaced turns ``a`` into ``b``."""
+        return _is_near(a, b) if self.name == "words" else F.levenshtein(a, b, 1) == 1
+
+
+WORDS = Form("words", "words", MIN_WORDS - 1, MIN_WORDS)
+CHARS = Form("chars", "chars", MIN_CHARS, MIN_CHARS)
+
+
+def _chars(words: Column) -> Column:
+    """The line as text, if it is compared by characters; else null."""
+    text = F.array_join(words, " ")
+    return F.when((F.size(words) < MIN_WORDS) & (F.length(text) >= MIN_CHARS), text)
+
+
 def _words(line: Column) -> Column:
     """Words in lower case.  Few lines hold white space but spaces; only those are translated."""
     other = "\t\x0b\x0c\r"
@@ -57,26 +89,34 @@ def _spots(docs: DataFrame, text: str, key: str, at: DataFrame) -> DataFrame:
     return _worded(Members(at.select(place.alias("k")), "k").mark(found, F.xxhash64("id", "th", "line")).filter("hit"))
 
 
-def _half_keys(words: Column, size: Column, shorter: Column) -> list[Column]:
+def _half_keys(form: Form, line: Column, size: Column, shorter: Column) -> list[Column]:
     """Hashes of the first and of the last half that a pair shares, one of which one edit leaves whole.
 
-    ``shorter`` is the number of words of the shorter line of the pair.
+    ``shorter`` is the size of the shorter line of the pair.
     """
     half = F.floor(shorter / 2).cast("int")
-    first = F.xxhash64(F.lit("first"), shorter, F.slice(words, F.lit(1), half))
-    last = F.xxhash64(F.lit("last"), shorter, F.slice(words, size - (shorter - half) + 1, shorter - half))
+    first = F.xxhash64(F.lit(f"first {form.name}"), shorter, form.cut(line, F.lit(1), half))
+    last = F.xxhash64(F.lit(f"last {form.name}"), shorter, form.cut(line, size - (shorter - half) + 1, shorter - half))
     return [first, last]
 
 
-def _variants(words: Column, low: Column, high: Column, kind: str) -> Column:
-    """Hashed keys of ``words`` with one of the places low..high-1 left out."""
+def _keys(form: Form, line: Column) -> Column:
+    """The four half keys of a line: with its own size, and as the longer of a pair; null if it has none."""
+    n = form.size(line)
+    own = [F.when(n >= form.shorter, k) for k in _half_keys(form, line, n, n)]
+    long = [F.when(n > form.shorter, k) for k in _half_keys(form, line, n, n - 1)]
+    return F.when(n >= form.shorter, F.array(*own, *long))
+
+
+def _variants(form: Form, line: Column, low: Column, high: Column, kind: str) -> Column:
+    """Hashed keys of ``line`` with one of the places low..high-1 left out."""
 
     def one(i: Column) -> Column:
-        before, after = F.slice(words, F.lit(1), i), F.slice(words, i + 2, F.size(words))
-        # Replacing a word leaves both lines equal without the same place.
+        before, after = form.cut(line, F.lit(1), i), form.cut(line, i + 2, form.size(line))
+        # Replacing a unit leaves both lines equal without the same place.
         if kind == "replace":
-            return F.xxhash64(F.lit(kind), i, before, after)
-        return F.xxhash64(F.lit(kind), F.concat(before, after))
+            return F.xxhash64(F.lit(f"{kind} {form.name}"), i, before, after)
+        return F.xxhash64(F.lit(f"{kind} {form.name}"), F.concat(before, after))
 
     none = F.array().cast("array<bigint>")
     return F.when(high > low, F.transform(F.sequence(low, high - 1), one)).otherwise(none)
@@ -94,52 +134,56 @@ def _is_near(a: Column, b: Column) -> Column:
 
 def _near_lines(docs: DataFrame, text: str, key: str, unique: DataFrame) -> DataFrame:
     """The lines (LINE) that have an earlier line within one edit."""
-    # 1: which halves are shared, as own length (own) or as the longer of a pair (long).
-    keyed = unique.filter(F.col("nw") >= MIN_WORDS)
-    halves = keyed.select(F.explode("own").alias("k"), F.lit(1).alias("o"), F.lit(0).alias("l")).union(
-        keyed.filter(F.col("nw") > MIN_WORDS).select(F.explode("long").alias("k"), F.lit(0).alias("o"), F.lit(1).alias("l"))
-    )
-    shared = materialize(halves.groupBy("k").agg(F.sum("o").alias("o"), F.sum("l").alias("l")).filter("o > 1 OR o * l > 0"), "line-halves")
+    # 1: which halves are shared, with own size (o) or as the longer of a pair (l).
+    forms = [
+        unique.filter(F.col(f"k_{f.name}").isNotNull()).select(*LINE, "first", F.lit(f.name).alias("form"), F.col(f"k_{f.name}").alias("k4"), n)
+        for f, n in ((WORDS, F.col("nw").alias("n")), (CHARS, F.col("nc").alias("n")))
+    ]
+    keyed = forms[0].union(forms[1])
+    halves = keyed.select(F.posexplode("k4").alias("i", "k")).filter("k IS NOT NULL")
+    own, long = F.count_if(F.col("i") < 2).alias("o"), F.count_if(F.col("i") > 1).alias("l")
+    shared = materialize(halves.groupBy("k").agg(own, long).filter("o > 1 OR o * l > 0"), "line-halves")
     replaced, shifted = Members(shared.filter("o > 1"), "k"), Members(shared.filter("o * l > 0"), "k")
 
     # 2: lines with a shared half, and on which side an edit can then lie.
     tested = keyed
-    for name, members, source in [("r0", replaced, "own[0]"), ("r1", replaced, "own[1]"), ("s0", shifted, "own[0]"),
-                                  ("s1", shifted, "own[1]"), ("l0", shifted, "long[0]"), ("l1", shifted, "long[1]")]:
-        tested = members.mark(tested, F.expr(source), name)
+    for name, members, i in [("r0", replaced, 0), ("r1", replaced, 1), ("s0", shifted, 0), ("s1", shifted, 1), ("l0", shifted, 2), ("l1", shifted, 3)]:
+        tested = members.mark(tested, F.col("k4")[i], name)
+    equal = F.when(F.col("form") == WORDS.name, F.col("n") >= WORDS.equal).otherwise(F.col("n") >= CHARS.equal)
+    tested = tested.withColumns({"r0": F.col("r0") & equal, "r1": F.col("r1") & equal, "s": F.col("s0") | F.col("s1")})
     active = materialize(
-        tested.filter("r0 OR r1 OR s0 OR s1 OR l0 OR l1").select(*LINE, "first", "r0", "r1", (F.col("s0") | F.col("s1")).alias("s"), "l0", "l1"),
-        "line-active",
+        tested.filter("r0 OR r1 OR s OR l0 OR l1").select(*LINE, "first", "form", "n", "r0", "r1", "s", "l0", "l1"), "line-active"
     )
     # 3: their words, read again at the place where each line stands first.
     places = _spots(docs, text, key, active)
     at_first = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "line")
+    found = active.join(places.withColumn("at", at_first), LINE).filter(F.col("at") == F.col("first"))
     worded = materialize(
-        active.join(places.withColumn("at", at_first), LINE).filter(F.col("at") == F.col("first")).dropDuplicates(LINE).drop("id", "th", "line", "at"),
-        "line-words",
+        found.dropDuplicates([*LINE, "form"]).withColumn("chars", _chars(F.col("words"))).drop("id", "th", "line", "at"), "line-words"
     )
     # 4: hashed variants.  A place before the half can only differ if the last halves are shared.
-    words, n = F.col("words"), F.col("nw")
-    half, half_long = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    none = F.array().cast("array<bigint>")
-    kinds = {
-        "replace": F.concat(
-            F.when(F.col("r0"), _variants(words, half, n, "replace")).otherwise(none),
-            F.when(F.col("r1"), _variants(words, F.lit(0), half, "replace")).otherwise(none),
-        ),
-        "longer": F.array_distinct(
-            F.concat(
-                F.when(F.col("l0"), _variants(words, half_long, n, "shift")).otherwise(none),
-                F.when(F.col("l1"), _variants(words, F.lit(0), half_long, "shift")).otherwise(none),
-            )
-        ),
-        "shorter": F.when(F.col("s"), F.array(F.xxhash64(F.lit("shift"), words))).otherwise(none),
-    }
-    line = F.struct("first", *LINE)
     variants = None
-    for kind, keys in kinds.items():
-        rows = worded.select(F.lit(kind).alias("kind"), line.alias("line"), F.explode(keys).alias("k"))
-        variants = rows if variants is None else variants.union(rows)
+    for form in (WORDS, CHARS):
+        line, n = F.col(form.column), F.col("n")
+        half, half_long = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
+        none = F.array().cast("array<bigint>")
+        kinds = {
+            "replace": F.concat(
+                F.when(F.col("r0"), _variants(form, line, half, n, "replace")).otherwise(none),
+                F.when(F.col("r1"), _variants(form, line, F.lit(0), half, "replace")).otherwise(none),
+            ),
+            "longer": F.array_distinct(
+                F.concat(
+                    F.when(F.col("l0"), _variants(form, line, half_long, n, "shift")).otherwise(none),
+                    F.when(F.col("l1"), _variants(form, line, F.lit(0), half_long, "shift")).otherwise(none),
+                )
+            ),
+            "shorter": F.when(F.col("s"), F.array(F.xxhash64(F.lit(f"shift {form.name}"), line))).otherwise(none),
+        }
+        for kind, keys in kinds.items():
+            own = worded.filter(F.col("form") == form.name)
+            rows = own.select("form", F.lit(kind).alias("kind"), F.struct("first", *LINE).alias("line"), F.explode(keys).alias("k"))
+            variants = rows if variants is None else variants.union(rows)
     variants = materialize(variants, "line-variants")
     # 5: join equal variants with the earliest line of the other side; a key held by
     # many lines gives each of them one partner, not all.
@@ -151,29 +195,33 @@ def _near_lines(docs: DataFrame, text: str, key: str, unique: DataFrame) -> Data
         "line-anchors",
     )
     partner = F.when(F.col("kind") == "longer", F.col("b")).otherwise(F.col("a"))
-    pairs = variants.join(anchors, "k").select("line", partner.alias("other")).filter("other.first < line.first").distinct()
-    # 6: verify on the words.
-    mine = worded.select(*[F.col(c).alias(f"a_{c}") for c in LINE], F.col("words").alias("a_words"))
-    theirs = worded.select(*[F.col(c).alias(f"b_{c}") for c in LINE], F.col("words").alias("b_words"))
-    pairs = pairs.select(*[F.col(f"line.{c}").alias(f"a_{c}") for c in LINE], *[F.col(f"other.{c}").alias(f"b_{c}") for c in LINE])
-    checked = pairs.join(mine, [f"a_{c}" for c in LINE]).join(theirs, [f"b_{c}" for c in LINE])
-    return checked.filter(_is_near(F.col("a_words"), F.col("b_words"))).select(*[F.col(f"a_{c}").alias(c) for c in LINE]).distinct()
+    pairs = variants.join(anchors, "k").select("form", "line", partner.alias("other")).filter("other.first < line.first").distinct()
+    # 6: verify on the words or characters.
+    sides = {}
+    for side in ("a", "b"):
+        columns = [F.col(c).alias(f"{side}_{c}") for c in ("words", "chars")]
+        sides[side] = worded.select("form", *[F.col(c).alias(f"{side}_{c}") for c in LINE], *columns)
+    pairs = pairs.select("form", *[F.col(f"{s}.{c}").alias(f"{p}_{c}") for s, p in (("line", "a"), ("other", "b")) for c in LINE])
+    for side, rows in sides.items():
+        pairs = pairs.join(rows, ["form", *[f"{side}_{c}" for c in LINE]])
+    by_words, by_chars = (f.near(F.col(f"a_{f.column}"), F.col(f"b_{f.column}")) for f in (WORDS, CHARS))
+    near = F.when(F.col("form") == WORDS.name, by_words).otherwise(by_chars)
+    return pairs.filter(near).select(*[F.col(f"a_{c}").alias(c) for c in LINE]).distinct()
 
 
 def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(id, th, gone): per row key and text hash, the sorted numbers (from 0) of the lines to drop."""
-    n = F.col("nw")
+    worded = _worded(_lines(docs, text, key)).withColumn("chars", _chars(F.col("words")))
     lines = materialize(
-        _worded(_lines(docs, text, key)).select(
-            "id", "th", "line", *LINE,
-            F.when(n >= MIN_WORDS, F.array(*_half_keys(F.col("words"), n, n))).alias("own"),
-            F.when(n > MIN_WORDS, F.array(*_half_keys(F.col("words"), n, n - 1))).alias("long"),
+        worded.select(
+            "id", "th", "line", *LINE, F.length("chars").alias("nc"),
+            _keys(WORDS, F.col("words")).alias("k_words"), _keys(CHARS, F.col("chars")).alias("k_chars"),
         ),
         "lines",
     )
     at = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "line")
     unique = materialize(
-        lines.groupBy(*LINE).agg(F.min(at).alias("first"), F.count("*").alias("n"), F.first("own").alias("own"), F.first("long").alias("long")),
+        lines.groupBy(*LINE).agg(F.min(at).alias("first"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("nc", "k_words", "k_chars")]),
         "lines-unique",
     )
     near = _near_lines(docs, text, key, unique).withColumn("near", F.lit(True))
@@ -187,7 +235,8 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 def with_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc, n_lines, n_dropped, rest) per row of ``docs``: the row as a struct, and its text without repeated lines."""
-    gone = materialize(repeated_lines(docs, text, key), "lines-gone")
+    with temporaries(docs.sparkSession):
+        gone = materialize(repeated_lines(docs, text, key), "lines-gone", keep=True)
     rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("r_id"), F.xxhash64(text).alias("r_th"))
     rows = rows.join(gone, F.col("r_id").eqNullSafe(F.col("id")) & (F.col("r_th") == F.col("th")), "left")
     body = F.col("doc")[text]

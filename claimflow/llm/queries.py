@@ -145,8 +145,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"), carry={"text_sha256": F.sha2("norm", 256)})
 
 
-# One edit apart, by lines with the same words but one: equal without the same place
-# (replaced), or the longer one without a place equal to the shorter one.
+# One edit apart, by lines with the same words (or, of short lines, characters) but one:
+# equal without the same place (replaced), or the longer one without a place equal to
+# the shorter one.
 OP10_SQL = r"""
 WITH l AS (SELECT doc_id, line, list_filter(regexp_split_to_array(lower(content), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS content,
@@ -154,9 +155,15 @@ WITH l AS (SELECT doc_id, line, list_filter(regexp_split_to_array(lower(content)
 u AS (SELECT array_to_string(w, ' ') AS t, any_value(w) AS w, min((doc_id, line)) AS spot FROM l WHERE len(w) > 0 GROUP BY 1),
 v AS (SELECT t, spot, len(w) AS n, i, array_to_string(list_concat(w[1 : i - 1], w[i + 1 : len(w)]), ' ') AS rest
       FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM u WHERE len(w) >= 8)),
+c AS (SELECT t, spot FROM u WHERE len(w) < 8 AND length(t) >= 16),
+x AS (SELECT t, spot, length(t) AS n, i, substr(t, 1, i - 1) || substr(t, i + 1) AS rest
+      FROM (SELECT *, unnest(range(1, length(t) + 1)) AS i FROM c)),
 near AS (SELECT a.t FROM v a JOIN v b ON a.n = b.n AND a.i = b.i AND a.rest = b.rest AND b.spot < a.spot
-         UNION SELECT a.t FROM v a JOIN u b ON a.rest = b.t AND len(b.w) >= 8 AND b.spot < a.spot
-         UNION SELECT a.t FROM u a JOIN v b ON b.rest = a.t AND len(a.w) >= 8 AND b.spot < a.spot),
+         UNION SELECT a.t FROM v a JOIN u b ON a.rest = b.t AND len(b.w) >= 7 AND b.spot < a.spot
+         UNION SELECT a.t FROM u a JOIN v b ON b.rest = a.t AND len(a.w) >= 7 AND b.spot < a.spot
+         UNION SELECT a.t FROM x a JOIN x b ON a.n = b.n AND a.i = b.i AND a.rest = b.rest AND b.spot < a.spot
+         UNION SELECT a.t FROM x a JOIN c b ON a.rest = b.t AND b.spot < a.spot
+         UNION SELECT a.t FROM c a JOIN x b ON b.rest = a.t AND b.spot < a.spot),
 gone AS (SELECT l.doc_id, l.line FROM l JOIN u ON array_to_string(l.w, ' ') = u.t
          WHERE len(l.w) > 0 AND ((l.doc_id, l.line) <> u.spot OR u.t IN (SELECT t FROM near))),
 pieces AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS content,

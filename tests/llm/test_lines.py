@@ -18,6 +18,16 @@ def near(a, b):
     return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
 
+def alike(a, b):
+    """The rule on two lines as words."""
+    if a == b:
+        return True
+    if max(len(a), len(b)) >= L.MIN_WORDS:
+        return near(a, b)
+    s, t = " ".join(a), " ".join(b)
+    return min(len(s), len(t)) >= L.MIN_CHARS and abs(len(s) - len(t)) <= 1 and near(s, t)
+
+
 def brute(rows):
     """rows of (key, text), keys unique and not null: the text of each without repeated lines."""
     seen, out = [], {}
@@ -25,7 +35,7 @@ def brute(rows):
         kept = []
         for line in [] if text is None else text.split("\n"):
             w = words(line)
-            if not w or not any(w == v or (min(len(w), len(v)) >= L.MIN_WORDS and near(w, v)) for v in seen):
+            if not w or not any(alike(w, v) for v in seen):
                 kept.append(line)
             if w:
                 seen.append(w)
@@ -50,6 +60,28 @@ def test_edits(spark):
     assert texts(docs) == brute(rows)
 
 
+def test_short_lines(spark):
+    a = "Share this on Facebook"
+    variants = [
+        a, a + "!", a.replace("this", "thіs"), a.replace("Share", "Shared"), "share  THIS on\tfacebook", a.replace("on ", ""), a[1:], a[:-1],
+        "Share it on Facebook", "1234567890abcdef", "1234567890abcde", "1234567890abcdefg", "1234567890abcdeX", "tiny line", "tiny lines",
+        "größer als sechzehn", "grösser als sechzehn", "größer als sechzehm", "a b c d e f g", "a b c d e f h", "a b c d e f g h", "a b c d e f i h",
+        "one two three four five six seven", "one two three four five six seven eight", "one two three four five six", "one two three four fiv six seven",
+        "日本語の短い行は文字で比べるものである", "日本語の短い行は文字で比べるものでない", "日本語の短い行は文字で比べるものである。",
+    ]
+    rows = [(i, "\n".join(variants[i:] + variants[:i])) for i in (3, 0)] + [(10 + i, v) for i, v in enumerate(variants)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert texts(docs) == brute(rows)
+    pairs = [(1, a), (2, a + "!"), (3, "one two three four five six seven"), (4, "one two three four five six seven eight")]
+    assert texts(spark.createDataFrame(pairs, "doc_id long, text string")) == {1: a, 2: "", 3: pairs[2][1], 4: ""}
+
+
+def test_words_and_characters_do_not_mix(spark):
+    # The same sequence once of words, once of characters.
+    rows = [(1, " ".join("abcdefghijklmnopqrst")), (2, "abcdefghijklmnopqrsx")]
+    assert texts(spark.createDataFrame(rows, "doc_id long, text string")) == dict(rows)
+
+
 def test_shorter_line_between_longer_ones(spark):
     # the long lines are two edits apart, but each is one from the short one
     base = [f"w{i}" for i in range(12)]
