@@ -23,22 +23,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporaries
 from .common import groups_of
+from .tokens import SPELT
 
 CHUNK = 1 << 14  # counts of a row of a dense vector
 FAN = 16  # vectors summed at once
 SLICE = 1 << 15  # characters encoded at once
+LONG = 1_000  # characters of a stretch that is encoded alone
 KEPT = 500_000  # stretches a worker remembers
 KEPT_CHARS = 16 << 20  # and their characters
 CUT = 1 << 20  # characters of a long text in hand at once
 # One space between other characters starts a token in both vocabularies: text is
 # aligned from there to the next such space, each distinct stretch once.
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
-# How byte-level vocabularies spell a byte: printable ones as themselves, the others in
-# order from 256 on.
-_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTE = {chr(b): b for b in _PRINTABLE} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+# Fixed value: where byte-level vocabularies of this kind cut text before merging.
+_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 # --- minimal perfect hash -------------------------------------------------------------
@@ -100,6 +100,31 @@ class PerfectHash:
 # --- tokens of stretches of text ------------------------------------------------------
 
 
+def _by_rank(path: str, bytes_of: list[bytes]):
+    """The byte-level vocabulary as ranks, if its merges stand in the order of their ids; else None.
+
+    The same ids several times faster, for text without very long words.
+    """
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, before = spec["model"], spec["pre_tokenizer"]
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if spec.get("normalizer") or not isinstance(before, dict) or any(before.get(k) != v for k, v in plain.items()):
+        return None
+    merged = [("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model["merges"]]
+    size = 256 + len(merged)  # single bytes, then one token per merge
+    if [model["vocab"].get(m) for m in merged] != list(range(256, size)) or {len(x) for x in bytes_of[:256]} != {1}:
+        return None
+    ranks = {bytes_of[i]: i for i in range(size)}
+    if len(ranks) != size:
+        return None
+    return tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Aligner:
     """Both tokenizers, and what is known of the stretches seen last."""
 
@@ -114,13 +139,14 @@ class Aligner:
         spelt = self.a.get_vocab()
         self.bytes_a = [b""] * (max(spelt.values()) + 1)
         for token, i in spelt.items():
-            self.bytes_a[i] = bytes(_BYTE[c] for c in token)
+            self.bytes_a[i] = bytes(SPELT[c] for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         self.size_a = np.array([len(x) for x in self.bytes_a])
         self.size_b = np.array([len(x) for x in self.bytes_b])
+        self.ranks = _by_rank(a_path, self.bytes_a)
         # A piece with a space behind another character could span a border.
         self.joins = not any(re.search("[^▁]▁", p) for p in pieces)
         self.split = _BORDER.split if self.joins else lambda t: [t]
@@ -152,10 +178,10 @@ class Aligner:
             self.spelt = np.concatenate([self.spelt, np.zeros_like(self.spelt)])
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
         # Stretches that begin and end with other characters are encoded joined by
-        # spaces, at each of which a token starts.
+        # spaces, at each of which a token starts; long ones alone.
         plain, odd = [], []
         for s in new:
-            (plain if s.strip() == s and s and self.joins else odd).append(s)
+            (plain if s.strip() == s and self.joins and len(s) <= LONG else odd).append(s)
         open_ = [*([s] for s in odd), *_slices(plain)]
         while open_:  # those that are not spelt are found by halves
             part = open_.pop()
@@ -167,7 +193,10 @@ class Aligner:
         """Align stretches as one text; False, and nothing learnt, where the tokens of several do not spell it."""
         text = " ".join(new)
         data = (" " + text).encode()
-        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        if self.ranks and len(text) <= SLICE + LONG:
+            a = self.ranks.encode_ordinary(" " + text)
+        else:
+            a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
         b = self.b.encode(text)
         whole = b"".join([self.bytes_a[i] for i in a]) == data == b"".join([self.bytes_b[i] for i in b])
         if not whole:
@@ -197,7 +226,8 @@ class Aligner:
             text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
             cut_a, cut_b = [0, *(at_a + 1).tolist()], [0, *(at_b + 1).tolist()]
             each = [
-                ",".join(text_a[i:j]) + "|" + ",".join(text_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])
+                f"{text_a[i]}|{text_b[k]}" if j - i == 1 == m - k else ",".join(text_a[i:j]) + "|" + ",".join(text_b[k:m])
+                for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])
             ]
             self.groups += [";".join(each[lo:hi]) for lo, hi in zip([0, *ends.tolist()], ends.tolist())]
         else:
@@ -306,6 +336,11 @@ def _summed(rows: pa.Table) -> pa.Table:
 
 def corpus_counts(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> tuple[PerfectHash, np.ndarray]:
     """The hash of all distinct pairs of ``docs`` and the count of each by its number."""
+    with temporaries(docs.sparkSession):
+        return _corpus_counts(docs, a_path, b_path, text)
+
+
+def _corpus_counts(docs: DataFrame, a_path: str, b_path: str, text: str) -> tuple[PerfectHash, np.ndarray]:
     spark = docs.sparkSession
     given = docs.select(F.col(text).alias("t"))
     counted = materialize(

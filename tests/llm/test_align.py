@@ -61,6 +61,21 @@ def test_perfect_hash():
     assert none.n == 0 and none.number(keys[:3]).tolist() == [-1] * 3
 
 
+def test_ranks_give_the_ids_of_the_tokenizer(sf):
+    both, rng = L.aligner(A, B), random.Random(8)
+    assert both.ranks is not None
+    letters = [chr(rng.choice([*range(32, 127), *range(0xA0, 0x250), 0x2028, 0x3000, 0x4E2D, 0x1F642, 9, 10, 13, 0x1C, 0x85])) for _ in range(300)]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(3000)]
+    texts += ["it's IT'S we'll don't 'sx  '  x", "<|endoftext|>", " " * 50 + "x", "a" * 3000]
+    for text in texts:
+        assert both.ranks.encode_ordinary(text) == both.a.encode(text, add_special_tokens=False).ids
+    both = L.Aligner(A, B)
+    both.ranks = None  # a vocabulary in another order goes through the tokenizer
+    both.look(None)
+    both.rows(texts[:50])
+    assert both.sizes[: len(both.known), 2].sum() > 0
+
+
 def test_pairs_are_bounded_by_the_vocabularies():
     both = L.aligner(A, B)
     ends = {}
