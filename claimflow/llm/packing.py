@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporaries
 from .common import groups_of
 from .tokens import tokenizer
 
@@ -26,26 +26,30 @@ def pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key: str =
     A document is the ids of its text (null: none) and the end id; only longer ones
     are cut.  ``item`` numbers the pieces.
     """
-    end = np.array([END], "<u4").tobytes()
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(tokenizer_path).encode
+        words = tokenizer(tokenizer_path)
         item = TaskContext.get().partitionId() << 40
         for batch in source:
             texts, ids = batch.column("t").to_pylist(), batch.column("id")
             for lo, hi in groups_of(texts):
-                rows, cols = [], []
-                for i, code in enumerate(encode(texts[lo:hi]), lo):
-                    code += end
-                    for k, at in enumerate(range(0, len(code), 4 * capacity)):
-                        part = code[at : at + 4 * capacity]
-                        rows.append(i)
-                        cols.append((item, k, at // 4, len(part) // 4, zlib.crc32(part)))
-                        item += 1
-                number, piece, start, length, crc = (pa.array(c, pa.int64()) for c in zip(*cols))
+                end = np.array([END], words.kind).tobytes()
+                codes = words.encode(texts[lo:hi])
+                joined = b"".join([part for code in codes for part in (code, end)])
+                data = np.frombuffer(joined, words.kind).astype("<u4")  # as the checksum takes them
+                size = np.array([len(code) for code in codes]) // words.kind.itemsize + 1
+                many = -(-size // capacity)
+                row = np.repeat(np.arange(hi - lo), many)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                start = piece * capacity
+                length = np.minimum(size[row] - start, capacity)
+                at = 4 * ((np.cumsum(size) - size)[row] + start)
+                view = memoryview(data).cast("B")
+                crc = [zlib.crc32(view[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist())]
+                columns = [ids.take(pa.array(row + lo)), item + np.arange(len(row)), piece.astype(np.int32), start, length]
+                item += len(row)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(rows)), number, piece.cast(pa.int32()), start, length, crc],
-                    names=["id", "item", "piece", "start", "length", "ids_crc32"],
+                    [*map(pa.array, columns), pa.array(crc, pa.int64())], names=["id", "item", "piece", "start", "length", "ids_crc32"]
                 )
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
@@ -190,12 +194,13 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", key: str = "d
     """(key, piece, start, length, ids_crc32, sequence_id, offset) per piece.
 
     Every piece of every row has a place; the pieces of a sequence follow one another
-    without gaps from offset 0.  Null texts are the end id alone; null keys and
-    repeated rows are documents of their own.  Extra columns are not returned.  An
-    empty table gives an empty result.
+    without gaps from offset 0.  Null and empty texts are the end id alone, very long
+    ones several pieces; null keys and repeated rows are documents of their own.  Extra
+    columns are not returned.  An empty table gives an empty result.
     """
     table = materialize(pieces(docs, tokenizer_path, text, key, capacity), "packing-pieces")
-    spots = assign(table.select("item", F.col("length").alias("size")), capacity)
+    with temporaries(docs.sparkSession):
+        spots = materialize(assign(table.select("item", F.col("length").alias("size")), capacity), "packing-spots", keep=True)
     return table.join(spots, "item").select(
         F.col("id").alias(key),
         "piece",

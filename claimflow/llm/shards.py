@@ -24,7 +24,8 @@ from .common import groups_of
 from .tokens import tokenizer
 
 LENGTH = 1024  # ids of a sequence
-PER_SHARD = 4096  # sequences of a shard: 16 MB
+PER_SHARD = 4096  # sequences of a shard: 8 MB of two-byte ids
+RANGE_SHARDS = 32  # shards that one task writes, at most
 END = 1  # the id after every document
 PAD = 0  # fills the last sequence
 _HEAD = "<8sIIQQ"  # magic, ids of a record, bytes of an id, first slot, records
@@ -35,7 +36,7 @@ _STREAM = "part int, start long, n long, ids binary"
 
 def id_type(tokenizer_path: str) -> np.dtype:
     """Two bytes an id where the vocabulary fits, else four; little-endian."""
-    return np.dtype("<u2" if tokenizer(tokenizer_path).tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+    return tokenizer(tokenizer_path).kind
 
 
 class Permutation:
@@ -89,7 +90,7 @@ def _streams(docs: DataFrame, tokenizer_path: str, text: str, kind: np.dtype) ->
         for batch in source:
             texts = batch.column("t").to_pylist()
             for lo, hi in groups_of(texts):
-                codes = [np.frombuffer(code, "<u4").astype(kind).tobytes() + end for code in encode(texts[lo:hi])]
+                codes = [code + end for code in encode(texts[lo:hi])]
                 n = np.array([len(c) // kind.itemsize for c in codes])
                 start = at + np.cumsum(n) - n
                 at += int(n.sum())
@@ -101,6 +102,15 @@ def _streams(docs: DataFrame, tokenizer_path: str, text: str, kind: np.dtype) ->
     return docs.select(F.col(text).alias("t")).mapInArrow(run, _STREAM)
 
 
+def _put(files, made: str, name: str) -> None:
+    """Give a written file its name; one that an earlier attempt has left there is replaced."""
+    from pyarrow import fs
+
+    if files.get_file_info(name).type == fs.FileType.File:
+        files.delete_file(name)  # not every storage moves over a file that is there
+    files.move(made, name)
+
+
 def write_shards(
     docs: DataFrame,
     path: str,
@@ -117,8 +127,9 @@ def write_shards(
     the range of slots they belong to.  A shard is written under a name of the attempt
     and then moved, so a repeated task replaces it by the same bytes.
 
-    Null texts are the end id alone; other columns do not matter.  Repeated rows are
-    written as often as they come.  An empty table writes nothing.
+    Null and empty texts are the end id alone; other columns do not matter.  Very long
+    texts are encoded in slices and span many sequences.  Repeated rows are written as
+    often as they come.  An empty table writes nothing.
     """
     spark = docs.sparkSession
     kind = id_type(tokenizer_path)
@@ -177,7 +188,7 @@ def write_shards(
             if out is not None:
                 close_record()
                 out.close()
-                files.move(f"{folder}/shard-{now:08d}.bin.{attempt}", f"{folder}/shard-{now:08d}.bin")
+                _put(files, f"{folder}/shard-{now:08d}.bin.{attempt}", f"{folder}/shard-{now:08d}.bin")
                 done.append((now, min(per_shard, count - now * per_shard)))
 
         for batch in source:
@@ -197,7 +208,11 @@ def write_shards(
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*done)], names=["shard", "records"])
 
     placed = streams.select("part", "start", "ids").mapInArrow(cut, "shard long, slot long, place int, ids binary")
-    ranged = placed.repartitionByRange("shard").sortWithinPartitions("slot", "place")
+    # Slots are spread evenly, so equal runs of shards are ranges of equal size: nothing is sampled.
+    n_shards = -(-count // per_shard)
+    ranges = min(n_shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_shards // RANGE_SHARDS)))
+    of = F.floor(F.col("shard") * ranges / n_shards).cast("int")
+    ranged = placed.repartitionById(ranges, of).sortWithinPartitions("slot", "place")
     written = materialize(ranged.mapInArrow(write, "shard long, records long"), "token-shards")
     if written.agg(F.sum("records")).first()[0] != count:
         raise RuntimeError("not all sequences were written")

@@ -24,11 +24,11 @@ def test_words_give_the_ids_of_whole_texts(spark, sf, plain, monkeypatch):
     texts += ["Éré, Ça. ÀÖØ öøÿ ß. naïve, à ï. x.. ,. a, Ÿ ƒ ½ ª º µ × ÷ e\u0301 don't. l'été, 's It's"]
     texts += [" ".join(f"{chr(c)} a{chr(c)} {chr(c)}b, {chr(c)}." for c in range(1, 0x180))]
     for kept, cut in ((500_000, 1 << 20), (3, 100)):  # also with a full table and texts in slices
-        monkeypatch.setattr(tokens, "WORDS_KEPT", kept)
+        monkeypatch.setattr(tokens, "KEPT", kept)
         monkeypatch.setattr(tokens, "CUT", cut)
-        got = tokens.WordTokenizer(PATH).encode(texts)
-        for text, code in zip(texts, got):
-            assert np.frombuffer(code, "<u4").tolist() == plain(text)[:-1], text
+        words = tokens.WordTokenizer(PATH)
+        for text, code in zip(texts, words.encode(texts)):
+            assert np.frombuffer(code, words.kind).tolist() == plain(text)[:-1], text
 
 
 def check(rows, want, capacity):

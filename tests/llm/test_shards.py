@@ -49,3 +49,25 @@ def test_shards_hold_the_stream_in_the_order_of_the_key(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert S.write_shards(no_docs(spark), f"file://{tmp_path}/none", PATH, key=1) == 0
+
+
+def test_second_attempt_replaces_a_shard(spark, tmp_path):
+    from pyarrow import fs
+
+    class Strict(fs.SubTreeFileSystem):
+        """Like storages that refuse to move over a file."""
+
+        def move(self, a, b):
+            assert self.get_file_info(b).type == fs.FileType.NotFound
+            super().move(a, b)
+
+    files = Strict(str(tmp_path), fs.LocalFileSystem())
+    for attempt in (1, 2):
+        with files.open_output_stream(f"x.{attempt}") as out:
+            out.write(b"same bytes")
+        S._put(files, f"x.{attempt}", "x")
+    assert [p.name for p in tmp_path.iterdir()] == ["x"] and (tmp_path / "x").read_bytes() == b"same bytes"
+    path = f"file://{tmp_path}/shards"
+    for _ in range(2):  # a whole run over what another has left
+        count = S.write_shards(clashing_docs(spark), path, PATH, key=9, length=64, per_shard=100)
+        assert S.read_shards(spark, path, count, 9, 100).count() == count
