@@ -597,7 +597,7 @@ def _(spark, sf):
     # Forms are labelled at random, so any area will do, but each fold has one and the summary is theirs.
     valid = F.lit(0 < artifact.meta["auc_roc"] <= 1)
     folds = artifact.report["validacion"].agg(
-        F.count_if("auc > 0 AND auc <= 1").alias("pliegues"),
+        F.count_if(F.expr("auc > 0 AND auc <= 1")).alias("pliegues"),
         (F.abs(F.avg("auc") - F.lit(artifact.meta["cv_media"])) < 1e-9).alias("media_valida"),
     )
     one = F.lit(1).alias("_k")
