@@ -91,9 +91,9 @@ def words_of(text: str | None) -> list[bytes]:
 BLOCK_BITS = 1 << 15  # of one row of a filter, as Spark's bitmap functions cut them
 KEY_BITS = 12  # bits of the filter per key
 BITS = 3  # places per key
-BLOCK_BYTES = BLOCK_BITS // 4  # as broadcast: 32 bits in a long
-LEAST_BLOCKS = 64  # 512 KB
-MOST_BYTES = 256 << 20  # broadcast at most: 89 million keys
+BLOCK_BYTES = BLOCK_BITS // 8
+LEAST_BLOCKS = 16  # 64 KB
+MOST_BYTES = 256 << 20  # broadcast at most: 178 million keys
 
 
 def _place(key: Column, i: int) -> Column:
@@ -119,9 +119,10 @@ class Members:
             places = F.explode(F.array(*[_place(F.col("m_key"), i) for i in range(BITS)])).alias("place")
             bits = F.bitmap_construct_agg("place").alias("m_bits")
             found = self.keys.select(_block(F.col("m_key"), self.blocks).alias("m_block"), places)
-            # As numbers of 32 bits, so that looking one up takes no text functions.
-            word = lambda i: F.conv(F.hex(F.substring("m_bits", i * 4 + 1, F.lit(4))), 16, 10).cast("long")
-            words = F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BITS // 32 - 1)), word)
+            # As longs, so that looking one up takes no text functions.
+            half = lambda at: F.conv(F.hex(F.substring("m_bits", at, F.lit(4))), 16, 10).cast("long")
+            word = lambda i: F.shiftleft(half(i * 8 + 1), 32).bitwiseOR(half(i * 8 + 5))
+            words = F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1)), word)
             self.filter = materialize(found.groupBy("m_block").agg(bits).select("m_block", words.alias("m_words")), "members")
 
     def mark(self, df: DataFrame, key: str | Column, name: str = "hit") -> DataFrame:
@@ -137,8 +138,8 @@ class Members:
         hit = F.col("m_value").isNotNull() & F.col("m_words").isNotNull()
         for i in range(BITS):  # the second and third place are looked at only where the first is set
             place = _place(F.col("m_value"), i).cast("int")
-            word = F.get("m_words", F.shiftright(place, 5))
+            word = F.get("m_words", F.shiftright(place, 6))
             # Bytes stand highest first in a number, bits lowest first in a byte.
-            bit = (F.lit(3) - F.shiftright(place, 3).bitwiseAND(F.lit(3))) * 8 + place.bitwiseAND(F.lit(7))
+            bit = (F.lit(7) - F.shiftright(place, 3).bitwiseAND(F.lit(7))) * 8 + place.bitwiseAND(F.lit(7))
             hit = hit & (F.getbit(word, bit) == 1)
         return out.withColumn(name, F.coalesce(hit, F.lit(False))).drop("m_value", "m_of", "m_block", "m_words")
