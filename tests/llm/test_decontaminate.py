@@ -71,7 +71,7 @@ def test_blocks_of_items_add_up(spark, monkeypatch):
 def test_no_text_is_stored_between_automata(spark, monkeypatch):
     stored = []
     keep = D.materialize
-    monkeypatch.setattr(D, "materialize", lambda df, name: stored.append(df.columns) or keep(df, name))
+    monkeypatch.setattr(D, "materialize", lambda df, name, **more: stored.append(df.columns) or keep(df, name, **more))
     monkeypatch.setattr(D, "BLOCK_WORDS", 5)
     docs = spark.createDataFrame([(1, "a b c d e f", "x")] * 3, "doc_id long, text string, spans string")
     bench = spark.createDataFrame([(i, f"{x} {y} q{i} r{i}") for i, (x, y) in enumerate(["ab", "bc", "cd"])] + [(9, "c d")], "item_id long, text string")
