@@ -22,6 +22,7 @@ from ..operators.localize import curate
 from ..operators.review import evaluation_columns
 from ..sources.readers import LOG_STREAM, strip_line_end
 from ..sources.schemas import FEEDBACK_SCHEMA, FORM_SCHEMA, RAW_SCHEMA
+from ..sources.scratch import path_exists
 from .state import BUCKETS, merge_feedback
 
 BATCH = "lote"  # folders of a batch
@@ -78,6 +79,23 @@ def run_batches(
     query.awaitTermination()
 
 
+def own_output(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """An error unless ``path`` belongs to this stream, or to none yet.
+
+    Batches are told apart by their numbers, which the checkpoint counts.  Another
+    checkpoint, or one that was lost, would give old numbers to new rows.
+    """
+    marker = f"{path.rstrip('/')}.stream"
+    if not path_exists(spark, marker):
+        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.text(marker)
+        return
+    owner = spark.read.text(marker).first().value
+    if owner != checkpoint:
+        raise ValueError(f"{path} is written by the stream of {owner}")
+    if not path_exists(spark, checkpoint):
+        raise ValueError(f"the checkpoint of {path} is gone: write to a new folder")
+
+
 def enrich_stream(
     spark: SparkSession, in_path: str, out_path: str, checkpoint: str, as_of: Column | None = None, **source
 ) -> None:
@@ -126,15 +144,17 @@ def claims_stream(
     they read a few columns, so claims are derived once.
     """
     source.setdefault("schema", RAW_SCHEMA)
+    own_output(spark, out_path, checkpoint)
+    run_batches(spark, in_path, checkpoint, lambda rows, batch: take_claims(rows, batch, out_path, partials, as_of), **source)
 
-    def handle(rows: DataFrame, batch: int) -> None:
-        enriched = enrich(curate(lower_columns(rows)), as_of=as_of)
-        folder = f"{out_path}/{BATCH}={batch}"
-        enriched.write.mode("overwrite").partitionBy(CURATED_PARTITION).parquet(folder)
-        written = rows.sparkSession.read.schema(enriched.schema).parquet(folder)
-        segment_partials(written).coalesce(1).write.mode("overwrite").parquet(f"{partials}/{BATCH}={batch}")
 
-    run_batches(spark, in_path, checkpoint, handle, **source)
+def take_claims(rows: DataFrame, batch: int, out_path: str, partials: str, as_of: Column | None = None) -> None:
+    """One batch of raw claims: its enriched rows, then its counts and sums, in place of what it has left before."""
+    enriched = enrich(curate(lower_columns(rows)), as_of=as_of)
+    folder = f"{out_path}/{BATCH}={batch}"
+    enriched.write.mode("overwrite").partitionBy(CURATED_PARTITION).parquet(folder)
+    written = rows.sparkSession.read.schema(enriched.schema).parquet(folder)
+    segment_partials(written).coalesce(1).write.mode("overwrite").parquet(f"{partials}/{BATCH}={batch}")
 
 
 def arrived_kpis(spark: SparkSession, partials: str) -> DataFrame:
@@ -150,4 +170,5 @@ def feedback_state_stream(
 ) -> None:
     """Arriving reviewer labels -> the last label of each case, kept up to date batch by batch."""
     source.setdefault("schema", FEEDBACK_SCHEMA)
+    own_output(spark, state, checkpoint)
     run_batches(spark, in_path, checkpoint, lambda rows, batch: merge_feedback(rows, batch, state, buckets), **source)

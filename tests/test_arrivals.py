@@ -115,9 +115,24 @@ def test_kpis_of_parts_equal_kpis_of_all(spark, sf):
 
 
 def test_repeated_batch_of_claims_counts_once(spark, sf, tmp_path):
-    arriving, out, partials, state_of = (str(tmp_path / n) for n in ("in", "out", "partials", "state"))
-    fixtures.claims(spark, sf).write.parquet(arriving)
-    for checkpoint in (state_of, f"{state_of}-lost"):  # a lost checkpoint gives the batch again under its number
-        arrivals.claims_stream(spark, arriving, out, partials, checkpoint)
+    out, partials = str(tmp_path / "out"), str(tmp_path / "partials")
+    claims = fixtures.claims(spark, sf)
+    parts = [claims.filter("sex = 'Male'"), claims.filter("sex <> 'Male'")]
+    for batch in (0, 1, 1, 0):
+        arrivals.take_claims(parts[batch], batch, out, partials)
     whole = kpi.segment_kpis(derive.enrich(localize.curate(fixtures.claims(spark, sf))))
     assert arrivals.arrived_kpis(spark, partials).exceptAll(whole).isEmpty()
+
+
+def test_output_belongs_to_one_checkpoint(spark, tmp_path):
+    arriving, kept, first, other = (str(tmp_path / n) for n in ("in", "state", "first", "other"))
+    labels(spark, (1, 0, 1)).write.parquet(arriving)
+    arrivals.feedback_state_stream(spark, arriving, kept, first)
+    labels(spark, (1, 1, 2)).write.mode("append").parquet(arriving)
+    with pytest.raises(ValueError, match="written by the stream of"):
+        arrivals.feedback_state_stream(spark, arriving, kept, other)
+    arrivals.feedback_state_stream(spark, arriving, kept, first)
+    assert held(spark, kept) == {1: (1, 2)}
+    os.rename(first, other)
+    with pytest.raises(ValueError, match="is gone"):
+        arrivals.feedback_state_stream(spark, arriving, kept, first)
