@@ -108,18 +108,41 @@ def _keys(form: Form, line: Column) -> Column:
     return F.when(n >= form.shorter, F.array(*own, *long))
 
 
-def _variants(form: Form, line: Column, low: Column, high: Column, kind: str) -> Column:
-    """Hashed keys of ``line`` with one of the places low..high-1 left out."""
+def _xor(hashes: Column) -> Column:
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h))
 
-    def one(i: Column) -> Column:
-        before, after = form.cut(line, F.lit(1), i), form.cut(line, i + 2, form.size(line))
-        # Replacing a unit leaves both lines equal without the same place.
-        if kind == "replace":
-            return F.xxhash64(F.lit(f"{kind} {form.name}"), i, before, after)
-        return F.xxhash64(F.lit(f"{kind} {form.name}"), F.concat(before, after))
 
+# A sequence is hashed as the exclusive or of the hashes of its units with their places, so
+# the hash without a place follows from that of the whole.  ``here`` has the hashes of
+# the units at their places, ``back`` at the places before them, ``all_here`` and
+# ``all_back`` the exclusive ors of all.
+
+
+def _placed(units: Column, shift: int) -> Column:
+    return F.transform(units, lambda u, i: F.xxhash64(i - shift, u))
+
+
+def _replaced(form: Form, n: Column, low: Column, high: Column) -> Column:
+    """Keys of a line with one of the places low..high-1 left out; lines that differ there alone share it."""
+    key = lambda i: F.xxhash64(F.lit(f"replace {form.name}"), n, i, F.col("all_here").bitwiseXOR(F.get("here", i)))
+    return _places(low, high, key)
+
+
+def _shortened(form: Form, n: Column, low: Column, high: Column) -> Column:
+    """Keys of a line without one of the units low..high-1: those of the shorter line that is left."""
+
+    def key(i: Column) -> Column:
+        # Units behind the place move up by one.
+        moved = F.zip_with(F.slice("here", F.lit(1), i), F.slice("back", F.lit(1), i), lambda x, y: x.bitwiseXOR(y))
+        rest = F.col("all_back").bitwiseXOR(F.get("back", i)).bitwiseXOR(_xor(moved))
+        return F.xxhash64(F.lit(f"shift {form.name}"), n - 1, rest)
+
+    return _places(low, high, key)
+
+
+def _places(low: Column, high: Column, key) -> Column:
     none = F.array().cast("array<bigint>")
-    return F.when(high > low, F.transform(F.sequence(low, high - 1), one)).otherwise(none)
+    return F.when(high > low, F.transform(F.sequence(low, high - 1), key)).otherwise(none)
 
 
 def _is_near(a: Column, b: Column) -> Column:
@@ -162,26 +185,29 @@ def _near_lines(docs: DataFrame, text: str, key: str, unique: DataFrame) -> Data
         found.dropDuplicates([*LINE, "form"]).withColumn("chars", _chars(F.col("words"))).drop("id", "th", "line", "at"), "line-words"
     )
     # 4: hashed variants.  A place before the half can only differ if the last halves are shared.
+    units = F.when(F.col("form") == WORDS.name, F.col("words")).otherwise(F.split("chars", ""))
+    hashed = worded.select("form", "first", *LINE, "n", "r0", "r1", "s", "l0", "l1", _placed(units, 0).alias("here"), _placed(units, 1).alias("back"))
+    hashed = hashed.select("*", _xor(F.col("here")).alias("all_here"), _xor(F.col("back")).alias("all_back"))
     variants = None
     for form in (WORDS, CHARS):
-        line, n = F.col(form.column), F.col("n")
+        n = F.col("n")
         half, half_long = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
         none = F.array().cast("array<bigint>")
         kinds = {
             "replace": F.concat(
-                F.when(F.col("r0"), _variants(form, line, half, n, "replace")).otherwise(none),
-                F.when(F.col("r1"), _variants(form, line, F.lit(0), half, "replace")).otherwise(none),
+                F.when(F.col("r0"), _replaced(form, n, half, n)).otherwise(none),
+                F.when(F.col("r1"), _replaced(form, n, F.lit(0), half)).otherwise(none),
             ),
             "longer": F.array_distinct(
                 F.concat(
-                    F.when(F.col("l0"), _variants(form, line, half_long, n, "shift")).otherwise(none),
-                    F.when(F.col("l1"), _variants(form, line, F.lit(0), half_long, "shift")).otherwise(none),
+                    F.when(F.col("l0"), _shortened(form, n, half_long, n)).otherwise(none),
+                    F.when(F.col("l1"), _shortened(form, n, F.lit(0), half_long)).otherwise(none),
                 )
             ),
-            "shorter": F.when(F.col("s"), F.array(F.xxhash64(F.lit(f"shift {form.name}"), line))).otherwise(none),
+            "shorter": F.when(F.col("s"), F.array(F.xxhash64(F.lit(f"shift {form.name}"), n, F.col("all_here")))).otherwise(none),
         }
         for kind, keys in kinds.items():
-            own = worded.filter(F.col("form") == form.name)
+            own = hashed.filter(F.col("form") == form.name)
             rows = own.select("form", F.lit(kind).alias("kind"), F.struct("first", *LINE).alias("line"), F.explode(keys).alias("k"))
             variants = rows if variants is None else variants.union(rows)
     variants = materialize(variants, "line-variants")
