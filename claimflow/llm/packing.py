@@ -51,6 +51,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key: str =
                 yield pa.RecordBatch.from_arrays(
                     [*map(pa.array, columns), pa.array(crc, pa.int64())], names=["id", "item", "piece", "start", "length", "ids_crc32"]
                 )
+        words.rest()
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
     schema = StructType([rows.schema["id"]]).add("item", "long").add("piece", "integer")

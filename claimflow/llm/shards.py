@@ -85,12 +85,12 @@ def _streams(docs: DataFrame, tokenizer_path: str, text: str, kind: np.dtype) ->
     end = np.array([END], kind).tobytes()
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(tokenizer_path).encode
+        words = tokenizer(tokenizer_path)
         part, at = TaskContext.get().partitionId(), 0
         for batch in source:
             texts = batch.column("t").to_pylist()
             for lo, hi in groups_of(texts):
-                codes = [code + end for code in encode(texts[lo:hi])]
+                codes = [code + end for code in words.encode(texts[lo:hi])]
                 n = np.array([len(c) // kind.itemsize for c in codes])
                 start = at + np.cumsum(n) - n
                 at += int(n.sum())
@@ -98,6 +98,7 @@ def _streams(docs: DataFrame, tokenizer_path: str, text: str, kind: np.dtype) ->
                     [pa.array(np.full(len(n), part, np.int32)), pa.array(start), pa.array(n), pa.array(codes, pa.binary())],
                     names=["part", "start", "n", "ids"],
                 )
+        words.rest()
 
     return docs.select(F.col(text).alias("t")).mapInArrow(run, _STREAM)
 
@@ -151,7 +152,7 @@ def write_shards(
 
     def cut(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Documents as the parts of sequences that they fill, compressed."""
-        base, compress = shared.value, zstandard.ZstdCompressor(3).compress
+        base, compress = shared.value, zstandard.ZstdCompressor(1).compress
         for batch in source:
             seqs, places, parts = [], [], []
             for part, start, ids in zip(batch.column("part").to_pylist(), batch.column("start").to_pylist(), batch.column("ids")):

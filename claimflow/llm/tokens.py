@@ -2,7 +2,7 @@
 
 The tokenizer's words never span ASCII white space, so the ids of a text are those
 of its white-space separated pieces, joined.  Pieces are looked up in a table of
-bounded size that lives as long as the Python worker; only new ones are encoded.
+bounded size that lives as long as a task; only new ones are encoded.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 
-KEPT = 300_000  # pieces of a generation of the table; two are held, some 100 MB
+KEPT = 400_000  # pieces of a generation of the table; two are held at most, some 150 MB
 CUT = 1 << 20  # bytes of text in hand at once
 # Pieces that the tokenizer's own steps leave as they are but for lower case: letters of
 # Latin-1, perhaps with a mark behind, which is a word of its own.  All others go
@@ -74,6 +74,10 @@ class WordTokenizer:
         self.former: dict[bytes, bytes] = {}  # the generation before; what is used again moves on
         self.marks = {mark: self._bytes(self._whole([mark])[0]) for mark in (".", ",")}
 
+    def rest(self) -> None:
+        """Forget all pieces, as a task ends: an idle worker does not hold memory that others need."""
+        self.known, self.former = {}, {}
+
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 

@@ -29,7 +29,7 @@ def test_awkward_texts():
     assert ids(tokenizer, texts) == whole(tokenizer, texts)
 
 
-@pytest.mark.parametrize("kept, cut", [(1, 1 << 20), (50, 200), (300_000, 5_000)])
+@pytest.mark.parametrize("kept, cut", [(1, 1 << 20), (50, 200), (400_000, 5_000)])
 def test_small_tables_and_cuts(monkeypatch, kept, cut):
     monkeypatch.setattr(T, "KEPT", kept)
     monkeypatch.setattr(T, "CUT", cut)
