@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from pathlib import Path
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +51,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return tune(spark)
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(run: Task) -> Task:
+    """``run``, whose worker gives freed memory back as the task ends.
+
+    Workers wait for further tasks, perhaps of another operator, and what they have
+    freed but not returned would add up beside the executor's own memory.
+    """
+
+    def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(source)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+
+    return task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from ..sources.scratch import materialize, temporaries
-from .common import words_of
+from .common import tidy, words_of
 
 WINDOW = 10  # words; an item of fewer is one window
 # Words of test items in one automaton (about 400 bytes each on every executor).  More
@@ -207,7 +207,7 @@ def _hits(docs: DataFrame, text: str, shared: Broadcast) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*keys, *_arrays(*zip(*[found[i] for i in at]))], names=[*_TEXT, "spans", "items"])
 
     schema = StructType().add("th", "long").add("th2", "long").add("spans", _SPANS).add("items", ArrayType(StringType()))
-    return rows.mapInArrow(run, schema).dropDuplicates(_TEXT)
+    return rows.mapInArrow(tidy(run), schema).dropDuplicates(_TEXT)
 
 
 def _text_keys(text: str) -> list[Column]:
@@ -235,7 +235,7 @@ def _scan(docs: DataFrame, text: str, shared: Broadcast, earlier: DataFrame | No
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "n_words", "spans", "items"])
 
     schema = StructType([rows.schema["doc"]]).add("n_words", "long")
-    return rows.mapInArrow(run, schema.add("spans", _SPANS).add("items", ArrayType(StringType())))
+    return rows.mapInArrow(tidy(run), schema.add("spans", _SPANS).add("items", ArrayType(StringType())))
 
 
 def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -324,5 +324,5 @@ def decontaminate(
             texts = [without_spans(t.as_py(), s.as_py()) for t, s in zip(batch.column("t"), batch.column("spans"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string())], names=["doc", "t"])
 
-    done = inner.mapInArrow(cut, StructType([inner.schema["doc"]]).add("t", "string"))
+    done = inner.mapInArrow(tidy(cut), StructType([inner.schema["doc"]]).add("t", "string"))
     return done.select(*[F.col("t").alias(c) if c == text else F.col("doc")[c].alias(c) for c in docs.columns])

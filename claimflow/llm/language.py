@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import groups_of
+from .common import groups_of, tidy
 
 UNKNOWN = "und"
 BUCKETS_LOG2 = 16  # the matrix has labels x 65,536 cells
@@ -129,7 +129,7 @@ def fit(
             cells = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(cells + (int(k) << BUCKETS_LOG2)), pa.array(total[cells])], schema=out)
 
-    cells = sample.select("text", "label").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = sample.select("text", "label").mapInArrow(tidy(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((len(labels), 1 << BUCKETS_LOG2))
     counts.ravel()[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     counts += SMOOTHING
@@ -180,5 +180,5 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
 
     inner = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("__text"))
     schema = StructType([inner.schema[f"k{i}"] for i in range(len(keep))])
-    scored = inner.mapInArrow(run, schema.add("lang_pred", "string").add("score", "double"))
+    scored = inner.mapInArrow(tidy(run), schema.add("lang_pred", "string").add("score", "double"))
     return scored.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.scratch import materialize, temporaries
-from .common import groups_of
+from .common import groups_of, tidy
 from .tokens import tokenizer
 
 CAPACITY = 4096
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key: str =
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
     schema = StructType([rows.schema["id"]]).add("item", "long").add("piece", "integer")
-    return rows.mapInArrow(run, schema.add("start", "long").add("length", "long").add("ids_crc32", "long"))
+    return rows.mapInArrow(tidy(run), schema.add("start", "long").add("length", "long").add("ids_crc32", "long"))
 
 
 def _sweep(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

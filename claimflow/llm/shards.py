@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize, scratch_path
-from .common import groups_of
+from .common import groups_of, tidy
 from .tokens import tokenizer
 
 LENGTH = 1024  # ids of a sequence
@@ -100,7 +100,7 @@ def _streams(docs: DataFrame, tokenizer_path: str, text: str, kind: np.dtype) ->
                 )
         words.rest()
 
-    return docs.select(F.col(text).alias("t")).mapInArrow(run, _STREAM)
+    return docs.select(F.col(text).alias("t")).mapInArrow(tidy(run), _STREAM)
 
 
 def _put(files, made: str, name: str) -> None:

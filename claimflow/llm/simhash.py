@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize, temporaries
+from .common import tidy
 from .components import components
 from .tokens import cuts
 
@@ -68,7 +69,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shing
             )
 
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
-    return rows.mapInArrow(run, rows.select("id", "th").schema.add("fp", "long"))
+    return rows.mapInArrow(tidy(run), rows.select("id", "th").schema.add("fp", "long"))
 
 
 class Tree:
