@@ -165,12 +165,13 @@ def run_exports(spark: SparkSession, enriched: str, kpis: str, out: str) -> None
     """Enriched and KPI tables as CSV and as documents.
 
     The KPI table, which segments bound, becomes one CSV file; the enriched one as
-    many as tasks write it.
+    many as tasks write it, compressed: its texts and the column names of its documents
+    repeat, and would be most of what a load writes.
     """
     for name, table, collection in ((ENRICHED_TABLE, enriched, "fraudes_detalle"), (KPI_TABLE, kpis, "metricas_kpi")):
-        rows = read_layer(spark, table)
-        export_csv(rows, f"{out}/csv/{name}", single_file=name == KPI_TABLE)
-        export_documents(rows, f"{out}/documents/{collection}")
+        rows, packed = read_layer(spark, table), None if name == KPI_TABLE else "gzip"
+        export_csv(rows, f"{out}/csv/{name}", single_file=name == KPI_TABLE, compression=packed)
+        export_documents(rows, f"{out}/documents/{collection}", compression=packed)
 
 
 def fraud_hotspots(raw: DataFrame, n: int = 10) -> DataFrame:

@@ -7,9 +7,10 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from claimflow import fixtures
 from claimflow.fixed_values import LANDING_PARTITION, RAW_COLUMNS
-from claimflow.operators import clean, kpi
+from claimflow.operators import clean, derive, kpi, localize
 from claimflow.plans import layers
 from claimflow.sources import catalogue, readers, schemas, scratch, writers
 
@@ -275,3 +276,28 @@ def test_scratch_tables_go_with_their_block(spark):
 
 def there_file(name):
     return os.path.exists(name.removeprefix("file://"))
+
+
+def test_exports_of_claims_are_packed(spark, sf, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS packed_exports")
+    try:
+        rich = derive.enrich(localize.curate(fixtures.claims(spark, sf)), as_of=F.lit("2024-01-02 03:04:05").cast("timestamp"))
+        rich.limit(300).write.mode("overwrite").saveAsTable("packed_exports.rich")
+        kpi.segment_kpis(spark.table("packed_exports.rich")).write.mode("overwrite").saveAsTable("packed_exports.kpis")
+        layers.run_exports(spark, "packed_exports.rich", "packed_exports.kpis", str(tmp_path))
+        details = [str(tmp_path / "csv" / "fraudes_enriquecido"), str(tmp_path / "documents" / "fraudes_detalle")]
+        for path in details:
+            files = [f for f in glob.glob(f"{path}/*") if not f.endswith("_SUCCESS")]
+            assert files and all(f.endswith(".gz") for f in files)
+        rows = spark.table("packed_exports.rich")
+        for back in (readers.read_csv_inferred(spark, details[0], rows.schema), spark.read.schema(rows.schema).json(details[1])):
+            assert back.count() == 300 and back.exceptAll(rows).isEmpty()
+        assert len(glob.glob(f"{tmp_path}/csv/metricas_fraude/*.csv")) == 1
+    finally:
+        spark.sql("DROP DATABASE packed_exports CASCADE")
+
+
+def test_a_packed_file_is_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "PACKED_ROWS", 10)
+    writers.export_csv(spark.range(0, 95, 1, 1), str(tmp_path / "csv"), compression="gzip")
+    assert len(glob.glob(f"{tmp_path}/csv/*.csv.gz")) == 10 and spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 95
