@@ -301,3 +301,12 @@ def test_a_packed_file_is_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(writers, "PACKED_ROWS", 10)
     writers.export_csv(spark.range(0, 95, 1, 1), str(tmp_path / "csv"), compression="gzip")
     assert len(glob.glob(f"{tmp_path}/csv/*.csv.gz")) == 10 and spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 95
+
+
+def test_partitioned_writes_do_not_sort_their_rows(spark):
+    spark.sql("CREATE TABLE unsorted_write (v INT, k STRING) USING parquet PARTITIONED BY (k)")
+    try:
+        plan = spark.sql("EXPLAIN INSERT INTO unsorted_write SELECT CAST(id AS INT), CAST(id % 3 AS STRING) FROM range(9)").first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+    finally:
+        spark.sql("DROP TABLE unsorted_write")
