@@ -278,6 +278,11 @@ def there_file(name):
     return os.path.exists(name.removeprefix("file://"))
 
 
+def test_consolidation_takes_the_whole_curated_table(spark, sf):
+    rows = entry.queries()["consolidate_csv"](spark, sf)
+    assert rows.count() == localize.curate(fixtures.claims(spark, sf)).count() and len(rows.columns) == 34
+
+
 def test_exports_of_claims_are_packed(spark, sf, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS packed_exports")
     try:
