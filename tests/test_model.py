@@ -2,6 +2,7 @@
 
 import glob
 import shutil
+import threading
 from dataclasses import replace
 
 import pytest
@@ -219,3 +220,26 @@ def test_training_run_saves_and_goes_on(spark, enriched, tmp_path):
         assert len(glob.glob(f"{out}.journal/*/fold-*")) == small.folds
     finally:
         spark.sql("DROP DATABASE training_run CASCADE")
+
+
+def test_members_are_fitted_side_by_side(enriched, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+    for member in (ensemble.GBTClassifier, ensemble.RandomForestClassifier):
+        monkeypatch.setattr(member, "_fit", lambda self, df, fit=member._fit: both.wait() + 1 and fit(self, df))
+    frame = scratch.materialize(features.training_frame(enriched), "frame")
+    model, _ = ensemble.fit(frame, replace(SMALL, rounds=1, trees=2))
+    assert [type(s).__name__ for s in model.stages[-2:]] == ["GBTClassificationModel", "RandomForestClassificationModel"]
+
+
+def test_folds_do_not_wait_for_the_model(enriched, monkeypatch):
+    every, fit = threading.Barrier(SMALL.folds + 1, timeout=60), ensemble.fit
+    monkeypatch.setattr(ensemble, "fit", lambda rows, p: every.wait() + 1 and fit(rows, p))
+    artifact = ensemble.train(enriched, replace(SMALL, rounds=1, trees=1))
+    assert artifact.report["validacion"].count() == SMALL.folds and artifact.meta["cv_media"] is not None
+
+
+def test_rows_of_a_fit_lie_in_bounded_parts(spark, monkeypatch):
+    monkeypatch.setattr(ensemble, "TASK_ROWS", 100)
+    rows = ensemble.spread(spark.range(0, 950, 1, 1), 950)
+    sizes = [r.n for r in rows.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 10 and max(sizes) <= 100 and sum(sizes) == 950
