@@ -118,3 +118,23 @@ def test_is_near(spark):
     cases = [(["a", "b"], ["a", "c"]), (["a", "b"], ["a"]), (["a"], ["b", "a"]), (["a", "b"], ["c", "d"]), (["a", "b"], ["a", "b"]), (["a"], ["a", "b", "c"])]
     df = spark.createDataFrame(cases, "a array<string>, b array<string>")
     assert [r[0] for r in df.select(L._is_near(F.col("a"), F.col("b"))).collect()] == [near(a, b) for a, b in cases]
+
+
+def test_units_are_hashed_once_for_all_kinds_of_variants(spark):
+    rows = [
+        (f, (False, i, 1, 0), i, i, 9, 9, True, True, True, True, True, [f"w{j}" for j in range(9)], "abcdefghijklmnopq")
+        for i, f in enumerate(("words", "chars"))
+    ]
+    first = "first struct<no_id:boolean, id:long, th:long, line:int>"
+    flags = ", ".join(f"{c} boolean" for c in ("r0", "r1", "s", "l0", "l1"))
+    found = L._variants(spark.createDataFrame(rows, f"form string, {first}, h long, h2 int, nw int, n int, {flags}, words array<string>, chars string"))
+    # One branch of the plan per form, not one per form and kind.
+    assert str(found._jdf.queryExecution().optimizedPlan()).count("LogicalRDD") == 2
+    assert {(r.form, r.kind) for r in found.collect()} == {(f, k) for f in ("words", "chars") for k in ("replace", "longer", "shorter")}
+
+
+def test_lines_of_white_space_only_are_no_lines(spark):
+    white = [" ", "\t", "\x0b", "\x0c", "\r", " \t\x0b\x0c\r", ""]
+    kept = ["x", " x", "\u00a0", "\u2003", "\x1f", "\t\x85"]
+    docs = spark.createDataFrame([(1, "\n".join(white + kept))], "doc_id long, text string")
+    assert [r.content for r in L._lines(docs, "text", "doc_id").collect()] == kept
