@@ -243,3 +243,12 @@ def test_rows_of_a_fit_lie_in_bounded_parts(spark, monkeypatch):
     rows = ensemble.spread(spark.range(0, 950, 1, 1), 950)
     sizes = [r.n for r in rows.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 10 and max(sizes) <= 100 and sum(sizes) == 950
+
+
+def test_a_forest_keeps_places_in_its_trees(enriched, monkeypatch):
+    frame, small = scratch.materialize(features.training_frame(enriched), "frame"), replace(SMALL, rounds=1, forest_depth=6)
+    kept, _ = ensemble.fit(frame, small)
+    monkeypatch.setattr(ensemble, "NODE_IDS", frame.count() * small.trees - 1)
+    walked, _ = ensemble.fit(frame, small)
+    assert [m.stages[-1].getCacheNodeIds() for m in (kept, walked)] == [True, False]
+    assert kept.stages[-1].toDebugString.split("\n")[1:] == walked.stages[-1].toDebugString.split("\n")[1:]
