@@ -252,3 +252,22 @@ def test_a_forest_keeps_places_in_its_trees(enriched, monkeypatch):
     walked, _ = ensemble.fit(frame, small)
     assert [m.stages[-1].getCacheNodeIds() for m in (kept, walked)] == [True, False]
     assert kept.stages[-1].toDebugString.split("\n")[1:] == walked.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_members_read_stored_vectors_to_the_same_trees(enriched, monkeypatch):
+    # Tasks of every job carry the plan of their rows: no projection may be left in it.
+    seen, plain = [], ensemble.materialize
+    for member in (ensemble.GBTClassifier, ensemble.RandomForestClassifier):
+        monkeypatch.setattr(member, "_fit", lambda self, df, fit=member._fit: seen.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString())) or fit(self, df))
+    frame, small = scratch.materialize(features.training_frame(enriched), "frame"), replace(SMALL, rounds=7)
+    stored, _ = ensemble.fit(frame, small)
+    assert all(columns == ["_features", LABEL, ensemble.WEIGHT] and plan.startswith("Relation") for columns, plan in seen) and len(seen) == 2
+    monkeypatch.setattr(ensemble, "materialize", lambda df, name: df if name == "fit-vectors" else plain(df, name))
+    derived, _ = ensemble.fit(frame, small)
+    assert seen[-1][1].startswith("Project")
+    assert [m.toDebugString.split("\n")[1:] for m in stored.stages[-2:]] == [m.toDebugString.split("\n")[1:] for m in derived.stages[-2:]]
+
+
+def test_boosting_cuts_its_lineage_often(spark):
+    member = ensemble.train_boosted()
+    assert member.getCheckpointInterval() == ensemble.CUT_ROUNDS < 10  # MLlib's default
