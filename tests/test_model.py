@@ -271,3 +271,14 @@ def test_members_read_stored_vectors_to_the_same_trees(enriched, monkeypatch):
 def test_boosting_cuts_its_lineage_often(spark):
     member = ensemble.train_boosted()
     assert member.getCheckpointInterval() == ensemble.CUT_ROUNDS < 10  # MLlib's default
+
+
+def test_a_fit_reads_all_rows_of_a_large_table(enriched, monkeypatch):
+    frame = scratch.materialize(features.training_frame(enriched), "frame")
+    monkeypatch.setattr(ensemble, "class_counts", lambda rows, label: {0: 90_000_000, 1: 10_000_000})
+    monkeypatch.setattr(ensemble, "TASK_ROWS", 100_000_000)
+    monkeypatch.setattr(ensemble, "draw", lambda *_: pytest.fail("rows are drawn"))
+    read, spread = [], ensemble.spread
+    monkeypatch.setattr(ensemble, "spread", lambda rows, n: read.append((rows.count(), n)) or spread(rows, n))
+    ensemble.fit(frame, ensemble.Params(rounds=1, trees=1))
+    assert read == [(frame.count(), 100_000_000)]
