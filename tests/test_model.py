@@ -6,6 +6,7 @@ import threading
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from claimflow import fixtures
@@ -282,3 +283,13 @@ def test_a_fit_reads_all_rows_of_a_large_table(enriched, monkeypatch):
     monkeypatch.setattr(ensemble, "spread", lambda rows, n: read.append((rows.count(), n)) or spread(rows, n))
     ensemble.fit(frame, ensemble.Params(rounds=1, trees=1))
     assert read == [(frame.count(), 100_000_000)]
+
+
+def test_a_session_that_observed_rows_can_score(spark, enriched):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    frame = scratch.materialize(features.training_frame(enriched), "frame")
+    model, codes = ensemble.fit(frame, replace(SMALL, rounds=1, trees=2))
+    assert not model.stages[-1].hasSummary
+    assert ensemble.probabilities(frame, model, codes, (2, 1)).filter("p BETWEEN 0 AND 1").count() == frame.count()
